@@ -1,0 +1,57 @@
+"""Logical schemas of the tables the operators exchange."""
+
+from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType, StringType,
+                               StructField, StructType, TimestampNTZType)
+
+FIELD = StructType([
+    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("step", IntegerType()), StructField("iy", IntegerType()),
+    StructField("ix", IntegerType()), StructField("value", DoubleType()),
+])
+
+STORED_FIELD = StructType([
+    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("cy", IntegerType()), StructField("cx", IntegerType()),
+    StructField("member", IntegerType()), StructField("step", IntegerType()),
+    StructField("iy", IntegerType()), StructField("ix", IntegerType()),
+    StructField("value", FloatType()),
+])
+
+NATIVE = StructType([
+    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("member", IntegerType()), StructField("step", IntegerType()),
+    StructField("src_id", LongType()), StructField("value", DoubleType()),
+])
+
+WEIGHTS = StructType([
+    StructField("method", StringType()), StructField("dst_id", LongType()),
+    StructField("src_id", LongType()), StructField("w", DoubleType()),
+])
+
+LISTING = StructType([
+    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("step", IntegerType()), StructField("n_bytes", LongType()),
+    StructField("status", IntegerType()),
+])
+
+MARKERS = StructType([
+    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("marker", StringType()), StructField("payload", StringType()),
+    StructField("ts", TimestampNTZType()),
+])
+
+REQUESTS = StructType([
+    StructField("req_id", LongType()), StructField("lat", DoubleType()),
+    StructField("lon", DoubleType()), StructField("param", StringType()),
+    StructField("ensemble", StringType()), StructField("run", StringType()),
+])
+
+REQUEST_LOG = StructType([
+    StructField("client", LongType()), StructField("req_id", LongType()),
+    StructField("ts", TimestampNTZType()),
+])
+
+BOUNDS = StructType([
+    StructField("param", StringType()), StructField("lo", DoubleType()),
+    StructField("hi", DoubleType()),
+])
