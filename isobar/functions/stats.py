@@ -33,5 +33,10 @@ def all_nan(x) -> Column:
 
 
 def round4(x) -> Column:
-    """Four decimals, half toward +infinity (JavaScript ``Math.round``)."""
-    return F.floor(_c(x) * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
+    """Four decimals, half toward +infinity (JavaScript ``Math.round``).
+
+    NaN and infinities pass through (``floor`` would turn them into longs).
+    """
+    x = _c(x)
+    finite = F.abs(x) < F.lit(float("inf"))
+    return F.when(finite, F.floor(x * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)).otherwise(x)
