@@ -54,3 +54,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = sc.getCheckpointDir()
     root = root.rstrip("/")
     return f"{root}/{name}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure ``DataFrame.checkpoint()`` has a (shared) directory."""
+    return shared_dir(spark, "")
