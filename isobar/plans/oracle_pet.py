@@ -47,3 +47,11 @@ pet_g AS (SELECT {lead}, step, iy, ix,
   / (delta + gamma * ({d(1)} + {d(ph.WIND_COEF)} * u2)) AS et0 FROM pet_f),
 pet_h AS (SELECT {lead}, step, iy, ix, CASE WHEN isfinite(et0) THEN et0 ELSE {NAN} END AS et0 FROM pet_g)
 SELECT {lead}, step, iy, ix, CAST(CASE WHEN et0 < 0 THEN {d(0)} ELSE et0 END AS FLOAT) AS pet_pm FROM pet_h"""
+
+
+def pet_cte_sql(src: str = "x1") -> str:
+    """CTEs ending in ``pet(run, step, iy, ix, pet_pm)`` computed from field ``src``."""
+    body = pet_select_sql("al")
+    head, _, final = body.rpartition("\nSELECT ")
+    return (deaccumulate_sql(src, "w1") + ",\n" + align_sql("w1", "al") + ",\n" + head
+            + ",\npet AS (SELECT " + final + ")")
