@@ -1 +1,62 @@
-"""Queries (filled in below)."""
+"""Queries: parquet store round trips (S3, S4), chunk files (S5, S6), manifests."""
+
+from __future__ import annotations
+
+import uuid
+
+
+from ..session import shared_dir
+from ..sources import chunks, fixtures as fx, store
+from .catalog import register
+from .q_quality import _a1
+from .sqltext import with_fixtures
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder for this query under the shared checkpoint location."""
+    return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def _published(spark, sf):
+    root = _scratch(spark, "store")
+    store.field_publish(fx.x1_field(spark, sf), root)
+    return root
+
+
+@register("S4_field_publish", with_fixtures(["x1"], """
+SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1"""))
+def s4_field_publish(spark, sf):
+    return store.field_scan(spark, _published(spark, sf))
+
+
+@register("S3_field_scan", with_fixtures(["x1"], """
+SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1
+WHERE run = '2026040300' AND param IN ('t_2m', 'ps') AND step IN (0, 1, 2, 78)"""))
+def s3_field_scan(spark, sf):
+    return store.field_scan(spark, _published(spark, sf), run="2026040300", params=["t_2m", "ps"],
+                            steps=[0, 1, 2, 78])
+
+
+@register("S5_chunk_export", with_fixtures(["x1"], """
+SELECT DISTINCT run, param, CAST(floor(iy / 100) AS INTEGER) AS cy, CAST(floor(ix / 100) AS INTEGER) AS cx FROM x1"""))
+def s5_chunk_export(spark, sf):
+    return chunks.chunk_export(fx.x1_field(spark, sf), _scratch(spark, "zarr")).select("run", "param", "cy", "cx")
+
+
+@register("S6_chunk_scan", with_fixtures(["x1"], """
+SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1"""))
+def s6_chunk_scan(spark, sf):
+    path = _scratch(spark, "zarr")
+    chunks.chunk_export(fx.x1_field(spark, sf), path)
+    return chunks.chunk_scan(spark, path)
+
+
+@register("S9_read_manifest", with_fixtures(["x2_expected"], """
+SELECT e.run, e.param, e.step, l.step IS NOT NULL AS is_available FROM x2_expected e
+  LEFT JOIN x2 l ON e.run = l.run AND e.param = l.param AND e.step = l.step AND l.status = 200"""))
+def s9_read_manifest(spark, sf):
+    path = _scratch(spark, "manifest")
+    store.write_manifest(_a1(spark, sf), path)
+    return store.read_manifest(spark, path)
+
+
