@@ -5,20 +5,18 @@ counter is below ``limit``; an allowed request adds one and renews the
 expiry to ``ts + expiry``; a denied one changes nothing.  At or after the
 expiry the counter is back to 0.
 
-Batch plan (exact):
-1. order each client's requests by (ts, req_id) and cut them where the gap to
-   the previous request is >= expiry (the state has surely expired there);
-2. a session with at most ``limit`` requests is entirely allowed (built-in
-   window functions only);
-3. longer sessions are replayed per (client, session) with ``applyInPandas``.
-   Inside a session the replay jumps from epoch to epoch: the first ``limit``
-   requests of an epoch are allowed, then everything before
-   ``ts[limit-th] + expiry`` is denied and the next request opens a new epoch,
-   so the work is one binary search per epoch.
+Batch plan (exact, one shuffle): hash-partition the log by client, sort each
+partition by (client, ts, req_id) and stream it through ``mapInPandas``.  The
+replay carries (client, count, expiry) from one Arrow batch to the next, so a
+client with any number of requests is processed without being collected in
+memory.  Within a client the replay jumps from epoch to epoch: once the
+counter is full, every request before the expiry is denied in one binary
+search; a gap of at least ``expiry`` between requests resets the counter.
 
 Stream plan: ``applyInPandasWithState`` keyed by client with state
-(count, expiry); rows of a micro-batch are replayed in (ts, req_id) order and
-the state is dropped by an event-time timeout once it has expired.
+(count, expiry); rows of a micro-batch are replayed in (ts, req_id) order
+with the same function and the state is dropped by an event-time timeout once
+it has expired.
 """
 
 from __future__ import annotations
@@ -29,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
-from pyspark.sql.window import Window
 
 RATE_LIMIT = 100
 RATE_WINDOW_S = 60
@@ -40,46 +37,57 @@ OUT_SCHEMA = StructType([
 ])
 
 
-def _micros(c) -> F.Column:
-    return F.unix_micros(F.col(c).cast("timestamp")) if isinstance(c, str) else F.unix_micros(c.cast("timestamp"))
-
-
-def replay_epochs(t_us: np.ndarray, limit: int, expiry_us: int) -> np.ndarray:
-    """Allowed flags for one client's requests in time order, starting from an
-    expired state (the caller guarantees no gap >= expiry inside)."""
+def replay(t_us: np.ndarray, count: int, expiry: int, limit: int, expiry_us: int):
+    """Allowed flags for one client's requests (sorted times in microseconds),
+    starting from state (count, expiry); returns (allowed, count, expiry)."""
     n = len(t_us)
     allowed = np.zeros(n, dtype=bool)
+    big = np.flatnonzero(np.diff(t_us) >= expiry_us) + 1  # requests after a long gap
     i = 0
     while i < n:
-        j = min(i + limit, n)
-        allowed[i:j] = True
-        if j >= n:
-            break
-        k = int(np.searchsorted(t_us, t_us[j - 1] + expiry_us, side="left"))
-        i = max(k, j)
-    return allowed
+        if t_us[i] >= expiry:
+            count = 0
+        if count < limit:
+            j = min(i + (limit - count), n)
+            b = big[np.searchsorted(big, i, side="right"):]
+            if len(b) and b[0] < j:
+                j = int(b[0])  # the state expires at j: a new epoch starts there
+            allowed[i:j] = True
+            count += j - i
+            expiry = int(t_us[j - 1]) + expiry_us
+            i = j
+        else:
+            i = int(np.searchsorted(t_us, expiry, side="left"))
+    return allowed, count, expiry
+
+
+def _times_us(ts: pd.Series) -> np.ndarray:
+    return ts.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
 
 def rate_audit(log: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_WINDOW_S) -> DataFrame:
     """R1 (batch): every request of ``log(client, req_id, ts)`` with ``allowed``."""
     exp_us = int(round(expiry_s * 1_000_000))
-    w = Window.partitionBy("client").orderBy("ts", "req_id")
-    t = _micros("ts")
-    gap = t - F.lag(t).over(w)
-    new = F.when(gap.isNull() | (gap >= F.lit(exp_us)), 1).otherwise(0)
-    s = log.select("client", "req_id", "ts").withColumn("session", F.sum(new).over(w))
-    s = s.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("client", "session")))
-    short = s.where(F.col("_n") <= limit).select("client", "req_id", "ts", F.lit(True).alias("allowed"))
-    long_ = s.where(F.col("_n") > limit).select("client", "session", "req_id", "ts")
 
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "req_id"], kind="stable")
-        t_us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        return pd.DataFrame({"client": pdf["client"].to_numpy(), "req_id": pdf["req_id"].to_numpy(),
-                             "ts": pdf["ts"].to_numpy(), "allowed": replay_epochs(t_us, limit, exp_us)})
+    def run(batches):
+        cur, count, expiry = None, 0, np.iinfo(np.int64).min
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            clients = pdf["client"].to_numpy()
+            t_us = _times_us(pdf["ts"])
+            allowed = np.zeros(len(pdf), dtype=bool)
+            starts = np.flatnonzero(np.r_[True, clients[1:] != clients[:-1]])
+            ends = np.r_[starts[1:], len(pdf)]
+            for a, b in zip(starts, ends):
+                if clients[a] != cur:
+                    cur, count, expiry = clients[a], 0, np.iinfo(np.int64).min
+                allowed[a:b], count, expiry = replay(t_us[a:b], count, expiry, limit, exp_us)
+            yield pd.DataFrame({"client": clients, "req_id": pdf["req_id"].to_numpy(),
+                                "ts": pdf["ts"].to_numpy(), "allowed": allowed})
 
-    replayed = long_.groupBy("client", "session").applyInPandas(replay, OUT_SCHEMA)
-    return short.unionByName(replayed)
+    return (log.select("client", "req_id", "ts").repartition("client")
+            .sortWithinPartitions("client", "ts", "req_id").mapInPandas(run, OUT_SCHEMA))
 
 
 STATE_SCHEMA = StructType([StructField("count", LongType()), StructField("expiry_us", LongType())])
@@ -100,22 +108,15 @@ def rate_audit_stream(log_stream: DataFrame, limit: int = RATE_LIMIT, expiry_s:
         if state.hasTimedOut:
             state.remove()
             return
-        count, expiry = (state.get if state.exists else (0, 0))
+        count, expiry = (state.get if state.exists else (0, np.iinfo(np.int64).min))
         for pdf in pdfs:
             pdf = pdf.sort_values(["ts", "req_id"], kind="stable")
-            t_us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
-            allowed = np.zeros(len(pdf), dtype=bool)
-            for i, t in enumerate(t_us):
-                if t >= expiry:
-                    count = 0
-                if count < limit:
-                    allowed[i] = True
-                    count += 1
-                    expiry = int(t) + exp_us
+            allowed, count, expiry = replay(_times_us(pdf["ts"]), count, expiry, limit, exp_us)
             yield pd.DataFrame({"client": pdf["client"].to_numpy(), "req_id": pdf["req_id"].to_numpy(),
                                 "ts": pdf["ts"].to_numpy(), "allowed": allowed})
         state.update((int(count), int(expiry)))
-        state.setTimeoutTimestamp(int(expiry // 1000) + 1)
+        # evict once the watermark passes the expiry (never earlier than now)
+        state.setTimeoutTimestamp(max(int(expiry // 1000) + 1, state.getCurrentWatermarkMs() + 1))
 
     # event time must be TIMESTAMP (session zone UTC keeps wall-clock values)
     s = log_stream.select("client", "req_id", F.col("ts").cast("timestamp").alias("ts"))
