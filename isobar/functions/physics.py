@@ -75,6 +75,36 @@ def pet_pm(t_k, td_k, u10, v10, asob, athb, ps_pa) -> Column:
     return et0.cast("float")
 
 
+def with_pet_pm(df, lead, t_k="t_2m", td_k="td_2m", u10="u_10m", v10="v_10m", asob="asob_s",
+                athb="athb_s", ps_pa="ps", out="pet_pm"):
+    """:func:`pet_pm` as staged projections over a DataFrame.
+
+    Each stage is a separate ``select``; Catalyst keeps a projection whose
+    non-trivial columns are used more than once instead of inlining them, so
+    ``exp`` and the slope term are evaluated once per row (same arithmetic, so
+    the same doubles as :func:`pet_pm`).
+    """
+    keep = list(lead)
+    a = df.select(*keep, (F.col(t_k) - F.lit(KELVIN)).alias("_t"), (F.col(td_k) - F.lit(KELVIN)).alias("_td"),
+                  (F.hypot(F.col(u10), F.col(v10)) * F.lit(WIND_10M_TO_2M)).alias("_u2"),
+                  ((F.col(asob) + F.col(athb)) * F.lit(W_M2_TO_MJ_M2_H)).alias("_rn"),
+                  (F.lit(PSYCHRO) * (F.col(ps_pa) / F.lit(1000.0))).alias("_g"))
+    t, td = F.col("_t"), F.col("_td")
+    b = a.select(*keep, "_t", "_u2", "_rn", "_g",
+                 (F.lit(MAGNUS_A) * F.exp(nan_if_null(F.try_divide(F.lit(MAGNUS_B) * t, t + F.lit(MAGNUS_C))))).alias("_es"),
+                 (F.lit(MAGNUS_A) * F.exp(nan_if_null(F.try_divide(F.lit(MAGNUS_B) * td, td + F.lit(MAGNUS_C))))).alias("_ea"))
+    tk = F.col("_t") + F.lit(MAGNUS_C)
+    c = b.select(*keep, "_t", "_u2", "_rn", "_g",
+                 F.when(F.col("_es") - F.col("_ea") < F.lit(0.0), F.lit(0.0)).otherwise(F.col("_es") - F.col("_ea")).alias("_vpd"),
+                 nan_if_null(F.try_divide(F.lit(SLOPE_NUM) * F.col("_es"), tk * tk)).alias("_delta"))
+    num = (F.lit(RAD_COEF) * F.col("_delta") * F.col("_rn")
+           + F.col("_g") * nan_if_null(F.try_divide(F.lit(AERO_COEF), F.col("_t") + F.lit(KELVIN))) * F.col("_u2") * F.col("_vpd"))
+    den = F.col("_delta") + F.col("_g") * (F.lit(1.0) + F.lit(WIND_COEF) * F.col("_u2"))
+    d = c.select(*keep, nan_if_null(F.try_divide(num, den)).alias("_et0"))
+    e = d.select(*keep, F.when(is_finite(F.col("_et0")), F.col("_et0")).otherwise(F.lit(float("nan"))).alias("_et0"))
+    return e.select(*keep, F.when(F.col("_et0") < F.lit(0.0), F.lit(0.0)).otherwise(F.col("_et0")).cast("float").alias(out))
+
+
 def great_circle_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.0) -> Column:
     """Haversine distance in km between two points given in degrees."""
     p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))

@@ -106,8 +106,7 @@ def pet_pm(field: DataFrame, accumulated=ACCUMULATED_MEANS) -> DataFrame:
     f = deaccumulate(f, accumulated)
     a = align_params(f, PET_INPUTS)
     lead = [c for c in keys if c not in ("iy", "ix")]
-    return a.select(*lead, "step", "iy", "ix",
-                    physics.pet_pm(*[F.col(p) for p in PET_INPUTS]).alias("pet_pm"))
+    return physics.with_pet_pm(a, lead + ["step", "iy", "ix"])
 
 
 def pet_as_field(pet: DataFrame) -> DataFrame:

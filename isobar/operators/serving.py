@@ -40,7 +40,11 @@ def point_lookup(series: DataFrame, requests: DataFrame, wrap: bool = False,
     request side is broadcast only when its checked size is small, which
     also enables dynamic pruning of ``cy`` partitions of a stored series.
     """
-    r = point_to_cell(requests.select("req_id", "lat", "lon", "param", "run"), wrap=wrap)
+    # only well-formed run ids can match a stored run (requests without a run
+    # are resolved by follow_redirect first); the predicate also marks the
+    # request side as selective, which lets the optimizer add dynamic pruning
+    r = requests.select("req_id", "lat", "lon", "param", "run").where(F.col("run").rlike(r"^[0-9]{10}$"))
+    r = point_to_cell(r, wrap=wrap)
     r = bounded_broadcast(r.select("req_id", "lat", "lon", "param", "run", "cy", "iy", "ix"), max_broadcast)
     s = series.select(*[c for c in ("run", "param", "member") if c in series.columns],
                       "cy", "iy", "ix", "steps", "vals")
@@ -83,3 +87,21 @@ def point_series_json(points: DataFrame, ensemble: bool = False) -> DataFrame:
     parts += [F.lit(',"values":'), values, F.lit("}")]
     n = F.size("_e").alias("n_steps")
     return g.select("req_id", n, F.concat(*parts).alias("body"))
+
+
+def deaccumulate_series(series: DataFrame, params=("asob_s", "athb_s")) -> DataFrame:
+    """W1 on the series layout: the step axis is an array in the row, so the
+    same rule is a ``transform`` over the arrays - no window, no shuffle."""
+    steps, vals = F.col("steps"), F.col("vals")
+
+    def inst(v, i):
+        t = F.element_at(steps, i + 1).cast("double")
+        prev_i = F.greatest(i, F.lit(1))
+        pt = F.when(i == 0, F.lit(0.0)).otherwise(F.element_at(steps, prev_i).cast("double"))
+        pv = F.when(i == 0, F.lit(0.0)).otherwise(
+            F.coalesce(F.nanvl(F.element_at(vals, prev_i).cast("double"), F.lit(0.0)), F.lit(0.0)))
+        dt = t - pt
+        return F.when(dt > 0, F.try_divide(v.cast("double") * t - pv * pt, dt)).otherwise(F.lit(0.0)).cast("float")
+
+    new = F.when(F.col("param").isin(list(params)), F.transform(vals, inst)).otherwise(vals)
+    return series.withColumn("vals", new)

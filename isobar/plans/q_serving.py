@@ -5,9 +5,11 @@ from __future__ import annotations
 
 
 from ..operators import derive, serving
+from ..session import shared_dir
 from ..sources import fixtures as fx
+from ..sources import store
 from .catalog import register
-from .oracle_pet import pet_cte_sql
+from .oracle_pet import deaccumulate_sql, pet_cte_sql
 from .q_grid import _cell_sql, _unit_sql
 from .sqltext import d, with_fixtures
 
@@ -85,3 +87,23 @@ def a10_point_series_json_eps(spark, sf):
     return serving.point_series_json(pts, ensemble=True)
 
 
+
+
+@register("W1_deaccumulate_series", with_fixtures(["x1"], """
+xf AS (SELECT run, param, step, iy, ix, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM x1),
+""" + deaccumulate_sql("xf", "w1") + """
+SELECT run, param, CAST(floor(iy / 100) AS INTEGER) AS cy, CAST(floor(ix / 100) AS INTEGER) AS cx, iy, ix,
+  list(step ORDER BY step) AS steps, list(CAST(value AS FLOAT) ORDER BY step) AS vals
+FROM w1 GROUP BY run, param, iy, ix"""))
+def w1_deaccumulate_series(spark, sf):
+    return serving.deaccumulate_series(serving.series_pack(fx.x1_field(spark, sf)))
+
+
+@register("J5_point_lookup_stored", with_fixtures(["x1", "x3b"], _J5_SQL + "\nSELECT * FROM j5"))
+def j5_point_lookup_stored(spark, sf):
+    """J5 against the published series store: the broadcast request table
+    drives dynamic pruning of ``cy`` partitions."""
+    import uuid
+    root = shared_dir(spark, f"series-{uuid.uuid4().hex}")
+    store.series_publish(serving.series_pack(_served_field(spark, sf)), root)
+    return serving.point_lookup(store.series_scan(spark, root), fx.x3b_requests(spark, sf))

@@ -94,3 +94,29 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     avail = p.select("run", "param", F.explode("info.available").alias("step"), F.lit(True).alias("is_available"))
     miss = p.select("run", "param", F.explode("info.missing").alias("step"), F.lit(False).alias("is_available"))
     return avail.unionByName(miss).withColumn("is_available", F.col("is_available").cast(BooleanType()))
+
+
+SERIES_SCHEMA = StructType([
+    StructField("member", IntegerType()), StructField("cx", IntegerType()),
+    StructField("iy", IntegerType()), StructField("ix", IntegerType()),
+    StructField("steps", ArrayType(IntegerType())), StructField("vals", ArrayType(FloatType())),
+    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("cy", IntegerType()),
+])
+
+
+def series_publish(series: DataFrame, root: str, codec: str = "zstd") -> None:
+    """Write the series layout (one row per pixel) partitioned by run, param
+    and chunk row ``cy``; files hold whole chunks sorted by (cx, iy, ix)."""
+    member = F.col("member") if "member" in series.columns else F.lit(0)
+    out = series.select(member.cast("int").alias("member"), "cx", "iy", "ix", "steps", "vals", "run", "param", "cy")
+    (out.repartition("run", "param", "cy", "cx")
+        .sortWithinPartitions("run", "param", "cy", "cx", "iy", "ix", "member")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", codec).partitionBy("run", "param", "cy").parquet(root))
+
+
+def series_scan(spark: SparkSession, root: str, ensemble: bool = False) -> DataFrame:
+    df = spark.read.schema(SERIES_SCHEMA).parquet(root)
+    cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
+    return df.select(*cols)
