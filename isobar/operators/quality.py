@@ -93,15 +93,19 @@ def zero_fill(listing: DataFrame, ny=grid.GRID_NY, nx=grid.GRID_NX, params: Sequ
     """P10: a payload below ``min_bytes`` stands for an all-zero field.
 
     Every such listing row expands to the full ny x nx grid by generators
-    (``explode(sequence)``), no join; ``ny``/``nx`` may be Columns.
+    (``explode(sequence)``), no join; ``ny``/``nx`` may be Columns.  Grid
+    rows are spread over all tasks (round robin, an explicit partition count
+    that AQE keeps) before the columns are generated, so one small payload does
+    not make one task emit a whole field.
     """
     small = listing.where(F.col("n_bytes") < F.lit(min_bytes))
     if params is not None:
         small = small.where(F.col("param").isin(list(params)))
     ny = F.lit(ny) if isinstance(ny, int) else ny
     nx = F.lit(nx) if isinstance(nx, int) else nx
-    return (small.select("run", "param", "step", F.explode(F.sequence(F.lit(0), (ny - 1).cast("int"))).alias("iy"))
-            .select("run", "param", "step", "iy", F.explode(F.sequence(F.lit(0), (nx - 1).cast("int"))).alias("ix"))
+    rows = (small.select("run", "param", "step", F.explode(F.sequence(F.lit(0), (ny - 1).cast("int"))).alias("iy"))
+            .repartition(listing.sparkSession.sparkContext.defaultParallelism))
+    return (rows.select("run", "param", "step", "iy", F.explode(F.sequence(F.lit(0), (nx - 1).cast("int"))).alias("ix"))
             .withColumn("value", F.lit(0.0)))
 
 

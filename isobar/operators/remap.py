@@ -131,38 +131,49 @@ def _knn_pass(src: DataFrame, dst: DataFrame, k: int, b: float) -> DataFrame:
     return c.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def idw_weights(src: DataFrame, dst: DataFrame, k: int = 4, bin_deg: float = 1.0,
+def auto_bin_deg(n_src: int, k: int) -> float:
+    """Bin side (degrees) whose 3 x 3 window holds about 2k sources when the
+    sources are spread over the globe."""
+    side = math.sqrt(max(k, 1) * 2 * (360.0 * 180.0) / max(n_src, 1) / 9.0)
+    return next((b for b in BIN_LADDER if b >= side), BIN_LADDER[-1])
+
+
+def idw_weights(src: DataFrame, dst: DataFrame, k: int = 4, bin_deg: float | None = None,
                 method: str = "distance", checkpoint: bool = True) -> DataFrame:
     """K nearest sources per target with inverse-distance weights (sum 1).
 
-    Pass 1 searches the 3 x 3 bins around each target.  A target is settled
-    when it found k sources and the k-th lies within the radius the window
-    guarantees; the others are searched again with wider bins (the ladder ends
-    at bins covering the globe, so every target is settled exactly; no cap
-    on candidates).  Settled targets are checkpointed per pass to cut lineage.
-    A source at distance 0 takes all the weight.
+    Each pass searches the 3 x 3 bins around each unsettled target.  A target
+    is settled when it found k sources and the k-th lies within the radius the
+    window guarantees; the others are searched again with wider bins.  The
+    ladder ends at bins covering the globe, so every target is settled
+    exactly, with no cap on candidates.  Settled targets are checkpointed per
+    pass (lineage stays one pass deep).  ``bin_deg=None`` derives the first
+    bin from the source count.  A source at distance 0 takes all the weight.
     """
+    if bin_deg is None:
+        bin_deg = auto_bin_deg(src.count(), k)
     ladder = [b for b in BIN_LADDER if b >= bin_deg] or [BIN_LADDER[-1]]
     if checkpoint:
         ensure_checkpoint_dir(dst.sparkSession)
-    remaining = dst.select("dst_id", "lat", "lon")
+    targets = dst.select("dst_id", "lat", "lon")
+    remaining = targets
     parts = []
     for i, b in enumerate(ladder):
-        last = i == len(ladder) - 1
         top = _knn_pass(src, remaining, k, b)
-        if last:
+        if i == len(ladder) - 1:
             parts.append(top)
             break
-        stats = (top.groupBy("dst_id").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dk"),
-                                           F.first("radius").alias("radius"))
-                 .where((F.col("n") == k) & (F.col("dk") < F.col("radius"))).select("dst_id"))
-        settled = top.join(stats, "dst_id", "left_semi")
+        ok = (top.groupBy("dst_id").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dk"),
+                                        F.first("radius").alias("radius"))
+              .where((F.col("n") == k) & (F.col("dk") < F.col("radius"))).select("dst_id"))
+        settled = top.join(ok, "dst_id", "left_semi")
         if checkpoint:
             settled = settled.checkpoint()
         parts.append(settled)
-        remaining = remaining.join(settled.select("dst_id").distinct(), "dst_id", "left_anti")
-        if checkpoint:
-            remaining = remaining.checkpoint()
+        done = parts[0].select("dst_id")
+        for p in parts[1:]:
+            done = done.unionByName(p.select("dst_id"))
+        remaining = targets.join(done, "dst_id", "left_anti")
         if remaining.isEmpty():
             break
     cand = parts[0]

@@ -51,7 +51,7 @@ t AS (SELECT * FROM r WHERE rank <= 4)
 SELECT 'distance' AS method, dst_id, src_id, dist, rank,
   ({d(1)} / dist) / sum({d(1)} / dist) OVER (PARTITION BY dst_id) AS w FROM t"""))
 def j2_idw_weights(spark, sf):
-    return remap.idw_weights(fx.x6_sources(spark, sf), fx.x6_targets(spark, sf), k=4, bin_deg=1.0)
+    return remap.idw_weights(fx.x6_sources(spark, sf), fx.x6_targets(spark, sf), k=4)
 
 
 def _src_boxes(spark, sf):
