@@ -114,3 +114,31 @@ def pet_as_field(pet: DataFrame) -> DataFrame:
     lead = [c for c in ("run", "member") if c in pet.columns]
     return pet.select(*lead[:1], F.lit("pet_pm").alias("param"), *lead[1:], "step", "iy", "ix",
                       F.col("pet_pm").cast("double").alias("value"))
+
+
+def pet_pm_series(series: DataFrame) -> DataFrame:
+    """D1 on the series layout (one row per pixel with step arrays).
+
+    Radiation series are de-accumulated in place (array ``transform``, no
+    shuffle), the seven series of a pixel meet in one grouped row (a shuffle
+    by pixel; none when the store is co-partitioned by pixel), and PET is
+    evaluated per common step inside ``transform``.  Output: (run, [member],
+    cy, cx, iy, ix, steps, pet_pm) with float values.
+    """
+    from .serving import deaccumulate_series
+
+    lead = [c for c in ("run", "model", "member") if c in series.columns]
+    s = deaccumulate_series(series.where(F.col("param").isin(list(PET_INPUTS))))
+    aggs = [F.max(F.when(F.col("param") == p, F.struct("steps", "vals"))).alias(p) for p in PET_INPUTS]
+    g = (s.groupBy(*lead, "cy", "cx", "iy", "ix").agg(*aggs, F.count(F.lit(1)).alias("_n"))
+         .where(F.col("_n") == len(PET_INPUTS)))
+    common = F.col(f"{PET_INPUTS[0]}.steps")
+    for p in PET_INPUTS[1:]:
+        common = F.array_intersect(common, F.col(f"{p}.steps"))
+    g = g.withColumn("steps", common).where(F.size("steps") > 0)
+
+    def at(p, step):
+        return F.element_at(F.col(f"{p}.vals"), F.array_position(F.col(f"{p}.steps"), step).cast("int")).cast("double")
+
+    pet = F.transform("steps", lambda st: physics.pet_pm(*[at(p, st) for p in PET_INPUTS]))
+    return g.select(*lead, "cy", "cx", "iy", "ix", "steps", pet.alias("pet_pm"))

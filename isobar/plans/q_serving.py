@@ -9,7 +9,7 @@ from ..session import shared_dir
 from ..sources import fixtures as fx
 from ..sources import store
 from .catalog import register
-from .oracle_pet import deaccumulate_sql, pet_cte_sql
+from .oracle_pet import align_sql, deaccumulate_sql, pet_cte_sql, pet_select_sql
 from .q_grid import _cell_sql, _unit_sql
 from .sqltext import d, with_fixtures
 
@@ -107,3 +107,18 @@ def j5_point_lookup_stored(spark, sf):
     root = shared_dir(spark, f"series-{uuid.uuid4().hex}")
     store.series_publish(serving.series_pack(_served_field(spark, sf)), root)
     return serving.point_lookup(store.series_scan(spark, root), fx.x3b_requests(spark, sf))
+
+
+_PET_SERIES_SQL = with_fixtures(["x1"], """
+xf AS (SELECT run, param, step, iy, ix, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM x1),
+""" + deaccumulate_sql("xf", "w1d") + """,
+w1 AS (SELECT run, param, step, iy, ix, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM w1d),
+""" + align_sql("w1", "al") + ",\n" + pet_select_sql("al").replace(
+    "\nSELECT run, step, iy, ix, CAST(", ",\npet AS (SELECT run, step, iy, ix, CAST(") + """)
+SELECT run, CAST(floor(iy / 100) AS INTEGER) AS cy, CAST(floor(ix / 100) AS INTEGER) AS cx, iy, ix,
+  list(step ORDER BY step) AS steps, list(pet_pm ORDER BY step) AS pet_pm FROM pet GROUP BY run, iy, ix""")
+
+
+@register("D1_pet_pm_series", _PET_SERIES_SQL)
+def d1_pet_pm_series(spark, sf):
+    return derive.pet_pm_series(serving.series_pack(fx.x1_field(spark, sf)))
