@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import grid
 from ..operators.temporal import step_axis
 
-CHUNK_SCHEMA = "run string, param string, cy int, cx int, file string, n_bytes long"
+CHUNK_SCHEMA = "run string, param string, member int, cy int, cx int, file string, n_bytes long"
 
 
 def _fs(path: str):
@@ -52,51 +52,68 @@ def _zarray(shape, chunks, dtype: str, level: int, fill) -> bytes:
 
 def chunk_export(field: DataFrame, path: str, chunk=(grid.CHUNK_LAT, grid.CHUNK_LON), level: int = 5) -> DataFrame:
     """Write every (run, param) of ``field`` as chunk files; returns the
-    written-chunk table (also saved as ``path/_chunks`` parquet)."""
+    written-chunk table (also saved as a parquet listing under ``path/_chunks``).
+
+    Deterministic arrays are ``[step, lat, lon]`` with keys ``0.cy.cx``;
+    ensembles are ``[realization, step, lat, lon]`` chunked one member at a
+    time, keys ``m.0.cy.cx`` - a group is always one chunk.
+    """
     ch_y, ch_x = chunk
-    axis = step_axis(field)  # (run, param, steps) - one small row per run/param
-    f = (field.select("run", "param", "step", "iy", "ix", F.col("value").cast("float").alias("value"))
+    ens = "member" in field.columns
+    member = F.col("member").cast("int") if ens else F.lit(None).cast("int")
+    # the step axis (and member count) of each (run, param): one small row each
+    axis = field.groupBy("run", "param").agg(
+        F.sort_array(F.collect_set("step")).alias("steps"),
+        (F.max(member) + 1).alias("n_members"))
+    f = (field.select("run", "param", member.alias("member"), "step", "iy", "ix",
+                      F.col("value").cast("float").alias("value"))
          .withColumn("cy", F.floor(F.col("iy") / ch_y).cast("int"))
          .withColumn("cx", F.floor(F.col("ix") / ch_x).cast("int"))
-         .join(axis, ["run", "param"]))
+         .join(axis.select("run", "param", "steps"), ["run", "param"]))
     root = path.rstrip("/")
 
     def write_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
         filesystem, base = _fs(root)
         run, param = pdf["run"].iat[0], pdf["param"].iat[0]
         cy, cx = int(pdf["cy"].iat[0]), int(pdf["cx"].iat[0])
+        m = pdf["member"].iat[0]
         steps = np.asarray(pdf["steps"].iat[0], dtype=np.int64)
         arr = np.full((len(steps), ch_y, ch_x), np.nan, dtype="<f4")
         si = np.searchsorted(steps, pdf["step"].to_numpy())
         arr[si, pdf["iy"].to_numpy() - cy * ch_y, pdf["ix"].to_numpy() - cx * ch_x] = pdf["value"].to_numpy()
         data = gzip.compress(arr.tobytes(order="C"), compresslevel=level, mtime=0)
-        name = f"{base}/{run}/{param}/{param}/0.{cy}.{cx}"
+        key = f"0.{cy}.{cx}" if pd.isna(m) else f"{int(m)}.0.{cy}.{cx}"
+        name = f"{base}/{run}/{param}/{param}/{key}"
         _put(filesystem, name, data)
-        return pd.DataFrame({"run": [run], "param": [param], "cy": [cy], "cx": [cx],
-                             "file": [name], "n_bytes": [len(data)]})
+        return pd.DataFrame({"run": [run], "param": [param], "member": [None if pd.isna(m) else int(m)],
+                             "cy": [cy], "cx": [cx], "file": [name], "n_bytes": [len(data)]})
 
     def write_meta(pdf: pd.DataFrame) -> pd.DataFrame:
         filesystem, base = _fs(root)
         run, param = pdf["run"].iat[0], pdf["param"].iat[0]
         steps = np.asarray(pdf["steps"].iat[0], dtype="<i8")
+        nm = pdf["n_members"].iat[0]
         g = f"{base}/{run}/{param}"
+        if pd.isna(nm):
+            shape, chunks, dims = ((len(steps), grid.GRID_NY, grid.GRID_NX), (len(steps), ch_y, ch_x),
+                                   ["step", "latitude", "longitude"])
+        else:
+            shape, chunks, dims = ((int(nm), len(steps), grid.GRID_NY, grid.GRID_NX), (1, len(steps), ch_y, ch_x),
+                                   ["realization", "step", "latitude", "longitude"])
         _put(filesystem, f"{g}/.zgroup", json.dumps({"zarr_format": 2}).encode())
-        _put(filesystem, f"{g}/{param}/.zarray",
-             _zarray((len(steps), grid.GRID_NY, grid.GRID_NX), (len(steps), ch_y, ch_x), "<f4", level, "NaN"))
-        _put(filesystem, f"{g}/{param}/.zattrs",
-             json.dumps({"_ARRAY_DIMENSIONS": ["step", "latitude", "longitude"]}).encode())
+        _put(filesystem, f"{g}/{param}/.zarray", _zarray(shape, chunks, "<f4", level, "NaN"))
+        _put(filesystem, f"{g}/{param}/.zattrs", json.dumps({"_ARRAY_DIMENSIONS": dims}).encode())
         _put(filesystem, f"{g}/step/.zarray", _zarray((len(steps),), (len(steps),), "<i8", level, None))
         _put(filesystem, f"{g}/step/.zattrs", json.dumps({"_ARRAY_DIMENSIONS": ["step"]}).encode())
         _put(filesystem, f"{g}/step/0", gzip.compress(steps.tobytes(), compresslevel=level, mtime=0))
-        return pd.DataFrame({"run": [run], "param": [param], "cy": [-1], "cx": [-1],
+        return pd.DataFrame({"run": [run], "param": [param], "member": [None], "cy": [-1], "cx": [-1],
                              "file": [f"{g}/step/0"], "n_bytes": [int(len(steps) * 8)]})
 
-    chunks = f.groupBy("run", "param", "cy", "cx").applyInPandas(write_chunk, CHUNK_SCHEMA)
+    chunks_df = f.groupBy("run", "param", "member", "cy", "cx").applyInPandas(write_chunk, CHUNK_SCHEMA)
     meta = axis.groupBy("run", "param").applyInPandas(write_meta, CHUNK_SCHEMA)
     listing = f"{root}/_chunks/{uuid.uuid4().hex}"
-    chunks.unionByName(meta).write.mode("overwrite").parquet(listing)
-    spark = field.sparkSession
-    return spark.read.parquet(listing).where(F.col("cy") >= 0)
+    chunks_df.unionByName(meta).write.mode("overwrite").parquet(listing)
+    return field.sparkSession.read.parquet(listing).where(F.col("cy") >= 0)
 
 
 def _read_bytes(uri: str) -> bytes:
@@ -106,7 +123,8 @@ def _read_bytes(uri: str) -> bytes:
 
 
 def chunk_scan(spark: SparkSession, path: str, params: Sequence[str] | None = None, run: str | None = None,
-               cy: int | None = None, cx: int | None = None, drop_nan: bool = True) -> DataFrame:
+               cy: int | None = None, cx: int | None = None, drop_nan: bool = True,
+               ensemble: bool = False) -> DataFrame:
     """Read chunk files back to a field (run, param, step, iy, ix, value).
 
     The file glob prunes by run, param and chunk index; decoding runs in
@@ -118,12 +136,14 @@ def chunk_scan(spark: SparkSession, path: str, params: Sequence[str] | None = No
     r = run or "*"
     ps = "{" + ",".join(params) + "}" if params else "*"
     cys, cxs = ("*" if cy is None else str(cy)), ("*" if cx is None else str(cx))
-    files = spark.read.format("binaryFile").load(f"{root}/{r}/{ps}/{ps}/0.{cys}.{cxs}")
+    files = spark.read.format("binaryFile").load(f"{root}/{r}/{ps}/{ps}/*.{cys}.{cxs}")
     parts = F.split(F.col("path"), "/")
     n = F.size(parts)
     key = F.split(F.element_at(parts, -1), r"\.")
+    nk = F.size(key)
     f = files.select(F.element_at(parts, n - 3).alias("run"), F.element_at(parts, n - 2).alias("param"),
-                     F.element_at(key, 2).cast("int").alias("cy"), F.element_at(key, 3).cast("int").alias("cx"),
+                     F.when(nk == 4, F.element_at(key, 1).cast("int")).alias("member"),
+                     F.element_at(key, nk - 1).cast("int").alias("cy"), F.element_at(key, nk).cast("int").alias("cx"),
                      "content",
                      F.concat_ws("/", F.slice(parts, 1, n - 2), F.lit("step"), F.lit("0")).alias("step_path"))
     ny, nx, ch_y, ch_x = grid.GRID_NY, grid.GRID_NX, grid.CHUNK_LAT, grid.CHUNK_LON
@@ -143,10 +163,15 @@ def chunk_scan(spark: SparkSession, path: str, params: Sequence[str] | None = No
                 keep = (iy < ny) & (ix < nx)
                 if drop_nan:
                     keep &= ~np.isnan(ch)
-                out.append(pd.DataFrame({"run": row.run, "param": row.param, "step": steps[s[keep]].astype("int32"),
-                                         "iy": iy[keep].astype("int32"), "ix": ix[keep].astype("int32"),
-                                         "value": ch[keep]}))
+                part = {"run": row.run, "param": row.param}
+                if ensemble:
+                    part["member"] = np.int32(-1 if pd.isna(row.member) else row.member)
+                part.update({"step": steps[s[keep]].astype("int32"), "iy": iy[keep].astype("int32"),
+                             "ix": ix[keep].astype("int32"), "value": ch[keep]})
+                out.append(pd.DataFrame(part))
             if out:
                 yield pd.concat(out, ignore_index=True)
 
-    return f.mapInPandas(decode, "run string, param string, step int, iy int, ix int, value float")
+    schema = "run string, param string, " + ("member int, " if ensemble else "") + \
+        "step int, iy int, ix int, value float"
+    return f.mapInPandas(decode, schema)

@@ -209,3 +209,27 @@ def test_series_deaccumulate_equals_long_layout(spark):
     j = a.alias("a").join(b.alias("b"), key)
     assert j.count() == a.count() == b.count()
     assert j.where(F.col("a.vals") != F.col("b.vals")).count() == 0
+
+
+def test_chunk_round_trip_ensemble(spark, tmp_path):
+    from isobar.sources import chunks
+    x7 = fx.x7_ensemble(spark, SF_SMALL)
+    path = str(tmp_path / "zarr")
+    written = chunks.chunk_export(x7, path)
+    assert written.where(F.col("member").isNull()).count() == 0
+    back = chunks.chunk_scan(spark, path, ensemble=True)
+    a = x7.select("run", "param", "member", "step", "iy", "ix", F.col("value").cast("float").alias("value"))
+    assert back.count() == a.count()
+    assert back.exceptAll(a).count() == 0 and a.exceptAll(back).count() == 0
+    import json
+    meta = json.load(open(f"{path}/2026040300/t_2m/t_2m/.zarray"))
+    assert meta["shape"][0] == 4 and meta["chunks"][:2] == [1, meta["shape"][1]]
+
+
+def test_deaccumulate_accepts_interval_steps(spark):
+    x1 = fx.x1_field(spark, SF_SMALL).where(F.col("param") == "asob_s")
+    a = temporal.deaccumulate(x1)
+    b = temporal.deaccumulate(x1.withColumn("step", F.make_dt_interval(hours=F.col("step"))))
+    b = b.withColumn("step", (F.unix_micros((F.lit("1970-01-01").cast("timestamp_ntz") + F.col("step"))
+                                            .cast("timestamp")) / 3600000000).cast("int"))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
