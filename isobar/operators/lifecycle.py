@@ -99,22 +99,26 @@ def first_ready_param(field: DataFrame, ordered_params: Sequence[str]) -> DataFr
 
 def run_index(field: DataFrame, markers: DataFrame, params: Sequence[str]) -> DataFrame:
     """One index document per run: grid, chunks, the params with a success
-    marker (list order) and the steps of the first of them that has steps."""
+    marker (list order) and the steps of the first of them that has steps;
+    ``steps_by_param`` lists every param's own steps (they may differ)."""
     pos = F.create_map(*[x for i, p in enumerate(params) for x in (F.lit(p), F.lit(i))])
     succ = markers.where(F.col("marker") == SUCCESS).select("run", "param").distinct()
     ax = (step_axis(field.where(F.col("param").isin(list(params))))
           .join(succ, ["run", "param"], "left_semi")
           .withColumn("_pos", F.try_element_at(pos, F.col("param"))))
     g = ax.groupBy("run").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "param"))), lambda e: e["param"]).alias("params"),
+        F.array_sort(F.collect_list(F.struct("_pos", "param", "steps"))).alias("_e"),
         F.min_by("steps", "_pos").alias("steps"))
+    g = g.withColumn("params", F.transform("_e", lambda e: e["param"]))
+    by_param = F.to_json(F.map_from_entries(F.transform("_e", lambda e: F.struct(e["param"], e["steps"]))))
     grid_s = F.struct(F.lit(grid.LAT_MIN).alias("lat_min"), F.lit(grid.LAT_MAX).alias("lat_max"),
                       F.lit(grid.LON_MIN).alias("lon_min"), F.lit(grid.LON_MAX).alias("lon_max"),
                       F.lit(grid.GRID_NX).alias("nx"), F.lit(grid.GRID_NY).alias("ny"),
                       F.lit(grid.RES_DEG).alias("resolution"))
     chunks = F.struct(F.lit(grid.CHUNK_LAT).alias("latitude"), F.lit(grid.CHUNK_LON).alias("longitude"))
     doc = F.to_json(F.struct(F.col("run"), grid_s.alias("grid"), chunks.alias("chunks"), "params", "steps"))
-    return g.select("run", F.size("params").alias("n_params"), doc.alias("index_json"))
+    return g.select("run", F.size("params").alias("n_params"), doc.alias("index_json"),
+                    by_param.alias("steps_by_param"))
 
 
 def make_markers(keys: DataFrame, marker: str, payload: Column | None = None, ts: Column | None = None) -> DataFrame:

@@ -96,7 +96,8 @@ _PET_ORDER = "(VALUES " + ", ".join(f"('{p}', {i})" for i, p in enumerate(derive
 
 @register("S7_run_index", with_fixtures(["x1", "x4"], f"""
 ax AS (SELECT run, param, list_sort(list(DISTINCT step)) AS steps FROM x1 GROUP BY run, param),
-g AS (SELECT ax.run, list(ax.param ORDER BY o.pos) AS params, arg_min(ax.steps, o.pos) AS steps
+g AS (SELECT ax.run, list(ax.param ORDER BY o.pos) AS params, arg_min(ax.steps, o.pos) AS steps,
+  list(ax.steps ORDER BY o.pos) AS all_steps
   FROM ax JOIN {_PET_ORDER} ON ax.param = o.param
   WHERE EXISTS (SELECT 1 FROM x4 WHERE x4.run = ax.run AND x4.param = ax.param AND x4.marker = '_SUCCESS')
   GROUP BY ax.run)
@@ -104,7 +105,8 @@ SELECT run, CAST(len(params) AS INTEGER) AS n_params, CAST(to_json(struct_pack(r
   grid := struct_pack(lat_min := {d(grid.LAT_MIN)}, lat_max := {d(grid.LAT_MAX)}, lon_min := {d(grid.LON_MIN)},
     lon_max := {d(grid.LON_MAX)}, nx := {grid.GRID_NX}, ny := {grid.GRID_NY}, resolution := {d(grid.RES_DEG)}),
   chunks := struct_pack(latitude := {grid.CHUNK_LAT}, longitude := {grid.CHUNK_LON}),
-  params := params, steps := steps)) AS VARCHAR) AS index_json FROM g"""))
+  params := params, steps := steps)) AS VARCHAR) AS index_json,
+  CAST(to_json(map(params, all_steps)) AS VARCHAR) AS steps_by_param FROM g"""))
 def s7_run_index(spark, sf):
     return lifecycle.run_index(fx.x1_field(spark, sf), fx.x4_markers(spark, sf), derive.PET_INPUTS)
 
