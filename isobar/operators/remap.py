@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir
+from .joins import bounded_broadcast
 
 EARTH_RADIUS_KM = 6371.0
 RAD = math.pi / 180.0
@@ -35,21 +36,33 @@ def method_of(param: Column, methods: Mapping[str, str] | None = None, default:
     return F.coalesce(F.try_element_at(m, param), F.lit(default))
 
 
+MAX_BROADCAST_WEIGHTS = 20_000_000  # about four sources per cell of the 0.125 degree grid
+
+
+def prepare_weights(weights: DataFrame) -> DataFrame:
+    """Weights with ``n_src`` (sources per target) - compute once, store with them."""
+    n_src = F.count(F.lit(1)).over(Window.partitionBy("method", "dst_id"))
+    return weights.select("method", "dst_id", "src_id", "w", n_src.alias("n_src"))
+
+
 def remap_apply(native: DataFrame, weights: DataFrame, methods: Mapping[str, str] | None = None,
-                na: str = "propagate") -> DataFrame:
+                na: str = "propagate", max_broadcast: int = MAX_BROADCAST_WEIGHTS) -> DataFrame:
     """``value[dst] = sum_src w * value[src]`` with the param's weight set.
 
     ``na="propagate"``: a target whose sources are not all present, or any
     of them NaN, is NaN.  ``na="renormalize"``: NaN or absent sources are
     skipped and the remaining weights rescaled to sum to one.
 
-    Plan: weights get their per-target source count once (a window over one
-    target's few sources); native rows join the weights on (method, src_id)
-    (shuffle by source) and are summed per target and step (shuffle by
-    target, with map-side partial sums).  AQE splits skewed partitions.
+    Plan: the weight table is fixed per grid pair and far smaller than the
+    native data (all runs, params, members and steps).  Its row count is
+    checked; up to ``max_broadcast`` rows it is broadcast and the native rows
+    are never shuffled for the join, beyond it both sides are shuffled by
+    source.  The products are summed per target and step (one shuffle by
+    target, with map-side partial sums).  Weights carrying ``n_src``
+    (:func:`prepare_weights`) skip the per-target window.
     """
-    n_src = F.count(F.lit(1)).over(Window.partitionBy("method", "dst_id"))
-    w = weights.select("method", "dst_id", "src_id", "w", n_src.alias("n_src"))
+    w = weights if "n_src" in weights.columns else prepare_weights(weights)
+    w = bounded_broadcast(w.select("method", "dst_id", "src_id", "w", "n_src"), max_broadcast)
     lead = [c for c in ("run", "param", "member") if c in native.columns]
     nat = native.withColumn("method", method_of(F.col("param"), methods))
     j = nat.join(w, ["method", "src_id"])
