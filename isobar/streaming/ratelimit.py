@@ -5,13 +5,22 @@ counter is below ``limit``; an allowed request adds one and renews the
 expiry to ``ts + expiry``; a denied one changes nothing.  At or after the
 expiry the counter is back to 0.
 
-Batch plan (exact, one shuffle): hash-partition the log by client, sort each
-partition by (client, ts, req_id) and stream it through ``mapInPandas``.  The
-replay carries (client, count, expiry) from one Arrow batch to the next, so a
-client with any number of requests is processed without being collected in
-memory.  Within a client the replay jumps from epoch to epoch: once the
-counter is full, every request before the expiry is denied in one binary
-search; a gap of at least ``expiry`` between requests resets the counter.
+Batch plan (exact, skew-aware):
+1. A gap of at least ``expiry`` between two requests of a client resets the
+   counter, so it cuts the client's requests into independent sessions.
+   Inside one time bucket of width ``expiry`` consecutive requests are closer
+   than ``expiry``, so only the first request of a bucket can open a session;
+   session starts therefore come from a per-(client, bucket) min/max
+   aggregate (map-side combined) joined to the previous bucket, and a running
+   max over the - few - buckets of a client names each session.  No step
+   orders all requests of a client in one task.
+2. A session with at most ``limit`` requests is entirely allowed (built-ins).
+3. Longer sessions are hash-partitioned by (client, session), sorted by
+   (ts, req_id) and streamed through ``mapInPandas``; the replay restarts at
+   each session and jumps from epoch to epoch (once the counter is full,
+   every request before the expiry is denied in one binary search).  The
+   sessions of one hot client spread over many tasks; one session is
+   replayed by one task because each verdict depends on the previous ones.
 
 Stream plan: ``applyInPandasWithState`` keyed by client with state
 (count, expiry); rows of a micro-batch are replayed in (ts, req_id) order
@@ -26,6 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.window import Window
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
 
 RATE_LIMIT = 100
@@ -65,29 +75,49 @@ def _times_us(ts: pd.Series) -> np.ndarray:
     return ts.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
 
+def sessions(log: DataFrame, expiry_us: int) -> DataFrame:
+    """log + ``_s`` (bucket of the session start) and ``_sn`` (session size)."""
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    x = log.select("client", "req_id", "ts", t.alias("_t")).withColumn("_b", F.floor(F.col("_t") / F.lit(expiry_us)))
+    b = x.groupBy("client", "_b").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"),
+                                      F.count(F.lit(1)).alias("_n"))
+    prev = b.select("client", (F.col("_b") + 1).alias("_b"), F.col("_hi").alias("_phi"))
+    start = F.col("_phi").isNull() | (F.col("_lo") - F.col("_phi") >= F.lit(expiry_us))
+    upto = Window.partitionBy("client").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    b = (b.join(prev, ["client", "_b"], "left")
+         .withColumn("_s", F.max(F.when(start, F.col("_b"))).over(upto)))
+    b = b.withColumn("_sn", F.sum("_n").over(Window.partitionBy("client", "_s")))
+    return x.join(b.select("client", "_b", "_s", "_sn"), ["client", "_b"]).drop("_b", "_t")
+
+
 def rate_audit(log: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_WINDOW_S) -> DataFrame:
     """R1 (batch): every request of ``log(client, req_id, ts)`` with ``allowed``."""
     exp_us = int(round(expiry_s * 1_000_000))
+    s = sessions(log.select("client", "req_id", "ts"), exp_us)
+    short = s.where(F.col("_sn") <= limit).select("client", "req_id", "ts", F.lit(True).alias("allowed"))
 
     def run(batches):
         cur, count, expiry = None, 0, np.iinfo(np.int64).min
         for pdf in batches:
             if pdf.empty:
                 continue
-            clients = pdf["client"].to_numpy()
+            key = pdf["client"].astype(str) + "/" + pdf["_s"].astype(str)
+            keys = key.to_numpy()
             t_us = _times_us(pdf["ts"])
             allowed = np.zeros(len(pdf), dtype=bool)
-            starts = np.flatnonzero(np.r_[True, clients[1:] != clients[:-1]])
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             ends = np.r_[starts[1:], len(pdf)]
             for a, b in zip(starts, ends):
-                if clients[a] != cur:
-                    cur, count, expiry = clients[a], 0, np.iinfo(np.int64).min
+                if keys[a] != cur:  # a new session always starts from an expired state
+                    cur, count, expiry = keys[a], 0, np.iinfo(np.int64).min
                 allowed[a:b], count, expiry = replay(t_us[a:b], count, expiry, limit, exp_us)
-            yield pd.DataFrame({"client": clients, "req_id": pdf["req_id"].to_numpy(),
+            yield pd.DataFrame({"client": pdf["client"].to_numpy(), "req_id": pdf["req_id"].to_numpy(),
                                 "ts": pdf["ts"].to_numpy(), "allowed": allowed})
 
-    return (log.select("client", "req_id", "ts").repartition("client")
-            .sortWithinPartitions("client", "ts", "req_id").mapInPandas(run, OUT_SCHEMA))
+    long_ = (s.where(F.col("_sn") > limit).select("client", "_s", "req_id", "ts")
+             .repartition("client", "_s").sortWithinPartitions("client", "_s", "ts", "req_id")
+             .mapInPandas(run, OUT_SCHEMA))
+    return short.unionByName(long_)
 
 
 STATE_SCHEMA = StructType([StructField("count", LongType()), StructField("expiry_us", LongType())])

@@ -233,3 +233,24 @@ def test_deaccumulate_accepts_interval_steps(spark):
     b = b.withColumn("step", (F.unix_micros((F.lit("1970-01-01").cast("timestamp_ntz") + F.col("step"))
                                             .cast("timestamp")) / 3600000000).cast("int"))
     assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+
+
+def test_rate_audit_hot_client_is_split_into_sessions(spark):
+    """All requests of the log made by ONE client: still exact, and its
+    sessions (cut at gaps >= expiry) are separate replay units."""
+    log = fx.x8_request_log(spark, SF_MID).withColumn("client", F.lit(7).cast("long"))
+    limit, exp = 3, 120
+    s = ratelimit.sessions(log, exp * 1_000_000)
+    assert s.select("_s").distinct().count() > 10
+    got = {r.req_id: r.allowed for r in ratelimit.rate_audit(log, limit, exp).collect()}
+    pdf = log.toPandas().sort_values(["ts", "req_id"])
+    cnt, ex = 0, None
+    for r in pdf.itertuples():
+        t = r.ts.value // 1000
+        if ex is not None and t >= ex:
+            cnt = 0
+        ok = cnt < limit
+        if ok:
+            cnt += 1
+            ex = t + exp * 1_000_000
+        assert got[r.req_id] == ok
