@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, FloatType, IntegerType, MapType, StringType,
+from pyspark.sql.types import (ArrayType, BooleanType, FloatType, IntegerType, MapType, StringType, TimestampNTZType,
                                StructField, StructType)
 
 from ..functions import grid
@@ -120,3 +120,22 @@ def series_scan(spark: SparkSession, root: str, ensemble: bool = False) -> DataF
     df = spark.read.schema(SERIES_SCHEMA).parquet(root)
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
     return df.select(*cols)
+
+
+MARKER_SCHEMA = StructType([
+    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("marker", StringType()), StructField("payload", StringType()),
+    StructField("ts", TimestampNTZType()),
+])
+
+
+def append_markers(markers: DataFrame, root: str) -> None:
+    """S8 sink: append marker rows (run, param, marker, payload, ts) to the
+    marker table, partitioned by marker kind.  Appends are never rewritten;
+    the newest row of a kind wins when read (``max_by(.., ts)``)."""
+    (markers.select("run", "param", "marker", "payload", F.col("ts").cast("timestamp_ntz").alias("ts"))
+        .write.mode("append").partitionBy("marker").parquet(root))
+
+
+def read_markers(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(MARKER_SCHEMA).parquet(root).select("run", "param", "marker", "payload", "ts")

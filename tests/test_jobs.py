@@ -54,3 +54,14 @@ def test_validate_and_finalize(spark):
     assert gate["2026040306"] is False and gate["2026040300"] is True
     assert res["index"].count() == sum(gate.values())
     assert res["retention"].where("keep").count() == 1
+
+
+def test_marker_table_append_and_latest(spark, tmp_path):
+    from isobar.operators import lifecycle
+    root = str(tmp_path / "markers")
+    mk = fx.x4_lifecycle_markers(spark, SF_SMALL)
+    store.append_markers(mk.where(F.col("marker") != "_LATEST_RUN"), root)
+    store.append_markers(mk.where(F.col("marker") == "_LATEST_RUN"), root)
+    back = store.read_markers(spark, root)
+    assert back.count() == mk.count()
+    assert lifecycle.latest_run(back).collect()[0].run == lifecycle.latest_run(mk).collect()[0].run
