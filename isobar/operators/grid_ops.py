@@ -115,3 +115,27 @@ def precip_mask(field: DataFrame, params=None) -> DataFrame:
     return field.where(keep)
 
 
+
+
+def bbox_slice_many(field: DataFrame, boxes: DataFrame, max_pixels: int = MAX_BOX_PIXELS) -> DataFrame:
+    """P11 for a table of boxes ``(box_id, south, west, north, east)``.
+
+    A range join made equi: each box (guarded to ``max_pixels`` by P12, so it
+    covers a handful of chunks) is expanded to the chunks (cy, cx) it
+    touches, joined to the field on the chunk and filtered to its index
+    ranges.  Oversized boxes are left out, as the guard rejects them.
+    """
+    g = bbox_guard(boxes, max_pixels).where("ok")
+    b = box_indices("south", "west", "north", "east")
+    g = g.select("box_id", *[v.alias(k) for k, v in b.items()])
+    g = (g.withColumn("cy", F.explode(F.sequence(grid.chunk_of(F.col("iy0")), grid.chunk_of(F.col("iy1")))))
+         .withColumn("cx", F.explode(F.sequence(grid.chunk_of(F.col("ix0"), grid.CHUNK_LON),
+                                                 grid.chunk_of(F.col("ix1"), grid.CHUNK_LON)))))
+    f = field
+    if "cy" not in f.columns:
+        f = f.withColumn("cy", grid.chunk_of(F.col("iy")))
+    if "cx" not in f.columns:
+        f = f.withColumn("cx", grid.chunk_of(F.col("ix"), grid.CHUNK_LON))
+    j = f.join(g, ["cy", "cx"])
+    inside = F.col("iy").between(F.col("iy0"), F.col("iy1")) & F.col("ix").between(F.col("ix0"), F.col("ix1"))
+    return j.where(inside).drop("iy0", "iy1", "ix0", "ix1", "cy", "cx")

@@ -218,3 +218,26 @@ def u2_concat_members(spark, sf):
     x7 = fx.x7_ensemble(spark, sf)
     frames = {m: x7.where(F.col("member") == m).drop("member") for m in range(4)}
     return temporal.concat_members(frames).select(*x7.columns)
+
+
+def _small_boxes(spark, sf):
+    """Boxes near X1's cells (from X3b requests): up to 0.5 x 0.75 degrees."""
+    k = F.col("req_id")
+    return fx.x3b_requests(spark, sf).select(
+        F.col("req_id").alias("box_id"), (F.col("lat") - (k % 5).cast("double") * 0.125).alias("south"),
+        F.col("lon").alias("west"), F.col("lat").alias("north"),
+        (F.col("lon") + (k % 7).cast("double") * 0.125).alias("east"))
+
+
+_SMALL_BOX_SQL = f"""bx AS (SELECT req_id AS box_id, lat - CAST(req_id % 5 AS DOUBLE) * {d(0.125)} AS south, lon AS west,
+  lat AS north, lon + CAST(req_id % 7 AS DOUBLE) * {d(0.125)} AS east FROM x3b),
+bi AS (SELECT box_id, {_cell_sql('north', 'west')[0]} AS iy0, {_cell_sql('south', 'east')[0]} AS iy1,
+  {_cell_sql('north', 'west')[1]} AS ix0, {_cell_sql('south', 'east')[1]} AS ix1 FROM bx
+  WHERE ({_cell_sql('south', 'east')[0]} - {_cell_sql('north', 'west')[0]} + 1)
+      * ({_cell_sql('south', 'east')[1]} - {_cell_sql('north', 'west')[1]} + 1) <= 50000)"""
+
+
+@register("P11_bbox_slice_many", with_fixtures(["x1", "x3b"], _SMALL_BOX_SQL + """
+SELECT x1.*, bi.box_id FROM x1 JOIN bi ON x1.iy BETWEEN bi.iy0 AND bi.iy1 AND x1.ix BETWEEN bi.ix0 AND bi.ix1"""))
+def p11_bbox_slice_many(spark, sf):
+    return grid_ops.bbox_slice_many(fx.x1_field(spark, sf), _small_boxes(spark, sf))

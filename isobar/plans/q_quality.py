@@ -188,3 +188,27 @@ SELECT x3.run, x3.param, x3.req_id, x3.lat, x3.lon, x3.ensemble,
 FROM x3 LEFT JOIN s ON x3.run = s.run AND x3.param = s.param"""))
 def j10_run_exists(spark, sf):
     return quality.run_exists(fx.x3_requests(spark, sf), fx.x4_markers(spark, sf))
+
+
+@register("A7_validate_run_eps", with_fixtures(["x7", "x4"], """
+sf AS (SELECT run, param, min(step) AS step FROM x7 GROUP BY run, param),
+sc AS (SELECT x.run, x.param, bool_and(isnan(x.value)) AS an FROM x7 x
+  JOIN sf ON x.run = sf.run AND x.param = sf.param AND x.step = sf.step
+  WHERE x.iy < 10 AND x.ix < 10 AND x.member = 0 GROUP BY x.run, x.param),
+sm AS (SELECT sf.run, sf.param, coalesce(sc.an, true) AS all_nan FROM sf LEFT JOIN sc
+  ON sf.run = sc.run AND sf.param = sc.param),
+r AS (SELECT run FROM x7 UNION SELECT run FROM x4),
+e AS (SELECT run, 't_2m' AS param FROM r),
+s AS (SELECT DISTINCT run, param FROM x4 WHERE marker = '_SUCCESS'),
+ne AS (SELECT run, param, count(*) AS n, count(DISTINCT member) AS nm FROM x7 GROUP BY run, param)
+SELECT e.run, e.param, 'success_marker' AS "check", s.run IS NOT NULL AS ok FROM e
+  LEFT JOIN s ON e.run = s.run AND e.param = s.param
+UNION ALL SELECT e.run, e.param, 'nonempty', coalesce(ne.n, 0) > 0 FROM e
+  LEFT JOIN ne ON e.run = ne.run AND e.param = ne.param
+UNION ALL SELECT e.run, e.param, 'smoke_sample', coalesce(NOT sm.all_nan, false) FROM e
+  LEFT JOIN sm ON e.run = sm.run AND e.param = sm.param
+UNION ALL SELECT e.run, e.param, 'member_count', coalesce(ne.nm = 4, false) FROM e
+  LEFT JOIN ne ON e.run = ne.run AND e.param = ne.param"""))
+def a7_validate_run_eps(spark, sf):
+    return quality.validate_run(fx.x7_ensemble(spark, sf), fx.x4_markers(spark, sf), ["t_2m"],
+                                ensemble=True, members=4)
