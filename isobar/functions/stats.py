@@ -40,3 +40,10 @@ def round4(x) -> Column:
     x = _c(x)
     finite = F.abs(x) < F.lit(float("inf"))
     return F.when(finite, F.floor(x * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)).otherwise(x)
+
+
+def round_half_up(x, digits: int) -> Column:
+    """``floor(x * 10^d + 0.5) / 10^d`` - the same IEEE operations in any
+    engine (SQL ``round`` differs between engines on near-ties)."""
+    scale = float(10 ** digits)
+    return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.stats import round_half_up
 from ..session import ensure_checkpoint_dir
 from .joins import bounded_broadcast
 
@@ -139,7 +140,9 @@ def _knn_pass(src: DataFrame, dst: DataFrame, k: int, b: float) -> DataFrame:
          .where((F.col("bi") >= 0) & (F.col("bi") < nlat)))
     c = t.join(s, ["bi", "bj"]).select(
         "dst_id", "src_id", "radius",
-        haversine_km(F.col("t_lat"), F.col("t_lon"), F.col("s_lat"), F.col("s_lon")).alias("dist"))
+        # kept to 1 mm: trig functions differ in the last bit between math
+        # libraries, and ranks and weights must not depend on that
+        round_half_up(haversine_km(F.col("t_lat"), F.col("t_lon"), F.col("s_lat"), F.col("s_lon")), 6).alias("dist"))
     rank = F.row_number().over(Window.partitionBy("dst_id").orderBy("dist", "src_id"))
     return c.withColumn("rank", rank).where(F.col("rank") <= k)
 

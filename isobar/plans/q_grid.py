@@ -177,7 +177,8 @@ _BOX_SQL = """bx AS (SELECT req_id, lat - CAST(req_id % 40 AS DOUBLE) AS south,
 bi AS (SELECT *, {_cell_sql('north', 'west')[0]} AS iy0, {_cell_sql('south', 'east')[0]} AS iy1,
   {_cell_sql('north', 'west')[1]} AS ix0, {_cell_sql('south', 'east')[1]} AS ix1 FROM bx)
 SELECT req_id, south, west, north, east, CAST((iy1 - iy0 + 1) * (ix1 - ix0 + 1) AS BIGINT) AS pixels,
-  {d(grid_ops.EARTH_RADIUS_KM ** 2)} * ((east - west) * {d(DEG)}) * (sin(north * {d(DEG)}) - sin(south * {d(DEG)})) AS area_km2,
+  floor({d(grid_ops.EARTH_RADIUS_KM ** 2)} * ((east - west) * {d(DEG)}) * (sin(north * {d(DEG)}) - sin(south * {d(DEG)}))
+    * {d(1000)} + {d(0.5)}) / {d(1000)} AS area_km2,
   (iy1 - iy0 + 1) * (ix1 - ix0 + 1) <= 50000 AS ok FROM bi"""))
 def p12_bbox_guard(spark, sf):
     return grid_ops.bbox_guard(_boxes(spark, sf))

@@ -44,7 +44,8 @@ def _hav_sql(lat1, lon1, lat2, lon2) -> str:
 
 
 @register("J2_idw_weights", with_fixtures(["x6_src", "x6_dst"], f"""
-c AS (SELECT t.dst_id, s.src_id, {_hav_sql('t.lat', 't.lon', 's.lat', 's.lon')} AS dist
+c AS (SELECT t.dst_id, s.src_id,
+  floor({_hav_sql('t.lat', 't.lon', 's.lat', 's.lon')} * {d(1e6)} + {d(0.5)}) / {d(1e6)} AS dist
   FROM x6_dst t CROSS JOIN x6_src s),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY dst_id ORDER BY dist, src_id) AS INTEGER) AS rank FROM c),
 t AS (SELECT * FROM r WHERE rank <= 4)
