@@ -96,19 +96,28 @@ def pet_pm(field: DataFrame, accumulated=ACCUMULATED_MEANS) -> DataFrame:
     """Hourly FAO-56 Penman-Monteith reference evapotranspiration.
 
     Radiation inputs are de-accumulated (W1), the seven inputs aligned (J4)
-    and the formula applied as one column expression.  The field is
+    and the formula applied as staged projections.  The field is
     hash-partitioned once by (run, iy, ix): that partitioning satisfies both
     the per-pixel window of W1 and the per-(run, step, cell) grouping of J4,
     so the whole derivation costs a single shuffle.
     """
     keys = [c for c in field_keys(field, with_param=False)]
-    f = field.where(F.col("param").isin(list(PET_INPUTS))).repartition(*keys)
+    f = field.where(F.col("param").isin(list(PET_INPUTS)))
+    if not pixel_partitioned(f, keys):
+        f = f.repartition(*keys)
     f = deaccumulate(f, accumulated)
     a = align_params(f, PET_INPUTS)
     lead = [c for c in keys if c not in ("iy", "ix")]
     return physics.with_pet_pm(a, lead + ["step", "iy", "ix"])
 
 
+def pixel_partitioned(df: DataFrame, keys=("run", "iy", "ix")) -> bool:
+    """True when grouping by ``keys`` needs no shuffle - e.g. a scan of a store
+    bucketed by pixel.  Only plans the probe aggregation; nothing runs."""
+    probe = df.groupBy(*keys).agg(F.count(F.lit(1)))
+    return "Exchange" not in probe._jdf.queryExecution().executedPlan().toString()
+
+
 def pet_as_field(pet: DataFrame) -> DataFrame:
     """The PET product in field layout (param ``pet_pm``)."""
     lead = [c for c in ("run", "member") if c in pet.columns]

@@ -8,6 +8,8 @@ from ..operators import derive, temporal
 from ..sources import fixtures as fx
 from .catalog import register
 from .oracle_pet import align_sql, deaccumulate_sql, pet_select_sql
+from ..session import shared_dir
+from ..sources import store
 from .sqltext import d, with_fixtures
 
 _PET_SQL = with_fixtures(["x1"], deaccumulate_sql("x1", "w1") + ",\n" + align_sql("w1", "al") + ",\n"
@@ -27,3 +29,18 @@ def w1_deaccumulate(spark, sf):
 @register("J4_align_params", with_fixtures(["x1"], align_sql("x1", "al") + "\nSELECT * FROM al"))
 def j4_align_params(spark, sf):
     return derive.align_params(fx.x1_field(spark, sf), derive.PET_INPUTS)
+
+
+_PET_BUCKETED_SQL = with_fixtures(["x1"], """
+xf AS (SELECT run, param, step, iy, ix, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM x1),
+""" + deaccumulate_sql("xf", "w1") + ",\n" + align_sql("w1", "al") + ",\n" + pet_select_sql("al"))
+
+
+@register("D1_pet_pm_bucketed", _PET_BUCKETED_SQL)
+def d1_pet_pm_bucketed(spark, sf):
+    """D1 over the field published to a store bucketed by pixel: the
+    derivation itself runs without any shuffle."""
+    import uuid
+    tag = uuid.uuid4().hex
+    f = store.field_publish_bucketed(fx.x1_field(spark, sf), shared_dir(spark, f"bucketed-{tag}"), f"isobar_field_{tag}")
+    return derive.pet_pm(f)

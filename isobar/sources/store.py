@@ -139,3 +139,39 @@ def append_markers(markers: DataFrame, root: str) -> None:
 
 def read_markers(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MARKER_SCHEMA).parquet(root).select("run", "param", "marker", "payload", "ts")
+
+
+PIXEL_BUCKETS = 64
+
+
+def field_publish_bucketed(field: DataFrame, root: str, table: str, buckets: int = PIXEL_BUCKETS,
+                           codec: str = "zstd") -> DataFrame:
+    """S4, co-located: write the field partitioned by (run, param) and
+    bucketed by pixel (iy, ix) into ``root`` as table ``table``.
+
+    Reading it back gives a scan already hash-partitioned by (iy, ix), which
+    satisfies every per-pixel window and every grouping that contains the
+    pixel (W1, W2, J4, D1, A9), so those operators run without a shuffle.
+    """
+    member = F.col("member") if "member" in field.columns else F.lit(0)
+    out = field.select(member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
+                       F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"),
+                       F.col("value").cast("float").alias("value"),
+                       F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"))
+    (out.repartition(buckets, "iy", "ix").write.mode("overwrite").format("parquet").option("compression", codec)
+        .option("path", root).partitionBy("run", "param").bucketBy(buckets, "iy", "ix")
+        .sortBy("iy", "ix", "member", "step").saveAsTable(table))
+    return bucketed_field(field.sparkSession, root, table, buckets)
+
+
+def bucketed_field(spark: SparkSession, root: str, table: str, buckets: int = PIXEL_BUCKETS,
+                   ensemble: bool = False) -> DataFrame:
+    """Attach (or re-attach after a restart) the bucketed field at ``root``."""
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"""CREATE TABLE {table} (member INT, step INT, iy INT, ix INT, value FLOAT,
+                      run STRING, param STRING) USING parquet PARTITIONED BY (run, param)
+                      CLUSTERED BY (iy, ix) SORTED BY (iy, ix, member, step) INTO {buckets} BUCKETS
+                      LOCATION '{root}'""")
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    cols = ["run", "param"] + (["member"] if ensemble else []) + ["step", "iy", "ix", "value"]
+    return spark.table(table).select(*cols)

@@ -254,3 +254,14 @@ def test_rate_audit_hot_client_is_split_into_sessions(spark):
             cnt += 1
             ex = t + exp * 1_000_000
         assert got[r.req_id] == ok
+
+
+def test_pet_on_pixel_bucketed_store_has_no_shuffle(spark, tmp_path):
+    from isobar.sources import store
+    x1 = fx.x1_field(spark, SF_SMALL)
+    f = store.field_publish_bucketed(x1, str(tmp_path / "bk"), "isobar_test_bucketed", 8)
+    pet = derive.pet_pm(f)
+    plan = pet._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    want = derive.pet_pm(x1.withColumn("value", F.col("value").cast("float").cast("double")))
+    assert pet.count() == want.count() and pet.exceptAll(want).count() == 0
