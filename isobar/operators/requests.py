@@ -43,10 +43,11 @@ def request_errors(df: DataFrame, whitelist: Sequence[str] = API_PARAMS) -> Data
            .when(bad_param, F.lit("param must be one of: " + ", ".join(whitelist)))
            .when(bad_run, F.lit("run must be in YYYYMMDDHH format (10 digits)")))
     ens = F.coalesce(F.col("ensemble") == F.lit("true"), F.lit(False)) if "ensemble" in df.columns else F.lit(False)
-    return (df.withColumn("lat", lat).withColumn("lon", lon)
-            .withColumn("ensemble", ens)
-            .withColumn("run", F.when(has_run, F.col("run")))
-            .withColumn("error", err))
+    # one projection: every rule sees the raw input columns
+    new = {"lat": lat, "lon": lon, "ensemble": ens, "run": F.when(has_run, F.col("run"))}
+    cols = [new[c].alias(c) if c in new else F.col(c) for c in df.columns]
+    cols += [v.alias(k) for k, v in new.items() if k not in df.columns]
+    return df.select(*cols, err.alias("error"))
 
 
 def validate_requests(df: DataFrame, whitelist: Sequence[str] = API_PARAMS) -> tuple[DataFrame, DataFrame]:

@@ -265,3 +265,23 @@ def test_pet_on_pixel_bucketed_store_has_no_shuffle(spark, tmp_path):
     assert "Exchange" not in plan and "Bucketed: true" in plan
     want = derive.pet_pm(x1.withColumn("value", F.col("value").cast("float").cast("double")))
     assert pet.count() == want.count() and pet.exceptAll(want).count() == 0
+
+
+def test_validate_requests_on_raw_strings(spark):
+    from isobar.operators import requests as rq
+    rows = [(1, "52.52", "13.405", "t_2m", None, None), (2, "52abc", "13", "t_2m", None, None),
+            (3, "", "13", "t_2m", None, None), (4, "10", "400", "t_2m", None, None),
+            (5, "10", "20", "pet_pm", None, None), (6, "10", "20", "ps", "true", "2026040300"),
+            (7, "10", "20", "t_2m", "yes", "2026-04-03"), (8, "-90", "360", "clct", "true", "2026040312")]
+    df = spark.createDataFrame(rows, "req_id long, lat string, lon string, param string, ensemble string, run string")
+    out = {r.req_id: r for r in rq.request_errors(df).collect()}
+    assert out[1].error is None and out[1].lat == 52.52 and out[1].ensemble is False
+    assert out[2].error.startswith("lat must be")
+    assert out[3].error.startswith("Missing required")
+    assert out[4].error.startswith("lon must be")
+    assert out[5].error.startswith("param must be one of: t_2m, tot_prec")
+    assert out[6].error.startswith("param must be")
+    assert out[7].error.startswith("run must be")
+    assert out[8].error is None and out[8].ensemble is True
+    ok, bad = rq.validate_requests(df)
+    assert ok.count() == 2 and bad.count() == 6
