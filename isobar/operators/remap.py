@@ -155,7 +155,7 @@ def auto_bin_deg(n_src: int, k: int) -> float:
 
 
 def idw_weights(src: DataFrame, dst: DataFrame, k: int = 4, bin_deg: float | None = None,
-                method: str = "distance", checkpoint: bool = True) -> DataFrame:
+                method: str = "distance") -> DataFrame:
     """K nearest sources per target with inverse-distance weights (sum 1).
 
     Each pass searches the 3 x 3 bins around each unsettled target.  A target
@@ -163,14 +163,14 @@ def idw_weights(src: DataFrame, dst: DataFrame, k: int = 4, bin_deg: float | Non
     window guarantees; the others are searched again with wider bins.  The
     ladder ends at bins covering the globe, so every target is settled
     exactly, with no cap on candidates.  Settled targets are checkpointed per
-    pass (lineage stays one pass deep).  ``bin_deg=None`` derives the first
+    pass (lineage stays one pass deep, and a lost executor only re-runs the
+    current pass).  ``bin_deg=None`` derives the first
     bin from the source count.  A source at distance 0 takes all the weight.
     """
     if bin_deg is None:
         bin_deg = auto_bin_deg(src.count(), k)
     ladder = [b for b in BIN_LADDER if b >= bin_deg] or [BIN_LADDER[-1]]
-    if checkpoint:
-        ensure_checkpoint_dir(dst.sparkSession)
+    ensure_checkpoint_dir(dst.sparkSession)
     targets = dst.select("dst_id", "lat", "lon")
     remaining = targets
     parts = []
@@ -182,9 +182,7 @@ def idw_weights(src: DataFrame, dst: DataFrame, k: int = 4, bin_deg: float | Non
         ok = (top.groupBy("dst_id").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dk"),
                                         F.first("radius").alias("radius"))
               .where((F.col("n") == k) & (F.col("dk") < F.col("radius"))).select("dst_id"))
-        settled = top.join(ok, "dst_id", "left_semi")
-        if checkpoint:
-            settled = settled.checkpoint()
+        settled = top.join(ok, "dst_id", "left_semi").checkpoint()
         parts.append(settled)
         done = parts[0].select("dst_id")
         for p in parts[1:]:

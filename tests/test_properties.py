@@ -107,3 +107,74 @@ def test_js_number_text(spark, ints):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r[0] for r in df.select(js_number(F.col("v"), 4)).collect()]
     assert got == [js_text(v) for v in vals]
+
+
+def _pieces(s, n, w, e):
+    s, n = max(s, -90.0), min(n, 90.0)
+    out = [(s, n, max(w, -180.0), min(e, 180.0))]
+    if w < -180:
+        out.append((s, n, w + 360.0, 180.0))
+    if e > 180:
+        out.append((s, n, -180.0, e - 360.0))
+    return out
+
+
+def _area(s, n, w, e):
+    r = math.pi / 180.0
+    return 6371.0 ** 2 * ((e - w) * r) * (math.sin(n * r) - math.sin(s * r))
+
+
+box = st.tuples(st.floats(-95, 85), st.floats(0.5, 30), st.floats(-200, 175), st.floats(0.5, 40))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(box, min_size=1, max_size=25), st.lists(box, min_size=1, max_size=10),
+       st.sampled_from([2.0, 5.0, 10.0, 20.0]))
+def test_conservative_weights_match_brute_force(spark, srcs, dsts, bin_deg):
+    from isobar.operators import remap
+    sb = [(i, s, s + h, w, w + d) for i, (s, h, w, d) in enumerate(srcs)]
+    db = [(i, s, s + h, w, w + d) for i, (s, h, w, d) in enumerate(dsts)]
+    schema_s = "src_id long, south double, north double, west double, east double"
+    schema_d = "dst_id long, south double, north double, west double, east double"
+    got = {(r.dst_id, r.src_id): r.w for r in remap.conservative_weights(
+        spark.createDataFrame(sb, schema_s), spark.createDataFrame(db, schema_d), bin_deg=bin_deg).collect()}
+    want = {}
+    for di, ds, dn, dw, de in db:
+        darea = _area(max(ds, -90), min(dn, 90), dw, de)
+        for si, ss, sn, sw, se in sb:
+            a = 0.0
+            for p in _pieces(ds, dn, dw, de):
+                for q in _pieces(ss, sn, sw, se):
+                    os_, on_, ow, oe = max(p[0], q[0]), min(p[1], q[1]), max(p[2], q[2]), min(p[3], q[3])
+                    if on_ > os_ and oe > ow:
+                        a += _area(os_, on_, ow, oe)
+            if a > 0 and darea > 0:
+                want[(di, si)] = a / darea
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-9 * max(1.0, abs(want[k])) for k in want)
+
+
+point = st.tuples(st.floats(-90, 90), st.floats(-180, 179.999))
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(point, min_size=4, max_size=60), st.lists(point, min_size=1, max_size=8),
+       st.sampled_from([2.0, 10.0, 45.0]), st.integers(1, 4))
+def test_idw_neighbours_match_brute_force(spark, srcs, dsts, bin_deg, k):
+    from isobar.operators import remap
+    s = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(srcs)], "src_id long, lat double, lon double")
+    t = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(dsts)], "dst_id long, lat double, lon double")
+    got = {}
+    for r in remap.idw_weights(s, t, k=k, bin_deg=bin_deg).collect():
+        got.setdefault(r.dst_id, set()).add(r.src_id)
+    for ti, (la, lo) in enumerate(dsts):
+        d = []
+        for si, (sa, so) in enumerate(srcs):
+            p1, p2 = math.radians(la), math.radians(sa)
+            a = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(so - lo) / 2) ** 2
+            d.append((2 * 6371.0 * math.asin(min(math.sqrt(a), 1.0)), si))
+        d.sort()
+        kk = min(k, len(d))
+        if kk < len(d) and abs(d[kk][0] - d[kk - 1][0]) < 1e-5:
+            continue  # a tie at the k-th place may resolve either way
+        assert got[ti] == {x for _, x in d[:kk]}
