@@ -154,45 +154,117 @@ def auto_bin_deg(n_src: int, k: int) -> float:
     return next((b for b in BIN_LADDER if b >= side), BIN_LADDER[-1])
 
 
+# Nested bin sizes (each divides the previous one) for the coarse-to-fine search.
+NESTED_BINS = (20.0, 10.0, 5.0, 1.0, 0.5, 0.25, 0.125)
+_SLACK_KM = 0.001  # distances are kept to 1 mm; bounds get 1 m of slack
+
+
+def _bin_box(bi: F.Column, bj: F.Column, b: float):
+    s = F.lit(-90.0) + bi.cast("double") * F.lit(b)
+    w = F.lit(-180.0) + bj.cast("double") * F.lit(b)
+    return s, s + F.lit(b), w, w + F.lit(b)
+
+
+def _box_bounds_km(t_lat: F.Column, t_lon: F.Column, bi: F.Column, bj: F.Column, b: float):
+    """(lower, upper) great-circle distance from a point to any point of a bin.
+
+    Lower: the larger of the latitude gap and the distance to the nearest
+    meridian at the bin's longitude gap.  Upper: distance to the centre plus
+    half the bin's extent in each direction (a path along a meridian and a
+    parallel is never shorter than the geodesic)."""
+    s, n, w, e = _bin_box(bi, bj, b)
+    dlat = F.greatest(s - t_lat, t_lat - n, F.lit(0.0))
+    inside = (t_lon >= w) & (t_lon <= e)
+    dl = F.when(inside, F.lit(0.0)).otherwise(F.least(F.pmod(w - t_lon, F.lit(360.0)),
+                                                      F.pmod(t_lon - e, F.lit(360.0))))
+    lon_b = F.when(dl >= 90.0, F.lit(90.0) - F.abs(t_lat)).otherwise(
+        F.degrees(F.asin(F.cos(t_lat * F.lit(RAD)) * F.sin(dl * F.lit(RAD)))))
+    lower = F.greatest(dlat, lon_b) * F.lit(RAD * EARTH_RADIUS_KM)
+    centre = haversine_km(t_lat, t_lon, (s + n) / 2, (w + e) / 2)
+    upper = centre + F.lit(b * RAD * EARTH_RADIUS_KM)
+    return lower, upper
+
+
+def _prune_bins(pairs: DataFrame, k: int) -> DataFrame:
+    """Keep the (target, bin) pairs that may hold one of the k nearest.
+
+    Bins sorted by their upper bound: once they hold k sources, the k-th
+    distance is at most that bound D; only bins whose lower bound is within D
+    can hold a nearer source.  One window per target over its few bins."""
+    by_upper = Window.partitionBy("dst_id").orderBy("upper", "bi", "bj").rowsBetween(Window.unboundedPreceding, 0)
+    p = pairs.withColumn("_cum", F.sum("cnt").over(by_upper))
+    d = F.min(F.when(F.col("_cum") >= k, F.col("upper"))).over(Window.partitionBy("dst_id"))
+    p = p.withColumn("_d", F.coalesce(d, F.lit(float("inf"))))
+    return p.where(F.col("lower") <= F.col("_d") + F.lit(_SLACK_KM)).drop("_cum", "_d")
+
+
+def _knn_search(src: DataFrame, dst: DataFrame, k: int, finest: float) -> DataFrame:
+    """Exact k nearest for any targets, coarse-to-fine over nested bins.
+
+    Pairs are (target, non-empty bin), never (target, source), until the
+    finest level, where only the surviving bins' sources are compared."""
+    levels = [b for b in NESTED_BINS if b >= finest] or [NESTED_BINS[0]]
+    counts = {b: src.groupBy(_lat_bin(F.col("lat"), b).alias("bi"), _lon_bin(F.col("lon"), b).alias("bj"))
+              .agg(F.count(F.lit(1)).alias("cnt")) for b in levels}
+    top = levels[0]
+    # the coarse level has at most 9 x 18 non-empty bins: a bounded list
+    # expanded per target by a generator, no join
+    coarse = counts[top].select(F.sort_array(F.collect_list(F.struct("bi", "bj", "cnt")))).scalar()
+    t = dst.select("dst_id", F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"))
+    pairs = t.select("dst_id", "t_lat", "t_lon", F.explode(coarse).alias("c")).select(
+        "dst_id", "t_lat", "t_lon", F.col("c.bi").alias("bi"), F.col("c.bj").alias("bj"), F.col("c.cnt").alias("cnt"))
+    prev = top
+    for i, b in enumerate(levels):
+        if i > 0:
+            r = int(round(prev / b))
+            kids = pairs.select("dst_id", "t_lat", "t_lon",
+                                F.explode(F.sequence(F.col("bi") * r, F.col("bi") * r + (r - 1))).alias("bi"),
+                                F.col("bj"))
+            kids = kids.select("dst_id", "t_lat", "t_lon", "bi",
+                               F.explode(F.sequence(F.col("bj") * r, F.col("bj") * r + (r - 1))).alias("bj"))
+            pairs = kids.join(counts[b], ["bi", "bj"])
+            prev = b
+        lo, up = _box_bounds_km(F.col("t_lat"), F.col("t_lon"), F.col("bi"), F.col("bj"), b)
+        pairs = _prune_bins(pairs.withColumn("lower", lo).withColumn("upper", up), k)
+    fine = levels[-1]
+    s = src.select("src_id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"),
+                   _lat_bin(F.col("lat"), fine).alias("bi"), _lon_bin(F.col("lon"), fine).alias("bj"))
+    c = pairs.select("dst_id", "t_lat", "t_lon", "bi", "bj").join(s, ["bi", "bj"]).select(
+        "dst_id", "src_id", F.lit(float("inf")).alias("radius"),
+        round_half_up(haversine_km(F.col("t_lat"), F.col("t_lon"), F.col("s_lat"), F.col("s_lon")), 6).alias("dist"))
+    rank = F.row_number().over(Window.partitionBy("dst_id").orderBy("dist", "src_id"))
+    return c.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def idw_weights(src: DataFrame, dst: DataFrame, k: int = 4, bin_deg: float | None = None,
                 method: str = "distance") -> DataFrame:
     """K nearest sources per target with inverse-distance weights (sum 1).
 
-    Each pass searches the 3 x 3 bins around each unsettled target.  A target
-    is settled when it found k sources and the k-th lies within the radius the
-    window guarantees; the others are searched again with wider bins.  The
-    ladder ends at bins covering the globe, so every target is settled
-    exactly, with no cap on candidates.  Settled targets are checkpointed per
-    pass (lineage stays one pass deep, and a lost executor only re-runs the
-    current pass).  ``bin_deg=None`` derives the first
-    bin from the source count.  A source at distance 0 takes all the weight.
+    Pass 1 compares each target with the sources of its 3 x 3 bin window; a
+    target is settled when it found k sources and the k-th lies within the
+    radius that window guarantees (meridians converge towards the poles, the
+    window wraps at the date line).  Settled targets are checkpointed.  The
+    rest - targets in sparse regions - go through an exact coarse-to-fine
+    search over nested bins (:func:`_knn_search`): no cap on candidates, and
+    no pass pairs a target with all sources.  ``bin_deg=None`` derives the
+    first bin from the source count.  A source at distance 0 takes all the
+    weight.
     """
     if bin_deg is None:
         bin_deg = auto_bin_deg(src.count(), k)
-    ladder = [b for b in BIN_LADDER if b >= bin_deg] or [BIN_LADDER[-1]]
+    b0 = next((b for b in BIN_LADDER if b >= bin_deg), BIN_LADDER[-1])
     ensure_checkpoint_dir(dst.sparkSession)
     targets = dst.select("dst_id", "lat", "lon")
-    remaining = targets
-    parts = []
-    for i, b in enumerate(ladder):
-        top = _knn_pass(src, remaining, k, b)
-        if i == len(ladder) - 1:
-            parts.append(top)
-            break
-        ok = (top.groupBy("dst_id").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dk"),
-                                        F.first("radius").alias("radius"))
-              .where((F.col("n") == k) & (F.col("dk") < F.col("radius"))).select("dst_id"))
-        settled = top.join(ok, "dst_id", "left_semi").checkpoint()
-        parts.append(settled)
-        done = parts[0].select("dst_id")
-        for p in parts[1:]:
-            done = done.unionByName(p.select("dst_id"))
-        remaining = targets.join(done, "dst_id", "left_anti")
-        if remaining.isEmpty():
-            break
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    top = _knn_pass(src, targets, k, b0)
+    ok = (top.groupBy("dst_id").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dk"),
+                                    F.first("radius").alias("radius"))
+          .where((F.col("n") == k) & (F.col("dk") < F.col("radius"))).select("dst_id"))
+    settled = top.join(ok, "dst_id", "left_semi").checkpoint()
+    remaining = targets.join(settled.select("dst_id").distinct(), "dst_id", "left_anti")
+    cand = settled
+    if not remaining.isEmpty():
+        finest = max([b for b in NESTED_BINS if b <= b0] or [NESTED_BINS[-1]])
+        cand = cand.unionByName(_knn_search(src, remaining, k, finest))
     wd = Window.partitionBy("dst_id")
     zero = F.min("dist").over(wd) == 0.0
     inv = F.when(zero, F.when(F.col("dist") == 0.0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(

@@ -285,3 +285,26 @@ def test_validate_requests_on_raw_strings(spark):
     assert out[8].error is None and out[8].ensemble is True
     ok, bad = rq.validate_requests(df)
     assert ok.count() == 2 and bad.count() == 6
+
+
+def test_idw_dense_cluster_far_targets_match_brute_force(spark):
+    """Sources packed in a 2 x 2 degree cluster, targets all over the globe:
+    the coarse-to-fine search must return the exact neighbours."""
+    from isobar.sources import tables
+    k = F.col("s_suppkey")
+    src = tables.read_table(spark, SF_MID, "supplier").select(
+        k.alias("src_id"), (F.lit(40.0) + (k % 10).cast("double") / 5).alias("lat"),
+        (F.lit(10.0) + (F.floor(k / 10) % 10).cast("double") / 5).alias("lon"))
+    dst = fx.x6_targets(spark, SF_MID)
+    got = {}
+    for r in remap.idw_weights(src, dst, k=4, bin_deg=0.125).collect():
+        got.setdefault(r.dst_id, set()).add(r.src_id)
+    s = src.toPandas()
+    for t in dst.collect():
+        p1, p2 = math.radians(t.lat), np.radians(s.lat.to_numpy())
+        a = np.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * np.cos(p2) * np.sin(np.radians(s.lon.to_numpy() - t.lon) / 2) ** 2
+        d = np.round(2 * 6371.0 * np.arcsin(np.minimum(np.sqrt(a), 1)), 6)
+        order = np.lexsort((s.src_id.to_numpy(), d))
+        if abs(d[order[4]] - d[order[3]]) < 1e-5:
+            continue
+        assert got[t.dst_id] == set(s.src_id.to_numpy()[order[:4]])
