@@ -36,9 +36,14 @@ def lat_to_iy(lat, ny: int = GRID_NY) -> Column:
 def lon_to_ix(lon, nx: int = GRID_NX, wrap: bool = False) -> Column:
     lon = _c(lon)
     if wrap:
-        # any longitude folded into [-180, 180); the seam column wraps to 0
+        # any longitude folded into [-180, 180); on the full circle the grid
+        # lacks the column 179.875, so points past 179.75 go to whichever of
+        # 179.75 (last column) and 180 = -180 (column 0) is nearer
         norm = F.pmod(lon + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)
-        raw = F.pmod(js_round((norm - F.lit(LON_WEST)) / F.lit(RES_DEG)), F.lit(int(round(360 / RES_DEG))))
+        raw = js_round((norm - F.lit(LON_WEST)) / F.lit(RES_DEG))
+        last = LON_WEST + (nx - 1) * RES_DEG
+        raw = F.when(raw >= F.lit(nx), F.when(norm >= F.lit((last + 180.0) / 2), F.lit(0)).otherwise(F.lit(nx - 1))
+                     ).otherwise(raw)
     else:
         norm = F.when(lon > F.lit(180.0), lon - F.lit(360.0)).otherwise(lon)
         raw = js_round((norm - F.lit(LON_WEST)) / F.lit(RES_DEG))

@@ -308,3 +308,12 @@ def test_idw_dense_cluster_far_targets_match_brute_force(spark):
         if abs(d[order[4]] - d[order[3]]) < 1e-5:
             continue
         assert got[t.dst_id] == set(s.src_id.to_numpy()[order[:4]])
+
+
+def test_point_to_cell_wrap_picks_nearest_column(spark):
+    df = spark.createDataFrame([(0.0, 179.9), (0.0, 179.8), (0.0, 540.0), (0.0, -180.01), (0.0, 359.95)],
+                               "lat double, lon double")
+    got = [r.ix for r in grid_ops.point_to_cell(df, wrap=True).collect()]
+    assert got == [0, grid.GRID_NX - 1, 0, 0, 1440]  # 359.95 is -0.05: column of lon 0
+    plain = [r.ix for r in grid_ops.point_to_cell(df).collect()]
+    assert plain[0] == grid.GRID_NX - 1  # default: clamp, as the API does
