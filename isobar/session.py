@@ -59,3 +59,26 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``DataFrame.checkpoint()`` has a (shared) directory."""
     return shared_dir(spark, "")
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_mb: int = 256) -> dict[str, str]:
+    """Settings sized for a large job (pass to ``get_session(extra=...)``).
+
+    Input splits and shuffle partitions target ``partition_mb`` each, so a
+    task's working set fits in executor memory and spills stay rare; the
+    initial shuffle width covers the input (at least 3 tasks per core) and AQE
+    merges small partitions and splits skewed ones (a key with a third of all
+    rows is cut at the advisory size).
+    """
+    part = partition_mb * 1024 * 1024
+    width = max(3 * cores, -(-int(input_bytes) // part))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(part),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * part),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
