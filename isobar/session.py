@@ -66,12 +66,15 @@ def cluster_conf(input_bytes: int, cores: int, partition_mb: int = 256) -> dict[
 
     Input splits and shuffle partitions target ``partition_mb`` each, so a
     task's working set fits in executor memory and spills stay rare; the
-    initial shuffle width covers the input (at least 3 tasks per core) and AQE
+    initial shuffle width covers the input (at least 3 tasks per core, at most
+    100,000 partitions) and AQE
     merges small partitions and splits skewed ones (a key with a third of all
     rows is cut at the advisory size).
     """
     part = partition_mb * 1024 * 1024
-    width = max(3 * cores, -(-int(input_bytes) // part))
+    # wide enough for the input, but capped: map-status bookkeeping grows
+    # with (map tasks x reduce partitions)
+    width = max(3 * cores, min(-(-int(input_bytes) // part), 100_000))
     return {
         "spark.sql.files.maxPartitionBytes": str(part),
         "spark.sql.shuffle.partitions": str(width),
