@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.grid import expected_steps_col, run_cycle
 
-ENSEMBLE_MEMBERS = 40
+# The published file naming of the forecast source.
+# Path: <model>/grib/<HH>/<param>/<name>; name:
+#   <prefix>_icosahedral_single-level_<run>_<step %03d>[_<member+1 %03d>]_<PARAM>.grib2.bz2
+DETERMINISTIC_MODEL = "icon"
 ENSEMBLE_MODEL = "icon-eps"
+FILE_PREFIX = {"icon": "icon_global", "icon-eps": "icon_eps"}
+FILE_SUFFIX = ".grib2.bz2"
+ENSEMBLE_MEMBERS = 40
 
 
 def expected_steps(spark: SparkSession, cycle: str) -> DataFrame:
@@ -23,16 +29,17 @@ def with_expected_steps(runs: DataFrame) -> DataFrame:
     return runs.withColumn("step", F.explode(expected_steps_col(run_cycle(F.col("run")))))
 
 
-def file_name(run, param, step, member=None, model: str = "icon") -> F.Column:
-    prefix = "icon_global" if model == "icon" else model.replace("-", "_")
-    parts = [F.lit(f"{prefix}_icosahedral_single-level_"), run, F.lit("_"), F.format_string("%03d", step)]
+def file_name(run, param, step, member=None, model: str = DETERMINISTIC_MODEL) -> F.Column:
+    """The source file name of one (run, param, step[, member])."""
+    parts = [F.lit(f"{FILE_PREFIX[model]}_icosahedral_single-level_"), run, F.lit("_"),
+             F.format_string("%03d", step)]
     if member is not None:
         parts += [F.lit("_"), F.format_string("%03d", member + 1)]
-    parts += [F.lit("_"), F.upper(param), F.lit(".grib2.bz2")]
+    parts += [F.lit("_"), F.upper(param), F.lit(FILE_SUFFIX)]
     return F.concat(*parts)
 
 
-def expected_inventory(pairs: DataFrame, model: str = "icon", members: int = ENSEMBLE_MEMBERS) -> DataFrame:
+def expected_inventory(pairs: DataFrame, model: str = DETERMINISTIC_MODEL, members: int = ENSEMBLE_MEMBERS) -> DataFrame:
     """Every expected (run, param, [member], step) file of the given
     (run, param) pairs, with its relative path ``model/grib/HH/param/name``.
 
@@ -49,6 +56,7 @@ def expected_inventory(pairs: DataFrame, model: str = "icon", members: int = ENS
     return rows.select(*cols, path.alias("file"))
 
 
-def inventory_for_params(spark: SparkSession, run: str, params: Sequence[str], model: str = "icon") -> DataFrame:
+def inventory_for_params(spark: SparkSession, run: str, params: Sequence[str],
+                         model: str = DETERMINISTIC_MODEL) -> DataFrame:
     pairs = spark.createDataFrame([(run, p) for p in params], "run string, param string")
     return expected_inventory(pairs, model)
