@@ -37,10 +37,15 @@ def _fs(path: str):
 
 
 def _put(filesystem, path: str, data: bytes) -> None:
+    """Write ``data`` to ``path`` atomically: each task attempt writes its own
+    temporary file and moves it into place, so a retried or speculative
+    attempt never interleaves with another one (both carry the same bytes)."""
     parent = path.rsplit("/", 1)[0]
     filesystem.create_dir(parent, recursive=True)
-    with filesystem.open_output_stream(path) as f:
+    tmp = f"{parent}/.tmp-{uuid.uuid4().hex}"
+    with filesystem.open_output_stream(tmp) as f:
         f.write(data)
+    filesystem.move(tmp, path)
 
 
 def _zarray(shape, chunks, dtype: str, level: int, fill) -> bytes:
