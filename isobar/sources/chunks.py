@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid
-from ..operators.temporal import step_axis
+from ..operators.joins import bounded_broadcast
 
+MAX_AXIS_ROWS = 100_000  # (run, param) pairs whose step axes are broadcast
 CHUNK_SCHEMA = "run string, param string, member int, cy int, cx int, file string, n_bytes long"
 
 
@@ -70,11 +71,14 @@ def chunk_export(field: DataFrame, path: str, chunk=(grid.CHUNK_LAT, grid.CHUNK_
     axis = field.groupBy("run", "param").agg(
         F.sort_array(F.collect_set("step")).alias("steps"),
         (F.max(member) + 1).alias("n_members"))
+    # one row per (run, param): broadcast after a size check, so the field is
+    # never shuffled on its few (run, param) keys (that would be badly skewed)
+    axis_b = bounded_broadcast(axis.select("run", "param", "steps"), MAX_AXIS_ROWS)
     f = (field.select("run", "param", member.alias("member"), "step", "iy", "ix",
                       F.col("value").cast("float").alias("value"))
          .withColumn("cy", F.floor(F.col("iy") / ch_y).cast("int"))
          .withColumn("cx", F.floor(F.col("ix") / ch_x).cast("int"))
-         .join(axis.select("run", "param", "steps"), ["run", "param"]))
+         .join(axis_b, ["run", "param"]))
     root = path.rstrip("/")
 
     def write_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
