@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid
 from ..functions.stats import round4 as _round4, round_half_up
+from .joins import SMALL_SIDE_ROWS, bounded_broadcast
 
 EARTH_RADIUS_KM = 6371.0
 MAX_BOX_PIXELS = 50000
@@ -137,6 +138,8 @@ def bbox_slice_many(field: DataFrame, boxes: DataFrame, max_pixels: int = MAX_BO
         f = f.withColumn("cy", grid.chunk_of(F.col("iy")))
     if "cx" not in f.columns:
         f = f.withColumn("cx", grid.chunk_of(F.col("ix"), grid.CHUNK_LON))
-    j = f.join(g, ["cy", "cx"])
+    # (box, chunk) rows are few per box: broadcast after a size check so the
+    # field is not shuffled onto its few chunk keys
+    j = f.join(bounded_broadcast(g, SMALL_SIDE_ROWS), ["cy", "cx"])
     inside = F.col("iy").between(F.col("iy0"), F.col("iy1")) & F.col("ix").between(F.col("ix0"), F.col("ix1"))
     return j.where(inside).drop("iy0", "iy1", "ix0", "ix1", "cy", "cx")

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SMALL_SIDE_ROWS = 1_000_000  # default bound for per-run / per-file / per-box tables
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import grid
+from .joins import SMALL_SIDE_ROWS, bounded_broadcast
 from .quality import LATEST, RESOLVED, SUCCESS
 from .temporal import step_axis
 
@@ -37,12 +38,12 @@ def resolve_run(requests: DataFrame, listing: DataFrame, max_back: int = MAX_CYC
     k = F.explode(F.sequence(F.lit(0), F.lit(max_back))).alias("_k")
     c = requests.select("run", k).select(
         "run", _fmt_run(init - F.make_dt_interval(hours=F.col("_k") * cycle_h)).alias("cand"))
-    res = (c.join(avail, "cand", "left")
+    res = (c.join(bounded_broadcast(avail, SMALL_SIDE_ROWS), "cand", "left")
            .groupBy("run").agg(F.max(F.when(F.col("_hit"), F.col("cand"))).alias("resolved_run")))
     oldest = _fmt_run(init - F.make_dt_interval(hours=F.lit(max_back * cycle_h)))
     err = F.when(F.col("resolved_run").isNull(), F.concat(
         F.lit("No available run found (checked "), F.col("run"), F.lit(" back to "), oldest, F.lit(")")))
-    return requests.join(res, "run", "left").withColumn("error", err)
+    return requests.join(bounded_broadcast(res, SMALL_SIDE_ROWS), "run", "left").withColumn("error", err)
 
 
 def latest_run(markers: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def follow_redirect(requests: DataFrame, markers: DataFrame) -> DataFrame:
     red = (markers.where(F.col("marker") == RESOLVED).groupBy("run")
            .agg(F.max_by("payload", "ts").alias("_target")))
     j = requests.withColumnRenamed("run", "requested_run").join(
-        red.withColumnRenamed("run", "requested_run"), "requested_run", "left")
+        bounded_broadcast(red.withColumnRenamed("run", "requested_run"), SMALL_SIDE_ROWS), "requested_run", "left")
     return j.withColumn("run", F.coalesce(F.col("_target"), F.col("requested_run"), latest)).drop("_target")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import grid
 from ..functions.stats import all_nan, nan_max, nan_min
+from .joins import SMALL_SIDE_ROWS, bounded_broadcast
 
 MAX_MISSING_STEP_FRACTION = 0.15
 ENSEMBLE_MEMBERS = 40
@@ -196,7 +197,9 @@ def run_exists(requests: DataFrame, markers: DataFrame) -> DataFrame:
     """
     succ = (markers.where(F.col("marker") == SUCCESS).select("run", "param").distinct()
             .withColumn("_ok", F.lit(True)))
-    j = requests.join(succ, ["run", "param"], "left")
+    # markers are per (run, param): a checked broadcast keeps the (large)
+    # request table from being shuffled onto those few keys
+    j = requests.join(bounded_broadcast(succ, SMALL_SIDE_ROWS), ["run", "param"], "left")
     err = F.when(F.col("run").isNotNull() & F.col("_ok").isNull(),
                  F.concat(F.lit("Run "), F.col("run"), F.lit(" not found or not yet promoted for "),
                           F.coalesce(F.col("param"), F.lit(""))))

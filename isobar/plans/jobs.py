@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid
 from ..operators import derive, lifecycle, quality, remap, requests as req_ops, serving
+from ..operators.joins import SMALL_SIDE_ROWS, bounded_broadcast
 from ..sources import inventory, store
 from ..streaming import ratelimit
 
@@ -34,7 +35,9 @@ def ingest(native: DataFrame, weights: DataFrame, listing: DataFrame, root: str,
         expected = quality.prune_by_manifest(expected, manifest_rows)
     files = quality.drop_missing_steps(expected.join(listing, ["run", "param", "step"], "left"), fail_if_empty=False)
     big = files.where(F.col("n_bytes") >= quality.MIN_PAYLOAD_BYTES).select("run", "param", "step")
-    nat = native.join(big, ["run", "param", "step"], "left_semi")
+    # one row per file: broadcast after a size check (the native side has only
+    # these few keys and must not be shuffled onto them)
+    nat = native.join(bounded_broadcast(big, SMALL_SIDE_ROWS), ["run", "param", "step"], "left_semi")
     field = cell_of_dst(remap.remap_apply(nat, weights, methods)).select(
         "run", "param", "member", "step", "iy", "ix", F.col("value").cast("double").alias("value"))
     zeros = quality.zero_fill(files).withColumn("member", F.lit(0))
@@ -54,7 +57,7 @@ def derive_pet(spark: SparkSession, root: str, markers: DataFrame, run: str | No
     req = spark.createDataFrame([(run,)], "run string")
     resolved = lifecycle.follow_redirect(req, markers).select("run")
     inputs = (store.field_scan(spark, root, params=derive.PET_INPUTS)
-              .join(resolved, "run", "left_semi"))
+              .join(F.broadcast(resolved), "run", "left_semi"))  # exactly one row
     pet = derive.pet_as_field(derive.pet_pm(inputs))
     store.field_publish(pet, root)
     return lifecycle.make_markers(resolved.withColumn("param", F.lit("pet_pm")), quality.SUCCESS, ts=ts)
