@@ -1,16 +1,14 @@
-"""Queries: PET chain (W1, J4, D1), field shaping (P1, P2, P6), steps."""
+"""Queries: the PET chain (W1, J4, D1) on the long layout and on the pixel-bucketed store."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import derive, temporal
+from ..session import shared_dir
 from ..sources import fixtures as fx
+from ..sources import store
 from .catalog import register
 from .oracle_pet import align_sql, deaccumulate_sql, pet_select_sql
-from ..session import shared_dir
-from ..sources import store
-from .sqltext import d, with_fixtures
+from .sqltext import with_fixtures
 
 _PET_SQL = with_fixtures(["x1"], deaccumulate_sql("x1", "w1") + ",\n" + align_sql("w1", "al") + ",\n"
                          + pet_select_sql("al"))
