@@ -175,3 +175,29 @@ def bucketed_field(spark: SparkSession, root: str, table: str, buckets: int = PI
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["step", "iy", "ix", "value"]
     return spark.table(table).select(*cols)
+
+
+def series_publish_bucketed(series: DataFrame, root: str, table: str, buckets: int = PIXEL_BUCKETS,
+                            codec: str = "zstd") -> DataFrame:
+    """The series layout partitioned by (run, param, cy) - chunk rows prune
+    point lookups - and bucketed by pixel (iy, ix) - the seven series of a
+    pixel meet without a shuffle (D1 on series)."""
+    member = F.col("member") if "member" in series.columns else F.lit(0)
+    out = series.select(member.cast("int").alias("member"), "cx", "iy", "ix", "steps", "vals", "run", "param", "cy")
+    (out.repartition(buckets, "iy", "ix").write.mode("overwrite").format("parquet").option("compression", codec)
+        .option("path", root).partitionBy("run", "param", "cy").bucketBy(buckets, "iy", "ix")
+        .sortBy("iy", "ix", "member").saveAsTable(table))
+    return bucketed_series(series.sparkSession, root, table, buckets)
+
+
+def bucketed_series(spark: SparkSession, root: str, table: str, buckets: int = PIXEL_BUCKETS,
+                    ensemble: bool = False) -> DataFrame:
+    """Attach (or re-attach) the bucketed series store at ``root``."""
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"""CREATE TABLE {table} (member INT, cx INT, iy INT, ix INT, steps ARRAY<INT>,
+                      vals ARRAY<FLOAT>, run STRING, param STRING, cy INT) USING parquet
+                      PARTITIONED BY (run, param, cy) CLUSTERED BY (iy, ix) SORTED BY (iy, ix, member)
+                      INTO {buckets} BUCKETS LOCATION '{root}'""")
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
+    return spark.table(table).select(*cols)

@@ -317,3 +317,18 @@ def test_point_to_cell_wrap_picks_nearest_column(spark):
     assert got == [0, grid.GRID_NX - 1, 0, 0, 1440]  # 359.95 is -0.05: column of lon 0
     plain = [r.ix for r in grid_ops.point_to_cell(df).collect()]
     assert plain[0] == grid.GRID_NX - 1  # default: clamp, as the API does
+
+
+def test_series_pet_on_bucketed_series_store_has_no_shuffle(spark, tmp_path):
+    from isobar.operators import serving
+    from isobar.sources import store
+    x1 = fx.x1_field(spark, SF_SMALL)
+    s = store.series_publish_bucketed(serving.series_pack(x1), str(tmp_path / "sb"), "isobar_test_series_b", 8)
+    pet = derive.pet_pm_series(s)
+    plan = pet._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    want = derive.pet_pm_series(serving.series_pack(x1))
+    assert pet.count() == want.count() and pet.exceptAll(want).count() == 0
+    # the same store still prunes chunk rows for point lookups
+    box = s.where(F.col("cy") == 0)
+    assert "PartitionFilters" in box._jdf.queryExecution().executedPlan().toString()
