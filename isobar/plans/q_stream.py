@@ -38,7 +38,8 @@ def r1_rate_audit_stream(spark, sf):
     log = fx.x8_request_log(spark, sf)
     log.write.parquet(src)
     stream = spark.readStream.schema(log.schema).parquet(src)
-    q = (ratelimit.rate_audit_stream(stream, LIMIT, EXPIRY_S).writeStream.format("parquet")
+    # the log is complete and ordered: no lateness to allow
+    q = (ratelimit.rate_audit_stream(stream, LIMIT, EXPIRY_S, watermark="0 seconds").writeStream.format("parquet")
          .option("path", f"{base}/sink").option("checkpointLocation", f"{base}/checkpoint")
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()

@@ -23,9 +23,9 @@ Batch plan (exact, skew-aware):
    replayed by one task because each verdict depends on the previous ones.
 
 Stream plan: ``applyInPandasWithState`` keyed by client with state
-(count, expiry); rows of a micro-batch are replayed in (ts, req_id) order
-with the same function and the state is dropped by an event-time timeout once
-it has expired.
+(count, expiry, rows buffered until the watermark passes them); ready rows
+are replayed in (ts, req_id) order with the same function, and the state is
+dropped in event time once it has expired.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.window import Window
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType, TimestampNTZType
 
 RATE_LIMIT = 100
 RATE_WINDOW_S = 60
@@ -120,33 +120,56 @@ def rate_audit(log: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_W
     return short.unionByName(long_)
 
 
-STATE_SCHEMA = StructType([StructField("count", LongType()), StructField("expiry_us", LongType())])
+STATE_SCHEMA = StructType([
+    StructField("count", LongType()), StructField("expiry_us", LongType()),
+    StructField("pend_ts", ArrayType(LongType())), StructField("pend_id", ArrayType(LongType())),
+])
+_MIN = np.iinfo(np.int64).min
 
 
 def rate_audit_stream(log_stream: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_WINDOW_S,
-                      watermark: str = "1 hour") -> DataFrame:
+                      watermark: str = "1 minute") -> DataFrame:
     """R1 (stream): the same rule as a stateful streaming operator.
 
-    Rows of one client must reach the operator in time order across
-    micro-batches (the log is appended per client); inside a micro-batch they
-    are sorted.  State older than its expiry is dropped on an event-time
-    timeout (the watermark), never on processing time.
+    Each client's rows are buffered in state until the watermark passes them
+    and are then replayed in (ts, req_id) order, so rows that arrive out of
+    order - but within the allowed lateness ``watermark`` - get the verdicts
+    of the batch job; rows later than the watermark are dropped by Spark.
+    The replay runs on arrival of new rows and on event-time timeouts (armed
+    at the oldest buffered row), and the state of a client is removed once
+    its counter has expired and nothing is buffered - all in event time,
+    never processing time.  Readiness is judged at the watermark's
+    millisecond resolution.
     """
     exp_us = int(round(expiry_s * 1_000_000))
 
     def step(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        count, expiry = (state.get if state.exists else (0, np.iinfo(np.int64).min))
+        wm_ms = state.getCurrentWatermarkMs()
+        if state.exists:
+            count, expiry, pts, pid = state.get
+            t = [np.asarray(pts or [], dtype=np.int64)]
+            ids = [np.asarray(pid or [], dtype=np.int64)]
+        else:
+            count, expiry, t, ids = 0, _MIN, [], []
         for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "req_id"], kind="stable")
-            allowed, count, expiry = replay(_times_us(pdf["ts"]), count, expiry, limit, exp_us)
-            yield pd.DataFrame({"client": pdf["client"].to_numpy(), "req_id": pdf["req_id"].to_numpy(),
-                                "ts": pdf["ts"].to_numpy(), "allowed": allowed})
-        state.update((int(count), int(expiry)))
-        # evict once the watermark passes the expiry (never earlier than now)
-        state.setTimeoutTimestamp(max(int(expiry // 1000) + 1, state.getCurrentWatermarkMs() + 1))
+            t.append(_times_us(pdf["ts"]))
+            ids.append(pdf["req_id"].to_numpy(dtype=np.int64))
+        t = np.concatenate(t) if t else np.zeros(0, dtype=np.int64)
+        ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
+        order = np.lexsort((ids, t))
+        t, ids = t[order], ids[order]
+        ready = int(np.searchsorted(t // 1000, wm_ms, side="right")) if wm_ms > 0 else 0
+        if ready:
+            allowed, count, expiry = replay(t[:ready], count, expiry, limit, exp_us)
+            yield pd.DataFrame({"client": np.full(ready, key[0], dtype=np.int64), "req_id": ids[:ready],
+                                "ts": pd.to_datetime(t[:ready], unit="us"), "allowed": allowed})
+        t, ids = t[ready:], ids[ready:]
+        if len(t) == 0 and wm_ms > 0 and wm_ms * 1000 >= expiry:
+            state.remove()  # expired and nothing buffered: a new row starts from scratch
+            return
+        state.update((int(count), int(expiry), t.tolist(), ids.tolist()))
+        due = int(t[0] // 1000) - 1 if len(t) else int(expiry // 1000) + 1
+        state.setTimeoutTimestamp(max(due, wm_ms + 1))
 
     # event time must be TIMESTAMP (session zone UTC keeps wall-clock values)
     s = log_stream.select("client", "req_id", F.col("ts").cast("timestamp").alias("ts"))
