@@ -38,6 +38,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -85,3 +86,29 @@ def cluster_conf(input_bytes: int, cores: int, partition_mb: int = 256) -> dict[
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``isobar`` importable on every executor (once per SparkContext).
+
+    Pandas functions are pickled by reference to their module, so Python
+    workers must import the package.  It is zipped on the driver and handed to
+    Spark (``addPyFile``, the runtime form of ``--py-files``), which copies it
+    to each executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_isobar_shipped", False):
+        return
+    import isobar
+    pkg_dir = os.path.dirname(os.path.abspath(isobar.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="isobar-pyfiles-"), "isobar.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    sc._isobar_shipped = True
