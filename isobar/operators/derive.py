@@ -112,10 +112,15 @@ def pet_pm(field: DataFrame, accumulated=ACCUMULATED_MEANS) -> DataFrame:
 
 
 def pixel_partitioned(df: DataFrame, keys=("run", "iy", "ix")) -> bool:
-    """True when grouping by ``keys`` needs no shuffle - e.g. a scan of a store
-    bucketed by pixel.  Only plans the probe aggregation; nothing runs."""
+    """True when grouping by ``keys`` needs no extra shuffle - e.g. a scan of a
+    store bucketed by pixel, or a frame already repartitioned by pixel.  Only
+    plans the probe aggregation; nothing runs."""
     probe = df.groupBy(*keys).agg(F.count(F.lit(1)))
-    return "Exchange" not in probe._jdf.queryExecution().executedPlan().toString()
+
+    def exchanges(d: DataFrame) -> int:
+        return d._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+    return exchanges(probe) == exchanges(df)
 
 
 def pet_as_field(pet: DataFrame) -> DataFrame:
