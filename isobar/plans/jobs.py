@@ -25,10 +25,12 @@ def cell_of_dst(df: DataFrame, col: str = "dst_id") -> DataFrame:
 
 
 def ingest(native: DataFrame, weights: DataFrame, listing: DataFrame, root: str,
-           manifest_rows: DataFrame | None = None, methods=None, ts=None) -> DataFrame:
+           manifest_rows: DataFrame | None = None, methods=None, ts=None,
+           table: str | None = None, buckets: int = store.PIXEL_BUCKETS) -> DataFrame:
     """3.1 Ingest: keep the steps a probe/manifest says exist (J8, P14), remap
-    them (J1), add all-zero fields for tiny payloads (P10), publish (S4).
-    Returns the success markers to append (S8)."""
+    them (J1), add all-zero fields for tiny payloads (P10), publish (S4) -
+    into the pixel-bucketed store when ``table`` is given, so later
+    derivations need no shuffle.  Returns the success markers to append (S8)."""
     pairs = listing.select("run", "param").distinct()
     expected = inventory.expected_inventory(pairs).select("run", "param", "step")
     if manifest_rows is not None:
@@ -41,8 +43,13 @@ def ingest(native: DataFrame, weights: DataFrame, listing: DataFrame, root: str,
     field = cell_of_dst(remap.remap_apply(nat, weights, methods)).select(
         "run", "param", "member", "step", "iy", "ix", F.col("value").cast("double").alias("value"))
     zeros = quality.zero_fill(files).withColumn("member", F.lit(0))
-    store.field_publish(field.unionByName(zeros), root)
-    written = store.field_scan(spark_of(native), root).select("run", "param").distinct().join(pairs, ["run", "param"], "left_semi")
+    out = field.unionByName(zeros)
+    if table is None:
+        store.field_publish(out, root)
+        published = store.field_scan(spark_of(native), root)
+    else:
+        published = store.field_publish_bucketed(out, root, table, buckets)
+    written = published.select("run", "param").distinct().join(pairs, ["run", "param"], "left_semi")
     return lifecycle.make_markers(written, quality.SUCCESS, ts=ts)
 
 

@@ -65,3 +65,14 @@ def test_marker_table_append_and_latest(spark, tmp_path):
     back = store.read_markers(spark, root)
     assert back.count() == mk.count()
     assert lifecycle.latest_run(back).collect()[0].run == lifecycle.latest_run(mk).collect()[0].run
+
+
+def test_ingest_into_bucketed_store(spark, tmp_path):
+    nat = fx.x5_native(spark, SF_SMALL)
+    w = fx.x5_weights(spark, SF_SMALL, "distance").unionByName(fx.x5_weights(spark, SF_SMALL, "conservative"))
+    listing = nat.select("run", "param", "step").distinct().withColumn("n_bytes", F.lit(50000).cast("long")) \
+        .withColumn("status", F.lit(200))
+    marks = jobs.ingest(nat, w, listing, str(tmp_path / "bk"), table="isobar_test_ingest_b", buckets=4)
+    assert marks.count() == listing.select("run", "param").distinct().count()
+    f = store.bucketed_field(spark, str(tmp_path / "bk"), "isobar_test_ingest_b", 4)
+    assert f.count() == jobs.cell_of_dst(remap.remap_apply(nat, w)).count()
