@@ -26,7 +26,8 @@ def cell_of_dst(df: DataFrame, col: str = "dst_id") -> DataFrame:
 
 def ingest(native: DataFrame, weights: DataFrame, listing: DataFrame, root: str,
            manifest_rows: DataFrame | None = None, methods=None, ts=None,
-           table: str | None = None, buckets: int = store.PIXEL_BUCKETS) -> DataFrame:
+           table: str | None = None, buckets: int = store.PIXEL_BUCKETS,
+           model: str = inventory.DETERMINISTIC_MODEL) -> DataFrame:
     """3.1 Ingest: keep the steps a probe/manifest says exist (J8, P14), remap
     them (J1), add all-zero fields for tiny payloads (P10), publish (S4) -
     into the pixel-bucketed store when ``table`` is given, so later
@@ -45,8 +46,8 @@ def ingest(native: DataFrame, weights: DataFrame, listing: DataFrame, root: str,
     zeros = quality.zero_fill(files).withColumn("member", F.lit(0))
     out = field.unionByName(zeros)
     if table is None:
-        store.field_publish(out, root)
-        published = store.field_scan(spark_of(native), root)
+        store.field_publish(out, root, model=model)
+        published = store.field_scan(spark_of(native), root, model=model)
     else:
         published = store.field_publish_bucketed(out, root, table, buckets)
     written = published.select("run", "param").distinct().join(pairs, ["run", "param"], "left_semi")

@@ -1,6 +1,6 @@
 """Field store on parquet (S3 field_scan, S4 field_publish) and manifests.
 
-Layout: ``root/run=<run>/param=<param>/cy=<cy>/part-*.parquet`` with rows
+Layout: ``root/model=<m>/run=<run>/param=<param>/cy=<cy>/part-*.parquet`` with rows
 sorted by (cx, iy, ix, step) inside each file, so a point or box query prunes
 ``run``/``param``/``cy`` directories and skips row groups on ``iy``/``ix``.
 """
@@ -15,12 +15,13 @@ from pyspark.sql.types import (ArrayType, BooleanType, FloatType, IntegerType, M
                                StructField, StructType)
 
 from ..functions import grid
+from .inventory import DETERMINISTIC_MODEL, ENSEMBLE_MODEL
 
 STORED_SCHEMA = StructType([
     StructField("member", IntegerType()), StructField("step", IntegerType()),
     StructField("iy", IntegerType()), StructField("ix", IntegerType()),
     StructField("cx", IntegerType()), StructField("value", FloatType()),
-    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("model", StringType()), StructField("run", StringType()), StructField("param", StringType()),
     StructField("cy", IntegerType()),
 ])
 
@@ -33,31 +34,46 @@ MANIFEST_SCHEMA = StructType([
 ])
 
 
-def field_publish(field: DataFrame, root: str, codec: str = "zstd") -> None:
-    """Write (replace) the (run, param) partitions present in ``field``.
+def _model_col(field: DataFrame, model: str | None):
+    if "model" in field.columns:
+        return F.col("model").cast("string")
+    if model is None:
+        model = ENSEMBLE_MODEL if "member" in field.columns else DETERMINISTIC_MODEL
+    return F.lit(model)
+
+
+def field_publish(field: DataFrame, root: str, codec: str = "zstd", model: str | None = None) -> None:
+    """Write (replace) the (model, run, param) partitions present in ``field``.
 
-    Rows are clustered by (run, param, cy, cx) so each task writes whole
-    chunks, then sorted inside files.  Dynamic partition overwrite replaces
-    only the partitions written; the job commit is atomic per job.
+    ``model`` is a key: an ensemble and a deterministic field of the same run
+    and param live side by side (from a ``model`` column, else the argument,
+    else by whether the field has members).  Rows are clustered by
+    (model, run, param, cy, cx) so each task writes whole chunks, then sorted
+    inside files.  Dynamic partition overwrite replaces only the partitions
+    written; the job commit is atomic per job.
     """
     member = F.col("member") if "member" in field.columns else F.lit(0)
+    model_c = _model_col(field, model)
     out = field.select(
         member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
         F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"),
         grid.chunk_of(F.col("ix"), grid.CHUNK_LON).alias("cx"), F.col("value").cast("float").alias("value"),
+        model_c.alias("model"),
         F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"),
         grid.chunk_of(F.col("iy"), grid.CHUNK_LAT).alias("cy"))
-    (out.repartition("run", "param", "cy", "cx")
-        .sortWithinPartitions("run", "param", "cy", "cx", "iy", "ix", "member", "step")
+    (out.repartition("model", "run", "param", "cy", "cx")
+        .sortWithinPartitions("model", "run", "param", "cy", "cx", "iy", "ix", "member", "step")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec).partitionBy("run", "param", "cy").parquet(root))
+        .option("compression", codec).partitionBy("model", "run", "param", "cy").parquet(root))
 
 
 def field_scan(spark: SparkSession, root: str, run: str | None = None, params: Sequence[str] | None = None,
-               steps: Sequence[int] | None = None, ensemble: bool = False) -> DataFrame:
-    """S3: read a run's params (optionally some steps) with the explicit schema
-    (partition inference would turn ``run`` into a number)."""
+               steps: Sequence[int] | None = None, ensemble: bool = False, model: str | None = None) -> DataFrame:
+    """S3: read a run's params (optionally some steps) of one model with the
+    explicit schema (partition inference would turn ``run`` into a number).
+    The model defaults to the deterministic or the ensemble one."""
     df = spark.read.schema(STORED_SCHEMA).parquet(root)
+    df = df.where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
     if run is not None:
         df = df.where(F.col("run") == run)
     if params is not None:

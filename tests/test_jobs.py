@@ -76,3 +76,13 @@ def test_ingest_into_bucketed_store(spark, tmp_path):
     assert marks.count() == listing.select("run", "param").distinct().count()
     f = store.bucketed_field(spark, str(tmp_path / "bk"), "isobar_test_ingest_b", 4)
     assert f.count() == jobs.cell_of_dst(remap.remap_apply(nat, w)).count()
+
+
+def test_store_keeps_ensemble_and_deterministic_apart(spark, tmp_path):
+    root = str(tmp_path / "store")
+    x7 = fx.x7_ensemble(spark, SF_SMALL)
+    det = x7.where(F.col("member") == 0).drop("member")
+    store.field_publish(det, root)
+    store.field_publish(x7, root)  # same run and param, other model: nothing replaced
+    assert store.field_scan(spark, root).count() == det.count()
+    assert store.field_scan(spark, root, ensemble=True).count() == x7.count()
