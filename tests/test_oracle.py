@@ -45,3 +45,16 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["run", "step", "iy", "ix", "pet_pm"]
     assert df.count() == 183
+
+
+SURVEY_IDS = (
+    [f"S{i}_" for i in range(1, 10)] + [f"P{i}_" for i in range(1, 15)] + [f"J{i}_" for i in range(1, 11)]
+    + [f"A{i}_" for i in range(1, 12)] + [f"W{i}_" for i in range(1, 5)] + [f"T{i}_" for i in range(1, 4)]
+    + [f"U{i}_" for i in range(1, 5)] + ["D1_", "R1_"])
+
+
+def test_every_survey_operator_is_registered():
+    missing = [i for i in SURVEY_IDS if not any(k.startswith(i) for k in QUERIES)]
+    assert missing == []
+    unknown = [k for k in QUERIES if not any(k.startswith(i) for i in SURVEY_IDS)]
+    assert unknown == []
