@@ -1,4 +1,8 @@
-"""Logical schemas of the tables the operators exchange."""
+"""Logical schemas of the tables the operators exchange (FIXTURES.md section 2).
+
+The stored layouts themselves are declared next to their readers in
+``sources/store.py``; these are the shapes operators accept and return.
+"""
 
 from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampNTZType)
@@ -10,6 +14,7 @@ FIELD = StructType([
 ])
 
 STORED_FIELD = StructType([
+    StructField("model", StringType()),
     StructField("run", StringType()), StructField("param", StringType()),
     StructField("cy", IntegerType()), StructField("cx", IntegerType()),
     StructField("member", IntegerType()), StructField("step", IntegerType()),
