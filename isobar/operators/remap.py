@@ -37,7 +37,10 @@ def method_of(param: Column, methods: Mapping[str, str] | None = None, default:
     return F.coalesce(F.try_element_at(m, param), F.lit(default))
 
 
-MAX_BROADCAST_WEIGHTS = 20_000_000  # about four sources per cell of the 0.125 degree grid
+# Broadcasts pass through the driver: keep them to about 100 MB of weights.
+# (The full 0.125 degree grid has about 16 M distance weights - it takes the
+# co-located join, see :func:`remap_apply`.)
+MAX_BROADCAST_WEIGHTS = 2_000_000
 
 
 def prepare_weights(weights: DataFrame) -> DataFrame:
@@ -57,16 +60,21 @@ def remap_apply(native: DataFrame, weights: DataFrame, methods: Mapping[str, str
     Plan: the weight table is fixed per grid pair and far smaller than the
     native data (all runs, params, members and steps).  Its row count is
     checked; up to ``max_broadcast`` rows it is broadcast and the native rows
-    are never shuffled for the join, beyond it both sides are shuffled by
-    source.  The products are summed per target and step (one shuffle by
-    target, with map-side partial sums).  Weights carrying ``n_src``
-    (:func:`prepare_weights`) skip the per-target window.
+    are never shuffled for the join.  Beyond it the join is keyed on
+    ``src_id`` alone (the method is checked right after), so native and
+    weight tables bucketed by ``src_id`` with the same bucket count
+    (:func:`isobar.sources.store.native_publish_bucketed`,
+    :func:`isobar.sources.store.weights_publish_bucketed`) join without any
+    shuffle; otherwise both sides are shuffled by source.  The products are
+    summed per target and step (one shuffle by target, with map-side partial
+    sums).  Weights carrying ``n_src`` (:func:`prepare_weights`) skip the
+    per-target window.
     """
     w = weights if "n_src" in weights.columns else prepare_weights(weights)
-    w = bounded_broadcast(w.select("method", "dst_id", "src_id", "w", "n_src"), max_broadcast)
+    w = bounded_broadcast(w.select(F.col("method").alias("_wm"), "dst_id", "src_id", "w", "n_src"), max_broadcast)
     lead = [c for c in ("run", "param", "member") if c in native.columns]
     nat = native.withColumn("method", method_of(F.col("param"), methods))
-    j = nat.join(w, ["method", "src_id"])
+    j = nat.join(w, "src_id").where(F.col("method") == F.col("_wm"))
     ok = ~F.isnan("value")
     keys = lead + ["step", "dst_id"]
     if na == "propagate":

@@ -217,3 +217,30 @@ def bucketed_series(spark: SparkSession, root: str, table: str, buckets: int = P
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
     return spark.table(table).select(*cols)
+
+
+def native_publish_bucketed(native: DataFrame, root: str, table: str, buckets: int,
+                            codec: str = "zstd") -> DataFrame:
+    """The native (unstructured) field partitioned by (run, param) and
+    bucketed by ``src_id``; with weights bucketed the same way (same count),
+    the remap join needs no shuffle."""
+    member = F.col("member") if "member" in native.columns else F.lit(0)
+    out = native.select(member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
+                        F.col("src_id").cast("long").alias("src_id"), F.col("value").cast("double").alias("value"),
+                        F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"))
+    (out.repartition(buckets, "src_id").write.mode("overwrite").format("parquet").option("compression", codec)
+        .option("path", root).partitionBy("run", "param").bucketBy(buckets, "src_id")
+        .sortBy("src_id").saveAsTable(table))
+    return native.sparkSession.table(table).select("run", "param", "member", "step", "src_id", "value")
+
+
+def weights_publish_bucketed(weights: DataFrame, root: str, table: str, buckets: int,
+                             codec: str = "zstd") -> DataFrame:
+    """Remap weights with their per-target source count, bucketed by
+    ``src_id`` (computed once per grid pair, reused by every remap job)."""
+    from ..operators.remap import prepare_weights
+    w = weights if "n_src" in weights.columns else prepare_weights(weights)
+    (w.select("method", "dst_id", "src_id", "w", "n_src").repartition(buckets, "src_id")
+        .write.mode("overwrite").format("parquet").option("compression", codec).option("path", root)
+        .bucketBy(buckets, "src_id").sortBy("src_id").saveAsTable(table))
+    return weights.sparkSession.table(table)

@@ -364,3 +364,29 @@ def test_rate_audit_stream_out_of_order_batches_equal_batch(spark, tmp_path):
         run()
     got = {r.req_id: r.allowed for r in spark.read.parquet(f"{base}/sink").collect() if r.client != -1}
     assert len(late) > 0 and got == want
+
+
+def test_remap_on_src_bucketed_tables_joins_without_shuffle(spark, tmp_path):
+    from isobar.sources import store
+    nat = fx.x5_native(spark, SF_SMALL)
+    w = fx.x5_weights(spark, SF_SMALL, "distance").unionByName(fx.x5_weights(spark, SF_SMALL, "conservative"))
+    nb = store.native_publish_bucketed(nat, str(tmp_path / "nat"), "isobar_test_native_b", 8)
+    wb = store.weights_publish_bucketed(w, str(tmp_path / "w"), "isobar_test_weights_b", 8)
+    # the full-grid case: weights too big to broadcast; co-partitioning on the
+    # bucket key src_id (a subset of the join keys) as cluster_conf allows
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        out = remap.remap_apply(nb, wb, max_broadcast=0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = out.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange ") == 1 and "BroadcastExchange" not in plan  # only the sum by target
+    want = {(r.run, r.param, r.member, r.step, r.dst_id): r.value for r in remap.remap_apply(nat, w).collect()}
+    got = {(r.run, r.param, r.member, r.step, r.dst_id): r.value for r in rows}
+    assert got.keys() == want.keys() and len(rows) == len(want)
+    assert all(g == want[k] or (math.isnan(g) and math.isnan(want[k])) for k, g in got.items())
