@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isobar.llm import mixing, sharding
+from isobar.llm import classifier, decontam, mixing, rules, sharding
 from isobar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_slot_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontaminate")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
