@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isobar.llm import classifier, decontam, mixing, rules, sharding
+from isobar.llm import classifier, decontam, licenses, linededup, mixing, rules, sharding
 from isobar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_line_dedup", """
+    WITH lines AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+      FROM documents),
+    keyed AS (
+      SELECT doc_id, pos, line,
+             translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+      FROM lines),
+    frequent AS (
+      SELECT k, max(doc_id) AS top FROM keyed WHERE length(k) >= 40
+      GROUP BY k HAVING count(DISTINCT doc_id) >= 5)
+    SELECT doc_id, count(*) AS n_lines,
+           count(*) FILTER (f.k IS NOT NULL AND f.top <> doc_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (f.k IS NULL OR f.top = doc_id), '')) AS kept_sha256
+    FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"))
