@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isobar.llm import classifier, decontam, licenses, linededup, mixing, rules, sharding
+from isobar.llm import classifier, decontam, licenses, linededup, mixing, rules, sharding, substrings
 from isobar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
