@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isobar.llm import classifier, decontam, licenses, linededup, mixing, rules, sharding, substrings
+from isobar.llm import classifier, decontam, licenses, linededup, mixing, neardup, rules, sharding, substrings
 from isobar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_substring_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op3_near_duplicates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
