@@ -6,16 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isobar.llm import mixing, sharding
+from isobar.llm import classifier, decontam, mixing, neardup, sharding
 from isobar.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-STAGES: list[tuple[str, Stage]] = []
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
-#: Stages 1 (a trained classifier) and 4 (hashed draws) have no SQL form; the
-#: tests compare with a brute-force version instead.
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays (5-word shingles, 80 %)."""
+    return neardup.keep_one(docs, neardup.near_duplicates(docs))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontam.contaminated(docs, decontam.matches(docs, table(spark, sf_dir, "benchmark")))[0]
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mixed(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard and its place in it."""
+    return sharding.shard(docs, keep=docs.columns)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("shard", shard)]
+
+#: A trained classifier and hashed draws have no SQL form; the tests hold the
+#: pipeline against a brute-force version instead.
 ORACLE_SQL: str | None = None
 
 

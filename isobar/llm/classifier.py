@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import arrow_map, bounded, written
+from isobar.llm.common import arrow_map, bounded, fresh, written
 from isobar.llm.words import SPACED, Hasher, Piece, mix, pieces
 
 BITS = 18
@@ -166,6 +166,12 @@ def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFram
     return arrow_map(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that are predicted good, with docs' columns."""
+    name = fresh(docs, "score")
+    return score(docs, fit(docs, labels), name).where(F.col(name) >= THRESHOLD).drop(name)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     scored = score(docs.select("doc_id", "text"), fit(docs, labels))

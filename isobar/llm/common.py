@@ -49,5 +49,27 @@ def bounded(side: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) ->
     return F.broadcast(side) if size <= limit else side
 
 
-def same_schema(columns: dict[str, str]) -> str:
-    return ", ".join(f"`{k}` {v}" for k, v in columns.items())
+def row_key(text: Column) -> Column:
+    """With doc_id this tells rows apart, up to rows that get equal results."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def join_rows(docs: DataFrame, side: DataFrame, how: str, row_bytes: Column | None = None) -> DataFrame:
+    """docs joined with the written table ``side`` on (doc_id, row_key of the text).
+
+    Other columns of docs may have any names; further columns of ``side`` keep
+    theirs.  ``side`` is broadcast if its measured size allows, else shuffled.
+    """
+    d, k = (fresh(docs, n) for n in ("doc", "row"))
+    side = side.withColumnsRenamed({"doc_id": d, "row_key": k})
+    sized = bounded(side, F.lit(32) if row_bytes is None else row_bytes)
+    out = docs.join(sized, docs["doc_id"].eqNullSafe(F.col(d)) & (row_key(docs["text"]) == F.col(k)), how)
+    return out.drop(d, k)
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name

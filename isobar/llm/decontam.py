@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import arrow_map, bounded, written
+from isobar.llm.common import arrow_map, fresh, join_rows, row_key, written
 from isobar.llm.words import ALNUM, Hasher, find, pieces
 
 WINDOW = 10
@@ -175,11 +175,6 @@ def _scan(auto):
     return scan
 
 
-def row_key(text: Column) -> Column:
-    """With doc_id this tells rows apart up to rows that get equal results."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per row of docs: doc_id, row_key, n_words, spans (hit word ranges) and items.
@@ -232,25 +227,30 @@ def report(found: DataFrame) -> DataFrame:
                         (n_hit > 0).alias("contaminated"))
 
 
+def contaminated(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of docs without any match, the matching rows' doc_id and row_key)."""
+    bad = written(found.where(F.size("spans") > 0).select("doc_id", "row_key").distinct(), "contaminated")
+    return join_rows(docs, bad, "left_anti"), bad
+
+
 def remove_spans(docs: DataFrame, found: DataFrame, max_span: int = 0, max_share: float = 1.0) -> DataFrame:
     """docs without the matched spans of more than ``max_span`` words.
 
     Documents of whose words more than ``max_share`` are hit leave altogether.
     Columns stay; n_chars, if there, follows the text.
     """
+    spans_in, drop_in = fresh(docs, "spans"), fresh(docs, "leaves")
     n_hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     cut = found.where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("__d"), F.col("row_key").alias("__k"),
-        F.filter("spans", lambda s: s["end"] - s["start"] > max_span).alias("__spans"),
-        (n_hit > max_share * F.col("n_words")).alias("__drop")).dropDuplicates(["__d", "__k"])
+        "doc_id", "row_key", F.filter("spans", lambda s: s["end"] - s["start"] > max_span).alias(spans_in),
+        (n_hit > max_share * F.col("n_words")).alias(drop_in)).dropDuplicates(["doc_id", "row_key"])
     cut = written(cut, "decontam-cuts")
-    key = F.col("doc_id").eqNullSafe(F.col("__d")) & (row_key(F.col("text")) == F.col("__k"))
-    joined = (docs.join(bounded(cut, F.size("__spans") * 8 + 32), key, "left")
-              .where(~F.coalesce("__drop", F.lit(False))).drop("__d", "__k", "__drop"))
+    joined = (join_rows(docs, cut, "left", F.size(spans_in) * 8 + 32)
+              .where(~F.coalesce(drop_in, F.lit(False))).drop(drop_in))
 
     def excise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, out = batch.column("__spans").to_pylist(), batch.column("text").to_pylist()
+            spans, out = batch.column(spans_in).to_pylist(), batch.column("text").to_pylist()
             for p in pieces(batch.column("text"), ALNUM):
                 for i in range(p.n_texts):
                     if spans[p.first + i]:
@@ -259,7 +259,7 @@ def remove_spans(docs: DataFrame, found: DataFrame, max_span: int = 0, max_share
                             kept.append(raw[at:p.start[p.word0[i] + s["start"]]])
                             at = int(p.end[p.word0[i] + s["end"] - 1])
                         out[p.first + i] = b"".join([*kept, raw[at:p.offsets[i + 1]]]).decode()
-            names = [c for c in batch.schema.names if c != "__spans"]
+            names = [c for c in batch.schema.names if c != spans_in]
             cols = [pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(cols, names)
 

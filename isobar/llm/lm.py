@@ -28,7 +28,7 @@ from isobar.llm.words import LOWER, SPACED, Hasher, Piece, find, mix, pieces
 
 #: Words with a symbol of their own; hash classes per kind of word (64 kinds).
 FREQUENT, HASHES = 32_768, 32
-STATES, ITERATIONS = 8, 4
+STATES, ITERATIONS = 8, 6
 #: Training cuts texts into sequences of so many tokens; scoring never cuts.
 SEQUENCE = 512
 STAY, SPREAD, PRIOR, SEED = 0.95, 1.0, 200.0, 606

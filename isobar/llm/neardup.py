@@ -24,9 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import arrow_map, bounded, written
+from isobar.llm.common import arrow_map, fresh, join_rows, row_key, written
 from isobar.llm.components import components
-from isobar.llm.decontam import row_key
 from isobar.llm.words import SPACED, Hasher, Piece, mix, pieces
 
 SHINGLE, PERCENT = 5, 80
@@ -256,13 +255,14 @@ def _nodes(classes: DataFrame, percent: int, trees: int, levels: int, leaf: int)
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
                     levels: int = LEVELS, leaf: int = LEAF, family_work: float = FAMILY_WORK) -> DataFrame:
-    """doc_id, row_key, n_shingles, component_id and kept of every row.
+    """doc_id, row_key, n_shingles, component_id, group_id and kept of every row.
 
     Two documents are linked if 100 * shared shingles >= percent * all shingles.
     Texts of fewer words than a shingle have one shingle, the whole sequence;
     null and empty texts have none and are linked with nothing.  component_id
     is the smallest id in the component (null if none of it has an id); kept
-    marks the rows whose id it is.  Repeated rows are linked as equal sets.
+    marks the rows whose id it is.  group_id numbers the components of one run
+    (null for texts without words).  Repeated rows are linked as equal sets.
     Empty tables give an empty result.
 
     Pairs at the threshold are found by each tree with a chance of about 0.87
@@ -293,8 +293,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sized = family.join(classes.select("cid", "n_shingles"), F.col("node") == F.col("cid"))
     work = written(sized.groupBy("root").agg((F.count("*") * F.sum("n_shingles")).cast("double").alias("work")), "family-work")
     wanted = written(family.join(classes.select("cid", "doc_id", "row_key"), F.col("node") == F.col("cid"))
-                     .select(F.col("doc_id").alias("d"), F.col("row_key").alias("k"), "cid"), "family-rows")
-    texts = slim.join(bounded(wanted, F.lit(40)), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_key") == F.col("k")))
+                     .select("doc_id", "row_key", "cid"), "family-rows")
+    texts = join_rows(slim, wanted, "inner", F.lit(40))
     sets = written(arrow_map(texts.select("cid", "text"), _sets(shingle), "cid long, set binary"), "family-sets")
     fits = family.join(work.where(F.col("work") <= family_work), "root").select(F.col("node").alias("cid"), F.col("root").alias("family"))
     links = _exact(fits, sets, percent)
@@ -305,12 +305,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     root = components(links)
     ids = classes.select("cid", "f1", "f2", "first").join(root, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
     grouped = ids.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = ids.select("f1", "f2", "root").join(grouped, "root").select("f1", "f2", "component_id")
-    linked = rows.where(F.col("n_shingles") > 0).join(written(names, "class-components"), ["f1", "f2"]).select("doc_id", "row_key", "n_shingles", "component_id")
-    alone = rows.where(F.col("n_shingles") == 0).select("doc_id", "row_key", "n_shingles", F.col("doc_id").alias("component_id"))
+    names = ids.select("f1", "f2", "root").join(grouped, "root").select("f1", "f2", "component_id", F.col("root").alias("group_id"))
+    result = ["doc_id", "row_key", "n_shingles", "component_id", "group_id"]
+    linked = rows.where(F.col("n_shingles") > 0).join(written(names, "class-components"), ["f1", "f2"]).select(*result)
+    alone = rows.where(F.col("n_shingles") == 0).select(
+        "doc_id", "row_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of docs, one of each component: that of its smallest id.
+
+    Of rows that agree in id and text one stays; texts without words all stay.
+    """
+    by_id = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    found = written(found.select("doc_id", "row_key", "group_id"), "near-groups")
+    n = fresh(docs, "n")
+    first = (found.where(F.col("group_id").isNotNull()).groupBy("group_id", "doc_id", "row_key").agg(F.count("*").alias(n))
+             .groupBy("group_id").agg(F.min_by(F.struct("doc_id", "row_key", n), by_id).alias("r"))
+             .select("r.doc_id", "r.row_key", f"r.{n}"))
+    empty = found.where(F.col("group_id").isNull()).select("doc_id", "row_key", F.lit(1).cast("long").alias(n)).distinct()
+    stays = join_rows(docs, written(first.unionByName(empty), "near-kept"), "inner", F.lit(40))
+    again = stays.where(F.col(n) > 1).dropDuplicates(["doc_id", "text"])
+    return stays.where(F.col(n) == 1).unionByName(again).drop(n)
+
+
 def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         low = [np.frombuffer(m, np.uint32).astype(np.uint8).tobytes() for m in batch.column("sketch").to_pylist()]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isobar.llm import classifier, decontam, licenses, linededup, mixing, neardup, rules, sharding, substrings
+from isobar.llm import classifier, decontam, licenses, linededup, lm, mixing, neardup, rules, sharding, substrings
 from isobar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op2_hmm_score")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))

@@ -21,6 +21,9 @@ SHARDS = 40
 SLOTS = 8192
 #: Bytes that a record takes besides its text.
 OVERHEAD = 16
+#: Columns that the result, or the way to it, has of its own.
+_OWN = {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "map_version",
+        "slot_id", "first", "place"}
 
 
 @dataclass
@@ -85,11 +88,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, keep: list[
     the text.  Rows equal in id and text share a virtual slot; their places
     differ.  A text larger than the mean shard makes that shard larger.  Empty
     tables give an empty result.  Only slim columns are stored and shuffled
-    unless ``keep`` asks for more.
+    unless ``keep`` asks for more; columns of docs that are named like one of
+    the result give way to it.
     """
     spark = docs.sparkSession
-    keep = keep or ["doc_id"]
-    extra = [c for c in keep if c not in ("size", "text_crc32", "virtual_slot", "doc_id")]
+    extra = [c for c in keep or [] if c.lower() not in _OWN]
     slim = written(sized(docs.select("doc_id", "text"), slots).drop("text"), "shard-rows")
     # one row per slot: at most ``slots`` rows reach the driver
     found = {r["virtual_slot"]: (r["b"], r["n"]) for r in
@@ -103,7 +106,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, keep: list[
     stored = written(spark.createDataFrame([(*r, first[r[1]] if r[0] == version else 0) for r in plan.rows(shards)],
                                            "map_version int, slot_id int, shard int, first long").coalesce(1), "slot-map")
     current = F.broadcast(stored.where(F.col("map_version") == version))  # ``slots`` rows
-    rows = slim if not extra else sized(docs.select("doc_id", "text", *[c for c in extra if c != "text"]), slots)
+    rows = slim if not extra else sized(docs.select("doc_id", *{"text": 0} | dict.fromkeys(extra)), slots)
     place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")) - 1
     return (rows.withColumn("place", place).join(current, F.col("virtual_slot") == F.col("slot_id"))
             .select("doc_id", *extra, "size", "text_crc32", F.lit("bytes").alias("law"), "shard",

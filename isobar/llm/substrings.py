@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import arrow_map, bounded, written
-from isobar.llm.decontam import row_key
+from isobar.llm.common import arrow_map, join_rows, row_key, written
 from isobar.llm.recompress import anchors
 from isobar.llm.words import SPACED, Hasher, Piece, mix, pieces
 
@@ -145,13 +144,6 @@ def _smaller(first: str, doc: str) -> Column:
     return F.col(first).isNotNull() & (F.col(doc).isNull() | (F.col(first) < F.col(doc)))
 
 
-def _rows_of(docs: DataFrame, side: DataFrame, row_bytes: Column) -> DataFrame:
-    """docs rows named by (doc_id, row_key) in the written table ``side``, with its further columns."""
-    side = side.withColumnsRenamed({"doc_id": "d", "row_key": "k"})
-    return (docs.join(bounded(side, row_bytes), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_key") == F.col("k")))
-            .drop("d", "k"))
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (and kept_text) of every row.
 
@@ -176,7 +168,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     wanted = written(keyed.join(shared, "key").groupBy("doc_id", "row_key")
                      .agg(F.collect_set("key").alias("wanted")), "symbols-shared")
 
-    found = written(arrow_map(_rows_of(slim, wanted, F.size("wanted") * 8 + 32), _windows(window, rounds),
+    found = written(arrow_map(join_rows(slim, wanted, "inner", F.size("wanted") * 8 + 32), _windows(window, rounds),
                               "h1 long, h2 long, doc_id long, row_key long, pos int"), "windows")
     smallest = (found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
                                               F.max(F.col("doc_id").isNull()).alias("no_id"))
@@ -185,7 +177,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
                    .groupBy("doc_id", "row_key").agg(F.collect_list("pos").alias("at")), "repeats")
 
     extra = ", kept_text string" * with_text
-    cut = written(arrow_map(_rows_of(slim, gone, F.size("at") * 4 + 32), _cut(window, with_text),
+    cut = written(arrow_map(join_rows(slim, gone, "inner", F.size("at") * 4 + 32), _cut(window, with_text),
                             "doc_id long, row_key long, n_removed long, kept_sha256 string" + extra), "repeats-cut")
     cut = cut.dropDuplicates(["doc_id", "row_key"]).withColumnsRenamed({"doc_id": "d", "row_key": "k"})
     whole = F.col("copy") & (F.col("n_words") >= window)
