@@ -33,7 +33,31 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-@query("op4_decontaminate")
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op4_decontaminate", rf"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (
+      SELECT item_id, w, least(10, len(w)) AS k FROM (
+        SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+      WHERE len(w) > 0),
+    bw AS (
+      SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+      FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b)),
+    dw AS (
+      SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM b))),
+    hits AS (SELECT doc_id, i, k, item_id FROM dw JOIN bw USING (k, s)),
+    covered AS (
+      SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+    found AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -74,12 +98,44 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"))
 
 
-@query("op9_substring_dedup")
+@query("op9_substring_dedup", r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+      SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+    first AS (SELECT s, min(doc_id) AS top FROM windows GROUP BY s),
+    gone AS (
+      SELECT DISTINCT doc_id, p FROM (
+        SELECT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN first USING (s) WHERE top < doc_id)),
+    words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+    kept AS (
+      SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS t
+      FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-@query("op3_near_duplicates")
+@query("op3_near_duplicates", rf"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+    met AS (
+      SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    links AS (
+      SELECT a, b FROM met JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.size + q.size - c)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+      SELECT doc_id, doc_id AS r FROM d
+      UNION
+      SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.r = edges.a)
+    SELECT d.doc_id, coalesce(any_value(size), 0) AS n_shingles, min(r) AS component_id, d.doc_id = min(r) AS kept
+    FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
