@@ -25,10 +25,11 @@ def components(edges: DataFrame) -> DataFrame:
     seen = _state(e)
     for _ in range(MAX_ROUNDS):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = (both.join(least, F.col("a") == F.col("u")).where(F.col("b") > F.col("a"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        # the least neighbours are written, so that Spark can split a hub's edges in the join
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")), "least")
+        large = written(both.join(least, F.col("a") == F.col("u")).where(F.col("b") > F.col("a"))
+                        .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-stars")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"), "least")
         joined = large.join(least, F.col("a") == F.col("u"))
         small = (joined.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))).distinct()

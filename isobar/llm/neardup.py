@@ -239,7 +239,8 @@ def _nodes(classes: DataFrame, percent: int, trees: int, levels: int, leaf: int)
     leaves, rows = [], arrow_map(classes.select("cid", "mins"), _children(percent, trees), "node long, cid long")
     for level in range(levels):
         rows = written(rows, f"nodes-{level}")
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+        # written, so that Spark can split a large node's rows in the join
+        sizes = written(rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > 1), f"nodes-sizes-{level}")
         sized = written(rows.join(sizes, "node"), f"nodes-sized-{level}")
         leaves.append(sized.where(F.col("n") <= leaf).select("node", "cid"))
         large = sized.where(F.col("n") > leaf).select("node", "cid")
@@ -286,7 +287,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     members = leaves.join(written(low_bytes, "sketches"), "cid").groupBy("node").agg(
         F.collect_list(F.struct("cid", "n_shingles", "sketch")).alias("members"))  # at most ``leaf`` each
     likely = arrow_map(members.select("members"), _leaf_edges(percent), "a long, b long")
-    star = large.join(large.groupBy("node").agg(F.min("cid").alias("b")), "node").select(F.col("cid").alias("a"), "b")
+    star = large.join(written(large.groupBy("node").agg(F.min("cid").alias("b")), "nodes-first"), "node").select(F.col("cid").alias("a"), "b")
     family = written(components(likely.unionByName(star)), "families")
 
     # exact links inside families
