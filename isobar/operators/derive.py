@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import grid
 from ..functions import physics
+from .joins import SMALL_SIDE_ROWS, bounded_broadcast
 from .keys import field_keys
 from .temporal import ACCUMULATED_MEANS, deaccumulate
 
+# The seven inputs of the PET product.
 PET_INPUTS = ("t_2m", "td_2m", "u_10m", "v_10m", "asob_s", "athb_s", "ps")
 
 _LAT_NAMES = ("latitude", "lat")
@@ -19,14 +21,15 @@ _LON_NAMES = ("longitude", "lon")
 _KNOWN = {"run", "param", "member", "model", "step", "iy", "ix", "height", "time", "valid_time"}
 
 
-def normalize_field(raw: DataFrame, param: str) -> DataFrame:
+def normalize_field(raw: DataFrame, param: str | None = None) -> DataFrame:
     """Bring a remapped frame to the field layout.
 
     Accepts ``lat``/``latitude`` and ``lon``/``longitude`` coordinates in
     degrees (either orientation), drops ``*_bnds`` columns and a constant
     ``time``, and renames the sole data column to ``value`` with
-    ``param`` as a literal.  Row indices are recomputed from coordinates,
-    so the result always runs north to south.
+    ``param`` as a literal.  Without ``param`` the frame has a ``param``
+    column and all its params are normalised in the one pass.  Row indices are
+    recomputed from coordinates, so the result always runs north to south.
     """
     cols = [c for c in raw.columns if not c.endswith("_bnds")]
     lat = next((c for c in _LAT_NAMES if c in cols), None)
@@ -34,32 +37,43 @@ def normalize_field(raw: DataFrame, param: str) -> DataFrame:
     if lat is None or lon is None:
         raise ValueError("normalize_field needs latitude and longitude columns")
     data = [c for c in cols if c not in _KNOWN and c not in (lat, lon)]
-    if param in data:
+    if param is None and "param" not in cols:
+        raise ValueError("name the param, or give a frame with a param column")
+    if param is not None and param in data:
         var = param
     elif len(data) == 1:
         var = data[0]
     else:
         raise KeyError(f"variable {param!r} not found among {data}")
-    keep = [c for c in ("run", "member", "step", "height") if c in cols]
+    keep = [c for c in ("run", *(["param"] if param is None else []), "member", "step", "height") if c in cols]
     out = raw.select(*keep,
                      grid.lat_to_iy(F.col(lat)).alias("iy"),
                      grid.lon_to_ix(F.col(lon)).alias("ix"),
                      F.col(var).cast("double").alias("value"))
     order = [c for c in ("run",) if c in out.columns] + ["param"] + \
         [c for c in ("member", "step", "height") if c in out.columns] + ["iy", "ix", "value"]
-    return out.withColumn("param", F.lit(param)).select(*order)
+    if param is not None:
+        out = out.withColumn("param", F.lit(param))
+    return out.select(*order)
 
 
 def squeeze_level(df: DataFrame, col: str = "height") -> DataFrame:
-    """Keep the first level (index 0) of a singleton vertical axis.
+    """Keep the first level of the vertical axis and drop the axis.
 
-    Level columns hold the level index, so this is a plain filter that reaches
-    the parquet scan.  Frames without such a column pass through.
+    Level columns hold coordinates (2.0 m, 10.0 m, ..): the first level of
+    each (run, param) is its least, found by a ``min`` and joined back as a
+    checked small side.  A field without level coordinate (NULL throughout) is
+    kept whole.  Frames without such a column pass through.
     """
     level = next((c for c in df.columns if col in c.lower()), None)
     if level is None:
         return df
-    return df.where(F.col(level) == 0).drop(level)
+    lead = [c for c in ("run", "param", "model") if c in df.columns]
+    if not lead:
+        return df.where(F.col(level).eqNullSafe(df.select(F.min(level)).scalar())).drop(level)
+    first = df.groupBy(*lead).agg(F.min(level).alias("_first"))
+    return (df.join(bounded_broadcast(first, SMALL_SIDE_ROWS), lead)
+            .where(F.col(level).eqNullSafe(F.col("_first"))).drop(level, "_first"))
 
 
 def convert_units(df: DataFrame, mapping: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -79,17 +93,21 @@ def align_params(field: DataFrame, params: Sequence[str]) -> DataFrame:
 
     A 7-way inner alignment done as ONE grouped aggregation: rows of the
     listed params are grouped by cell and step, every param becomes a column
-    and groups missing any param are dropped.  (run, param, step, cell) is a
-    key of a field, so ``count(*)`` counts distinct params.
+    and groups missing any param (no row, or only NULL) are dropped.
     """
     params = list(params)
     keys = [c for c in field_keys(field, with_param=False)]
     lead = [c for c in keys if c not in ("iy", "ix")]
     f = field.where(F.col("param").isin(params))
     aggs = [F.max(F.when(F.col("param") == p, F.col("value"))).alias(p) for p in params]
-    return (f.groupBy(*lead, "step", "iy", "ix")
-            .agg(*aggs, F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") == len(params)).drop("_n"))
+    return _complete(f.groupBy(*lead, "step", "iy", "ix").agg(*aggs), params)
+
+
+def _complete(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in which no listed column is NULL (NaN is a value)."""
+    for c in columns:
+        rows = rows.where(F.col(c).isNotNull())
+    return rows
 
 
 def pet_pm(field: DataFrame, accumulated=ACCUMULATED_MEANS) -> DataFrame:
@@ -144,8 +162,8 @@ def pet_pm_series(series: DataFrame) -> DataFrame:
     lead = [c for c in ("run", "model", "member") if c in series.columns]
     s = deaccumulate_series(series.where(F.col("param").isin(list(PET_INPUTS))))
     aggs = [F.max(F.when(F.col("param") == p, F.struct("steps", "vals"))).alias(p) for p in PET_INPUTS]
-    g = (s.groupBy(*lead, "cy", "cx", "iy", "ix").agg(*aggs, F.count(F.lit(1)).alias("_n"))
-         .where(F.col("_n") == len(PET_INPUTS)))
+    g = s.groupBy(*lead, "cy", "cx", "iy", "ix").agg(*aggs)
+    g = _complete(g, PET_INPUTS)
     common = F.col(f"{PET_INPUTS[0]}.steps")
     for p in PET_INPUTS[1:]:
         common = F.array_intersect(common, F.col(f"{p}.steps"))

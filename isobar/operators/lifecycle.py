@@ -29,26 +29,30 @@ def resolve_run(requests: DataFrame, listing: DataFrame, max_back: int = MAX_CYC
 
     Each request expands to its ``max_back + 1`` candidate run ids (a
     generator), which equi-join the runs whose probe file exists; the newest
-    match wins.  Adds ``resolved_run`` and ``error`` (NULL when resolved).
+    match wins.  Adds ``resolved_run`` and ``error`` (NULL when resolved).  A
+    run id that is not ten digits naming a real hour cannot be looked up and
+    gets an error of its own.
     """
     avail = (listing.where((F.col("param") == probe_param) & (F.col("step") == probe_step)
                            & (F.col("status") == 200))
              .select(F.col("run").alias("cand")).distinct().withColumn("_hit", F.lit(True)))
-    init = grid.run_init_time(F.col("run"))
+    init = F.try_to_timestamp(F.when(F.col("run").rlike("^[0-9]{10}$"), F.col("run")), F.lit("yyyyMMddHH"))
     k = F.explode(F.sequence(F.lit(0), F.lit(max_back))).alias("_k")
-    c = requests.select("run", k).select(
+    c = requests.select("run").distinct().select("run", k).select(
         "run", _fmt_run(init - F.make_dt_interval(hours=F.col("_k") * cycle_h)).alias("cand"))
     res = (c.join(bounded_broadcast(avail, SMALL_SIDE_ROWS), "cand", "left")
            .groupBy("run").agg(F.max(F.when(F.col("_hit"), F.col("cand"))).alias("resolved_run")))
     oldest = _fmt_run(init - F.make_dt_interval(hours=F.lit(max_back * cycle_h)))
-    err = F.when(F.col("resolved_run").isNull(), F.concat(
-        F.lit("No available run found (checked "), F.col("run"), F.lit(" back to "), oldest, F.lit(")")))
+    err = F.when(init.isNull(), F.concat(F.lit("Malformed run "), F.coalesce("run", F.lit("NULL")))).when(
+        F.col("resolved_run").isNull(), F.concat(
+            F.lit("No available run found (checked "), F.col("run"), F.lit(" back to "), oldest, F.lit(")")))
     return requests.join(bounded_broadcast(res, SMALL_SIDE_ROWS), "run", "left").withColumn("error", err)
 
 
 def latest_run(markers: DataFrame) -> DataFrame:
-    """The current run = the one whose pointer was written last."""
-    return markers.where(F.col("marker") == LATEST).agg(F.max_by("run", "ts").alias("run"))
+    """The current run = the one whose pointer was written last (of
+    pointers written at the same time, the newest run)."""
+    return markers.where(F.col("marker") == LATEST).agg(F.max_by("run", F.struct("ts", "run")).alias("run"))
 
 
 def follow_redirect(requests: DataFrame, markers: DataFrame) -> DataFrame:
@@ -56,7 +60,7 @@ def follow_redirect(requests: DataFrame, markers: DataFrame) -> DataFrame:
     any, else itself; no run -> the latest published run."""
     latest = latest_run(markers).scalar()
     red = (markers.where(F.col("marker") == RESOLVED).groupBy("run")
-           .agg(F.max_by("payload", "ts").alias("_target")))
+           .agg(F.max_by("payload", F.struct("ts", "payload")).alias("_target")))
     j = requests.withColumnRenamed("run", "requested_run").join(
         bounded_broadcast(red.withColumnRenamed("run", "requested_run"), SMALL_SIDE_ROWS), "requested_run", "left")
     return j.withColumn("run", F.coalesce(F.col("_target"), F.col("requested_run"), latest)).drop("_target")

@@ -12,6 +12,7 @@ from ..functions import grid
 from ..functions.stats import all_nan, nan_max, nan_min
 from .joins import SMALL_SIDE_ROWS, bounded_broadcast
 
+# Thresholds, member count and marker names.
 MAX_MISSING_STEP_FRACTION = 0.15
 ENSEMBLE_MEMBERS = 40
 MIN_PAYLOAD_BYTES = 10000
@@ -91,7 +92,8 @@ def drop_missing_steps(expected_listing: DataFrame, fail_if_empty: bool = True)
 
 def zero_fill(listing: DataFrame, ny=grid.GRID_NY, nx=grid.GRID_NX, params: Sequence[str] | None = None,
               min_bytes: int = MIN_PAYLOAD_BYTES) -> DataFrame:
-    """P10: a payload below ``min_bytes`` stands for an all-zero field.
+    """P10: a payload below ``min_bytes`` of a file that is available (status
+    200) stands for an all-zero field.  A small error reply does not.
 
     Every such listing row expands to the full ny x nx grid by generators
     (``explode(sequence)``), no join; ``ny``/``nx`` may be Columns.  Grid
@@ -99,14 +101,15 @@ def zero_fill(listing: DataFrame, ny=grid.GRID_NY, nx=grid.GRID_NX, params: Sequ
     that AQE keeps) before the columns are generated, so one small payload does
     not make one task emit a whole field.
     """
-    small = listing.where(F.col("n_bytes") < F.lit(min_bytes))
+    small = listing.where((F.col("n_bytes") < F.lit(min_bytes)) & (F.col("status") == 200))
     if params is not None:
         small = small.where(F.col("param").isin(list(params)))
     ny = F.lit(ny) if isinstance(ny, int) else ny
     nx = F.lit(nx) if isinstance(nx, int) else nx
-    rows = (small.select("run", "param", "step", F.explode(F.sequence(F.lit(0), (ny - 1).cast("int"))).alias("iy"))
+    keys = ["run", "param", *(["member"] if "member" in listing.columns else []), "step"]
+    rows = (small.select(*keys, F.explode(F.sequence(F.lit(0), (ny - 1).cast("int"))).alias("iy"))
             .repartition(listing.sparkSession.sparkContext.defaultParallelism))
-    return (rows.select("run", "param", "step", "iy", F.explode(F.sequence(F.lit(0), (nx - 1).cast("int"))).alias("ix"))
+    return (rows.select(*keys, "iy", F.explode(F.sequence(F.lit(0), (nx - 1).cast("int"))).alias("ix"))
             .withColumn("value", F.lit(0.0)))
 
 
@@ -183,12 +186,6 @@ def missing_markers(expected: DataFrame, markers: DataFrame, marker: str = SUCCE
     return expected.select("run", "param").join(m, ["run", "param"], "left_anti")
 
 
-def present_markers(expected: DataFrame, markers: DataFrame, marker: str = SUCCESS) -> DataFrame:
-    """J9 (semi): expected (run, param) that carry the marker."""
-    m = markers.where(F.col("marker") == marker).select("run", "param")
-    return expected.select("run", "param").join(m, ["run", "param"], "left_semi")
-
-
 def run_exists(requests: DataFrame, markers: DataFrame) -> DataFrame:
     """A request naming a run needs that run's success marker for its param.
 
@@ -214,28 +211,40 @@ def expected_pairs(runs: DataFrame, params: Sequence[str]) -> DataFrame:
 
 def validate_run(field: DataFrame, markers: DataFrame, params: Sequence[str], ensemble: bool = False,
                  members: int = ENSEMBLE_MEMBERS) -> DataFrame:
-    """One verdict row per (run, param, check); all checks run in one job.
+    """One verdict row per (run, param, check); the field is read once.
 
     Checks: success marker, non-empty field, step-0 corner not all NaN and,
     for ensembles, the member count.
     """
-    runs = field.select("run").unionByName(markers.select("run")).distinct()
+    size = F.lit(10)
+    valid = (F.col("iy") < size) & (F.col("ix") < size) & ~F.isnan("value") & F.col("value").isNotNull()
+    members_c, first = F.lit(None).cast("int"), F.lit(0)
+    if "member" in field.columns:
+        members_c, first = F.col("member"), F.col("member")
+    # the only pass over the field: per (run, param) and step the row count,
+    # whether the corner of the first member has a valid value, and the members
+    steps = (field.groupBy("run", "param", "step")
+             .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(valid & (first == 0)), F.lit(False)).alias("valid"),
+                  F.collect_set(members_c).alias("members")))
+    per_param = (steps.groupBy("run", "param")
+                 .agg(F.sum("n").alias("n"), F.min_by("valid", "step").alias("valid"),
+                      F.size(F.array_distinct(F.flatten(F.collect_list("members")))).alias("n_members")))
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(field.sparkSession)
+    per_param = per_param.checkpoint()  # a row per (run, param); read by every check below
+    runs = per_param.select("run").unionByName(markers.select("run")).distinct()
     exp = expected_pairs(runs, params)
-    f = field.where(F.col("param").isin(list(params)))
     succ = (markers.where(F.col("marker") == SUCCESS).select("run", "param").distinct()
             .withColumn("ok", F.lit(True)))
     c_marker = exp.join(succ, ["run", "param"], "left").select(
         "run", "param", F.lit("success_marker").alias("check"), F.coalesce("ok", F.lit(False)).alias("ok"))
-    ne = nonempty_check(f, exp)
-    c_nonempty = ne.select("run", "param", F.lit("nonempty").alias("check"), (F.col("n_rows") > 0).alias("ok"))
-    sm = smoke_sample(f)
-    c_smoke = exp.join(sm, ["run", "param"], "left").select(
-        "run", "param", F.lit("smoke_sample").alias("check"), F.coalesce(~F.col("all_nan"), F.lit(False)).alias("ok"))
+    seen = exp.join(per_param, ["run", "param"], "left")
+    c_nonempty = seen.select("run", "param", F.lit("nonempty").alias("check"), (F.coalesce("n", F.lit(0)) > 0).alias("ok"))
+    c_smoke = seen.select("run", "param", F.lit("smoke_sample").alias("check"), F.coalesce("valid", F.lit(False)).alias("ok"))
     out = c_marker.unionByName(c_nonempty).unionByName(c_smoke)
     if ensemble:
-        mc = member_count(f, members)
-        out = out.unionByName(exp.join(mc, ["run", "param"], "left").select(
-            "run", "param", F.lit("member_count").alias("check"), F.coalesce("ok", F.lit(False)).alias("ok")))
+        out = out.unionByName(seen.select("run", "param", F.lit("member_count").alias("check"),
+                                          F.coalesce(F.col("n_members") == members, F.lit(False)).alias("ok")))
     return out
 
 

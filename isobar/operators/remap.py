@@ -50,12 +50,15 @@ def prepare_weights(weights: DataFrame) -> DataFrame:
 
 
 def remap_apply(native: DataFrame, weights: DataFrame, methods: Mapping[str, str] | None = None,
-                na: str = "propagate", max_broadcast: int = MAX_BROADCAST_WEIGHTS) -> DataFrame:
+                na: str = "propagate", max_broadcast: int = MAX_BROADCAST_WEIGHTS, complete: bool = True) -> DataFrame:
     """``value[dst] = sum_src w * value[src]`` with the param's weight set.
 
     ``na="propagate"``: a target whose sources are not all present, or any
     of them NaN, is NaN.  ``na="renormalize"``: NaN or absent sources are
-    skipped and the remaining weights rescaled to sum to one.
+    skipped and the remaining weights rescaled to sum to one.  Every frame
+    (run, param, member, step) gets every target of its weight set, NaN where
+    no source is present (``complete=False`` leaves those rows out): the
+    targets enter the sum as rows that add nothing.
 
     Plan: the weight table is fixed per grid pair and far smaller than the
     native data (all runs, params, members and steps).  Its row count is
@@ -71,15 +74,24 @@ def remap_apply(native: DataFrame, weights: DataFrame, methods: Mapping[str, str
     per-target window.
     """
     w = weights if "n_src" in weights.columns else prepare_weights(weights)
-    w = bounded_broadcast(w.select(F.col("method").alias("_wm"), "dst_id", "src_id", "w", "n_src"), max_broadcast)
+    w = w.select(F.col("method").alias("_wm"), "dst_id", "src_id", "w", "n_src")
+    targets = w.select("_wm", "dst_id", "n_src").distinct()
+    w = bounded_broadcast(w, max_broadcast, max_bytes=max_broadcast * 64, reuse="n_src" not in weights.columns)
     lead = [c for c in ("run", "param", "member") if c in native.columns]
     nat = native.withColumn("method", method_of(F.col("param"), methods))
     j = nat.join(w, "src_id").where(F.col("method") == F.col("_wm"))
-    ok = ~F.isnan("value")
     keys = lead + ["step", "dst_id"]
+    j = j.select(*keys, "w", "value", "n_src", F.lit(1).alias("_here"))
+    if complete:
+        frames = bounded_broadcast(nat.select(*lead, "step", "method").distinct(), max_broadcast)
+        grid_rows = targets.join(frames, F.col("_wm") == F.col("method")).select(
+            *keys, F.lit(None).cast("double").alias("w"), F.lit(None).cast("double").alias("value"), "n_src",
+            F.lit(0).alias("_here"))
+        j = j.unionByName(grid_rows)
+    ok = ~F.isnan("value")
     if na == "propagate":
         agg = j.groupBy(*keys).agg(F.sum(F.col("w") * F.col("value")).alias("_s"),
-                                   F.count(F.lit(1)).alias("_n"), F.max("n_src").alias("_m"))
+                                   F.sum("_here").alias("_n"), F.max("n_src").alias("_m"))
         val = F.when(F.col("_n") == F.col("_m"), F.col("_s")).otherwise(F.lit(float("nan")))
     elif na == "renormalize":
         agg = j.groupBy(*keys).agg(F.sum(F.when(ok, F.col("w") * F.col("value"))).alias("_s"),

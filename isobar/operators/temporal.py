@@ -62,17 +62,17 @@ def step_axis(field: DataFrame) -> DataFrame:
     return field.groupBy(*lead).agg(F.sort_array(F.collect_set("step")).alias("steps"))
 
 
-def sort_steps(field: DataFrame) -> DataFrame:
-    """Order rows by key then ascending step (a range-partitioned sort)."""
-    lead = [c for c in ("run", "param", "model", "member") if c in field.columns]
-    return field.orderBy(*lead, "step", "iy", "ix")
-
-
 def concat_steps(*frames: DataFrame) -> DataFrame:
     """Stack per-step frames into one field (by column name)."""
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def members_from(field: DataFrame, label: str) -> DataFrame:
+    """U2 in one scan: the member index from a column with the files' 1-based
+    member label (for instance a partition column)."""
+    return field.withColumn("member", F.col(label).cast("int") - 1).drop(label)
+
+
 def concat_members(frames: Mapping[int, DataFrame]) -> DataFrame:
     """Stack member frames, adding the member index as a column."""
     parts = [df.withColumn("member", F.lit(int(m)).cast("int")) for m, df in sorted(frames.items())]

@@ -40,8 +40,6 @@ def d1_pet_pm_bucketed(spark, sf):
     derivation itself runs without any shuffle."""
     import uuid
     tag = uuid.uuid4().hex
-    # one bucket per task slot of the cluster (the scan then needs no split)
-    buckets = spark.sparkContext.defaultParallelism
     f = store.field_publish_bucketed(fx.x1_field(spark, sf), shared_dir(spark, f"bucketed-{tag}"),
-                                     f"isobar_field_{tag}", buckets)
+                                     f"isobar_field_{tag}")
     return derive.pet_pm(f)

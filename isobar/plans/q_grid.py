@@ -52,26 +52,6 @@ def s2_expected_inventory_eps(spark, sf):
     return inventory.expected_inventory(pairs, model="icon-eps")
 
 
-@register("P1_normalize_field", with_fixtures(["x1"], "SELECT * FROM x1"))
-def p1_normalize_field(spark, sf):
-    x1 = fx.x1_field(spark, sf)
-    raw = x1.select("run", "param", "step", grid.iy_to_lat("iy").alias("latitude"),
-                    grid.ix_to_lon("ix").alias("longitude"), "value",
-                    F.col("step").alias("time_bnds"))
-    frames = [derive.normalize_field(raw.where(F.col("param") == p).drop("param")
-                                     .withColumnRenamed("value", p.upper()), p)
-              for p in derive.PET_INPUTS]
-    return temporal.concat_steps(*frames)
-
-
-@register("P2_squeeze_level", with_fixtures(["x1"], "SELECT * FROM x1"))
-def p2_squeeze_level(spark, sf):
-    x1 = fx.x1_field(spark, sf)
-    levels = x1.withColumn("height", F.lit(0)).unionByName(
-        x1.withColumn("height", F.lit(1)).withColumn("value", F.col("value") + 1.0))
-    return derive.squeeze_level(levels)
-
-
 def _cell_sql(lat: str, lon: str) -> tuple[str, str]:
     iy = f"CAST(least(greatest(floor(({d(90)} - {lat}) / {d(0.125)} + {d(0.5)}), 0), 1440) AS INTEGER)"
     nlon = f"(CASE WHEN {lon} > {d(180)} THEN {lon} - {d(360)} ELSE {lon} END)"
@@ -82,6 +62,37 @@ def _cell_sql(lat: str, lon: str) -> tuple[str, str]:
 _IY, _IX = _cell_sql("lat", "lon")
 
 
+# The raw frame runs south to north, from its own coordinates: row jy of a
+# grid that starts at -90 and, for odd jy, a hair off the cell centre.
+@register("P1_normalize_field", with_fixtures(["x1"], f"""
+raw AS (SELECT run, param, step, value, {d(-90)} + CAST(iy AS DOUBLE) * {d(0.125)} + CAST(iy % 2 AS DOUBLE) * {d(0.03)} AS lat,
+  {d(-180)} + CAST(ix AS DOUBLE) * {d(0.125)} AS lon FROM x1)
+SELECT run, param, step, {_IY} AS iy, {_IX} AS ix, value FROM raw"""))
+def p1_normalize_field(spark, sf):
+    x1 = fx.x1_field(spark, sf)
+    iy, ix = F.col("iy"), F.col("ix")
+    raw = x1.select("run", "param", "step",
+                    (F.lit(-90.0) + iy.cast("double") * 0.125 + (iy % 2).cast("double") * 0.03).alias("lat"),
+                    (F.lit(-180.0) + ix.cast("double") * 0.125).alias("lon"), F.col("value").alias("DATA"),
+                    F.col("step").alias("time_bnds"))
+    return derive.normalize_field(raw)
+
+
+_LEVEL_SQL = f"CASE WHEN param IN ('u_10m', 'v_10m') THEN {d(10)} ELSE {d(2)} END"
+
+
+# Levels are heights in metres; the upper one of each param carries other values.
+@register("P2_squeeze_level", with_fixtures(["x1"], f"""
+l AS (SELECT *, {_LEVEL_SQL} AS height FROM x1
+  UNION ALL SELECT run, param, step, iy, ix, value + {d(1)}, {_LEVEL_SQL} + {d(8)} FROM x1),
+f AS (SELECT run, param, min(height) AS h FROM l GROUP BY run, param)
+SELECT l.run, l.param, l.step, l.iy, l.ix, l.value FROM l JOIN f ON l.run = f.run AND l.param = f.param AND l.height = f.h"""))
+def p2_squeeze_level(spark, sf):
+    low = F.when(F.col("param").isin("u_10m", "v_10m"), F.lit(10.0)).otherwise(F.lit(2.0))
+    x1 = fx.x1_field(spark, sf).withColumn("height", low)
+    return derive.squeeze_level(x1.unionByName(x1.withColumn("height", low + 8).withColumn("value", F.col("value") + 1.0)))
+
+
 @register("P3_point_to_cell", with_fixtures(["x3"], f"""
 c AS (SELECT req_id, lat, lon, {_IY} AS iy, {_IX} AS ix FROM x3)
 SELECT req_id, lat, lon, iy, ix, CAST(floor(iy / 100) AS INTEGER) AS cy, CAST(floor(ix / 100) AS INTEGER) AS cx,
@@ -217,8 +228,9 @@ def u1_concat_steps(spark, sf):
 @register("U2_concat_members", with_fixtures(["x7"], "SELECT * FROM x7"))
 def u2_concat_members(spark, sf):
     x7 = fx.x7_ensemble(spark, sf)
-    frames = {m: x7.where(F.col("member") == m).drop("member") for m in range(4)}
-    return temporal.concat_members(frames).select(*x7.columns)
+    # files name members from 001; one scan reads them all
+    named = x7.withColumn("file_member", F.format_string("%03d", F.col("member") + 1)).drop("member")
+    return temporal.members_from(named, "file_member").select(*x7.columns)
 
 
 def _small_boxes(spark, sf):

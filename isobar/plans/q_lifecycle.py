@@ -14,24 +14,29 @@ _RUN_TS = "CAST(strptime(run, '%Y%m%d%H') AS TIMESTAMP)"
 
 
 def _shifted_requests(spark, sf):
-    """Requested runs: every listed run moved one cycle later."""
+    """Requested runs: every listed run moved one cycle later, and malformed
+    ones (its first eight digits; a month 13)."""
     runs = fx.x2_listing(spark, sf).select("run").distinct()
-    return runs.select(F.date_format(grid.run_init_time("run") + F.expr("INTERVAL 6 HOURS"),
-                                     "yyyyMMddHH").alias("run"))
+    later = runs.select(F.date_format(grid.run_init_time("run") + F.expr("INTERVAL 6 HOURS"), "yyyyMMddHH").alias("run"))
+    short = runs.select(F.substring("run", 1, 8).alias("run"))
+    no_month = runs.select(F.concat(F.substring("run", 1, 4), F.lit("13"), F.substring("run", 7, 4)).alias("run"))
+    return later.unionByName(short).unionByName(no_month).distinct()
 
 
 @register("J6_resolve_run", with_fixtures(["x2"], f"""
-rq AS (SELECT DISTINCT strftime({_RUN_TS} + INTERVAL 6 HOUR, '%Y%m%d%H') AS run FROM x2),
+rq AS (SELECT strftime({_RUN_TS} + INTERVAL 6 HOUR, '%Y%m%d%H') AS run, true AS good FROM x2
+  UNION SELECT substr(run, 1, 8), false FROM x2 UNION SELECT substr(run, 1, 4) || '13' || substr(run, 7, 4), false FROM x2),
 av AS (SELECT DISTINCT run FROM x2 WHERE param = 'purchase' AND step = 0 AND status = 200),
-c AS (SELECT rq.run, strftime({_RUN_TS} - k * INTERVAL 6 HOUR, '%Y%m%d%H') AS cand FROM rq, range(0, 4) t(k)),
+c AS (SELECT rq.run, strftime({_RUN_TS} - k * INTERVAL 6 HOUR, '%Y%m%d%H') AS cand FROM rq, range(0, 4) t(k) WHERE good),
 res AS (SELECT c.run, max(av.run) AS resolved_run FROM c LEFT JOIN av ON c.cand = av.run GROUP BY c.run)
 SELECT run, resolved_run, CASE WHEN resolved_run IS NULL THEN 'No available run found (checked ' || run
-  || ' back to ' || strftime({_RUN_TS} - INTERVAL 18 HOUR, '%Y%m%d%H') || ')' END AS error FROM res"""))
+  || ' back to ' || strftime({_RUN_TS} - INTERVAL 18 HOUR, '%Y%m%d%H') || ')' END AS error FROM res
+UNION ALL SELECT run, CAST(NULL AS VARCHAR), 'Malformed run ' || run FROM rq WHERE NOT good"""))
 def j6_resolve_run(spark, sf):
     return lifecycle.resolve_run(_shifted_requests(spark, sf), fx.x2_listing(spark, sf), probe_param="purchase")
 
 
-_LATEST_SQL = "(SELECT arg_max(run, ts) FROM x4l WHERE marker = '_LATEST_RUN')"
+_LATEST_SQL = "(SELECT run FROM x4l WHERE marker = '_LATEST_RUN' ORDER BY ts DESC, run DESC LIMIT 1)"
 
 
 @register("J7_follow_redirect", with_fixtures(["x3", "x4l"], f"""

@@ -134,7 +134,7 @@ def a11_frame_range(spark, sf):
 
 @register("P10_zero_fill", with_fixtures(["x1", "x2"], f"""
 g AS (SELECT max(iy) + 1 AS ny, max(ix) + 1 AS nx FROM x1),
-s AS (SELECT run, param, step FROM x2 WHERE n_bytes < 10000),
+s AS (SELECT run, param, step FROM x2 WHERE n_bytes < 10000 AND status = 200),
 sy AS (SELECT run, param, step, unnest(range(0, ny)) AS iy, nx FROM s, g)
 SELECT run, param, step, CAST(iy AS INTEGER) AS iy, CAST(unnest(range(0, nx)) AS INTEGER) AS ix, {d(0)} AS value FROM sy"""))
 def p10_zero_fill(spark, sf):
@@ -190,7 +190,7 @@ def j10_run_exists(spark, sf):
     return quality.run_exists(fx.x3_requests(spark, sf), fx.x4_markers(spark, sf))
 
 
-@register("A7_validate_run_eps", with_fixtures(["x7", "x4"], """
+@register("A7_validate_run_eps", with_fixtures(["x7", "x4"], f"""
 sf AS (SELECT run, param, min(step) AS step FROM x7 GROUP BY run, param),
 sc AS (SELECT x.run, x.param, bool_and(isnan(x.value)) AS an FROM x7 x
   JOIN sf ON x.run = sf.run AND x.param = sf.param AND x.step = sf.step
@@ -198,7 +198,7 @@ sc AS (SELECT x.run, x.param, bool_and(isnan(x.value)) AS an FROM x7 x
 sm AS (SELECT sf.run, sf.param, coalesce(sc.an, true) AS all_nan FROM sf LEFT JOIN sc
   ON sf.run = sc.run AND sf.param = sc.param),
 r AS (SELECT run FROM x7 UNION SELECT run FROM x4),
-e AS (SELECT run, 't_2m' AS param FROM r),
+e AS (SELECT r.run, pp.param FROM r, {_PET_VALUES}),
 s AS (SELECT DISTINCT run, param FROM x4 WHERE marker = '_SUCCESS'),
 ne AS (SELECT run, param, count(*) AS n, count(DISTINCT member) AS nm FROM x7 GROUP BY run, param)
 SELECT e.run, e.param, 'success_marker' AS "check", s.run IS NOT NULL AS ok FROM e
@@ -210,5 +210,5 @@ UNION ALL SELECT e.run, e.param, 'smoke_sample', coalesce(NOT sm.all_nan, false)
 UNION ALL SELECT e.run, e.param, 'member_count', coalesce(ne.nm = 4, false) FROM e
   LEFT JOIN ne ON e.run = ne.run AND e.param = ne.param"""))
 def a7_validate_run_eps(spark, sf):
-    return quality.validate_run(fx.x7_ensemble(spark, sf), fx.x4_markers(spark, sf), ["t_2m"],
+    return quality.validate_run(fx.x7_ensemble(spark, sf), fx.x4_markers(spark, sf), derive.PET_INPUTS,
                                 ensemble=True, members=4)

@@ -21,16 +21,22 @@ def _weights(spark, sf):
 _CONS = ", ".join(f"'{p}'" for p in remap.CONSERVATIVE_PARAMS)
 
 
-@register("J1_remap_apply", with_fixtures(["x5", "x5_native"], f"""
-w AS (SELECT 'distance' AS method, dst_id, src_id, w FROM x5 UNION ALL
+def j1_sql(native: str) -> str:
+    """CTEs up to ``j1``: every frame of ``native`` on every target of its weight set."""
+    return f"""w AS (SELECT 'distance' AS method, dst_id, src_id, w FROM x5 UNION ALL
       SELECT 'conservative' AS method, dst_id, src_id, w FROM x5),
-wn AS (SELECT *, count(*) OVER (PARTITION BY method, dst_id) AS n_src FROM w),
-nat AS (SELECT *, CASE WHEN param IN ({_CONS}) THEN 'conservative' ELSE 'distance' END AS method FROM x5_native),
-j AS (SELECT nat.run, nat.param, nat.member, nat.step, wn.dst_id, wn.w, nat.value, wn.n_src FROM nat
-  JOIN wn ON nat.method = wn.method AND nat.src_id = wn.src_id)
-SELECT run, param, member, step, dst_id,
-  CAST(CASE WHEN count(*) = max(n_src) THEN sum(w * value) ELSE {NAN} END AS FLOAT) AS value
-FROM j GROUP BY run, param, member, step, dst_id"""))
+nat AS (SELECT *, CASE WHEN param IN ({_CONS}) THEN 'conservative' ELSE 'distance' END AS method FROM {native}),
+s AS (SELECT nat.run, nat.param, nat.member, nat.step, w.dst_id, count(*) AS n, sum(w.w * nat.value) AS v FROM nat
+  JOIN w ON nat.method = w.method AND nat.src_id = w.src_id GROUP BY nat.run, nat.param, nat.member, nat.step, w.dst_id),
+f AS (SELECT DISTINCT run, param, member, step, method FROM nat),
+t AS (SELECT method, dst_id, count(*) AS n_src FROM w GROUP BY method, dst_id),
+j1 AS (SELECT f.run, f.param, f.member, f.step, t.dst_id,
+  CAST(CASE WHEN s.n = t.n_src THEN s.v ELSE {NAN} END AS FLOAT) AS value
+  FROM f JOIN t ON f.method = t.method LEFT JOIN s ON s.run = f.run AND s.param = f.param AND s.member = f.member
+  AND s.step = f.step AND s.dst_id = t.dst_id)"""
+
+
+@register("J1_remap_apply", with_fixtures(["x5", "x5_native"], j1_sql("x5_native") + "\nSELECT * FROM j1"))
 def j1_remap_apply(spark, sf):
     return remap.remap_apply(fx.x5_native(spark, sf), _weights(spark, sf))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources import chunks, fixtures as fx, store
@@ -29,6 +30,49 @@ def s4_field_publish(spark, sf):
     return store.field_scan(spark, _published(spark, sf))
 
 
+_F1, _F2 = "'2026040300'", "'2026040306'"
+
+
+# Two runs, then an ensemble and a deterministic field of the same run and
+# param, then the first run again: each publication replaces its own
+# partitions only, in the plain, series and bucketed stores.
+@register("S4_publish_in_turn", with_fixtures(["x1", "x7"], f"""
+det AS (SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1 WHERE run IN ({_F1}, {_F2})),
+eps AS (SELECT run, param, member, step, iy, ix, CAST(value AS FLOAT) AS value FROM x7),
+a AS (SELECT run, param, CAST(NULL AS INTEGER) AS member, step, iy, ix, value FROM det UNION ALL
+  SELECT run, param, member, step, iy, ix, value FROM eps)
+SELECT store, a.* FROM a, (VALUES ('plain'), ('series'), ('bucketed'), ('bucketed_series')) s(store)"""))
+def s4_publish_in_turn(spark, sf):
+    from ..operators.serving import series_pack
+    x1, x7 = fx.x1_field(spark, sf), fx.x7_ensemble(spark, sf)
+    one, two = x1.where(F.col("run") == "2026040300"), x1.where(F.col("run") == "2026040306")
+    tag = uuid.uuid4().hex
+    root = {k: _scratch(spark, k) for k in ("plain", "series", "bucketed", "bucketed_series")}
+    for part in (one, two, x7, one):
+        pack = series_pack(part)
+        store.field_publish(part, root["plain"])
+        store.series_publish(pack, root["series"])
+        store.field_publish_bucketed(part, root["bucketed"], f"isobar_turn_{tag}", 4)
+        store.series_publish_bucketed(pack, root["bucketed_series"], f"isobar_turns_{tag}", 4)
+    out = None
+    for ens in (False, True):
+        member = F.col("member") if ens else F.lit(None).cast("int")
+
+        def rows(df, name, member=member):
+            return df.select(F.lit(name).alias("store"), "run", "param", member.alias("member"), "step", "iy", "ix", "value")
+
+        def unpacked(df):
+            e = df.withColumn("e", F.explode(F.arrays_zip("steps", "vals")))
+            return e.withColumn("step", F.col("e.steps")).withColumn("value", F.col("e.vals"))
+        for part in (rows(store.field_scan(spark, root["plain"], ensemble=ens), "plain"),
+                     rows(unpacked(store.series_scan(spark, root["series"], ens)), "series"),
+                     rows(store.bucketed_field(spark, root["bucketed"], f"isobar_turn_{tag}", ensemble=ens), "bucketed"),
+                     rows(unpacked(store.bucketed_series(spark, root["bucketed_series"], f"isobar_turns_{tag}", ensemble=ens)),
+                          "bucketed_series")):
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("S3_field_scan", with_fixtures(["x1"], """
 SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1
 WHERE run = '2026040300' AND param IN ('t_2m', 'ps') AND step IN (0, 1, 2, 78)"""))

@@ -37,7 +37,7 @@ FIXTURE_CTES: dict[str, tuple[tuple[str, ...], str]] = {
   CASE WHEN cell % 7 = 0 AND step = 78 THEN {NAN} ELSE value END AS value FROM x1_cells)"""),
     "x2": ((), """x2 AS (SELECT CAST(year(ts)*1000000+month(ts)*10000+day(ts)*100+hour(ts)-hour(ts)%6 AS VARCHAR) AS run,
   event_type AS param, CAST(hour(ts) % 6 AS INTEGER) AS step, min(event_id % 20000) AS n_bytes,
-  200 AS status FROM events GROUP BY 1, 2, 3)"""),
+  CAST(CASE WHEN min(event_id) % 11 = 0 THEN 404 ELSE 200 END AS INTEGER) AS status FROM events GROUP BY 1, 2, 3)"""),
     "x2_expected": (("x2",), """x2_expected AS (SELECT r.run, p.param, CAST(s.step AS INTEGER) AS step
   FROM (SELECT DISTINCT run FROM x2) r, (SELECT DISTINCT param FROM x2) p,
   (VALUES (0),(1),(2),(3),(4),(5)) s(step))"""),
@@ -79,11 +79,10 @@ x4l AS (SELECT * FROM x4
     "x6_dst": ((), f"""x6_dst AS (SELECT CAST(n_nationkey AS BIGINT) AS dst_id,
   CAST(n_nationkey%5 AS DOUBLE)*{d(40)}-{d(80)} AS lat,
   CAST(floor(n_nationkey/5) AS DOUBLE)*{d(72)}-{d(180)} AS lon FROM nation)"""),
-    "x7": ((), f"""x7 AS (SELECT '2026040300' AS run, 't_2m' AS param, CAST(l_suppkey%4 AS INTEGER) AS member,
+    "x7": (("x1_pm",), f"""x7 AS (SELECT '2026040300' AS run, param, CAST(l_suppkey%4 AS INTEGER) AS member,
   CAST(month(l_shipdate)%6 AS INTEGER) AS step, CAST(floor(floor(l_partkey/10)/10) AS INTEGER) AS iy,
   CAST(floor(l_partkey/10) AS INTEGER) % 10 AS ix,
-  max({d(260)}+({d(310)}-{d(260)})*((CAST(round(l_extendedprice*100) AS BIGINT) % 100000)/{d(100000)})) AS value
-  FROM lineitem WHERE l_linenumber = 1 GROUP BY 1, 2, 3, 4, 5, 6)"""),
+  {_VALUE} AS value FROM lineitem JOIN x1_pm ON l_linenumber = n GROUP BY 1, 2, 3, 4, 5, 6)"""),
     "x8": ((), """x8 AS (SELECT user_id AS client, event_id AS req_id, ts FROM events)"""),
 }
 

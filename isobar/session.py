@@ -45,12 +45,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
-    The location comes from ``spark.checkpoint.dir``.  Only when the session
-    has none (local tests) is a fresh scratch folder created and registered.
+    The location comes from ``spark.checkpoint.dir``.  Only when a local
+    session (tests) has none is a fresh scratch folder created and registered;
+    on a cluster a missing setting is an error, as executors do not share the
+    driver's disk.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="isobar-ckpt-"))
         root = sc.getCheckpointDir()
     root = root.rstrip("/")
@@ -62,20 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared_dir(spark, "")
 
 
-def cluster_conf(input_bytes: int, cores: int, partition_mb: int = 256) -> dict[str, str]:
+def cluster_conf(input_bytes: int, cores: int, partition_mb: int = 256, max_width: int = 1_000_000) -> dict[str, str]:
     """Settings sized for a large job (pass to ``get_session(extra=...)``).
 
     Input splits and shuffle partitions target ``partition_mb`` each, so a
     task's working set fits in executor memory and spills stay rare; the
     initial shuffle width covers the input (at least 3 tasks per core, at most
-    100,000 partitions) and AQE
+    ``max_width`` partitions: map-status bookkeeping grows with their number) and AQE
     merges small partitions and splits skewed ones (a key with a third of all
     rows is cut at the advisory size).
     """
     part = partition_mb * 1024 * 1024
-    # wide enough for the input, but capped: map-status bookkeeping grows
-    # with (map tasks x reduce partitions)
-    width = max(3 * cores, min(-(-int(input_bytes) // part), 100_000))
+    width = max(3 * cores, min(-(-int(input_bytes) // part), max_width))
     return {
         "spark.sql.files.maxPartitionBytes": str(part),
         "spark.sql.shuffle.partitions": str(width),

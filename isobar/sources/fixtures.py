@@ -71,13 +71,14 @@ def x1_field(spark: SparkSession, sf_dir: str, with_nan: bool = False) -> DataFr
 
 
 def x2_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File listing (run, param, step, n_bytes, status) from events."""
+    """File listing (run, param, step, n_bytes, status) from events; about
+    one reply in eleven is an error."""
     ev = read_table(spark, sf_dir, "events")
     h = F.hour("ts")
     run = (F.year("ts") * 1000000 + F.month("ts") * 10000 + F.dayofmonth("ts") * 100 + h - h % 6).cast("string")
     return (ev.groupBy(F.col("event_type").alias("param"), run.alias("run"), (h % 6).alias("step"))
-            .agg(F.min(F.col("event_id") % 20000).alias("n_bytes"))
-            .select("run", "param", "step", "n_bytes", F.lit(200).alias("status")))
+            .agg(F.min(F.col("event_id") % 20000).alias("n_bytes"), F.min("event_id").alias("_e"))
+            .select("run", "param", "step", "n_bytes", F.when(F.col("_e") % 11 == 0, 404).otherwise(200).alias("status")))
 
 
 def x2_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,12 +194,13 @@ def x6_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x7_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A four-member t_2m ensemble (run, param, member, step, iy, ix, value)."""
-    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1)
-    g = (li.groupBy(F.lit("t_2m").alias("param"), (F.col("l_suppkey") % 4).cast("int").alias("member"),
+    """A four-member ensemble of the seven PET inputs (run, param, member, step, iy, ix, value)."""
+    # seven fixed rows: broadcasting them is bounded by construction
+    li = read_table(spark, sf_dir, "lineitem").join(F.broadcast(_ranges(spark)), F.col("l_linenumber") == F.col("n"))
+    g = (li.groupBy(F.col("param"), (F.col("l_suppkey") % 4).cast("int").alias("member"),
                     (F.month("l_shipdate") % 6).cast("int").alias("step"),
                     F.floor(F.col("l_partkey") / 10).cast("int").alias("cell"))
-         .agg(F.max(_value_rule(F.lit(260.0), F.lit(310.0), F.col("l_extendedprice"))).alias("value")))
+         .agg(F.max(_value_rule(F.col("lo"), F.col("hi"), F.col("l_extendedprice"))).alias("value")))
     return g.select(F.lit(ENSEMBLE_RUN).alias("run"), "param", "member", "step",
                     F.floor(F.col("cell") / 10).cast("int").alias("iy"),
                     (F.col("cell") % 10).alias("ix"), "value")

@@ -116,24 +116,31 @@ SERIES_SCHEMA = StructType([
     StructField("member", IntegerType()), StructField("cx", IntegerType()),
     StructField("iy", IntegerType()), StructField("ix", IntegerType()),
     StructField("steps", ArrayType(IntegerType())), StructField("vals", ArrayType(FloatType())),
-    StructField("run", StringType()), StructField("param", StringType()),
+    StructField("model", StringType()), StructField("run", StringType()), StructField("param", StringType()),
     StructField("cy", IntegerType()),
 ])
 
 
-def series_publish(series: DataFrame, root: str, codec: str = "zstd") -> None:
-    """Write the series layout (one row per pixel) partitioned by run, param
-    and chunk row ``cy``; files hold whole chunks sorted by (cx, iy, ix)."""
+def _series_rows(series: DataFrame, model: str | None) -> DataFrame:
     member = F.col("member") if "member" in series.columns else F.lit(0)
-    out = series.select(member.cast("int").alias("member"), "cx", "iy", "ix", "steps", "vals", "run", "param", "cy")
-    (out.repartition("run", "param", "cy", "cx")
-        .sortWithinPartitions("run", "param", "cy", "cx", "iy", "ix", "member")
+    return series.select(member.cast("int").alias("member"), F.col("cx").cast("int").alias("cx"), F.col("iy").cast("int").alias("iy"),
+                         F.col("ix").cast("int").alias("ix"), "steps", F.col("vals").cast("array<float>").alias("vals"),
+                         _model_col(series, model).alias("model"), "run", "param", F.col("cy").cast("int").alias("cy"))
+
+
+def series_publish(series: DataFrame, root: str, codec: str = "zstd", model: str | None = None) -> None:
+    """Write the series layout (one row per pixel) partitioned by model, run,
+    param and chunk row ``cy``; files hold whole chunks sorted by (cx, iy, ix).
+    Only the partitions present in ``series`` are replaced."""
+    (_series_rows(series, model).repartition("model", "run", "param", "cy", "cx")
+        .sortWithinPartitions("model", "run", "param", "cy", "cx", "iy", "ix", "member")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec).partitionBy("run", "param", "cy").parquet(root))
+        .option("compression", codec).partitionBy("model", "run", "param", "cy").parquet(root))
 
 
-def series_scan(spark: SparkSession, root: str, ensemble: bool = False) -> DataFrame:
+def series_scan(spark: SparkSession, root: str, ensemble: bool = False, model: str | None = None) -> DataFrame:
     df = spark.read.schema(SERIES_SCHEMA).parquet(root)
+    df = df.where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
     return df.select(*cols)
 
@@ -157,90 +164,133 @@ def read_markers(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MARKER_SCHEMA).parquet(root).select("run", "param", "marker", "payload", "ts")
 
 
-PIXEL_BUCKETS = 64
+#: Bytes of source data that one bucket should hold.
+BUCKET_BYTES = 1 << 30
+_FIELD_DDL = "member INT, step INT, iy INT, ix INT, value FLOAT, model STRING, run STRING, param STRING"
+_SERIES_DDL = ("member INT, cx INT, iy INT, ix INT, steps ARRAY<INT>, vals ARRAY<FLOAT>, model STRING, "
+               "run STRING, param STRING, cy INT")
+_NATIVE_DDL = "member INT, step INT, src_id BIGINT, value DOUBLE, model STRING, run STRING, param STRING"
+_WEIGHTS_DDL = "method STRING, dst_id BIGINT, src_id BIGINT, w DOUBLE, n_src BIGINT"
+
+
+def bucket_count(spark: SparkSession, n_bytes: int = 0) -> int:
+    """Buckets of a new table: one per ``BUCKET_BYTES`` expected, and at least
+    as many as the cluster has task slots (a bucketed scan has one task per bucket)."""
+    return max(spark.sparkContext.defaultParallelism, -(-int(n_bytes) // BUCKET_BYTES))
+
+
+def _layout(spark: SparkSession, root: str) -> int | None:
+    """The bucket count stored with the table at ``root``; None if there is no table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_layout")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema("buckets int").json(f"{root}/_layout").first()["buckets"]
 
 
-def field_publish_bucketed(field: DataFrame, root: str, table: str, buckets: int = PIXEL_BUCKETS,
-                           codec: str = "zstd") -> DataFrame:
-    """S4, co-located: write the field partitioned by (run, param) and
-    bucketed by pixel (iy, ix) into ``root`` as table ``table``.
+def _attach(spark: SparkSession, root: str, table: str, ddl: str, parts: str | None, by: str, sort: str,
+            buckets: int | None) -> int:
+    """Make ``table`` known to this session; returns its bucket count.
+
+    The count stored at ``root`` rules; asking for another one is an error,
+    since files of the two layouts must not mix.
+    """
+    stored = _layout(spark, root)
+    if stored is not None and buckets is not None and stored != buckets:
+        raise ValueError(f"{root} has {stored} buckets, not {buckets}")
+    n = stored or buckets or bucket_count(spark)
+    if stored is None:
+        spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("overwrite").json(f"{root}/_layout")
+    if not spark.catalog.tableExists(table):
+        partitioned = f"PARTITIONED BY ({parts})" if parts else ""
+        spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet OPTIONS (compression 'zstd') {partitioned} "
+                  f"CLUSTERED BY ({by}) SORTED BY ({sort}) INTO {n} BUCKETS LOCATION '{root}'")
+        if parts:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return n
+
+
+def _replace(rows: DataFrame, table: str, buckets: int, by: Sequence[str]) -> None:
+    """Replace the partitions present in ``rows`` (all rows of a table without
+    partitions) and nothing else, whatever the session's overwrite mode."""
+    (rows.repartition(buckets, *by).write.option("partitionOverwriteMode", "dynamic")
+        .insertInto(table, overwrite=True))
+
+
+def field_publish_bucketed(field: DataFrame, root: str, table: str, buckets: int | None = None,
+                           model: str | None = None) -> DataFrame:
+    """S4, co-located: write (replace) the (model, run, param) partitions of
+    ``field`` in a table bucketed by pixel (iy, ix) at ``root``.
 
     Reading it back gives a scan already hash-partitioned by (iy, ix), which
     satisfies every per-pixel window and every grouping that contains the
     pixel (W1, W2, J4, D1, A9), so those operators run without a shuffle.
     """
+    spark = field.sparkSession
+    n = _attach(spark, root, table, _FIELD_DDL, "model, run, param", "iy, ix", "iy, ix, member, step", buckets)
     member = F.col("member") if "member" in field.columns else F.lit(0)
     out = field.select(member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
                        F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"),
-                       F.col("value").cast("float").alias("value"),
+                       F.col("value").cast("float").alias("value"), _model_col(field, model).alias("model"),
                        F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"))
-    (out.repartition(buckets, "iy", "ix").write.mode("overwrite").format("parquet").option("compression", codec)
-        .option("path", root).partitionBy("run", "param").bucketBy(buckets, "iy", "ix")
-        .sortBy("iy", "ix", "member", "step").saveAsTable(table))
-    return bucketed_field(field.sparkSession, root, table, buckets)
+    _replace(out, table, n, ["iy", "ix"])
+    return bucketed_field(spark, root, table, ensemble="member" in field.columns and model is None, model=model)
 
 
-def bucketed_field(spark: SparkSession, root: str, table: str, buckets: int = PIXEL_BUCKETS,
-                   ensemble: bool = False) -> DataFrame:
-    """Attach (or re-attach after a restart) the bucketed field at ``root``."""
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"""CREATE TABLE {table} (member INT, step INT, iy INT, ix INT, value FLOAT,
-                      run STRING, param STRING) USING parquet PARTITIONED BY (run, param)
-                      CLUSTERED BY (iy, ix) SORTED BY (iy, ix, member, step) INTO {buckets} BUCKETS
-                      LOCATION '{root}'""")
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+def bucketed_field(spark: SparkSession, root: str, table: str, buckets: int | None = None,
+                   ensemble: bool = False, model: str | None = None) -> DataFrame:
+    """The bucketed field of one model (attached if this session does not know the table)."""
+    _attach(spark, root, table, _FIELD_DDL, "model, run, param", "iy, ix", "iy, ix, member, step", buckets)
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["step", "iy", "ix", "value"]
-    return spark.table(table).select(*cols)
+    return (spark.table(table).where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
+            .select(*cols))
 
 
-def series_publish_bucketed(series: DataFrame, root: str, table: str, buckets: int = PIXEL_BUCKETS,
-                            codec: str = "zstd") -> DataFrame:
-    """The series layout partitioned by (run, param, cy) - chunk rows prune
-    point lookups - and bucketed by pixel (iy, ix) - the seven series of a
-    pixel meet without a shuffle (D1 on series)."""
-    member = F.col("member") if "member" in series.columns else F.lit(0)
-    out = series.select(member.cast("int").alias("member"), "cx", "iy", "ix", "steps", "vals", "run", "param", "cy")
-    (out.repartition(buckets, "iy", "ix").write.mode("overwrite").format("parquet").option("compression", codec)
-        .option("path", root).partitionBy("run", "param", "cy").bucketBy(buckets, "iy", "ix")
-        .sortBy("iy", "ix", "member").saveAsTable(table))
-    return bucketed_series(series.sparkSession, root, table, buckets)
+def series_publish_bucketed(series: DataFrame, root: str, table: str, buckets: int | None = None,
+                            model: str | None = None) -> DataFrame:
+    """The series layout partitioned by (model, run, param, cy) - chunk rows
+    prune point lookups - and bucketed by pixel (iy, ix) - the seven series of
+    a pixel meet without a shuffle (D1 on series)."""
+    spark = series.sparkSession
+    n = _attach(spark, root, table, _SERIES_DDL, "model, run, param, cy", "iy, ix", "iy, ix, member", buckets)
+    _replace(_series_rows(series, model), table, n, ["iy", "ix"])
+    return bucketed_series(spark, root, table, ensemble="member" in series.columns and model is None, model=model)
 
 
-def bucketed_series(spark: SparkSession, root: str, table: str, buckets: int = PIXEL_BUCKETS,
-                    ensemble: bool = False) -> DataFrame:
-    """Attach (or re-attach) the bucketed series store at ``root``."""
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"""CREATE TABLE {table} (member INT, cx INT, iy INT, ix INT, steps ARRAY<INT>,
-                      vals ARRAY<FLOAT>, run STRING, param STRING, cy INT) USING parquet
-                      PARTITIONED BY (run, param, cy) CLUSTERED BY (iy, ix) SORTED BY (iy, ix, member)
-                      INTO {buckets} BUCKETS LOCATION '{root}'""")
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+def bucketed_series(spark: SparkSession, root: str, table: str, buckets: int | None = None,
+                    ensemble: bool = False, model: str | None = None) -> DataFrame:
+    """The bucketed series of one model (attached if need be)."""
+    _attach(spark, root, table, _SERIES_DDL, "model, run, param, cy", "iy, ix", "iy, ix, member", buckets)
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
-    return spark.table(table).select(*cols)
+    return (spark.table(table).where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
+            .select(*cols))
 
 
-def native_publish_bucketed(native: DataFrame, root: str, table: str, buckets: int,
-                            codec: str = "zstd") -> DataFrame:
-    """The native (unstructured) field partitioned by (run, param) and
+def native_publish_bucketed(native: DataFrame, root: str, table: str, buckets: int | None = None,
+                            model: str | None = None) -> DataFrame:
+    """The native (unstructured) field partitioned by (model, run, param) and
     bucketed by ``src_id``; with weights bucketed the same way (same count),
     the remap join needs no shuffle."""
+    spark = native.sparkSession
+    n = _attach(spark, root, table, _NATIVE_DDL, "model, run, param", "src_id", "src_id", buckets)
     member = F.col("member") if "member" in native.columns else F.lit(0)
+    name = model or DETERMINISTIC_MODEL
     out = native.select(member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
                         F.col("src_id").cast("long").alias("src_id"), F.col("value").cast("double").alias("value"),
+                        (_model_col(native, name)).alias("model"),
                         F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"))
-    (out.repartition(buckets, "src_id").write.mode("overwrite").format("parquet").option("compression", codec)
-        .option("path", root).partitionBy("run", "param").bucketBy(buckets, "src_id")
-        .sortBy("src_id").saveAsTable(table))
-    return native.sparkSession.table(table).select("run", "param", "member", "step", "src_id", "value")
+    _replace(out, table, n, ["src_id"])
+    rows = spark.table(table)
+    return (rows if "model" in native.columns else rows.where(F.col("model") == name)).select(
+        "run", "param", "member", "step", "src_id", "value")
 
 
-def weights_publish_bucketed(weights: DataFrame, root: str, table: str, buckets: int,
-                             codec: str = "zstd") -> DataFrame:
+def weights_publish_bucketed(weights: DataFrame, root: str, table: str, buckets: int | None = None) -> DataFrame:
     """Remap weights with their per-target source count, bucketed by
     ``src_id`` (computed once per grid pair, reused by every remap job)."""
     from ..operators.remap import prepare_weights
+    spark = weights.sparkSession
+    n = _attach(spark, root, table, _WEIGHTS_DDL, None, "src_id", "src_id", buckets)
     w = weights if "n_src" in weights.columns else prepare_weights(weights)
-    (w.select("method", "dst_id", "src_id", "w", "n_src").repartition(buckets, "src_id")
-        .write.mode("overwrite").format("parquet").option("compression", codec).option("path", root)
-        .bucketBy(buckets, "src_id").sortBy("src_id").saveAsTable(table))
-    return weights.sparkSession.table(table)
+    _replace(w.select("method", F.col("dst_id").cast("long"), F.col("src_id").cast("long"), F.col("w").cast("double"),
+                      F.col("n_src").cast("long")), table, n, ["src_id"])
+    return spark.table(table)

@@ -1,5 +1,6 @@
 """End-to-end jobs on fixture data."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -45,15 +46,68 @@ def test_answer_points_statuses(spark):
     assert len({r.req_id for r in rows}) == len(rows) == req.count()
     st = {r.status for r in rows}
     assert 200 in st and 400 in st
+    eps = serving.series_pack(fx.x7_ensemble(spark, SF_SMALL))
+    both = jobs.answer_points(req, series, fx.x4_lifecycle_markers(spark, SF_SMALL), whitelist=["t_2m", "ps"],
+                              ensemble_series=eps).collect()
+    assert len(both) == req.count()
+    wants = {r.req_id for r in req.where("ensemble = 'true'").collect()}
+    assert all(('"members"' in r.body) == (r.req_id in wants) for r in both if r.status == 200)
+    nobody = jobs.answer_points(req, series, fx.x4_markers(spark, SF_SMALL), whitelist=["t_2m", "ps"])
+    assert nobody.where("status = 503").count() > 0 and nobody.count() == req.count()
 
 
 def test_validate_and_finalize(spark):
     x1 = fx.x1_field(spark, SF_SMALL)
-    res = jobs.validate_and_finalize(x1, fx.x4_markers(spark, SF_SMALL), derive.PET_INPUTS, x1.select("run"), keep=1)
-    gate = {r.run: r.ok for r in res["gate"].collect()}
-    assert gate["2026040306"] is False and gate["2026040300"] is True
-    assert res["index"].count() == sum(gate.values())
-    assert res["retention"].where("keep").count() == 1
+    runs = x1.select("run").unionByName(spark.createDataFrame([("2026050100",)], "run string"))
+    res = jobs.validate_and_finalize(x1, fx.x4_markers(spark, SF_SMALL), "2026040300", derive.PET_INPUTS, runs,
+                                     staging=runs, keep=1)
+    assert [r.run for r in res["index"].collect()] == ["2026040300"]
+    assert [(r.run, r.payload) for r in res["latest"].collect()] == [("2026040300", "2026040300")]
+    assert {r.run for r in res["retention"].where("keep").collect()} == {"2026040300", "2026050100"}
+    assert {r.run for r in res["orphans"].collect()} == {"2026040306", "2026040312"}
+
+
+def test_finalize_refuses(spark):
+    x1, mk = fx.x1_field(spark, SF_SMALL), fx.x4_markers(spark, SF_SMALL)
+    with pytest.raises(RuntimeError, match="ps"):  # one marker is missing
+        jobs.finalize(x1, mk, "2026040306", derive.PET_INPUTS, x1.select("run"))
+    with pytest.raises(RuntimeError, match="not promoted"):
+        jobs.finalize(x1, mk, "2026040312", derive.PET_INPUTS, x1.select("run"))
+    with pytest.raises(RuntimeError, match="pet_pm"):  # a derived layer is not there yet
+        jobs.validate_and_finalize(x1, mk, "2026040300", derive.PET_INPUTS, x1.select("run"), derived=["pet_pm"])
+
+
+def test_derive_pet_needs_all_inputs(spark, tmp_path):
+    root = str(tmp_path / "store")
+    store.field_publish(fx.x1_field(spark, SF_SMALL).where("param <> 'ps'"), root)
+    with pytest.raises(FileNotFoundError, match="ps"):
+        jobs.derive_pet(spark, root, fx.x4_lifecycle_markers(spark, SF_SMALL), run="2026040300")
+    assert store.field_scan(spark, root, params=["pet_pm"]).count() == 0
+
+
+def test_ingest_of_an_ensemble_and_of_nothing(spark, tmp_path):
+    nat = fx.x5_native(spark, SF_SMALL).where("run = '2026040300' AND param IN ('t_2m', 'ps') AND step IN (0, 1)")
+    nat = nat.withColumn("member", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    w = fx.x5_weights(spark, SF_SMALL, "distance").unionByName(fx.x5_weights(spark, SF_SMALL, "conservative"))
+    listing = nat.select("run", "param", "member", "step").distinct().withColumn(
+        "n_bytes", F.when((F.col("param") == "ps") & (F.col("member") == 2), 300).otherwise(50000).cast("long")).withColumn(
+        "status", F.when(F.col("param") == "ps", F.when(F.col("member") == 1, 404).otherwise(200)).otherwise(200))
+    root = str(tmp_path / "eps")
+    marks = jobs.ingest(nat, w, listing, root, members=3, zero_grid=(2, 3))
+    assert {r.param for r in marks.collect()} == {"t_2m", "ps"}
+    got = store.field_scan(spark, root, ensemble=True)
+    assert {(r.param, r.member) for r in got.select("param", "member").distinct().collect()} == {
+        ("t_2m", 0), ("t_2m", 1), ("t_2m", 2), ("ps", 0), ("ps", 2)}
+    zero = got.where("param = 'ps' AND member = 2")
+    assert zero.count() == 2 * 6 and zero.where("value <> 0").count() == 0
+    assert store.field_scan(spark, root).count() == 0  # nothing under the deterministic model
+    none = listing.withColumn("status", F.when(F.col("param") == "ps", 404).otherwise(F.col("status")))
+    with pytest.raises(RuntimeError, match="ps run=2026040300: no forecast steps"):
+        jobs.ingest(nat, w, none, root, members=3, zero_grid=(2, 3))
+    assert [r.param for r in jobs.ingest(nat, w, none, str(tmp_path / "e2"), members=3, on_empty="skip", zero_grid=(2, 3)).collect()] == ["t_2m"]
+    existing = spark.createDataFrame([("staging/2026040300/ps",), ("staging/2026040300/t_2m",)], "path string")
+    gone = jobs.failed_cleanup(existing, jobs.ingest_failures(none, members=3))
+    assert [r.path for r in gone.collect()] == ["staging/2026040300/ps"]
 
 
 def test_marker_table_append_and_latest(spark, tmp_path):
