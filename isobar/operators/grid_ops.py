@@ -118,28 +118,31 @@ def precip_mask(field: DataFrame, params=None) -> DataFrame:
 
 
 
+#: Cells on a side of the tiles that box queries are joined on.
+TILE = 10
+
 
 def bbox_slice_many(field: DataFrame, boxes: DataFrame, max_pixels: int = MAX_BOX_PIXELS) -> DataFrame:
     """P11 for a table of boxes ``(box_id, south, west, north, east)``.
 
-    A range join made equi: each box (guarded to ``max_pixels`` by P12, so it
-    covers a handful of chunks) is expanded to the chunks (cy, cx) it
-    touches, joined to the field on the chunk and filtered to its index
-    ranges.  Oversized boxes are left out, as the guard rejects them.
+    A range join made equi: each box is expanded to the 10 x 10 cell tiles it
+    touches (about 500 for the largest allowed one), joined to the field on
+    the tile, and filtered to its index ranges on the tiles at its edge, so a
+    field row meets few boxes that do not hold it.  A box that P12 rejects
+    comes back as one row without cell, with an ``error``.
     """
-    g = bbox_guard(boxes, max_pixels).where("ok")
+    guarded = bbox_guard(boxes, max_pixels)
     b = box_indices("south", "west", "north", "east")
-    g = g.select("box_id", *[v.alias(k) for k, v in b.items()])
-    g = (g.withColumn("cy", F.explode(F.sequence(grid.chunk_of(F.col("iy0")), grid.chunk_of(F.col("iy1")))))
-         .withColumn("cx", F.explode(F.sequence(grid.chunk_of(F.col("ix0"), grid.CHUNK_LON),
-                                                 grid.chunk_of(F.col("ix1"), grid.CHUNK_LON)))))
-    f = field
-    if "cy" not in f.columns:
-        f = f.withColumn("cy", grid.chunk_of(F.col("iy")))
-    if "cx" not in f.columns:
-        f = f.withColumn("cx", grid.chunk_of(F.col("ix"), grid.CHUNK_LON))
-    # (box, chunk) rows are few per box: broadcast after a size check so the
-    # field is not shuffled onto its few chunk keys
-    j = f.join(bounded_broadcast(g, SMALL_SIDE_ROWS), ["cy", "cx"])
+    g = guarded.where("ok").select("box_id", *[v.alias(k) for k, v in b.items()])
+    tile = lambda c: F.floor(c / TILE).cast("int")
+    g = (g.withColumn("_ty", F.explode(F.sequence(tile(F.col("iy0")), tile(F.col("iy1")))))
+         .withColumn("_tx", F.explode(F.sequence(tile(F.col("ix0")), tile(F.col("ix1"))))))
+    f = field.withColumn("_ty", tile(F.col("iy"))).withColumn("_tx", tile(F.col("ix")))
+    # (box, tile) rows are few per box: broadcast after a size check so the
+    # field is not shuffled onto its few tile keys
+    j = f.join(bounded_broadcast(g, SMALL_SIDE_ROWS), ["_ty", "_tx"])
     inside = F.col("iy").between(F.col("iy0"), F.col("iy1")) & F.col("ix").between(F.col("ix0"), F.col("ix1"))
-    return j.where(inside).drop("iy0", "iy1", "ix0", "ix1", "cy", "cx")
+    hit = j.where(inside).select(*field.columns, "box_id", F.lit(None).cast("string").alias("error"))
+    text = F.concat(F.lit("Selected area is too large ("), F.col("pixels").cast("string"), F.lit(" pixels)"))
+    none = [F.lit(None).cast(f_.dataType).alias(f_.name) for f_ in field.schema.fields]
+    return hit.unionByName(guarded.where(~F.col("ok")).select(*none, "box_id", text.alias("error")))

@@ -234,23 +234,28 @@ def u2_concat_members(spark, sf):
 
 
 def _small_boxes(spark, sf):
-    """Boxes near X1's cells (from X3b requests): up to 0.5 x 0.75 degrees."""
+    """Boxes near X1's cells (from X3b requests): up to 0.5 x 0.75 degrees, and
+    one in fifty of 40 x 120 degrees, which is too large."""
     k = F.col("req_id")
+    big = F.when(k % 50 == 0, 1.0).otherwise(0.0)
     return fx.x3b_requests(spark, sf).select(
-        F.col("req_id").alias("box_id"), (F.col("lat") - (k % 5).cast("double") * 0.125).alias("south"),
+        F.col("req_id").alias("box_id"), (F.col("lat") - (k % 5).cast("double") * 0.125 - big * 40).alias("south"),
         F.col("lon").alias("west"), F.col("lat").alias("north"),
-        (F.col("lon") + (k % 7).cast("double") * 0.125).alias("east"))
+        (F.col("lon") + (k % 7).cast("double") * 0.125 + big * 120).alias("east"))
 
 
-_SMALL_BOX_SQL = f"""bx AS (SELECT req_id AS box_id, lat - CAST(req_id % 5 AS DOUBLE) * {d(0.125)} AS south, lon AS west,
-  lat AS north, lon + CAST(req_id % 7 AS DOUBLE) * {d(0.125)} AS east FROM x3b),
-bi AS (SELECT box_id, {_cell_sql('north', 'west')[0]} AS iy0, {_cell_sql('south', 'east')[0]} AS iy1,
-  {_cell_sql('north', 'west')[1]} AS ix0, {_cell_sql('south', 'east')[1]} AS ix1 FROM bx
-  WHERE ({_cell_sql('south', 'east')[0]} - {_cell_sql('north', 'west')[0]} + 1)
-      * ({_cell_sql('south', 'east')[1]} - {_cell_sql('north', 'west')[1]} + 1) <= 50000)"""
+_BIG = f"CASE WHEN req_id % 50 = 0 THEN {d(1)} ELSE {d(0)} END"
+_SMALL_BOX_SQL = f"""bx AS (SELECT req_id AS box_id,
+  lat - CAST(req_id % 5 AS DOUBLE) * {d(0.125)} - ({_BIG}) * {d(40)} AS south, lon AS west,
+  lat AS north, lon + CAST(req_id % 7 AS DOUBLE) * {d(0.125)} + ({_BIG}) * {d(120)} AS east FROM x3b),
+ba AS (SELECT box_id, {_cell_sql('north', 'west')[0]} AS iy0, {_cell_sql('south', 'east')[0]} AS iy1,
+  {_cell_sql('north', 'west')[1]} AS ix0, {_cell_sql('south', 'east')[1]} AS ix1 FROM bx),
+bi AS (SELECT *, CAST((iy1 - iy0 + 1) * (ix1 - ix0 + 1) AS BIGINT) AS px FROM ba)"""
 
 
 @register("P11_bbox_slice_many", with_fixtures(["x1", "x3b"], _SMALL_BOX_SQL + """
-SELECT x1.*, bi.box_id FROM x1 JOIN bi ON x1.iy BETWEEN bi.iy0 AND bi.iy1 AND x1.ix BETWEEN bi.ix0 AND bi.ix1"""))
+SELECT x1.*, bi.box_id, CAST(NULL AS VARCHAR) AS error FROM x1
+  JOIN bi ON x1.iy BETWEEN bi.iy0 AND bi.iy1 AND x1.ix BETWEEN bi.ix0 AND bi.ix1 WHERE bi.px <= 50000
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, box_id, 'Selected area is too large (' || px || ' pixels)' FROM bi WHERE px > 50000"""))
 def p11_bbox_slice_many(spark, sf):
     return grid_ops.bbox_slice_many(fx.x1_field(spark, sf), _small_boxes(spark, sf))
