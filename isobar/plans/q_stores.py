@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -81,20 +84,60 @@ def s3_field_scan(spark, sf):
                             steps=[0, 1, 2, 78])
 
 
-@register("S5_chunk_export", with_fixtures(["x1"], """
-SELECT DISTINCT run, param, CAST(floor(iy / 100) AS INTEGER) AS cy, CAST(floor(ix / 100) AS INTEGER) AS cx FROM x1"""))
+def _raw_chunks(batches):
+    """Valid cells, least and largest value of each written file, from its bytes alone."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            v = np.frombuffer(gzip.decompress(r["content"]), "<f4")
+            v = v[~np.isnan(v)]
+            out.append({"file": r["path"], "n_valid": len(v), "vmin": float(v.min()) if len(v) else None,
+                        "vmax": float(v.max()) if len(v) else None})
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("file", pa.string()), ("n_valid", pa.int64()),
+                                                                ("vmin", pa.float64()), ("vmax", pa.float64())]))
+
+
+@register("S5_chunk_export", with_fixtures(["x1n"], """
+SELECT run, param, CAST(floor(iy / 50) AS INTEGER) AS cy, CAST(floor(ix / 50) AS INTEGER) AS cx,
+  count(*) FILTER (WHERE NOT isnan(value)) AS n_valid,
+  min(CAST(CAST(value AS FLOAT) AS DOUBLE)) FILTER (WHERE NOT isnan(value)) AS vmin,
+  max(CAST(CAST(value AS FLOAT) AS DOUBLE)) FILTER (WHERE NOT isnan(value)) AS vmax
+FROM x1n GROUP BY run, param, CAST(floor(iy / 50) AS INTEGER), CAST(floor(ix / 50) AS INTEGER)"""))
 def s5_chunk_export(spark, sf):
-    return chunks.chunk_export(fx.x1_field(spark, sf), _scratch(spark, "zarr")).select("run", "param", "cy", "cx")
+    path = _scratch(spark, "zarr")
+    written = chunks.chunk_export(fx.x1_field(spark, sf, with_nan=True), path, chunk=(50, 50))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "0.*").load(f"{path}/*/*/*").select("path", "content")
+    content = files.mapInArrow(_raw_chunks, "file string, n_valid long, vmin double, vmax double")
+    return written.join(content, "file").select("run", "param", "cy", "cx", "n_valid", "vmin", "vmax")
 
 
-@register("S6_chunk_scan", with_fixtures(["x1"], """
-SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1"""))
+_X1N_SQL = with_fixtures(["x1n"], "SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1n")
+
+
+@register("S6_chunk_scan", _X1N_SQL)
 def s6_chunk_scan(spark, sf):
     path = _scratch(spark, "zarr")
-    chunks.chunk_export(fx.x1_field(spark, sf), path)
+    chunks.chunk_export(fx.x1_field(spark, sf, with_nan=True), path)
     return chunks.chunk_scan(spark, path)
 
 
+@register("S6_chunk_scan_small", _X1N_SQL)
+def s6_chunk_scan_small(spark, sf):
+    """Chunks of another shape: the reader takes it from the array's metadata."""
+    path = _scratch(spark, "zarr")
+    chunks.chunk_export(fx.x1_field(spark, sf, with_nan=True), path, chunk=(7, 50))
+    return chunks.chunk_scan(spark, path)
+
+
+@register("S6_chunk_scan_eps", with_fixtures(["x7"], """
+SELECT run, param, member, step, iy, ix, CAST(value AS FLOAT) AS value FROM x7"""))
+def s6_chunk_scan_eps(spark, sf):
+    """Four dimensions, all members in one chunk."""
+    path = _scratch(spark, "zarr")
+    chunks.chunk_export(fx.x7_ensemble(spark, sf), path)
+    return chunks.chunk_scan(spark, path, ensemble=True)
+
+
 @register("S9_read_manifest", with_fixtures(["x2_expected"], """
 SELECT e.run, e.param, e.step, l.step IS NOT NULL AS is_available FROM x2_expected e
   LEFT JOIN x2 l ON e.run = l.run AND e.param = l.param AND e.step = l.step AND l.status = 200"""))

@@ -1,11 +1,18 @@
-"""Zarr-v2 style chunk files (S5 chunk_export, S6 chunk_scan).
-
-Each (run, param) becomes a Zarr v2 group ``path/run/param`` with the data
-array ``param`` chunked ``[n_steps, 100, 100]`` (little-endian float32,
-C order, gzip, NaN fill, edge chunks padded) and a ``step`` coordinate.
-Chunks are written by the executors (one pandas group per chunk, bounded by
-the chunk shape) through ``pyarrow.fs``, so any Hadoop-compatible or object
-store path works; a retried task rewrites the same bytes.
+"""Zarr-v2 chunk stores (S5 chunk_export, S6 chunk_scan).
+
+Each (run, param) becomes a Zarr v2 group ``path/run/param`` with consolidated
+metadata, the coordinates ``step``, ``latitude`` and ``longitude`` (and
+``realization``) and the data array ``param``: ``[step, latitude, longitude]``
+or ``[step, realization, latitude, longitude]``, one chunk over all steps and
+members, little-endian float32, C order, gzip, NaN fill, edge chunks padded.
+Tasks write and read chunk files through ``pyarrow.fs`` under the URI that the
+cluster's default file system gives the path; a retried task rewrites the same
+bytes.
+
+A NaN cell and an absent cell look alike in a chunk.  Which cells a chunk was
+given is kept beside it (``.present.<key>``, one bit per cell; Zarr readers do
+not look at it), so a round trip returns the exported rows, NaN included.
+Stores without it, from other writers, return every cell of the grid.
 """
 
 from __future__ import annotations
@@ -13,34 +20,46 @@ from __future__ import annotations
 import gzip
 import json
 import uuid
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid
 from ..operators.joins import bounded_broadcast
+from ..session import ensure_checkpoint_dir
+
+MAX_AXIS_ROWS = 1_000_000  # (run, param, step) rows that may be broadcast
+CHUNK_SCHEMA = "run string, param string, cy int, cx int, file string, n_bytes long"
 
-MAX_AXIS_ROWS = 100_000  # (run, param) pairs whose step axes are broadcast
-CHUNK_SCHEMA = "run string, param string, member int, cy int, cx int, file string, n_bytes long"
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path's full URI under the session's default file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
-def _fs(path: str):
-    """(filesystem, path) for a Hadoop-style URI, a ``file:`` URI or a plain path."""
+
+def _fs(uri: str):
+    """(pyarrow file system, path in it) of a Hadoop-style URI."""
     from pyarrow import fs as pafs
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    for scheme in ("s3a://", "s3n://"):
+        if uri.startswith(scheme):
+            uri = "s3://" + uri[len(scheme):]
+    if "://" not in uri:
+        raise ValueError(f"not a URI: {uri}")
+    return pafs.FileSystem.from_uri(uri)
 
 
-def _put(filesystem, path: str, data: bytes) -> None:
-    """Write ``data`` to ``path`` atomically: each task attempt writes its own
-    temporary file and moves it into place, so a retried or speculative
-    attempt never interleaves with another one (both carry the same bytes)."""
+def _put(uri: str, data: bytes) -> None:
+    """Write ``data`` atomically: each task attempt writes its own temporary
+    file and moves it into place, so a retried or speculative attempt never
+    interleaves with another one (both carry the same bytes)."""
+    filesystem, path = _fs(uri)
     parent = path.rsplit("/", 1)[0]
     filesystem.create_dir(parent, recursive=True)
     tmp = f"{parent}/.tmp-{uuid.uuid4().hex}"
@@ -49,138 +68,207 @@ def _put(filesystem, path: str, data: bytes) -> None:
     filesystem.move(tmp, path)
 
 
-def _zarray(shape, chunks, dtype: str, level: int, fill) -> bytes:
-    meta = {"zarr_format": 2, "shape": list(shape), "chunks": list(chunks), "dtype": dtype,
+def _get(uri: str) -> bytes | None:
+    """The file's bytes, or None if there is no such file."""
+    filesystem, path = _fs(uri)
+    try:
+        with filesystem.open_input_stream(path) as f:
+            return f.read()
+    except FileNotFoundError:
+        return None
+
+
+def _zarray(shape, chunks, dtype: str, level: int, fill) -> dict:
+    return {"zarr_format": 2, "shape": list(shape), "chunks": list(chunks), "dtype": dtype,
             "compressor": {"id": "gzip", "level": level}, "fill_value": fill, "order": "C",
             "filters": None, "dimension_separator": "."}
-    return json.dumps(meta).encode()
+
+
+def _group_files(param: str, steps: np.ndarray, n_members: int | None, chunk, level: int) -> dict[str, bytes]:
+    """Every file of a group but the data chunks, by its name in the group."""
+    ch_y, ch_x = chunk
+    ny, nx, n = grid.GRID_NY, grid.GRID_NX, len(steps)
+    lat = grid.LAT_MAX - np.arange(ny) * grid.RES_DEG
+    lon = grid.LON_MIN + np.arange(nx) * grid.RES_DEG
+    coords = {"step": steps.astype("<i8"), "latitude": lat.astype("<f8"), "longitude": lon.astype("<f8")}
+    if n_members is None:
+        dims, shape, chunks = ["step", "latitude", "longitude"], (n, ny, nx), (n, ch_y, ch_x)
+    else:
+        coords["realization"] = np.arange(n_members, dtype="<i8")
+        dims = ["step", "realization", "latitude", "longitude"]
+        shape, chunks = (n, n_members, ny, nx), (n, n_members, ch_y, ch_x)
+    meta: dict[str, dict] = {".zgroup": {"zarr_format": 2}, ".zattrs": {}}
+    meta[f"{param}/.zarray"] = _zarray(shape, chunks, "<f4", level, "NaN")
+    meta[f"{param}/.zattrs"] = {"_ARRAY_DIMENSIONS": dims}
+    files = {}
+    for name, values in coords.items():
+        meta[f"{name}/.zarray"] = _zarray(values.shape, values.shape, values.dtype.str, level, None)
+        meta[f"{name}/.zattrs"] = {"_ARRAY_DIMENSIONS": [name]}
+        files[f"{name}/0"] = gzip.compress(values.tobytes(), compresslevel=level, mtime=0)
+    files |= {k: json.dumps(v).encode() for k, v in meta.items()}
+    files[".zmetadata"] = json.dumps({"zarr_consolidated_format": 1, "metadata": meta}).encode()
+    return files
 
 
 def chunk_export(field: DataFrame, path: str, chunk=(grid.CHUNK_LAT, grid.CHUNK_LON), level: int = 5) -> DataFrame:
-    """Write every (run, param) of ``field`` as chunk files; returns the
-    written-chunk table (also saved as a parquet listing under ``path/_chunks``).
+    """Write every (run, param) of ``field`` as a chunk store; returns the
+    table of written chunks (also kept as parquet under ``path/_chunks``).
 
-    Deterministic arrays are ``[step, lat, lon]`` with keys ``0.cy.cx``;
-    ensembles are ``[realization, step, lat, lon]`` chunked one member at a
-    time, keys ``m.0.cy.cx`` - a group is always one chunk.
+    The step axis of each (run, param) is computed once.  Field rows carry
+    their step's index only; they are sorted by chunk and streamed into one
+    array at a time, so a task holds one chunk however many members it has.
     """
+    spark = field.sparkSession
+    ensure_checkpoint_dir(spark)
     ch_y, ch_x = chunk
     ens = "member" in field.columns
-    member = F.col("member").cast("int") if ens else F.lit(None).cast("int")
+    member = F.col("member").cast("int") if ens else F.lit(0)
     # the step axis (and member count) of each (run, param): one small row each
     axis = field.groupBy("run", "param").agg(
-        F.sort_array(F.collect_set("step")).alias("steps"),
-        (F.max(member) + 1).alias("n_members"))
-    # one row per (run, param): broadcast after a size check, so the field is
-    # never shuffled on its few (run, param) keys (that would be badly skewed)
-    axis_b = bounded_broadcast(axis.select("run", "param", "steps"), MAX_AXIS_ROWS)
-    f = (field.select("run", "param", member.alias("member"), "step", "iy", "ix",
-                      F.col("value").cast("float").alias("value"))
-         .withColumn("cy", F.floor(F.col("iy") / ch_y).cast("int"))
-         .withColumn("cx", F.floor(F.col("ix") / ch_x).cast("int"))
-         .join(axis_b, ["run", "param"]))
-    root = path.rstrip("/")
-
-    def write_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        filesystem, base = _fs(root)
-        run, param = pdf["run"].iat[0], pdf["param"].iat[0]
-        cy, cx = int(pdf["cy"].iat[0]), int(pdf["cx"].iat[0])
-        m = pdf["member"].iat[0]
-        steps = np.asarray(pdf["steps"].iat[0], dtype=np.int64)
-        arr = np.full((len(steps), ch_y, ch_x), np.nan, dtype="<f4")
-        si = np.searchsorted(steps, pdf["step"].to_numpy())
-        arr[si, pdf["iy"].to_numpy() - cy * ch_y, pdf["ix"].to_numpy() - cx * ch_x] = pdf["value"].to_numpy()
-        data = gzip.compress(arr.tobytes(order="C"), compresslevel=level, mtime=0)
-        key = f"0.{cy}.{cx}" if pd.isna(m) else f"{int(m)}.0.{cy}.{cx}"
-        name = f"{base}/{run}/{param}/{param}/{key}"
-        _put(filesystem, name, data)
-        return pd.DataFrame({"run": [run], "param": [param], "member": [None if pd.isna(m) else int(m)],
-                             "cy": [cy], "cx": [cx], "file": [name], "n_bytes": [len(data)]})
-
-    def write_meta(pdf: pd.DataFrame) -> pd.DataFrame:
-        filesystem, base = _fs(root)
-        run, param = pdf["run"].iat[0], pdf["param"].iat[0]
-        steps = np.asarray(pdf["steps"].iat[0], dtype="<i8")
-        nm = pdf["n_members"].iat[0]
-        g = f"{base}/{run}/{param}"
-        if pd.isna(nm):
-            shape, chunks, dims = ((len(steps), grid.GRID_NY, grid.GRID_NX), (len(steps), ch_y, ch_x),
-                                   ["step", "latitude", "longitude"])
-        else:
-            shape, chunks, dims = ((int(nm), len(steps), grid.GRID_NY, grid.GRID_NX), (1, len(steps), ch_y, ch_x),
-                                   ["realization", "step", "latitude", "longitude"])
-        _put(filesystem, f"{g}/.zgroup", json.dumps({"zarr_format": 2}).encode())
-        _put(filesystem, f"{g}/{param}/.zarray", _zarray(shape, chunks, "<f4", level, "NaN"))
-        _put(filesystem, f"{g}/{param}/.zattrs", json.dumps({"_ARRAY_DIMENSIONS": dims}).encode())
-        _put(filesystem, f"{g}/step/.zarray", _zarray((len(steps),), (len(steps),), "<i8", level, None))
-        _put(filesystem, f"{g}/step/.zattrs", json.dumps({"_ARRAY_DIMENSIONS": ["step"]}).encode())
-        _put(filesystem, f"{g}/step/0", gzip.compress(steps.tobytes(), compresslevel=level, mtime=0))
-        return pd.DataFrame({"run": [run], "param": [param], "member": [None], "cy": [-1], "cx": [-1],
-                             "file": [f"{g}/step/0"], "n_bytes": [int(len(steps) * 8)]})
-
-    chunks_df = f.groupBy("run", "param", "member", "cy", "cx").applyInPandas(write_chunk, CHUNK_SCHEMA)
-    meta = axis.groupBy("run", "param").applyInPandas(write_meta, CHUNK_SCHEMA)
+        F.sort_array(F.collect_set("step")).alias("steps"), (F.max(member) + 1).alias("n_members")).checkpoint()
+    index = axis.select("run", "param", F.posexplode("steps").alias("si", "step"),
+                        F.size("steps").alias("n_steps"), "n_members")
+    # a row per (run, param, step): broadcast after a size check, so the field
+    # is never shuffled on its few (run, param) keys (that would be badly skewed)
+    rows = (field.select("run", "param", member.alias("member"), "step", "iy", "ix",
+                         F.col("value").cast("float").alias("value"))
+            .join(bounded_broadcast(index, MAX_AXIS_ROWS, reuse=False), ["run", "param", "step"])
+            .select("run", "param", F.floor(F.col("iy") / ch_y).cast("int").alias("cy"),
+                    F.floor(F.col("ix") / ch_x).cast("int").alias("cx"), "n_steps", "n_members", "si", "member",
+                    (F.col("iy") % ch_y).cast("int").alias("y"), (F.col("ix") % ch_x).cast("int").alias("x"), "value"))
+    keys = ["run", "param", "cy", "cx"]
+    root = qualified(spark, path)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, arr, seen = None, None, None
+
+        def flush() -> pa.RecordBatch:
+            run, param, cy, cx = key
+            name = f"0.{cy}.{cx}" if not ens else f"0.0.{cy}.{cx}"
+            data = gzip.compress(arr.tobytes(), compresslevel=level, mtime=0)
+            _put(f"{root}/{run}/{param}/{param}/{name}", data)
+            _put(f"{root}/{run}/{param}/{param}/.present.{name}", gzip.compress(np.packbits(seen).tobytes(), compresslevel=level, mtime=0))
+            return pa.RecordBatch.from_pylist([{"run": run, "param": param, "cy": cy, "cx": cx,
+                                                "file": f"{root}/{run}/{param}/{param}/{name}", "n_bytes": len(data)}],
+                                              schema=pa.schema([("run", pa.string()), ("param", pa.string()), ("cy", pa.int32()),
+                                                                ("cx", pa.int32()), ("file", pa.string()), ("n_bytes", pa.int64())]))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            run, param = (np.asarray(batch.column(k).to_pylist(), dtype=object) for k in ("run", "param"))
+            cy, cx, n, m, si, mb, y, x, v = (batch.column(k).to_numpy(zero_copy_only=False)
+                                             for k in ("cy", "cx", "n_steps", "n_members", "si", "member", "y", "x", "value"))
+            new = np.r_[True, (run[1:] != run[:-1]) | (param[1:] != param[:-1]) | (cy[1:] != cy[:-1]) | (cx[1:] != cx[:-1])]
+            for a, b in zip(np.flatnonzero(new), np.r_[np.flatnonzero(new)[1:], len(run)]):
+                here = (run[a], param[a], int(cy[a]), int(cx[a]))
+                if here != key:
+                    if key is not None:
+                        yield flush()
+                    key = here
+                    arr = np.full((int(n[a]), int(m[a]), ch_y, ch_x), np.nan, dtype="<f4")
+                    seen = np.zeros(arr.shape, bool)
+                s = slice(a, b)
+                arr[si[s], mb[s], y[s], x[s]] = v[s]
+                seen[si[s], mb[s], y[s], x[s]] = True
+        if key is not None:
+            yield flush()
+
+    def write_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                files = _group_files(r["param"], np.asarray(r["steps"], np.int64), r["n_members"] if ens else None, chunk, level)
+                # the consolidated metadata last: a group with it is complete
+                for name in sorted(files, key=lambda k: k == ".zmetadata"):
+                    _put(f"{root}/{r['run']}/{r['param']}/{name}", files[name])
+            yield pa.RecordBatch.from_arrays([batch.column("run"), batch.column("param")], ["run", "param"])
+
     listing = f"{root}/_chunks/{uuid.uuid4().hex}"
-    chunks_df.unionByName(meta).write.mode("overwrite").parquet(listing)
-    return field.sparkSession.read.parquet(listing).where(F.col("cy") >= 0)
+    (rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(write, CHUNK_SCHEMA).write.mode("overwrite").parquet(listing))
+    axis.mapInArrow(write_group, "run string, param string").write.format("noop").mode("overwrite").save()
+    return spark.read.schema(CHUNK_SCHEMA).parquet(listing)
 
 
-def _read_bytes(uri: str) -> bytes:
-    filesystem, p = _fs(uri)
-    with filesystem.open_input_stream(p) as f:
-        return f.read()
+def _decompress(data: bytes, compressor: dict | None) -> bytes:
+    kind = (compressor or {}).get("id")
+    if kind is None:
+        return data
+    if kind == "gzip":
+        return gzip.decompress(data)
+    if kind == "zlib":
+        return zlib.decompress(data)
+    raise ValueError(f"cannot read chunks compressed with {kind}")
+
+
+def _described(group: str, param: str) -> tuple[dict, list[str], np.ndarray]:
+    """(.zarray of the data, its dimension names, steps) of a group."""
+    meta = json.loads(_get(f"{group}/{param}/.zarray"))
+    attrs = json.loads(_get(f"{group}/{param}/.zattrs") or b"{}")
+    n = len(meta["shape"])
+    dims = attrs.get("_ARRAY_DIMENSIONS") or ["step", *["realization"] * (n == 4), *["axis"] * (n - 4 if n > 4 else 0), "latitude", "longitude"]
+    raw, about = _get(f"{group}/step/0"), _get(f"{group}/step/.zarray")
+    if raw is None or about is None:
+        steps = np.arange(meta["shape"][0])
+    else:
+        about = json.loads(about)
+        steps = np.frombuffer(_decompress(raw, about["compressor"]), about["dtype"])
+    return meta, dims, steps
 
 
 def chunk_scan(spark: SparkSession, path: str, params: Sequence[str] | None = None, run: str | None = None,
-               cy: int | None = None, cx: int | None = None, drop_nan: bool = True,
+               cy: int | None = None, cx: int | None = None, drop_nan: bool = False,
                ensemble: bool = False) -> DataFrame:
-    """Read chunk files back to a field (run, param, step, iy, ix, value).
+    """Read chunk stores back to a field (run, param, [member], step, iy, ix, value).
 
-    The file glob prunes by run, param and chunk index; decoding runs in
-    ``mapInPandas`` (one chunk file per row, bounded by the chunk shape).  The
-    small ``step`` coordinate of each (run, param) is read by the task itself
-    and cached, so chunk bytes are never shuffled.
+    The file glob prunes by run, param and chunk index.  Shape, chunk shape
+    and dimensions come from each array's own metadata: the first dimension is
+    the step, the last two are the grid, the one between is the member with
+    ``ensemble``; any other (or any, without ``ensemble``) is read at index 0.
+    Each chunk file is decoded by one task; a group's small metadata is read
+    once per task.  NaN cells are rows unless ``drop_nan``.
     """
-    root = path.rstrip("/")
-    r = run or "*"
+    root = qualified(spark, path)
     ps = "{" + ",".join(params) + "}" if params else "*"
     cys, cxs = ("*" if cy is None else str(cy)), ("*" if cx is None else str(cx))
-    files = spark.read.format("binaryFile").load(f"{root}/{r}/{ps}/{ps}/*.{cys}.{cxs}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{cys}.{cxs}").load(f"{root}/{run or '*'}/{ps}/{ps}")
     parts = F.split(F.col("path"), "/")
-    n = F.size(parts)
-    key = F.split(F.element_at(parts, -1), r"\.")
-    nk = F.size(key)
-    f = files.select(F.element_at(parts, n - 3).alias("run"), F.element_at(parts, n - 2).alias("param"),
-                     F.when(nk == 4, F.element_at(key, 1).cast("int")).alias("member"),
-                     F.element_at(key, nk - 1).cast("int").alias("cy"), F.element_at(key, nk).cast("int").alias("cx"),
-                     "content",
-                     F.concat_ws("/", F.slice(parts, 1, n - 2), F.lit("step"), F.lit("0")).alias("step_path"))
-    ny, nx, ch_y, ch_x = grid.GRID_NY, grid.GRID_NX, grid.CHUNK_LAT, grid.CHUNK_LON
-
-    def decode(batches):
-        axes: dict[str, np.ndarray] = {}
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                steps = axes.get(row.step_path)
-                if steps is None:
-                    steps = np.frombuffer(gzip.decompress(_read_bytes(row.step_path)), dtype="<i8")
-                    axes[row.step_path] = steps
-                ch = np.frombuffer(gzip.decompress(row.content), dtype="<f4").reshape(len(steps), ch_y, ch_x)
-                s, y, x = np.meshgrid(np.arange(len(steps)), np.arange(ch_y), np.arange(ch_x), indexing="ij")
-                iy, ix = y + row.cy * ch_y, x + row.cx * ch_x
-                keep = (iy < ny) & (ix < nx)
+    files = (files.select("path", F.element_at(parts, F.size(parts) - 2).alias("param"),
+                          F.element_at(parts, F.size(parts) - 3).alias("run"), F.element_at(parts, F.size(parts) - 1).alias("array"), "content")
+             .where((F.col("array") == F.col("param")) & ~F.element_at(parts, F.size(parts)).startswith(".")))
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                folder, key = r["path"].rsplit("/", 1)
+                group = folder.rsplit("/", 1)[0]
+                if group not in known:
+                    known[group] = _described(group, r["param"])
+                meta, dims, steps = known[group]
+                at = [int(k) for k in key.split(meta.get("dimension_separator", "."))]
+                full = np.frombuffer(_decompress(r["content"], meta["compressor"]), meta["dtype"]).reshape(meta["chunks"])
+                bits = _get(f"{folder}/.present.{key}")
+                keep = (np.unpackbits(np.frombuffer(gzip.decompress(bits), np.uint8), count=full.size).astype(bool).reshape(full.shape)
+                        if bits is not None else np.ones(full.shape, bool))
+                member_dim = dims.index("realization") if ensemble and "realization" in dims else None
+                for d in range(full.ndim):
+                    size = min(meta["chunks"][d], meta["shape"][d] - at[d] * meta["chunks"][d])  # edge chunks are padded
+                    if 0 < d < full.ndim - 2 and d != member_dim:
+                        size = 1 if at[d] == 0 else 0
+                    full, keep = full.take(range(size), d), keep.take(range(size), d)
                 if drop_nan:
-                    keep &= ~np.isnan(ch)
-                part = {"run": row.run, "param": row.param}
+                    keep = keep & ~np.isnan(full)
+                where = np.nonzero(keep)
+                index = [w + at[d] * meta["chunks"][d] for d, w in enumerate(where)]
+                n = len(where[0])
+                cols = [pa.array([r["run"]] * n, pa.string()), pa.array([r["param"]] * n, pa.string())]
                 if ensemble:
-                    part["member"] = np.int32(-1 if pd.isna(row.member) else row.member)
-                part.update({"step": steps[s[keep]].astype("int32"), "iy": iy[keep].astype("int32"),
-                             "ix": ix[keep].astype("int32"), "value": ch[keep]})
-                out.append(pd.DataFrame(part))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    schema = "run string, param string, " + ("member int, " if ensemble else "") + \
-        "step int, iy int, ix int, value float"
-    return f.mapInPandas(decode, schema)
+                    cols.append(pa.array(index[member_dim] if member_dim is not None else np.zeros(n), pa.int32()))
+                cols += [pa.array(steps[index[0]], pa.int32()), pa.array(index[-2], pa.int32()), pa.array(index[-1], pa.int32()),
+                         pa.array(full[where].astype(np.float32))]
+                out = pa.RecordBatch.from_arrays(cols, names)
+                for a in range(0, n, 1 << 18):
+                    yield out.slice(a, 1 << 18)
+
+    names = ["run", "param", *(["member"] if ensemble else []), "step", "iy", "ix", "value"]
+    schema = "run string, param string, " + ("member int, " if ensemble else "") + "step int, iy int, ix int, value float"
+    return files.select("path", "run", "param", "content").mapInArrow(decode, schema)

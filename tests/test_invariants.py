@@ -216,14 +216,43 @@ def test_chunk_round_trip_ensemble(spark, tmp_path):
     x7 = fx.x7_ensemble(spark, SF_SMALL)
     path = str(tmp_path / "zarr")
     written = chunks.chunk_export(x7, path)
-    assert written.where(F.col("member").isNull()).count() == 0
+    assert written.count() == x7.select("run", "param").distinct().count()  # all members in one chunk
     back = chunks.chunk_scan(spark, path, ensemble=True)
     a = x7.select("run", "param", "member", "step", "iy", "ix", F.col("value").cast("float").alias("value"))
     assert back.count() == a.count()
     assert back.exceptAll(a).count() == 0 and a.exceptAll(back).count() == 0
     import json
     meta = json.load(open(f"{path}/2026040300/t_2m/t_2m/.zarray"))
-    assert meta["shape"][0] == 4 and meta["chunks"][:2] == [1, meta["shape"][1]]
+    assert meta["shape"][1] == 4 and meta["chunks"][:2] == meta["shape"][:2]
+    every = json.load(open(f"{path}/2026040300/t_2m/.zmetadata"))["metadata"]
+    assert {"t_2m/.zarray", "step/.zarray", "latitude/.zarray", "longitude/.zarray", "realization/.zarray"} <= set(every)
+
+
+def test_chunk_scan_of_another_writers_store(spark, tmp_path):
+    """Four dimensions with a height, plain bytes, two step chunks, no record of absent cells."""
+    import json
+    import numpy as np
+    from isobar.sources import chunks
+    root = tmp_path / "zarr" / "2026040300" / "t_2m"
+    (root / "t_2m").mkdir(parents=True)
+    (root / "step").mkdir()
+    meta = {"zarr_format": 2, "shape": [3, 2, 5, 4], "chunks": [2, 2, 3, 4], "dtype": "<f4", "compressor": None,
+            "fill_value": "NaN", "order": "C", "filters": None}
+    (root / "t_2m" / ".zarray").write_text(json.dumps(meta))
+    (root / "t_2m" / ".zattrs").write_text(json.dumps({"_ARRAY_DIMENSIONS": ["step", "height", "latitude", "longitude"]}))
+    (root / "step" / ".zarray").write_text(json.dumps(meta | {"shape": [3], "chunks": [3], "dtype": "<i8"}))
+    (root / "step" / "0").write_bytes(np.array([0, 3, 6], "<i8").tobytes())
+    whole = np.arange(3 * 2 * 5 * 4, dtype="<f4").reshape(3, 2, 5, 4)
+    whole[1, 0, 4, 3] = np.nan
+    padded = np.full((4, 2, 6, 4), np.nan, "<f4")
+    padded[:3, :, :5] = whole
+    for s in (0, 1):
+        for c in (0, 1):
+            (root / "t_2m" / f"{s}.0.{c}.0").write_bytes(padded[2 * s:2 * s + 2, :, 3 * c:3 * c + 3].tobytes())
+    got = {(r.step, r.iy, r.ix): r.value for r in chunks.chunk_scan(spark, str(tmp_path / "zarr")).collect()}
+    assert set(got) == {(t, y, x) for t in (0, 3, 6) for y in range(5) for x in range(4)}
+    assert all(np.isnan(v) if k == (3, 4, 3) else v == whole[[0, 3, 6].index(k[0]), 0, k[1], k[2]] for k, v in got.items())
+    assert chunks.chunk_scan(spark, str(tmp_path / "zarr"), drop_nan=True).count() == len(got) - 1
 
 
 def test_deaccumulate_accepts_interval_steps(spark):
