@@ -45,8 +45,30 @@ def is_finite(x: Column) -> Column:
     return F.abs(x) < F.lit(float("inf"))
 
 
-def sat_vapour_pressure(t_c: Column) -> Column:
-    return F.lit(MAGNUS_A) * F.exp(F.lit(MAGNUS_B) * t_c / (t_c + F.lit(MAGNUS_C)))
+def _saturation(t: Column) -> Column:
+    """Saturation vapour pressure (kPa) at t degrees Celsius."""
+    return F.lit(MAGNUS_A) * F.exp(nan_if_null(F.try_divide(F.lit(MAGNUS_B) * t, t + F.lit(MAGNUS_C))))
+
+
+def _inputs(t_k, td_k, u10, v10, asob, athb, ps_pa) -> dict[str, Column]:
+    return {"t": _c(t_k) - F.lit(KELVIN), "td": _c(td_k) - F.lit(KELVIN),
+            "u2": F.hypot(_c(u10), _c(v10)) * F.lit(WIND_10M_TO_2M),
+            "rn": (_c(asob) + _c(athb)) * F.lit(W_M2_TO_MJ_M2_H),
+            "gamma": F.lit(PSYCHRO) * (_c(ps_pa) / F.lit(1000.0))}
+
+
+def _deficit_and_slope(x: dict[str, Column]) -> dict[str, Column]:
+    tk = x["t"] + F.lit(MAGNUS_C)
+    d = x["es"] - x["ea"]
+    return {"vpd": F.when(d < F.lit(0.0), F.lit(0.0)).otherwise(d),
+            "delta": nan_if_null(F.try_divide(F.lit(SLOPE_NUM) * x["es"], tk * tk))}
+
+
+def _et0(x: dict[str, Column]) -> Column:
+    num = (F.lit(RAD_COEF) * x["delta"] * x["rn"]
+           + x["gamma"] * nan_if_null(F.try_divide(F.lit(AERO_COEF), x["t"] + F.lit(KELVIN))) * x["u2"] * x["vpd"])
+    den = x["delta"] + x["gamma"] * (F.lit(1.0) + F.lit(WIND_COEF) * x["u2"])
+    return nan_if_null(F.try_divide(num, den))
 
 
 def pet_pm(t_k, td_k, u10, v10, asob, athb, ps_pa) -> Column:
@@ -56,23 +78,11 @@ def pet_pm(t_k, td_k, u10, v10, asob, athb, ps_pa) -> Column:
     Divisions whose denominator is data use ``try_divide`` (ANSI mode would
     raise), and a NULL quotient is turned into NaN like IEEE arithmetic.
     """
-    t = _c(t_k) - F.lit(KELVIN)
-    td = _c(td_k) - F.lit(KELVIN)
-    es = F.lit(MAGNUS_A) * F.exp(nan_if_null(F.try_divide(F.lit(MAGNUS_B) * t, t + F.lit(MAGNUS_C))))
-    ea = F.lit(MAGNUS_A) * F.exp(nan_if_null(F.try_divide(F.lit(MAGNUS_B) * td, td + F.lit(MAGNUS_C))))
-    vpd = F.when(es - ea < F.lit(0.0), F.lit(0.0)).otherwise(es - ea)
-    u2 = F.hypot(_c(u10), _c(v10)) * F.lit(WIND_10M_TO_2M)
-    rn = (_c(asob) + _c(athb)) * F.lit(W_M2_TO_MJ_M2_H)
-    gamma = F.lit(PSYCHRO) * (_c(ps_pa) / F.lit(1000.0))
-    tk = t + F.lit(MAGNUS_C)
-    delta = nan_if_null(F.try_divide(F.lit(SLOPE_NUM) * es, tk * tk))
-    num = (F.lit(RAD_COEF) * delta * rn
-           + gamma * nan_if_null(F.try_divide(F.lit(AERO_COEF), t + F.lit(KELVIN))) * u2 * vpd)
-    den = delta + gamma * (F.lit(1.0) + F.lit(WIND_COEF) * u2)
-    et0 = nan_if_null(F.try_divide(num, den))
+    x = _inputs(t_k, td_k, u10, v10, asob, athb, ps_pa)
+    x |= {"es": _saturation(x["t"]), "ea": _saturation(x["td"])}
+    et0 = _et0(x | _deficit_and_slope(x))
     et0 = F.when(is_finite(et0), et0).otherwise(F.lit(float("nan")))
-    et0 = F.when(et0 < F.lit(0.0), F.lit(0.0)).otherwise(et0)
-    return et0.cast("float")
+    return F.when(et0 < F.lit(0.0), F.lit(0.0)).otherwise(et0).cast("float")
 
 
 def with_pet_pm(df, lead, t_k="t_2m", td_k="td_2m", u10="u_10m", v10="v_10m", asob="asob_s",
@@ -85,30 +95,15 @@ def with_pet_pm(df, lead, t_k="t_2m", td_k="td_2m", u10="u_10m", v10="v_10m", as
     the same doubles as :func:`pet_pm`).
     """
     keep = list(lead)
-    a = df.select(*keep, (F.col(t_k) - F.lit(KELVIN)).alias("_t"), (F.col(td_k) - F.lit(KELVIN)).alias("_td"),
-                  (F.hypot(F.col(u10), F.col(v10)) * F.lit(WIND_10M_TO_2M)).alias("_u2"),
-                  ((F.col(asob) + F.col(athb)) * F.lit(W_M2_TO_MJ_M2_H)).alias("_rn"),
-                  (F.lit(PSYCHRO) * (F.col(ps_pa) / F.lit(1000.0))).alias("_g"))
-    t, td = F.col("_t"), F.col("_td")
-    b = a.select(*keep, "_t", "_u2", "_rn", "_g",
-                 (F.lit(MAGNUS_A) * F.exp(nan_if_null(F.try_divide(F.lit(MAGNUS_B) * t, t + F.lit(MAGNUS_C))))).alias("_es"),
-                 (F.lit(MAGNUS_A) * F.exp(nan_if_null(F.try_divide(F.lit(MAGNUS_B) * td, td + F.lit(MAGNUS_C))))).alias("_ea"))
-    tk = F.col("_t") + F.lit(MAGNUS_C)
-    c = b.select(*keep, "_t", "_u2", "_rn", "_g",
-                 F.when(F.col("_es") - F.col("_ea") < F.lit(0.0), F.lit(0.0)).otherwise(F.col("_es") - F.col("_ea")).alias("_vpd"),
-                 nan_if_null(F.try_divide(F.lit(SLOPE_NUM) * F.col("_es"), tk * tk)).alias("_delta"))
-    num = (F.lit(RAD_COEF) * F.col("_delta") * F.col("_rn")
-           + F.col("_g") * nan_if_null(F.try_divide(F.lit(AERO_COEF), F.col("_t") + F.lit(KELVIN))) * F.col("_u2") * F.col("_vpd"))
-    den = F.col("_delta") + F.col("_g") * (F.lit(1.0) + F.lit(WIND_COEF) * F.col("_u2"))
-    d = c.select(*keep, nan_if_null(F.try_divide(num, den)).alias("_et0"))
-    e = d.select(*keep, F.when(is_finite(F.col("_et0")), F.col("_et0")).otherwise(F.lit(float("nan"))).alias("_et0"))
-    return e.select(*keep, F.when(F.col("_et0") < F.lit(0.0), F.lit(0.0)).otherwise(F.col("_et0")).cast("float").alias(out))
-
-
-def great_circle_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.0) -> Column:
-    """Haversine distance in km between two points given in degrees."""
-    p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    dp = p2 - p1
-    dl = F.radians(_c(lon2) - _c(lon1))
-    a = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    return F.lit(2.0 * radius_km) * F.asin(F.least(F.sqrt(a), F.lit(1.0)))
+
+    def stage(frame, new: dict[str, Column], carry=()):
+        return frame.select(*keep, *[F.col("_" + c) for c in carry], *[v.alias("_" + k) for k, v in new.items()])
+
+    x = {k: F.col("_" + k) for k in ("t", "td", "u2", "rn", "gamma", "es", "ea", "vpd", "delta")}
+    a = stage(df, _inputs(t_k, td_k, u10, v10, asob, athb, ps_pa))
+    b = stage(a, {"es": _saturation(x["t"]), "ea": _saturation(x["td"])}, ("t", "u2", "rn", "gamma"))
+    c = stage(b, _deficit_and_slope(x), ("t", "u2", "rn", "gamma"))
+    d = stage(c, {"et0": _et0(x)})
+    et0 = F.col("_et0")
+    e = stage(d, {"et0": F.when(is_finite(et0), et0).otherwise(F.lit(float("nan")))})
+    return e.select(*keep, F.when(et0 < F.lit(0.0), F.lit(0.0)).otherwise(et0).cast("float").alias(out))

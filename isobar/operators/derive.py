@@ -110,18 +110,19 @@ def _complete(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows
 
 
-def pet_pm(field: DataFrame, accumulated=ACCUMULATED_MEANS) -> DataFrame:
+def pet_pm(field: DataFrame, accumulated=ACCUMULATED_MEANS, co_located: bool = False) -> DataFrame:
     """Hourly FAO-56 Penman-Monteith reference evapotranspiration.
 
     Radiation inputs are de-accumulated (W1), the seven inputs aligned (J4)
     and the formula applied as staged projections.  The field is
     hash-partitioned once by (run, iy, ix): that partitioning satisfies both
     the per-pixel window of W1 and the per-(run, step, cell) grouping of J4,
-    so the whole derivation costs a single shuffle.
+    so the whole derivation costs a single shuffle.  ``co_located`` states that
+    the field already is (a scan of the store bucketed by pixel): none is added.
     """
     keys = [c for c in field_keys(field, with_param=False)]
     f = field.where(F.col("param").isin(list(PET_INPUTS)))
-    if not pixel_partitioned(f, keys):
+    if not co_located:
         f = f.repartition(*keys)
     f = deaccumulate(f, accumulated)
     a = align_params(f, PET_INPUTS)
@@ -129,18 +130,6 @@ def pet_pm(field: DataFrame, accumulated=ACCUMULATED_MEANS) -> DataFrame:
     return physics.with_pet_pm(a, lead + ["step", "iy", "ix"])
 
 
-def pixel_partitioned(df: DataFrame, keys=("run", "iy", "ix")) -> bool:
-    """True when grouping by ``keys`` needs no extra shuffle - e.g. a scan of a
-    store bucketed by pixel, or a frame already repartitioned by pixel.  Only
-    plans the probe aggregation; nothing runs."""
-    probe = df.groupBy(*keys).agg(F.count(F.lit(1)))
-
-    def exchanges(d: DataFrame) -> int:
-        return d._jdf.queryExecution().executedPlan().toString().count("Exchange ")
-
-    return exchanges(probe) == exchanges(df)
-
-
 def pet_as_field(pet: DataFrame) -> DataFrame:
     """The PET product in field layout (param ``pet_pm``)."""
     lead = [c for c in ("run", "member") if c in pet.columns]

@@ -124,7 +124,7 @@ def _lon_bin(lon: Column, b: float) -> Column:
 def _guaranteed_km(lat: Column, lon: Column, b: float) -> Column:
     """Radius around a target inside which every source lies in its 3 x 3
     bin window (so the window's k nearest are the true k nearest)."""
-    nlat, nlon = int(round(180 / b)), int(round(360 / b))
+    nlon = int(round(360 / b))
     inf = F.lit(float("inf"))
     bi = _lat_bin(lat, b)
     south_edge = (bi - 1).cast("double") * F.lit(b) - F.lit(90.0)
@@ -141,7 +141,6 @@ def _guaranteed_km(lat: Column, lon: Column, b: float) -> Column:
         # nearest point of any meridian at least delta away (pole when >= 90)
         d_lon = F.when(delta >= 90.0, F.lit(90.0) - F.abs(lat)).otherwise(
             F.degrees(F.asin(F.cos(lat * F.lit(RAD)) * F.sin(delta * F.lit(RAD)))))
-    _ = nlat
     return F.least(d_s, d_n, d_lon) * F.lit(RAD * EARTH_RADIUS_KM)
 
 
@@ -325,21 +324,37 @@ def box_area_km2(s: Column, n: Column, w: Column, e: Column) -> Column:
             * (F.sin(n * F.lit(RAD)) - F.sin(s * F.lit(RAD))))
 
 
-def conservative_weights(src_boxes: DataFrame, dst_boxes: DataFrame, bin_deg: float = 10.0,
+def overlap_bin_deg(src_boxes: DataFrame, dst_boxes: DataFrame) -> float:
+    """Bin size for box overlaps: about twice the mean extent of the larger
+    kind of box, so a box touches a few bins and a bin holds a few boxes."""
+    extent = (F.col("north") - F.col("south") + F.col("east") - F.col("west")) / 2
+    mean = max(b.agg(F.avg(extent)).first()[0] or 0.0 for b in (src_boxes, dst_boxes))
+    return next((b for b in BIN_LADDER if b >= 2 * mean), BIN_LADDER[-1])
+
+
+def overlap_candidates(src_boxes: DataFrame, dst_boxes: DataFrame, bin_deg: float) -> DataFrame:
+    """Pairs of box pieces that touch a common bin."""
+    sp = _bins(_pieces(src_boxes, "src_id"), bin_deg).select(
+        "src_id", "bi", "bj", *[F.col(c).alias("s_" + c) for c in ("s", "n", "w", "e")])
+    dp = _bins(_pieces(dst_boxes, "dst_id"), bin_deg).select(
+        "dst_id", "bi", "bj", *[F.col(c).alias("d_" + c) for c in ("s", "n", "w", "e")])
+    return dp.join(sp, ["bi", "bj"])
+
+
+def conservative_weights(src_boxes: DataFrame, dst_boxes: DataFrame, bin_deg: float | None = None,
                          method: str = "conservative") -> DataFrame:
     """Overlap area / target area for rectangular (lat/lon) cells.
 
     A range join made equi: both sides are exploded into the bins they touch
     and joined on the bin; each overlapping pair is kept only in the bin that
     holds the south-west corner of its overlap, so no ``distinct`` is needed.
-    Pieces of boxes split at the date line are summed per pair.
+    Pieces of boxes split at the date line are summed per pair.  The bin
+    size follows the boxes' own extents unless it is given.
     """
+    if bin_deg is None:
+        bin_deg = overlap_bin_deg(src_boxes, dst_boxes)
     b = next((x for x in BIN_LADDER if x >= bin_deg), BIN_LADDER[-1])
-    sp = _bins(_pieces(src_boxes, "src_id"), b).select(
-        "src_id", "bi", "bj", *[F.col(c).alias("s_" + c) for c in ("s", "n", "w", "e")])
-    dp = _bins(_pieces(dst_boxes, "dst_id"), b).select(
-        "dst_id", "bi", "bj", *[F.col(c).alias("d_" + c) for c in ("s", "n", "w", "e")])
-    j = dp.join(sp, ["bi", "bj"])
+    j = overlap_candidates(src_boxes, dst_boxes, b)
     os_, on = F.greatest("s_s", "d_s"), F.least("s_n", "d_n")
     ow, oe = F.greatest("s_w", "d_w"), F.least("s_e", "d_e")
     nlat, nlon = int(round(180 / b)), int(round(360 / b))

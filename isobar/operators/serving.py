@@ -39,13 +39,17 @@ def point_lookup(series: DataFrame, requests: DataFrame, wrap: bool = False,
     ``step_index`` (array position) and ``step`` (forecast hour).  The
     request side is broadcast only when its checked size is small, which
     also enables dynamic pruning of ``cy`` partitions of a stored series.
+    Requests without a well-formed run, or whose cell holds no series, give no
+    rows here; the flow (``jobs.answer_points``) resolves the former first and
+    answers the latter with an error.
     """
     # only well-formed run ids can match a stored run (requests without a run
     # are resolved by follow_redirect first); the predicate also marks the
     # request side as selective, which lets the optimizer add dynamic pruning
     r = requests.select("req_id", "lat", "lon", "param", "run").where(F.col("run").rlike(r"^[0-9]{10}$"))
     r = point_to_cell(r, wrap=wrap)
-    r = bounded_broadcast(r.select("req_id", "lat", "lon", "param", "run", "cy", "iy", "ix"), max_broadcast)
+    # not checkpointed: the scan's own predicates are what dynamic pruning needs
+    r = bounded_broadcast(r.select("req_id", "lat", "lon", "param", "run", "cy", "iy", "ix"), max_broadcast, reuse=False)
     s = series.select(*[c for c in ("run", "param", "member") if c in series.columns],
                       "cy", "iy", "ix", "steps", "vals")
     j = s.join(r, ["run", "param", "cy", "iy", "ix"])

@@ -42,4 +42,4 @@ def d1_pet_pm_bucketed(spark, sf):
     tag = uuid.uuid4().hex
     f = store.field_publish_bucketed(fx.x1_field(spark, sf), shared_dir(spark, f"bucketed-{tag}"),
                                      f"isobar_field_{tag}")
-    return derive.pet_pm(f)
+    return derive.pet_pm(f, co_located=True)

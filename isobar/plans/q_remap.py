@@ -96,4 +96,4 @@ pa AS (SELECT dst_id, src_id, sum({_area_sql('os', 'onn', 'ow', 'oe')}) AS area
 da AS (SELECT dst_id, {_area_sql(f'greatest(south, {d(-90)})', f'least(north, {d(90)})', 'west', 'east')} AS dst_area FROM db)
 SELECT 'conservative' AS method, pa.dst_id, pa.src_id, pa.area / da.dst_area AS w FROM pa JOIN da ON pa.dst_id = da.dst_id"""))
 def j3_conservative_weights(spark, sf):
-    return remap.conservative_weights(_src_boxes(spark, sf), _dst_boxes(spark, sf), bin_deg=10.0)
+    return remap.conservative_weights(_src_boxes(spark, sf), _dst_boxes(spark, sf))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,8 +53,3 @@ def expected_inventory(pairs: DataFrame, model: str = DETERMINISTIC_MODEL, membe
     cols = ["run", "param"] + (["member"] if member is not None else []) + ["step"]
     return rows.select(*cols, path.alias("file"))
 
-
-def inventory_for_params(spark: SparkSession, run: str, params: Sequence[str],
-                         model: str = DETERMINISTIC_MODEL) -> DataFrame:
-    pairs = spark.createDataFrame([(run, p) for p in params], "run string, param string")
-    return expected_inventory(pairs, model)

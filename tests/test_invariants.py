@@ -86,9 +86,21 @@ def test_remap_of_constant_field_is_constant(spark):
     vals = [r.value for r in out.collect()]
     finite = [v for v in vals if not math.isnan(v)]
     assert finite and all(abs(v - 3.5) < 1e-5 for v in finite)
-    # renormalize: partial source sets are rescaled, so every target is the constant
-    ren = [r.value for r in remap.remap_apply(x, wts, na="renormalize").collect()]
-    assert len(ren) == len(vals) and all(abs(v - 3.5) < 1e-5 for v in ren)
+    # renormalize: partial source sets are rescaled, so every target with a source is the constant
+    ren = [r.value for r in remap.remap_apply(x, wts, na="renormalize", complete=False).collect()]
+    assert len(finite) < len(ren) <= len(vals) and all(abs(v - 3.5) < 1e-5 for v in ren)
+
+
+def test_remap_writes_the_full_grid(spark):
+    """Targets whose sources are all absent from a frame are NaN rows of that frame."""
+    nat = spark.createDataFrame([("r", "t_2m", 0, 0, 1, 1.0), ("r", "t_2m", 0, 1, 2, 2.0)],
+                                "run string, param string, member int, step int, src_id long, value double")
+    w = spark.createDataFrame([("distance", 9, 1, 1.0), ("distance", 8, 2, 1.0)], "method string, dst_id long, src_id long, w double")
+    for na in ("propagate", "renormalize"):
+        got = {(r.step, r.dst_id): r.value for r in remap.remap_apply(nat, w, na=na).collect()}
+        assert set(got) == {(s, t) for s in (0, 1) for t in (8, 9)}
+        assert got[0, 9] == 1.0 and got[1, 8] == 2.0 and math.isnan(got[0, 8]) and math.isnan(got[1, 9])
+        assert remap.remap_apply(nat, w, na=na, complete=False).count() == 2
 
 
 def test_remap_renormalize_skips_nan(spark):
@@ -228,6 +240,37 @@ def test_chunk_round_trip_ensemble(spark, tmp_path):
     assert {"t_2m/.zarray", "step/.zarray", "latitude/.zarray", "longitude/.zarray", "realization/.zarray"} <= set(every)
 
 
+def test_overlap_bins_follow_the_boxes(spark):
+    """On two regular grids, candidates stay within a few dozen per overlap, whatever the cell size."""
+    for cell in (0.25, 2.0):
+        n = 40
+        src = spark.range(n * n).select(F.col("id").alias("src_id"), ((F.col("id") / n).cast("int") * cell).alias("south"),
+                                        ((F.col("id") % n) * cell).alias("west"))
+        src = src.withColumn("north", F.col("south") + cell).withColumn("east", F.col("west") + cell)
+        dst = src.select(F.col("src_id").alias("dst_id"), (F.col("south") + cell / 3).alias("south"), (F.col("north") + cell / 3).alias("north"),
+                         (F.col("west") + cell / 3).alias("west"), (F.col("east") + cell / 3).alias("east"))
+        found = remap.conservative_weights(src, dst).count()
+        pairs = remap.overlap_candidates(src, dst, remap.overlap_bin_deg(src, dst)).count()
+        assert found > 3 * n * n and pairs < 40 * found
+
+
+def test_bounded_broadcast_measures_by_partial_sums(spark):
+    from isobar.operators import joins
+    side = spark.range(1000).select("id", F.lit("x" * 100).alias("text"))
+    plan = joins.side_size(side)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "partial_sum" in plan and "Limit" not in plan
+    big = spark.range(10)
+    for rows, size, hint in ((1000, 1 << 20, True), (999, 1 << 20, False), (1000, 50_000, False)):
+        out = big.join(joins.bounded_broadcast(side, rows, size), "id")
+        assert ("ResolvedHint" in out._jdf.queryExecution().analyzed().toString()) == hint
+
+
+def test_validate_and_normalize_read_the_field_once(spark):
+    import __spark_entry__ as E
+    plan = E.queries()["P1_normalize_field"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem") + plan.count("Relation") <= 2
+
+
 def test_chunk_scan_of_another_writers_store(spark, tmp_path):
     """Four dimensions with a height, plain bytes, two step chunks, no record of absent cells."""
     import json
@@ -289,7 +332,7 @@ def test_pet_on_pixel_bucketed_store_has_no_shuffle(spark, tmp_path):
     from isobar.sources import store
     x1 = fx.x1_field(spark, SF_SMALL)
     f = store.field_publish_bucketed(x1, str(tmp_path / "bk"), "isobar_test_bucketed", 8)
-    pet = derive.pet_pm(f)
+    pet = derive.pet_pm(f, co_located=True)
     plan = pet._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan
     want = derive.pet_pm(x1.withColumn("value", F.col("value").cast("float").cast("double")))
@@ -408,14 +451,14 @@ def test_remap_on_src_bucketed_tables_joins_without_shuffle(spark, tmp_path):
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        out = remap.remap_apply(nb, wb, max_broadcast=0)
+        out = remap.remap_apply(nb, wb, max_broadcast=0, complete=False)
         plan = out._jdf.queryExecution().executedPlan().toString()
         rows = out.collect()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
     assert plan.count("Exchange ") == 1 and "BroadcastExchange" not in plan  # only the sum by target
-    want = {(r.run, r.param, r.member, r.step, r.dst_id): r.value for r in remap.remap_apply(nat, w).collect()}
+    want = {(r.run, r.param, r.member, r.step, r.dst_id): r.value for r in remap.remap_apply(nat, w, complete=False).collect()}
     got = {(r.run, r.param, r.member, r.step, r.dst_id): r.value for r in rows}
     assert got.keys() == want.keys() and len(rows) == len(want)
     assert all(g == want[k] or (math.isnan(g) and math.isnan(want[k])) for k, g in got.items())
