@@ -15,12 +15,14 @@ Batch plan (exact, skew-aware):
    max over the - few - buckets of a client names each session.  No step
    orders all requests of a client in one task.
 2. A session with at most ``limit`` requests is entirely allowed (built-ins).
-3. Longer sessions are hash-partitioned by (client, session), sorted by
-   (ts, req_id) and streamed through ``mapInPandas``; the replay restarts at
-   each session and jumps from epoch to epoch (once the counter is full,
-   every request before the expiry is denied in one binary search).  The
-   sessions of one hot client spread over many tasks; one session is
-   replayed by one task because each verdict depends on the previous ones.
+3. Longer sessions are cut into time blocks, hash-partitioned by (client,
+   session, block).  A block's task finds, for every state in which the block
+   may be entered, the state behind it (epochs follow from their first
+   request alone, so this is one pass of pointer jumps).  These small tables
+   are composed along a session's blocks, which gives each block's entry
+   state, and the blocks are then replayed side by side, jumping from epoch to
+   epoch.  So one client, or one session without any pause, spreads over many
+   tasks.
 
 Stream plan: ``applyInPandasWithState`` keyed by client with state
 (count, expiry, rows buffered until the watermark passes them); ready rows
@@ -90,41 +92,147 @@ def sessions(log: DataFrame, expiry_us: int) -> DataFrame:
     return x.join(b.select("client", "_b", "_s", "_sn"), ["client", "_b"]).drop("_b", "_t")
 
 
-def rate_audit(log: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_WINDOW_S) -> DataFrame:
+#: Width of a block of a long session, in expiries.
+BLOCK_EXPIRIES = 16
+_MIN = np.iinfo(np.int64).min
+
+
+def block_exits(t: np.ndarray, start: int, limit: int, expiry_us: int) -> dict[str, np.ndarray]:
+    """Where a block of a session leaves the counter, for every way to enter it.
+
+    ``t`` are the block's sorted times, ``start`` the block's own start.  The
+    state between requests is (count, expiry).  ``c_count``/``c_expiry`` answer
+    an entry with a count of 1 .. limit - 1 (consecutive requests of a session
+    are closer than the expiry, so the count goes on).  A full counter opens a
+    new epoch at the first request at or after its expiry, which is less than
+    ``start + expiry_us``: ``x_upto`` are the last expiries that share an
+    answer ``x_count``/``x_expiry``; a later one passes through the block.
+    """
+    n = len(t)
+    i = np.arange(n)
+    end = np.minimum(i + limit - 1, n - 1)
+    full = i + limit - 1 < n                 # the epoch opened at i uses up its limit here
+    after = t[end] + expiry_us
+    nxt = np.where(full, np.searchsorted(t, after), n)
+    to = np.where(nxt < n, nxt, i)           # the next epoch, or the last one to open here
+    while True:
+        far = to[to]
+        if (far == to).all():
+            break
+        to = far
+    count, expiry = np.where(full[to], limit, n - to), np.where(full[to], after[to], t[-1] + expiry_us)
+    c = np.arange(1, limit)
+    last = np.minimum(limit - c - 1, n - 1)  # the request that fills the counter, if the block reaches it
+    reached = limit - c - 1 < n
+    follow = np.searchsorted(t, t[last] + expiry_us)
+    opens = reached & (follow < n)
+    at = np.minimum(follow, n - 1)
+    c_count = np.where(opens, count[at], np.where(reached, limit, c + n))
+    c_expiry = np.where(opens, expiry[at], np.where(reached, t[last], t[-1]) + expiry_us)
+    # entries by expiry: the first request of each time within the first expiry, and the one after
+    first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+    first = first[:int(np.searchsorted(t[first], start + expiry_us)) + 1]
+    run_end = np.r_[(count[first][1:] != count[first][:-1]) | (expiry[first][1:] != expiry[first][:-1]), True]
+    first = first[run_end]
+    return {"c_count": c_count, "c_expiry": c_expiry, "x_upto": t[first], "x_count": count[first], "x_expiry": expiry[first],
+            "from_zero": np.array([count[0], expiry[0]])}
+
+
+def enter(block: dict[str, np.ndarray], count: int, expiry: int, limit: int) -> tuple[int, int]:
+    """The state behind a block that is entered with (count, expiry)."""
+    if count == 0:
+        return int(block["from_zero"][0]), int(block["from_zero"][1])
+    if count < limit:
+        return int(block["c_count"][count - 1]), int(block["c_expiry"][count - 1])
+    k = int(np.searchsorted(block["x_upto"], expiry))
+    if k == len(block["x_upto"]):
+        return count, expiry
+    return int(block["x_count"][k]), int(block["x_expiry"][k])
+
+
+_KEYS = ["client", "_s", "_k"]
+_TABLES = ("c_count", "c_expiry", "x_upto", "x_count", "x_expiry", "from_zero")
+_EXITS = "client long, _s long, _k long, " + ", ".join(f"{c} array<long>" for c in _TABLES)
+
+
+def _runs(pdf: pd.DataFrame, keys: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """(key, first, end) of the runs of equal keys."""
+    k = pdf[keys].to_numpy()
+    first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)]) if len(k) else np.zeros(0, int)
+    return [tuple(int(x) for x in k[i]) for i in first], first, np.r_[first[1:], len(k)]
+
+
+def session_entries(long_rows: DataFrame, limit: int, expiry_us: int, blocks: int) -> DataFrame:
+    """(client, _s, _k, count, expiry): the state in which each block of each session is entered."""
+    width = blocks * expiry_us
+
+    def exits(batches):
+        key, times = None, []
+
+        def out() -> pd.DataFrame:
+            tables = block_exits(np.concatenate(times), key[2] * width, limit, expiry_us)
+            return pd.DataFrame({"client": [key[0]], "_s": [key[1]], "_k": [key[2]], **{c: [tables[c]] for c in _TABLES}})
+        for pdf in batches:
+            t = _times_us(pdf["ts"])
+            for k, a, b in zip(*_runs(pdf, _KEYS)):
+                if k != key:
+                    if key is not None:
+                        yield out()
+                    key, times = k, []
+                times.append(t[a:b])
+        if key is not None:
+            yield out()
+
+    def compose(batches):
+        session, count, expiry = None, 0, _MIN
+        for pdf in batches:
+            rows = []
+            for r in pdf.to_dict("records"):
+                if (r["client"], r["_s"]) != session:
+                    session, count, expiry = (r["client"], r["_s"]), 0, _MIN
+                rows.append((*session, r["_k"], count, expiry))
+                count, expiry = enter({c: np.asarray(r[c]) for c in _TABLES}, count, expiry, limit)
+            yield pd.DataFrame(rows, columns=[*_KEYS, "count", "expiry"])
+
+    per_block = (long_rows.select(*_KEYS, "ts", "req_id").repartition(*_KEYS).sortWithinPartitions(*_KEYS, "ts", "req_id")
+                 .mapInPandas(exits, _EXITS))
+    # a few numbers per block; one task walks a session's blocks in order
+    return (per_block.repartition("client", "_s").sortWithinPartitions(*_KEYS)
+            .mapInPandas(compose, "client long, _s long, _k long, count long, expiry long"))
+
+
+def rate_audit(log: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_WINDOW_S,
+               blocks: int = BLOCK_EXPIRIES) -> DataFrame:
     """R1 (batch): every request of ``log(client, req_id, ts)`` with ``allowed``."""
     exp_us = int(round(expiry_s * 1_000_000))
     s = sessions(log.select("client", "req_id", "ts"), exp_us)
     short = s.where(F.col("_sn") <= limit).select("client", "req_id", "ts", F.lit(True).alias("allowed"))
+    k = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(blocks * exp_us))
+    long_rows = s.where(F.col("_sn") > limit).select("client", "_s", k.cast("long").alias("_k"), "req_id", "ts")
+    entries = session_entries(long_rows, limit, exp_us, blocks)
 
-    def run(batches):
-        cur, count, expiry = None, 0, np.iinfo(np.int64).min
+    def mark(batches):
+        key, count, expiry = None, 0, _MIN
         for pdf in batches:
             if pdf.empty:
                 continue
-            key = pdf["client"].astype(str) + "/" + pdf["_s"].astype(str)
-            keys = key.to_numpy()
-            t_us = _times_us(pdf["ts"])
-            allowed = np.zeros(len(pdf), dtype=bool)
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            ends = np.r_[starts[1:], len(pdf)]
-            for a, b in zip(starts, ends):
-                if keys[a] != cur:  # a new session always starts from an expired state
-                    cur, count, expiry = keys[a], 0, np.iinfo(np.int64).min
+            t_us, allowed = _times_us(pdf["ts"]), np.zeros(len(pdf), dtype=bool)
+            for k, a, b in zip(*_runs(pdf, _KEYS)):
+                if k != key:  # a block starts in the state in which it is entered
+                    key, count, expiry = k, int(pdf["count"].iat[a]), int(pdf["expiry"].iat[a])
                 allowed[a:b], count, expiry = replay(t_us[a:b], count, expiry, limit, exp_us)
             yield pd.DataFrame({"client": pdf["client"].to_numpy(), "req_id": pdf["req_id"].to_numpy(),
                                 "ts": pdf["ts"].to_numpy(), "allowed": allowed})
 
-    long_ = (s.where(F.col("_sn") > limit).select("client", "_s", "req_id", "ts")
-             .repartition("client", "_s").sortWithinPartitions("client", "_s", "ts", "req_id")
-             .mapInPandas(run, OUT_SCHEMA))
-    return short.unionByName(long_)
+    marked = (long_rows.join(entries, _KEYS).repartition(*_KEYS).sortWithinPartitions(*_KEYS, "ts", "req_id")
+              .select(*_KEYS, "req_id", "ts", "count", "expiry").mapInPandas(mark, OUT_SCHEMA))
+    return short.unionByName(marked)
 
 
 STATE_SCHEMA = StructType([
     StructField("count", LongType()), StructField("expiry_us", LongType()),
     StructField("pend_ts", ArrayType(LongType())), StructField("pend_id", ArrayType(LongType())),
 ])
-_MIN = np.iinfo(np.int64).min
 
 
 def rate_audit_stream(log_stream: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_WINDOW_S,

@@ -271,6 +271,36 @@ def test_validate_and_normalize_read_the_field_once(spark):
     assert plan.count("lineitem") + plan.count("Relation") <= 2
 
 
+def test_rate_audit_splits_one_unbroken_session(spark):
+    """Requests without any pause as long as the expiry: one session, many blocks, same flags as the replay."""
+    import numpy as np
+    import pandas as pd
+    r = np.random.default_rng(3)
+    exp, limit = 10, 7
+    for gaps in (r.integers(0, 9_000_000, 4000), np.full(3000, 1_000_000), r.choice([0, 1, 9_999_999], 3000)):
+        t = 1_700_000_000_000_000 + np.cumsum(gaps)
+        pdf = pd.DataFrame({"client": 1, "req_id": np.arange(len(t)), "ts": t.astype("datetime64[us]")})
+        log = spark.createDataFrame(pdf, "client long, req_id long, ts timestamp_ntz")
+        got = {x.req_id: x.allowed for x in ratelimit.rate_audit(log, limit, exp, blocks=3).collect()}
+        want, _, _ = ratelimit.replay(t, 0, np.iinfo(np.int64).min, limit, exp * 1_000_000)
+        assert [got[i] for i in range(len(t))] == want.tolist()
+        assert ratelimit.sessions(log, exp * 1_000_000).select("_s").distinct().count() == 1
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_block_exits_equal_the_replay(seed):
+    import numpy as np
+    r = np.random.default_rng(seed)
+    exp, limit = 50, int(r.integers(1, 6))
+    t = 1000 + np.cumsum(r.integers(0, 49, int(r.integers(1, 60))))
+    start = int(t[0] - r.integers(0, 30))
+    block = ratelimit.block_exits(t, start, limit, exp)
+    states = [(0, -10**15)] + [(c, int(t[0]) + 1) for c in range(1, limit)] + [(limit, x) for x in range(start - 5, start + exp)]
+    for count, expiry in states:
+        _, c, x = ratelimit.replay(t, count, expiry, limit, exp)
+        assert ratelimit.enter(block, count, expiry, limit) == (c, x), (count, expiry)
+
+
 def test_chunk_scan_of_another_writers_store(spark, tmp_path):
     """Four dimensions with a height, plain bytes, two step chunks, no record of absent cells."""
     import json
