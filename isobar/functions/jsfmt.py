@@ -18,6 +18,13 @@ def js_number(x: Column, scale: int) -> Column:
     return F.when(F.abs(x) < F.lit(float("inf")), txt).otherwise(F.lit("null"))
 
 
+def js_double(x: Column) -> Column:
+    """A coordinate as it was given: all its digits, no exponent, no trailing ``.0``."""
+    txt = F.regexp_replace(x.cast("string"), r"\.0$", "")
+    plain = F.regexp_replace(x.cast("decimal(38,24)").cast("string"), r"\.?0+$", "")
+    return F.when(F.abs(x) < F.lit(float("inf")), F.when(txt.contains("E"), plain).otherwise(txt)).otherwise(F.lit("null"))
+
+
 def js_string(x: Column) -> Column:
     """A JSON string literal (values are validated identifiers: no escaping needed)."""
     return F.concat(F.lit('"'), x, F.lit('"'))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import grid
-from ..functions.jsfmt import js_number, js_string
+from ..functions.jsfmt import js_double, js_number, js_string
 from ..functions.stats import round4
 from .grid_ops import point_to_cell, unit_of
 from .joins import bounded_broadcast
@@ -83,7 +83,7 @@ def point_series_json(points: DataFrame, ensemble: bool = False) -> DataFrame:
              .agg(F.array_sort(F.collect_list(F.struct("step_index", v.alias("t")))).alias("_e")))
     values = F.concat(F.lit("{"), F.array_join(F.transform(
         "_e", lambda e: F.concat(F.lit('"'), e["step_index"].cast("string"), F.lit('":'), e["t"])), ","), F.lit("}"))
-    parts = [F.lit('{"lat":'), js_number(F.col("lat"), 10), F.lit(',"lon":'), js_number(F.col("lon"), 10),
+    parts = [F.lit('{"lat":'), js_double(F.col("lat")), F.lit(',"lon":'), js_double(F.col("lon")),
              F.lit(',"param":'), js_string(F.col("param")), F.lit(',"run":'), js_string(F.col("run")),
              F.lit(',"unit":'), js_string(F.col("unit"))]
     if ensemble:

@@ -58,7 +58,8 @@ def _r4(x: str) -> str:
 
 def _head(members: bool) -> str:
     m = " || ',\"members\":' || CAST(max(nm) AS VARCHAR)" if members else ""
-    return ("'{\"lat\":' || " + _fmt("lat", 10) + " || ',\"lon\":' || " + _fmt("lon", 10)
+    lat, lon = (f"regexp_replace(CAST({c} AS VARCHAR), '\\.0$', '')" for c in ("lat", "lon"))
+    return ("'{\"lat\":' || " + lat + " || ',\"lon\":' || " + lon
             + " || ',\"param\":\"' || param || '\",\"run\":\"' || run || '\",\"unit\":\"' || unit || '\"'" + m)
 
 

@@ -271,6 +271,13 @@ def test_validate_and_normalize_read_the_field_once(spark):
     assert plan.count("lineitem") + plan.count("Relation") <= 2
 
 
+def test_coordinates_are_echoed_with_all_their_digits(spark):
+    from isobar.functions.jsfmt import js_double
+    xs = [52.52, -0.125, 13.405123456789, 90.0, 0.0, -179.99999999999997, 0.0005, 100.0, 1e-7]
+    got = [r.t for r in spark.createDataFrame([(x,) for x in xs], "x double").select(js_double(F.col("x")).alias("t")).collect()]
+    assert [float(t) for t in got] == xs and got[3:5] == ["90", "0"] and got[6] == "0.0005" and "E" not in "".join(got)
+
+
 def test_rate_audit_splits_one_unbroken_session(spark):
     """Requests without any pause as long as the expiry: one session, many blocks, same flags as the replay."""
     import numpy as np
