@@ -156,23 +156,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     slim = docs.select("doc_id", row_key(F.col("text")).alias("row_key"), "text")
     rows = written(arrow_map(slim, _symbols(window, rounds),
                              "doc_id long, row_key long, f1 long, f2 long, n_words long, sha string, keys array<long>"), "symbols")
-    first = rows.groupBy("f1", "f2").agg(F.min("doc_id").alias("first"))
+    # sums are written before they are joined, so that Spark can split a hot key's rows in the join
+    first = written(rows.groupBy("f1", "f2").agg(F.min("doc_id").alias("first")), "symbols-texts")
     tagged = rows.join(first, ["f1", "f2"]).withColumn("copy", _smaller("first", "doc_id"))
     tagged = written(tagged.select("doc_id", "row_key", "n_words", "sha", "copy",
                                    F.when(~F.col("copy"), F.col("keys")).alias("keys")), "symbols-first")
 
     keyed = tagged.where(~F.col("copy")).select("doc_id", "row_key", F.explode("keys").alias("key"))
-    shared = (keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                                       F.max(F.col("doc_id").isNull()).alias("no_id"))
-              .where((F.col("lo") < F.col("hi")) | (F.col("lo").isNotNull() & F.col("no_id"))).select("key"))
+    shared = written(keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                              F.max(F.col("doc_id").isNull()).alias("no_id"))
+                     .where((F.col("lo") < F.col("hi")) | (F.col("lo").isNotNull() & F.col("no_id"))).select("key"), "symbols-keys")
     wanted = written(keyed.join(shared, "key").groupBy("doc_id", "row_key")
                      .agg(F.collect_set("key").alias("wanted")), "symbols-shared")
 
     found = written(arrow_map(join_rows(slim, wanted, "inner", F.size("wanted") * 8 + 32), _windows(window, rounds),
                               "h1 long, h2 long, doc_id long, row_key long, pos int"), "windows")
-    smallest = (found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
-                                              F.max(F.col("doc_id").isNull()).alias("no_id"))
-                .where((F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("no_id"))))
+    smallest = written(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                                                     F.max(F.col("doc_id").isNull()).alias("no_id"))
+                       .where((F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("no_id"))), "windows-first")
     gone = written(found.join(smallest, ["h1", "h2"]).where(_smaller("first", "doc_id"))
                    .groupBy("doc_id", "row_key").agg(F.collect_list("pos").alias("at")), "repeats")
 
