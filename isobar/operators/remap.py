@@ -121,9 +121,20 @@ def _lon_bin(lon: Column, b: float) -> Column:
     return F.pmod(F.floor((lon + F.lit(180.0)) / F.lit(b)), F.lit(n)).cast("int")
 
 
+#: Longitude bins on each side of a target's own, at most (about 86 degrees of latitude).
+MAX_SIDE_BINS = 16
+
+
+def _side_bins(lat: Column, b: float) -> Column:
+    """Longitude bins on each side that a window needs to be about as wide as
+    it is high: meridians converge, so their number grows with latitude."""
+    edge = F.least(F.abs(lat) + F.lit(b), F.lit(89.9))
+    return F.least(F.ceil(F.lit(1.0) / F.cos(edge * F.lit(RAD))), F.lit(min(MAX_SIDE_BINS, int(round(360 / b)) // 2))).cast("int")
+
+
 def _guaranteed_km(lat: Column, lon: Column, b: float) -> Column:
-    """Radius around a target inside which every source lies in its 3 x 3
-    bin window (so the window's k nearest are the true k nearest)."""
+    """Radius around a target inside which every source lies in its bin
+    window (so the window's k nearest are the true k nearest)."""
     nlon = int(round(360 / b))
     inf = F.lit(float("inf"))
     bi = _lat_bin(lat, b)
@@ -131,16 +142,14 @@ def _guaranteed_km(lat: Column, lon: Column, b: float) -> Column:
     north_edge = (bi + 2).cast("double") * F.lit(b) - F.lit(90.0)
     d_s = F.when(south_edge <= F.lit(-90.0), inf).otherwise(lat - south_edge)
     d_n = F.when(north_edge >= F.lit(90.0), inf).otherwise(north_edge - lat)
-    if nlon <= 3:
-        d_lon = inf
-    else:
-        bj = F.floor((lon + F.lit(180.0)) / F.lit(b))
-        west_edge = (bj - 1).cast("double") * F.lit(b) - F.lit(180.0)
-        east_edge = (bj + 2).cast("double") * F.lit(b) - F.lit(180.0)
-        delta = F.least(lon - west_edge, east_edge - lon)
-        # nearest point of any meridian at least delta away (pole when >= 90)
-        d_lon = F.when(delta >= 90.0, F.lit(90.0) - F.abs(lat)).otherwise(
-            F.degrees(F.asin(F.cos(lat * F.lit(RAD)) * F.sin(delta * F.lit(RAD)))))
+    side = _side_bins(lat, b)
+    bj = F.floor((lon + F.lit(180.0)) / F.lit(b))
+    west_edge = (bj - side).cast("double") * F.lit(b) - F.lit(180.0)
+    east_edge = (bj + 1 + side).cast("double") * F.lit(b) - F.lit(180.0)
+    delta = F.least(lon - west_edge, east_edge - lon)
+    # nearest point of any meridian at least delta away (pole when >= 90)
+    d_lon = F.when(2 * side + 1 >= F.lit(nlon), inf).when(delta >= 90.0, F.lit(90.0) - F.abs(lat)).otherwise(
+        F.degrees(F.asin(F.cos(lat * F.lit(RAD)) * F.sin(delta * F.lit(RAD)))))
     return F.least(d_s, d_n, d_lon) * F.lit(RAD * EARTH_RADIUS_KM)
 
 
@@ -149,9 +158,10 @@ def _knn_pass(src: DataFrame, dst: DataFrame, k: int, b: float) -> DataFrame:
     s = src.select("src_id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"),
                    _lat_bin(F.col("lat"), b).alias("bi"), _lon_bin(F.col("lon"), b).alias("bj"))
     bi, bj = _lat_bin(F.col("lat"), b), _lon_bin(F.col("lon"), b)
-    nb = F.array_distinct(F.array(*[
-        F.struct((bi + di).alias("bi"), F.pmod(bj + dj, F.lit(nlon)).alias("bj"))
-        for di in (-1, 0, 1) for dj in (-1, 0, 1)]))
+    side = _side_bins(F.col("lat"), b)
+    row = F.array_distinct(F.transform(F.sequence(-side, side), lambda dj: F.pmod(bj + dj, F.lit(nlon)).cast("int")))
+    nb = F.flatten(F.transform(F.array(*[F.lit(di) for di in (-1, 0, 1)]), lambda di: F.transform(
+        row, lambda j: F.struct((bi + di).cast("int").alias("bi"), j.alias("bj")))))
     t = (dst.select("dst_id", F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"),
                     _guaranteed_km(F.col("lat"), F.col("lon"), b).alias("radius"),
                     F.explode(nb).alias("nb"))
@@ -259,8 +269,8 @@ def idw_weights(src: DataFrame, dst: DataFrame, k: int = 4, bin_deg: float | Non
                 method: str = "distance") -> DataFrame:
     """K nearest sources per target with inverse-distance weights (sum 1).
 
-    Pass 1 compares each target with the sources of its 3 x 3 bin window; a
-    target is settled when it found k sources and the k-th lies within the
+    Pass 1 compares each target with the sources of its bin window, three
+    bins high and, as meridians converge, wider with latitude; a target is settled when it found k sources and the k-th lies within the
     radius that window guarantees (meridians converge towards the poles, the
     window wraps at the date line).  Settled targets are checkpointed.  The
     rest - targets in sparse regions - go through an exact coarse-to-fine
