@@ -5,9 +5,11 @@ form one class, and one set stands for it.  Classes are dealt down random
 trees: a node chooses one or two coordinates of the minwise signature (1 / J of
 them on average, J the similarity sought), and for each a class goes to the
 child of its value there.  Similar sets keep meeting: each level a pair of
-similarity J shares one child on average.  Nodes of a few classes are compared
-exhaustively; larger ones branch again.  Independent trees repeat this until
-pairs that miss each other in all of them are negligible.
+similarity J shares one child on average.  Spark deals the classes down until a
+node fits a task, which branches on; nodes of a few classes are compared
+exhaustively, and a node whose classes are all tied together is done.
+Independent trees repeat this until pairs that miss each other in all of them
+are negligible.
 
 Sketches of the signatures decide which comparisons matter; every link is then
 confirmed on the full sets.  A family (classes joined by likely links) is sent
@@ -29,9 +31,12 @@ from isobar.llm.components import components
 from isobar.llm.words import SPACED, Hasher, Piece, mix, pieces
 
 SHINGLE, PERCENT = 5, 80
-TREES, LEVELS = 16, 8
-#: Signature coordinates; classes in a node that is compared; deviations below the threshold that a sketch may show.
-COORDINATES, LEAF, DEVIATIONS = 96, 128, 6.0
+#: Independent trees; levels dealt out by Spark, and the levels a task adds below them.
+TREES, LEVELS, DEPTH = 16, 8, 24
+#: Classes in a node that one task takes, and in a node that is compared exhaustively.
+NODE, LEAF = 8192, 64
+#: Signature coordinates; deviations below the threshold that a sketch may show.
+COORDINATES, DEVIATIONS = 96, 6.0
 #: Pivot sweeps times set elements that one task may do for a family (about a nanosecond each).
 FAMILY_WORK = 2e10
 PIVOTS = 8
@@ -114,61 +119,112 @@ def _children(percent: int, trees: int | None) -> Callable:
     return run
 
 
-def _roots(cids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Index of the first member of each member's group under the links a-b (a < b)."""
-    root = np.arange(len(cids))
-    while True:
-        low = np.minimum(root[a], root[b])
-        before = root.copy()
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        if (root == before).all():
-            return root
+class Groups:
+    """Members' groups in one node: ``root`` has the first member of each one's group."""
 
+    def __init__(self, n: int):
+        self.root = np.arange(n)
 
-def _leaf_edges(percent: int):
+    def tie(self, x: int, others: np.ndarray) -> None:
+        roots = np.unique(np.append(self.root[others], self.root[x]))
+        if len(roots) > 1:
+            self.root[np.isin(self.root, roots)] = roots[0]
+
+
+def _likely(size: np.ndarray, sketch: np.ndarray, x: int, others: np.ndarray, percent: int, floor: float) -> np.ndarray:
+    """Those of ``others`` that x may be linked with, by size and sketch."""
+    s = size[others]
+    others = others[100 * np.minimum(s, size[x]) >= percent * np.maximum(s, size[x])]
+    share = (sketch[others] == sketch[x]).mean(axis=1)
+    return others[(share - 1 / 256) / (1 - 1 / 256) >= floor]
+
+
+def node_groups(size: np.ndarray, sketch: np.ndarray, percent: int, floor: float, seed: int, small: int) -> np.ndarray:
+    """Root of each member's group after the tree below this node.
+
+    A node first ties one member to all that are like it, and is done when all
+    its members are tied.  Otherwise it branches by a coordinate or two, or, if
+    it is small or deep, compares every member with those not tied to it yet.
+    """
+    groups = Groups(len(size))
+    second = int((100 / percent - 1) * (1 << 32))
+    todo = [(np.arange(len(size)), seed & 0xFFFFFFFFFFFFFFFF, 0)]
+    while todo:
+        at, node, depth = todo.pop()
+        draw = int(mix(np.array([(node + depth) & 0xFFFFFFFFFFFFFFFF], U64))[0])
+        pivot = int(at[draw % len(at)])
+        rest = at[groups.root[at] != groups.root[pivot]]
+        if len(rest):
+            groups.tie(pivot, _likely(size, sketch, pivot, rest, percent, floor))
+        if (groups.root[at] == groups.root[at[0]]).all():
+            continue
+        if len(at) <= small or depth >= DEPTH:
+            for i, x in enumerate(at[:-1].tolist()):
+                rest = at[i + 1:]
+                rest = rest[groups.root[rest] != groups.root[x]]
+                if len(rest):
+                    groups.tie(x, _likely(size, sketch, x, rest, percent, floor))
+            continue
+        for turn in range(1 + ((draw >> 32) < second)):
+            c = (draw + 37 * turn) % COORDINATES
+            order = at[np.argsort(sketch[at, c], kind="stable")]
+            cuts = np.flatnonzero(np.diff(sketch[order, c])) + 1
+            todo += [(part, draw ^ (int(sketch[part[0], c]) << 8) ^ c, depth + 1)
+                     for part in np.split(order, cuts) if len(part) > 1]
+    return groups.root
+
+
+def _leaf_edges(percent: int, small: int):
     j = percent / 100
     floor = j - DEVIATIONS * np.sqrt(j * (1 - j) / COORDINATES)
 
+    def tied(node: int, parts: list[tuple]) -> pa.RecordBatch:
+        cids, size, sk = (np.concatenate(x) for x in zip(*parts))
+        root = node_groups(size, sk, percent, floor, node, small)
+        m = root != np.arange(len(cids))
+        return pa.RecordBatch.from_arrays([pa.array(cids[m]), pa.array(cids[root[m]])], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come sorted by node; a task holds one node and one batch at a time
+        node, parts = None, []
         for batch in batches:
-            edges: list[tuple[np.ndarray, np.ndarray]] = []
-            for row in batch.column("members"):
-                v = row.values
-                cids = v.field("cid").to_numpy()
-                size = v.field("n_shingles").to_numpy()
-                sk = np.frombuffer(b"".join(v.field("sketch").to_pylist()), np.uint8).reshape(len(cids), COORDINATES)
-                share = (sk[:, None, :] == sk[None, :, :]).mean(axis=2)
-                near = ((share - 1 / 256) / (1 - 1 / 256) >= floor) & (size[:, None] * 100 >= percent * size[None, :])
-                a, b = np.nonzero(np.triu(near & near.T, 1))
-                if len(a):
-                    root = _roots(cids, a, b)
-                    m = root != np.arange(len(cids))
-                    edges.append((cids[m], cids[root[m]]))
-            a = np.concatenate([e[0] for e in edges]) if edges else np.zeros(0, np.int64)
-            b = np.concatenate([e[1] for e in edges]) if edges else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            if not batch.num_rows:
+                continue
+            nodes = batch.column("node").to_numpy()
+            cids, size = batch.column("cid").to_numpy(), batch.column("n_shingles").to_numpy()
+            sk = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(len(cids), COORDINATES)
+            first = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
+            done = []
+            for x, y in zip(first.tolist(), [*first[1:].tolist(), len(nodes)]):
+                if nodes[x] != node:
+                    if parts:
+                        done.append(tied(node, parts))
+                    node, parts = int(nodes[x]), []
+                parts.append((cids[x:y], size[x:y], sk[x:y]))
+            if done:
+                yield from pa.Table.from_batches(done).combine_chunks().to_batches()
+        if parts:
+            yield tied(node, parts)
     return run
 
 
-def link_sets(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest (a, b) of the exact links between the sets.
+def link_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the first set that exact links connect it with.
 
-    Pivot by pivot, against all sets at once; pairs already connected need no link.
+    Pivot by pivot, against all sets at once; pairs already connected need no look.
     """
     n = len(sets)
     size = np.array([len(s) for s in sets])
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     bounds = np.concatenate([[0], np.cumsum(size)])
     mark = np.zeros(int(ids.max()) + 1, np.int64) if len(ids) else np.zeros(1, np.int64)
-    root, a, b = np.arange(n), [], []
+    groups = Groups(n)
     for x in range(n - 1):
-        todo = (root != root[x])
+        todo = groups.root != groups.root[x]
         todo[:x + 1] = False
         todo &= (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x]))
         if not todo.any():
-            if (root == root[0]).all():
+            if not groups.root.any():
                 break
             continue
         mine = ids[bounds[x]:bounds[x + 1]]
@@ -180,14 +236,10 @@ def link_sets(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndar
         else:
             both = np.add.reduceat(mark[ids], bounds[:-1])
         mark[mine] = 0
-        link = np.flatnonzero(todo & (100 * both >= percent * (size + size[x] - both)))
-        for y in link.tolist():
-            if root[y] != root[x]:
-                a.append(x)
-                b.append(y)
-                old, new = max(root[x], root[y]), min(root[x], root[y])
-                root[root == old] = new
-    return np.array(a, np.int64), np.array(b, np.int64)
+        linked = np.flatnonzero(todo & (100 * both >= percent * (size + size[x] - both)))
+        if len(linked):
+            groups.tie(x, linked)
+    return groups.root
 
 
 def _grouped(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -210,10 +262,11 @@ def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_a, out_b, held = [], [], 0
         for cids, sets in _grouped(batches):
-            a, b = link_sets(sets, percent)
-            out_a.append(cids[a])
-            out_b.append(cids[b])
-            held += len(a)
+            root = link_sets(sets, percent)
+            tied = root != np.arange(len(cids))
+            out_a.append(cids[tied])
+            out_b.append(cids[root[tied]])
+            held += int(tied.sum())
             if held > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
                 out_a, out_b, held = [], [], 0
@@ -255,7 +308,7 @@ def _nodes(classes: DataFrame, percent: int, trees: int, levels: int, leaf: int)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
-                    levels: int = LEVELS, leaf: int = LEAF, family_work: float = FAMILY_WORK) -> DataFrame:
+                    levels: int = LEVELS, node: int = NODE, leaf: int = LEAF, family_work: float = FAMILY_WORK) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id, group_id and kept of every row.
 
     Two documents are linked if 100 * shared shingles >= percent * all shingles.
@@ -279,14 +332,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                       .agg(F.min("doc_id").alias("first"), F.min_by(F.struct("doc_id", "row_key", "mins"), F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("r"))
                       .select("f1", "f2", "n_shingles", "first", F.col("r.doc_id").alias("doc_id"), F.col("r.row_key").alias("row_key"),
                               F.col("r.mins").alias("mins"), F.monotonically_increasing_id().alias("cid")), "classes")
-    leaves, large = _nodes(classes, percent, trees, levels, leaf)
+    leaves, large = _nodes(classes, percent, trees, levels, node)
 
-    # likely links: inside leaves by sketch, in nodes that stay large by the path they share
+    # likely links: below the nodes a task takes, by sketch; in nodes that stay large, by the path they share
     sketch = classes.select("cid", "n_shingles", F.col("mins").alias("sketch"))
     low_bytes = arrow_map(sketch, _low_bytes, "cid long, n_shingles long, sketch binary")
-    members = leaves.join(written(low_bytes, "sketches"), "cid").groupBy("node").agg(
-        F.collect_list(F.struct("cid", "n_shingles", "sketch")).alias("members"))  # at most ``leaf`` each
-    likely = arrow_map(members.select("members"), _leaf_edges(percent), "a long, b long")
+    members = (leaves.join(written(low_bytes, "sketches"), "cid").select("node", "cid", "n_shingles", "sketch")
+               .repartition("node").sortWithinPartitions("node", "cid"))  # at most ``node`` rows each
+    likely = arrow_map(members, _leaf_edges(percent, leaf), "a long, b long")
     star = large.join(written(large.groupBy("node").agg(F.min("cid").alias("b")), "nodes-first"), "node").select(F.col("cid").alias("a"), "b")
     family = written(components(likely.unionByName(star)), "families")
 
@@ -299,11 +352,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sets = written(arrow_map(texts.select("cid", "text"), _sets(shingle), "cid long, set binary"), "family-sets")
     fits = family.join(work.where(F.col("work") <= family_work), "root").select(F.col("node").alias("cid"), F.col("root").alias("family"))
     links = _exact(fits, sets, percent)
-    if not work.where(F.col("work") > family_work).isEmpty():
-        links = links.unionByName(_exact_in_nodes(leaves, large, family, work.where(F.col("work") > family_work), sets, percent, leaf))
-    links = written(links, "links")
-
-    root = components(links)
+    too_large = work.where(F.col("work") > family_work)
+    if too_large.isEmpty():
+        root = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    else:  # their links come from several nodes and have yet to be joined
+        root = components(links.unionByName(_exact_in_nodes(leaves, large, family, too_large, sets, percent, node)))
+    root = written(root, "class-roots")
     ids = classes.select("cid", "f1", "f2", "first").join(root, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
     grouped = ids.groupBy("root").agg(F.min("first").alias("component_id"))
     names = ids.select("f1", "f2", "root").join(grouped, "root").select("f1", "f2", "component_id", F.col("root").alias("group_id"))
@@ -338,16 +392,16 @@ def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _exact(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) inside each group; ``groups`` has rows (cid, family)."""
+    """(a, b) inside each group: b is the least class that links connect a with; ``groups`` has rows (cid, family)."""
     rows = groups.join(sets, "cid").repartition("family").sortWithinPartitions("family", "cid")
     return arrow_map(rows.select("family", "cid", "set"), _confirm(percent), "a long, b long")
 
 
 def _exact_in_nodes(leaves: DataFrame, large: DataFrame, family: DataFrame, work: DataFrame, sets: DataFrame,
-                    percent: int, leaf: int) -> DataFrame:
+                    percent: int, block: int) -> DataFrame:
     """Links of the families too large for one task, found inside their tree nodes.
 
-    Nodes that stayed large are dealt into blocks of about ``leaf`` classes,
+    Nodes that stayed large are dealt into blocks of about ``block`` classes,
     each joined by the node's pivots (those of least hash), which tie the
     blocks together.
     """
@@ -356,7 +410,7 @@ def _exact_in_nodes(leaves: DataFrame, large: DataFrame, family: DataFrame, work
     rows = written(large.join(mine, "cid"), "large-nodes")
     pivots = rows.groupBy("node").agg(F.count("*").alias("n"), *[
         F.min_by("cid", F.xxhash64(F.lit(i), F.col("cid"))).alias(f"p{i}") for i in range(PIVOTS)])
-    blocks = F.ceil(F.col("n") / leaf).cast("int")
+    blocks = F.ceil(F.col("n") / block).cast("int")
     dealt = rows.join(pivots.select("node", "n"), "node").select(
         "cid", F.xxhash64("node", F.pmod(F.xxhash64("cid", "node"), blocks)).alias("family"))
     tie = pivots.select("node", "n", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("cid")).select(

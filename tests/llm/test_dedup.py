@@ -34,7 +34,7 @@ def near_rows(words):
     return rows
 
 
-@pytest.mark.parametrize("k,percent,more", [(3, 85, {}), (5, 80, {}), (3, 85, {"leaf": 4, "family_work": 1.0}), (3, 85, {"leaf": 2, "levels": 2})])
+@pytest.mark.parametrize("k,percent,more", [(3, 85, {}), (5, 80, {}), (3, 85, {"node": 4, "leaf": 2, "family_work": 1.0}), (3, 85, {"node": 2, "levels": 2}), (3, 85, {"leaf": 2})])
 def test_near_duplicates_equal_all_pairs(make, near_rows, k, percent, more):
     want = brute.near_components(near_rows, k, percent)
     got = neardup.near_duplicates(make(near_rows), k, percent, **more).collect()
