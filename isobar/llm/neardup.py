@@ -14,7 +14,11 @@ are negligible.
 Sketches of the signatures decide which comparisons matter; every link is then
 confirmed on the full sets.  A family (classes joined by likely links) is sent
 to one task and linked exactly there, pivot against all, without listing
-pairs.  Families too large for that are linked inside their tree nodes.
+pairs.  Families too large for that are joined by prefixes: two sets of
+similarity J share an element among the first 1 - J of each in any one order, so
+sets that share none of their rarest elements need no comparison, and those that
+do are compared, block against block where they are many.  No link inside a
+family is lost either way.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ COORDINATES, DEVIATIONS = 96, 6.0
 #: Pivot sweeps times set elements that one task may do for a family (about a nanosecond each).
 FAMILY_WORK = 2e10
 PIVOTS = 8
+#: Counters of the elements of the families too large for one task, from which their rarest are told.
+COUNTERS = 1 << 18
 U64 = np.uint64
 _R = np.random.default_rng(314159)
 _MULTIPLIERS = _R.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * U64(2) + U64(1)
@@ -208,10 +214,11 @@ def _leaf_edges(percent: int, small: int):
     return run
 
 
-def link_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def link_sets(sets: list[np.ndarray], percent: int, known: np.ndarray) -> np.ndarray:
     """For each set the first set that exact links connect it with.
 
-    Pivot by pivot, against all sets at once; pairs already connected need no look.
+    Pivot by pivot, against all sets at once; pairs already connected need no
+    look, nor do those of equal ``known``.
     """
     n = len(sets)
     size = np.array([len(s) for s in sets])
@@ -219,6 +226,8 @@ def link_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
     bounds = np.concatenate([[0], np.cumsum(size)])
     mark = np.zeros(int(ids.max()) + 1, np.int64) if len(ids) else np.zeros(1, np.int64)
     groups = Groups(n)
+    _, first, at = np.unique(known, return_index=True, return_inverse=True)
+    groups.root = first[at]
     for x in range(n - 1):
         todo = groups.root != groups.root[x]
         todo[:x + 1] = False
@@ -242,28 +251,31 @@ def link_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return groups.root
 
 
-def _grouped(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """(cids, sets) of each run of equal ``family``, across batches."""
-    family, cids, sets = None, [], []
+def _grouped(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """(cids, known roots, sets) of each run of equal ``family``, across batches."""
+    family, cids, known, sets = None, [], [], []
     for batch in rows:
-        for f, c, s in zip(batch.column("family").to_pylist(), batch.column("cid").to_pylist(), batch.column("set").to_pylist()):
+        for f, c, k, s in zip(*(batch.column(name).to_pylist() for name in ("family", "cid", "known", "set"))):
             if f != family:
                 if cids:
-                    yield np.array(cids), sets
-                family, cids, sets = f, [], []
+                    yield np.array(cids), np.array(known), sets
+                family, cids, known, sets = f, [], [], []
             if not cids or c != cids[-1]:  # a class may have come with several rows
                 cids.append(c)
+                known.append(k)
                 sets.append(np.frombuffer(s, U64))
     if cids:
-        yield np.array(cids), sets
+        yield np.array(cids), np.array(known), sets
 
 
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_a, out_b, held = [], [], 0
-        for cids, sets in _grouped(batches):
-            root = link_sets(sets, percent)
-            tied = root != np.arange(len(cids))
+        for cids, known, sets in _grouped(batches):
+            root = link_sets(sets, percent, known)
+            tied = np.zeros(len(cids), bool)
+            tied[np.unique(known, return_index=True)[1]] = True  # one link for all of a known group
+            tied &= root != np.arange(len(cids))
             out_a.append(cids[tied])
             out_b.append(cids[root[tied]])
             held += int(tied.sum())
@@ -323,7 +335,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     where one level separates strangers, so 16 trees lose fewer than 1 in 1e12;
     eight levels deep the chance is about a third, and 1 in 600 are lost unless
     (as is usual in such families) other links connect them too.  Within a
-    family that fits one task no link at all is lost.
+    family no link at all is lost, whatever its size.
     """
     slim = docs.select("doc_id", row_key(F.col("text")).alias("row_key"), "text")
     rows = written(arrow_map(slim, _signed(shingle), "doc_id long, row_key long, n_shingles long, f1 long, f2 long, mins binary"), "sets")
@@ -334,7 +346,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                               F.col("r.mins").alias("mins"), F.monotonically_increasing_id().alias("cid")), "classes")
     leaves, large = _nodes(classes, percent, trees, levels, node)
 
-    # likely links: below the nodes a task takes, by sketch; in nodes that stay large, by the path they share
+    # likely links: below the nodes a task takes, by sketch; a node that stays large is one family
     sketch = classes.select("cid", "n_shingles", F.col("mins").alias("sketch"))
     low_bytes = arrow_map(sketch, _low_bytes, "cid long, n_shingles long, sketch binary")
     members = (leaves.join(written(low_bytes, "sketches"), "cid").select("node", "cid", "n_shingles", "sketch")
@@ -355,8 +367,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     too_large = work.where(F.col("work") > family_work)
     if too_large.isEmpty():
         root = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    else:  # their links come from several nodes and have yet to be joined
-        root = components(links.unionByName(_exact_in_nodes(leaves, large, family, too_large, sets, percent, node)))
+    else:  # their links come from several tasks and have yet to be joined
+        root = components(links.unionByName(_exact_by_prefix(family, too_large, sets, percent, node, family_work)))
     root = written(root, "class-roots")
     ids = classes.select("cid", "f1", "f2", "first").join(root, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
     grouped = ids.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -392,27 +404,115 @@ def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _exact(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) inside each group: b is the least class that links connect a with; ``groups`` has rows (cid, family)."""
+    """(a, b) inside each group: b is the least class that links connect a with.
+
+    ``groups`` has rows (cid, family), and ``known`` where classes are linked already.
+    """
+    if "known" not in groups.columns:
+        groups = groups.withColumn("known", F.col("cid"))
     rows = groups.join(sets, "cid").repartition("family").sortWithinPartitions("family", "cid")
-    return arrow_map(rows.select("family", "cid", "set"), _confirm(percent), "a long, b long")
+    return arrow_map(rows.select("family", "cid", "known", "set"), _confirm(percent), "a long, b long")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for s in batch.column("set").to_pylist():
+            np.add.at(total, (np.frombuffer(s, U64) % U64(COUNTERS)).astype(np.int64), 1)
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], ["slot", "n"])
+
+
+def _prefixes(percent: int, counts) -> Callable:
+    """Rows (cid, known, set) to a row (element, cid, known, size) for each element of the set's prefix.
+
+    Linked sets share at least percent of either's elements, so they share one
+    of the first size - ceil(percent of size) + 1 of each, in any one order: here
+    that of the counters, so that the first are rare.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = counts.value
+        for batch in batches:
+            out = []
+            for s in batch.column("set").to_pylist():
+                s = np.frombuffer(s, U64)
+                order = np.lexsort((s, total[(s % U64(COUNTERS)).astype(np.int64)]))
+                out.append(s[order[:len(s) + (-percent * len(s)) // 100 + 1]])
+            if not out:
+                continue
+            n = np.array([len(x) for x in out])
+            size = np.array([len(x) // 8 for x in batch.column("set").to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(batch.column("cid").to_numpy(), n)),
+                 pa.array(np.repeat(batch.column("known").to_numpy(), n)), pa.array(np.repeat(size, n))],
+                ["element", "cid", "known", "size"])
+    return run
+
+
+def _blocks(n: str, size: str, block: int, family_work: float):
+    """Blocks for ``n`` classes of ``size`` elements in all, so that each fits a task."""
+    by_work = F.ceil(F.sqrt(F.col(n).cast("double") * F.col(size) / family_work))
+    return F.least(F.col(n), F.greatest(F.ceil(F.col(n) / block), by_work)).cast("int")
 
 
-def _exact_in_nodes(leaves: DataFrame, large: DataFrame, family: DataFrame, work: DataFrame, sets: DataFrame,
-                    percent: int, block: int) -> DataFrame:
-    """Links of the families too large for one task, found inside their tree nodes.
+def _exact_by_prefix(family: DataFrame, work: DataFrame, sets: DataFrame, percent: int, block: int, family_work: float) -> DataFrame:
+    """All links of the families too large for one task, up to links that others imply.
 
-    Nodes that stayed large are dealt into blocks of about ``block`` classes,
-    each joined by the node's pivots (those of least hash), which tie the
-    blocks together.
+    A first pass deals each family into blocks that share its pivots (those of
+    least hash).  The second compares all classes that share a prefix element
+    and are not linked yet.  Where they are too many for a task, those outside
+    the largest linked group are compared with all, block against block.
     """
-    mine = family.join(work.select("root"), "root").select(F.col("node").alias("cid"))
-    small = leaves.join(mine, "cid").select("cid", F.col("node").alias("family"))
-    rows = written(large.join(mine, "cid"), "large-nodes")
-    pivots = rows.groupBy("node").agg(F.count("*").alias("n"), *[
+    mine = family.join(work.select("root"), "root").select(F.col("node").alias("cid"), "root")
+    mine = written(mine.join(sets, "cid").dropDuplicates(["cid"]), "large-sets")
+    own = mine.select("cid", "set")
+    rows = mine.select("cid", "root", (F.length("set") / 8).cast("long").alias("size"))
+    pivots = written(rows.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("size"), *[
         F.min_by("cid", F.xxhash64(F.lit(i), F.col("cid"))).alias(f"p{i}") for i in range(PIVOTS)])
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = rows.join(pivots.select("node", "n"), "node").select(
-        "cid", F.xxhash64("node", F.pmod(F.xxhash64("cid", "node"), blocks)).alias("family"))
-    tie = pivots.select("node", "n", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("cid")).select(
-        "cid", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.xxhash64("node", b))).alias("family"))
-    return _exact(small.unionByName(dealt).unionByName(tie).distinct(), sets, percent)
+        .withColumn("blocks", _blocks("n", "size", block, family_work)), "large-pivots")
+    dealt = rows.select("cid", "root").join(pivots.select("root", "blocks"), "root").select(
+        "cid", F.xxhash64("root", F.pmod(F.xxhash64("cid", "root"), F.col("blocks")).cast("int")).alias("family"))
+    tie = pivots.select("root", "blocks", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("cid")).select(
+        "cid", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.xxhash64("root", b))).alias("family"))
+    first = written(_exact(dealt.unionByName(tie).distinct(), own, percent), "large-links")
+
+    # prefixes, with the group that the first pass found
+    total = np.zeros(COUNTERS, np.int64)
+    for slot, n in arrow_map(own.select("set"), _counted, "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():  # COUNTERS rows at most
+        total[slot] = n
+    counts = family.sparkSession.sparkContext.broadcast(total)
+    roots = written(components(first).select(F.col("node").alias("cid"), F.col("root").alias("known")), "large-roots")
+    known = own.join(roots, "cid", "left").select("cid", F.coalesce("known", "cid").alias("known"), "set")
+    held = written(arrow_map(known, _prefixes(percent, counts), "element long, cid long, known long, size long"), "prefixes")
+    per_root = held.groupBy("element", "known").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"),
+        *[F.bit_xor(F.xxhash64(F.lit(i), F.col("cid"))).alias(f"x{i}") for i in range(2)])
+    groups = per_root.groupBy("element").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max("n").alias("n_main"),
+        F.max_by(F.struct("known", "size"), F.struct("n", "known")).alias("main"), *[F.bit_xor(x).alias(x) for x in ("x0", "x1")])
+    # elements of the same classes need one look
+    groups = (groups.where(F.col("parts") > 1).groupBy("n", "x0", "x1")
+              .agg(F.min_by(F.struct("element", "size", "n_main", "main"), "element").alias("r"))
+              .select("r.element", "n", "r.size", "r.n_main", F.col("r.main.known").alias("main"), F.col("r.main.size").alias("size_main")))
+    groups = (groups.withColumn("n_rest", F.col("n") - F.col("n_main")).withColumn("size_rest", F.col("size") - F.col("size_main"))
+              .withColumn("whole", _blocks("n", "size", block, family_work) == 1))
+    half, quarter = max(block // 2, 1), family_work / 4  # two blocks meet in a task
+    groups = written(groups.withColumn("b_main", _blocks("n_main", "size_main", half, quarter))
+                     .withColumn("b_rest", _blocks("n_rest", "size_rest", half, quarter))
+                     .select("element", "main", "whole", "b_main", "b_rest"), "prefix-groups")
+    live = written(held.select("element", "cid", "known").join(groups, "element"), "prefix-rows")
+    small = live.where("whole").select("cid", "known", F.xxhash64("element").alias("family"))
+    large = live.where(~F.col("whole"))
+    main, rest = large.where(F.col("known") == F.col("main")), large.where(F.col("known") != F.col("main"))
+
+    def each(n: str, key: Callable) -> DataFrame:
+        return F.explode(F.transform(F.sequence(F.lit(0), F.col(n) - 1), key)).alias("family")
+
+    def at(n: str):
+        return F.pmod(F.xxhash64("cid", "element"), F.col(n)).cast("int")
+    cross = [main.select("cid", "known", each("b_rest", lambda i: F.xxhash64("element", i, at("b_main"), F.lit(0)))),
+             rest.select("cid", "known", each("b_main", lambda i: F.xxhash64("element", at("b_rest"), i, F.lit(0)))),
+             rest.select("cid", "known", each("b_rest", lambda i: F.xxhash64("element", F.least(i, at("b_rest")), F.greatest(i, at("b_rest")), F.lit(1))))]
+    for x in cross:
+        small = small.unionByName(x)
+    return first.unionByName(_exact(small, own, percent))

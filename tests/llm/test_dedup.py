@@ -43,6 +43,24 @@ def test_near_duplicates_equal_all_pairs(make, near_rows, k, percent, more):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("more", [{"family_work": 1.0}, {"family_work": 1e5}, {"family_work": 1e5, "levels": 1, "trees": 2}])
+def test_large_families_lose_no_link(make, words, more):
+    """Forty groups of near copies that share three quarters of their words; no node and no family fits a task."""
+    rows, r = [], random.Random(7)
+    boilerplate = words(75, 900)
+    for group in range(40):
+        own = [f"g{group}w{i}" for i in range(25)]
+        for copy in range(4):
+            w = boilerplate + own
+            for _ in range(copy % 3):
+                w[75 + r.randrange(25)] = f"c{group}x{copy}"
+            rows.append((4 * group + copy, " ".join(w)))
+    want = brute.near_components(rows, 3, 85)
+    assert len({c for _, c in want}) >= 40
+    got = neardup.near_duplicates(make(rows), 3, 85, **{"node": 4, "levels": 2, **more}).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == [(doc, *w) for (doc, _), w in zip(rows, want)]
+
+
 def test_one_of_each_group_stays(make, near_rows):
     docs = make(near_rows, {"n": F.lit(1), "row": F.lit("x"), "kept": F.lit(False)})
     left = neardup.keep_one(docs, neardup.near_duplicates(docs, 3, 85))
