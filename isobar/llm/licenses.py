@@ -1,12 +1,11 @@
 """License scans with a positional index of rare template words.
 
-The index maps each template word to its postings (template, position).  A
-file looks up its licence words of highest IDF (document frequencies come from
-the whole corpus); each occurrence, minus a posting's position, is a place
-where that template may lie.  A place counts once the words around it agree
-with the template and its mandatory key phrase is verified there.  The base
-phrases are templates that must agree in every word; their rarest word is
-looked up at every occurrence, so all their places are found.
+The index has each template's anchor: the word of highest IDF in its mandatory
+key phrase (document frequencies come from the whole corpus) and its position.
+Every occurrence of the anchor in a file, minus that position, is a place where
+the template may lie, so all places of all templates are tried.  A place counts
+once the key phrase is verified there and the words around it agree with the
+template.  The base phrases are templates that are all key phrase.
 """
 
 from __future__ import annotations
@@ -24,8 +23,7 @@ from isobar.llm.common import arrow_map
 from isobar.llm.words import ALNUM, Hasher, Piece, find, pieces
 
 SEED = 5
-#: Rarest template words that a file looks up, and the agreement a template needs.
-LOOKUPS = 8
+#: The agreement a template needs.
 AGREEMENT = 0.75
 
 # The base phrases and their labels.
@@ -74,7 +72,7 @@ class Template:
 
 
 class Index:
-    """Vocabulary, IDF, postings and templates; its size is that of the templates."""
+    """Vocabulary, IDF, anchors and templates; its size is that of the templates."""
 
     def __init__(self):
         self.hasher = Hasher(SEED, lower=True)
@@ -95,14 +93,9 @@ class Index:
     def weigh(self, df: np.ndarray, n_docs: int) -> Index:
         """Set the IDF of every word from its document frequency."""
         self.idf = np.log((n_docs + 1) / (df + 1))
-        self.anchor = [int(np.argmax(self.idf[t.words])) for t in self.templates]  # rarest word's position
-        self.postings: dict[int, list[tuple[int, int]]] = {}
-        for k, t in enumerate(self.templates):
-            for q, w in enumerate(t.words.tolist()):
-                self.postings.setdefault(w, []).append((k, q))
-        # rare means: some template's mandatory phrase has it as its rarest word
-        self.rare = np.unique([t.words[t.phrase + int(np.argmax(self.idf[t.words[t.phrase:t.phrase + t.phrase_words]]))]
-                               for t in self.templates])
+        # the position of each key phrase's rarest word
+        self.anchor = [t.phrase + int(np.argmax(self.idf[t.words[t.phrase:t.phrase + t.phrase_words]])) for t in self.templates]
+        self.rare = np.unique([t.words[q] for t, q in zip(self.templates, self.anchor)])
         return self
 
     def agree(self, ids: np.ndarray, start: np.ndarray, t: Template, a: int, b: int) -> np.ndarray:
@@ -117,32 +110,20 @@ class Index:
     def scan(self, ids: np.ndarray) -> tuple[np.ndarray, set[str], set[str], float]:
         """(starts of base phrases, base labels, all labels, score) of one file's words."""
         starts, base, labels, score = [np.zeros(0, np.int64)], set(), set(), 0.0
-        present = np.unique(ids[ids >= 0])
         for t, q in zip(self.templates, self.anchor):
-            if t.base:
-                s = np.flatnonzero(ids == t.words[q]) - q
-                s = s[self.agree(ids, s, t, 0, len(t.words)) == len(t.words)]
-                if len(s):
-                    starts.append(s)
-                    base.add(t.label)
-                    score = 1.0
-        # the file's rarest licence words vote for (template, start)
-        look = present[np.argsort(-self.idf[present], kind="stable")][:LOOKUPS]
-        places: dict[int, list[np.ndarray]] = {}
-        for w in look.tolist():
-            at = np.flatnonzero(ids == w)
-            for k, q in self.postings[w]:
-                if not self.templates[k].base:
-                    places.setdefault(k, []).append(at - q)
-        for k, found in places.items():
-            t = self.templates[k]
-            s = np.unique(np.concatenate(found))
+            s = np.flatnonzero(ids == t.words[q]) - q
             s = s[self.agree(ids, s, t, t.phrase, t.phrase + t.phrase_words) == t.phrase_words]
-            if len(s):
-                share = float(self.agree(ids, s, t, 0, len(t.words)).max()) / len(t.words)
-                score = max(score, share)
-                if share >= AGREEMENT:
-                    labels.add(t.label)
+            if not len(s):
+                continue
+            if t.base:
+                starts.append(s)
+                base.add(t.label)
+                score = 1.0
+                continue
+            share = float(self.agree(ids, s, t, 0, len(t.words)).max()) / len(t.words)
+            score = max(score, share)
+            if share >= AGREEMENT:
+                labels.add(t.label)
         return np.sort(np.concatenate(starts)), base, labels | base, score
 
 

@@ -88,6 +88,19 @@ def test_licences(make):
     assert licenses.scan(make([])).count() == 0
 
 
+def test_every_licence_of_a_long_text_is_found(make, words):
+    """All notices in one text, between ordinary words that are template words too, in a corpus full of rarer ones."""
+    plain = " ".join(words(500, 3))
+    notices = [text for _, text, _ in licenses.TEMPLATES]
+    rows = [(0, f" {plain} ".join([*notices, "charge obtaining associated restriction modification fee"]))]
+    rows += [(1 + i, notices[0] + f" {plain} " + text) for i, text in enumerate(notices)]
+    rows += [(50 + i, "licensed under the license cc by sa nc 1 0 4 universal public gnu general mozilla v 2 3") for i in range(60)]
+    got = {r["doc_id"]: (set(r["labels"].split(",")), r["score"]) for r in licenses.scan(make(rows)).collect()}
+    assert got[0] == ({label for label, _, _ in licenses.TEMPLATES}, 1.0)
+    for i, (label, _, _) in enumerate(licenses.TEMPLATES):
+        assert {"mit", label} <= got[1 + i][0] and got[1 + i][1] == 1.0
+
+
 STATS = [(1, "a b c d e f g h a b c d e f g h"), (2, "same\n\nsame \nsame\n \n same\nsame"), (3, None), (4, ""), (5, "# é*é $<>|&% x"),
          (6, "x " * 40), (7, "a b c d e f g h x a b c d e f g h y b c d e f g h x"), (8, "\n"), (9, "é é é \x0b\x0c z")]
 
