@@ -23,8 +23,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    return decontam.contaminated(docs, decontam.matches(docs, table(spark, sf_dir, "benchmark")))[0]
+    """Documents that hold a window of a benchmark item go, as a whole.
+
+    Items shorter than a window count past a share of the document's words.
+    """
+    full, short = decontam.by_length(table(spark, sf_dir, "benchmark"))
+    some = None if short.isEmpty() else decontam.matches(docs, short)
+    return decontam.contaminated(docs, decontam.matches(docs, full), some)[0]
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

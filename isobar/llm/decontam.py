@@ -27,6 +27,8 @@ from isobar.llm.words import ALNUM, Hasher, find, pieces
 WINDOW = 10
 #: Item words per automaton, about 0.5 KB each.
 BLOCK_WORDS = 200_000
+#: Share of a document's words up to which hits of items shorter than a window are no reason to drop it.
+SHORT_SHARE = 0.5
 SEED = 41
 
 SPANS = "array<struct<start:int,end:int>>"
@@ -227,9 +229,25 @@ def report(found: DataFrame) -> DataFrame:
                         (n_hit > 0).alias("contaminated"))
 
 
-def contaminated(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of docs without any match, the matching rows' doc_id and row_key)."""
-    bad = written(found.where(F.size("spans") > 0).select("doc_id", "row_key").distinct(), "contaminated")
+def by_length(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(items of a full window or more, items of fewer words); items without words are in neither."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    n = F.size(F.regexp_extract_all(lowered, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)))
+    return benchmark.where(n >= window), benchmark.where((n > 0) & (n < window))
+
+
+def contaminated(docs: DataFrame, found: DataFrame, short: DataFrame | None = None,
+                 max_share: float = SHORT_SHARE) -> tuple[DataFrame, DataFrame]:
+    """(rows of docs without any match, the matching rows' doc_id and row_key).
+
+    ``short`` has the matches of items that are shorter than a window: they
+    count where they cover more than ``max_share`` of the words.
+    """
+    bad = found.where(F.size("spans") > 0).select("doc_id", "row_key")
+    if short is not None:
+        n_hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+        bad = bad.unionByName(short.where(n_hit > max_share * F.col("n_words")).select("doc_id", "row_key"))
+    bad = written(bad.distinct(), "contaminated")
     return join_rows(docs, bad, "left_anti"), bad
 
 

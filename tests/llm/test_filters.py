@@ -47,6 +47,18 @@ def test_decontamination_stages(spark, make, items, leak_rows):
     assert 8 not in {r["doc_id"] for r in decontam.remove_spans(docs, found, max_share=0.5).collect()}
 
 
+def test_short_items_need_coverage_in_the_pipeline(spark, tmp_path, make, words):
+    import corpus_pipeline
+
+    item = " ".join(words(12, 999))
+    bench = [(1, item), (2, "Of course"), (3, "so"), (4, ""), (5, None)]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, "so it is of course a clean text of many other words"), (2, "so, OF course so"), (3, "x " + item + " so"),
+            (4, " ".join(words(10, 999))), (5, None), (6, ""), (7, "of course it is"), (8, " ".join(item.split()[:10]) + " y" * 300), (None, "so so")]
+    left = corpus_pipeline.decontaminate(spark, make(rows), str(tmp_path)).collect()
+    assert {r["doc_id"] for r in left} == {1, 4, 5, 6, 7} - ({4} if words(10, 999) == item.split()[:10] else set())
+
+
 def test_decontamination_of_nothing(spark, make, items, leak_rows):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.report(decontam.matches(make(leak_rows), none)).where("contaminated").count() == 0
