@@ -13,7 +13,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; without a model all stay."""
     return classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
 

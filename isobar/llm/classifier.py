@@ -167,9 +167,14 @@ def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFram
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are predicted good, with docs' columns."""
-    name = fresh(docs, "score")
-    return score(docs, fit(docs, labels), name).where(F.col(name) >= THRESHOLD).drop(name)
+    """The rows of docs that are predicted good, with docs' columns.
+
+    All rows stay if there are no usable labels: no model rejects them.
+    """
+    name, weights = fresh(docs, "score"), fit(docs, labels)
+    if not weights.any():  # nothing was learned
+        return docs
+    return score(docs, weights, name).where(F.col(name) >= THRESHOLD).drop(name)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

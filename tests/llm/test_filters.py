@@ -180,3 +180,11 @@ def test_classifier_without_labels(spark, make):
     lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r["score"] for r in classifier.classify(make([(1, "a b"), (2, None)]), lab).collect()] == [0.5, 0.5]
     assert classifier.classify(make([]), lab).count() == 0
+
+
+def test_all_rows_stay_without_usable_labels(spark, make):
+    docs = make([(1, "a b"), (2, None), (None, "c")])
+    for labels in ([], [(1, None, 0), (None, 1, 0)], [(77, 0, 0), (78, 1, 0)]):
+        lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        left = classifier.keep_good(docs, lab)
+        assert left.columns == docs.columns and left.count() == 3
