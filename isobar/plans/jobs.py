@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import grid
 from ..operators import derive, lifecycle, quality, remap, requests as req_ops, serving
 from ..operators.joins import SMALL_SIDE_ROWS, bounded_broadcast
-from ..sources import inventory, store
+from ..sources import inventory, store, versions
 from ..streaming import ratelimit
 
 
@@ -62,12 +62,12 @@ def failed_cleanup(existing: DataFrame, failures: DataFrame) -> DataFrame:
 
 def ingest(native: DataFrame, weights: DataFrame, listing: DataFrame, root: str,
            manifest_rows: DataFrame | None = None, methods=None, ts=None,
-           table: str | None = None, buckets: int | None = None, model: str | None = None,
+           bucketed: bool = False, buckets: int | None = None, model: str | None = None,
            on_empty: str = "raise", members: int = inventory.ENSEMBLE_MEMBERS,
            zero_grid: tuple[int, int] = (grid.GRID_NY, grid.GRID_NX)) -> DataFrame:
     """3.1 Ingest: keep the steps a probe/manifest says exist (J8, P14), remap
     them (J1), add all-zero fields for tiny payloads (P10), publish (S4) -
-    into the pixel-bucketed store when ``table`` is given, so later
+    into the pixel-bucketed store with ``bucketed``, so later
     derivations need no shuffle.  Returns the success markers to append (S8).
 
     A listing with a member column is an ensemble's: its files are expected
@@ -94,13 +94,16 @@ def ingest(native: DataFrame, weights: DataFrame, listing: DataFrame, root: str,
     if not ensemble:
         zeros = zeros.withColumn("member", F.lit(0))
     out = field.unionByName(zeros)
-    spark = native.sparkSession
-    if table is None:
-        store.field_publish(out, root, model=model)
-        published = store.field_scan(spark, root, model=model)
+    if bucketed:
+        snap = store.field_commit_bucketed(out, root, buckets, model=model)
     else:
-        published = store.field_publish_bucketed(out, root, table, buckets, model=model)
-    done = published.select("run", "param").distinct().join(files.select("run", "param").distinct(), ["run", "param"], "left_semi")
+        snap = store.field_publish(out, root, model=model)
+    return _success(native.sparkSession, snap, ts)
+
+
+def _success(spark: SparkSession, snap: versions.Snapshot, ts) -> DataFrame:
+    """Success markers of what a publication wrote: no more, and nothing is scanned for them."""
+    done = spark.createDataFrame([k[1:] for k in snap.written()], "run string, param string")
     return lifecycle.make_markers(done, quality.SUCCESS, ts=ts)
 
 
@@ -114,17 +117,11 @@ def derive_pet(spark: SparkSession, root: str, markers: DataFrame, run: str | No
     """
     req = spark.createDataFrame([(run,)], "run string")
     target = lifecycle.follow_redirect(req, markers).first()["run"]
-    inputs = store.field_scan(spark, root, run=target, params=derive.PET_INPUTS)
-    present = {r["param"] for r in inputs.select("param").distinct().collect()}  # seven names at most
-    missing = [p for p in derive.PET_INPUTS if p not in present]
-    if missing:
-        raise FileNotFoundError(f"Missing parameter store: run={target} {', '.join(missing)}")
+    inputs = store.field_scan(spark, root, run=target, params=derive.PET_INPUTS)  # an error if one is missing
     pet = derive.pet_as_field(derive.pet_pm(inputs))
     if pet.isEmpty():
         raise RuntimeError(f"run={target}: the inputs share no cell and step")
-    store.field_publish(pet, root)
-    done = store.field_scan(spark, root, run=target, params=["pet_pm"]).select("run", "param").distinct()
-    return lifecycle.make_markers(done, quality.SUCCESS, ts=ts)
+    return _success(spark, store.field_publish(pet, root), ts)
 
 
 # Texts of the point API's errors.

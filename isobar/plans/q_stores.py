@@ -46,16 +46,21 @@ a AS (SELECT run, param, CAST(NULL AS INTEGER) AS member, step, iy, ix, value FR
   SELECT run, param, member, step, iy, ix, value FROM eps)
 SELECT store, a.* FROM a, (VALUES ('plain'), ('series'), ('bucketed'), ('bucketed_series')) s(store)"""))
 def s4_publish_in_turn(spark, sf):
-    from ..operators.serving import series_pack
     x1, x7 = fx.x1_field(spark, sf), fx.x7_ensemble(spark, sf)
     one, two = x1.where(F.col("run") == "2026040300"), x1.where(F.col("run") == "2026040306")
+    return _all_stores(spark, [one, two, x7, one])
+
+
+def _all_stores(spark, fields):
+    """The fields published one after the other into each kind of store, and what each then holds."""
+    from ..operators.serving import series_pack
     tag = uuid.uuid4().hex
     root = {k: _scratch(spark, k) for k in ("plain", "series", "bucketed", "bucketed_series")}
-    for part in (one, two, x7, one):
+    for part in fields:
         pack = series_pack(part)
         store.field_publish(part, root["plain"])
         store.series_publish(pack, root["series"])
-        store.field_publish_bucketed(part, root["bucketed"], f"isobar_turn_{tag}", 4)
+        store.field_commit_bucketed(part, root["bucketed"], 4)
         store.series_publish_bucketed(pack, root["bucketed_series"], f"isobar_turns_{tag}", 4)
     out = None
     for ens in (False, True):
@@ -76,6 +81,30 @@ def s4_publish_in_turn(spark, sf):
     return out
 
 
+# A run is published again with fewer rows, chunk rows and steps, but only
+# some params of it: those are replaced as a whole, the others stay.
+@register("S4_republish_smaller", with_fixtures(["x1"], f"""
+a AS (SELECT run, param, CAST(NULL AS INTEGER) AS member, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1
+  WHERE run = {_F1} AND (param NOT IN ('t_2m', 'ps') OR (iy < 60 AND step < 6)) OR run = {_F2})
+SELECT store, a.* FROM a, (VALUES ('plain'), ('series'), ('bucketed'), ('bucketed_series')) s(store)"""))
+def s4_republish_smaller(spark, sf):
+    x1 = fx.x1_field(spark, sf).where(F.col("run").isin("2026040300", "2026040306"))
+    small = x1.where((F.col("run") == "2026040300") & F.col("param").isin("t_2m", "ps") & (F.col("iy") < 60) & (F.col("step") < 6))
+    return _all_stores(spark, [x1, small])
+
+
+# A reader of the snapshot before a publication goes on reading that one.
+@register("S4_pinned_snapshot", with_fixtures(["x1"], f"""
+SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1 WHERE run = {_F1}"""))
+def s4_pinned_snapshot(spark, sf):
+    root = _scratch(spark, "pinned")
+    one = fx.x1_field(spark, sf).where(F.col("run") == "2026040300")
+    first = store.field_publish(one, root)
+    store.field_publish(one.where("step < 3").withColumn("value", F.lit(-1.0)), root)
+    store.field_publish(fx.x1_field(spark, sf).where(F.col("run") == "2026040306"), root)
+    return store.field_scan(spark, root, version=first.version)
+
+
 @register("S3_field_scan", with_fixtures(["x1"], """
 SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1
 WHERE run = '2026040300' AND param IN ('t_2m', 'ps') AND step IN (0, 1, 2, 78)"""))

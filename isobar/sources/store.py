@@ -1,8 +1,11 @@
 """Field store on parquet (S3 field_scan, S4 field_publish) and manifests.
 
-Layout: ``root/model=<m>/run=<run>/param=<param>/cy=<cy>/part-*.parquet`` with rows
-sorted by (cx, iy, ix, step) inside each file, so a point or box query prunes
-``run``/``param``/``cy`` directories and skips row groups on ``iy``/``ix``.
+Layout: ``root/data/v=<publication>/model=<m>/run=<run>/param=<param>/cy=<cy>/part-*.parquet``
+with rows sorted by (cx, iy, ix, step) inside each file, so a point or box query
+prunes ``run``/``param``/``cy`` directories and skips row groups on ``iy``/``ix``.
+Which publication holds a (model, run, param) is said by the store's snapshot
+(:mod:`isobar.sources.versions`): publishing replaces it as a whole, readers pin
+a snapshot, and a scan lists the folders it needs and no others.
 """
 
 from __future__ import annotations
@@ -11,10 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, FloatType, IntegerType, MapType, StringType, TimestampNTZType,
+from pyspark.sql.types import (ArrayType, BooleanType, FloatType, IntegerType, LongType, MapType, StringType, TimestampNTZType,
                                StructField, StructType)
 
 from ..functions import grid
+from . import versions
 from .inventory import DETERMINISTIC_MODEL, ENSEMBLE_MODEL
 
 STORED_SCHEMA = StructType([
@@ -42,15 +46,63 @@ def _model_col(field: DataFrame, model: str | None):
     return F.lit(model)
 
 
-def field_publish(field: DataFrame, root: str, codec: str = "zstd", model: str | None = None) -> None:
-    """Write (replace) the (model, run, param) partitions present in ``field``.
+#: What a publication replaces as a whole.
+KEYS = ("model", "run", "param")
+
+
+def _write(rows: DataFrame, root: str, codec: str, within: Sequence[str], zones: bool) -> versions.Snapshot:
+    """Write rows of a parquet store into a folder of their own, and commit it."""
+    spark = rows.sparkSession
+    folder = versions.new_folder(versions.snapshot(spark, root))
+    by = [*KEYS, "cy", "cx"]
+    (rows.repartition(*by).sortWithinPartitions(*by, *within)
+        .write.mode("errorifexists").option("compression", codec).partitionBy(*KEYS, "cy").parquet(f"{root}/{folder}"))
+    if zones:
+        _zone_rows(_read(spark, root, [folder], STORED_SCHEMA)).write.parquet(f"{root}/zones/{folder.split('/')[1]}")
+    return _commit(spark, root, folder, {})
+
+
+def _commit(spark: SparkSession, root: str, folder: str, meta: dict, below: str | None = None) -> versions.Snapshot:
+    found = versions.keys_below(spark, root, folder, KEYS, below)
+
+    def change(now: versions.Snapshot, version: int) -> versions.Snapshot:
+        new = {k: versions.Entry(path, version, parts) for k, (path, parts) in found.items()}
+        return versions.Snapshot(version, {**now.entries, **new}, {**now.meta, **meta})
+    return versions.commit(spark, root, change)
+
+
+def _read(spark: SparkSession, root: str, paths: Sequence[str], schema: StructType) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema).option("basePath", f"{root}/{paths[0].split('/')[0]}")
+            .parquet(*[f"{root}/{p}" for p in paths]).select(*schema.names))
+
+
+def _entries(snap: versions.Snapshot, model: str | None = None, run: str | None = None,
+             params: Sequence[str] | None = None) -> dict[tuple[str, ...], versions.Entry]:
+    """The snapshot's entries of a model; a run or param that is asked for and not there is an error."""
+    of_run = {k: e for k, e in snap.entries.items() if (model is None or k[0] == model) and (run is None or k[1] == run)}
+    if run is not None and not of_run:
+        raise FileNotFoundError(f"Missing run store: run={run}")
+    if params is None:
+        return of_run
+    absent = [p for p in params if p not in {k[2] for k in of_run}]
+    if absent:
+        raise FileNotFoundError(f"Missing parameter store: {f'run={run} ' if run else ''}{', '.join(absent)}")
+    return {k: e for k, e in of_run.items() if k[2] in set(params)}
+
+
+def field_publish(field: DataFrame, root: str, codec: str = "zstd", model: str | None = None,
+                  zones: bool = False) -> versions.Snapshot:
+    """Publish ``field``, replacing each (model, run, param) it holds as a whole.
 
     ``model`` is a key: an ensemble and a deterministic field of the same run
     and param live side by side (from a ``model`` column, else the argument,
     else by whether the field has members).  Rows are clustered by
     (model, run, param, cy, cx) so each task writes whole chunks, then sorted
-    inside files.  Dynamic partition overwrite replaces only the partitions
-    written; the job commit is atomic per job.
+    inside files.  Returns the snapshot it committed; ``written()`` of it names
+    what was published.  With ``zones`` the statistics of every chunk are kept
+    too (:func:`zone_scan`).
     """
     member = F.col("member") if "member" in field.columns else F.lit(0)
     model_c = _model_col(field, model)
@@ -61,32 +113,73 @@ def field_publish(field: DataFrame, root: str, codec: str = "zstd", model: str |
         model_c.alias("model"),
         F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"),
         grid.chunk_of(F.col("iy"), grid.CHUNK_LAT).alias("cy"))
-    (out.repartition("model", "run", "param", "cy", "cx")
-        .sortWithinPartitions("model", "run", "param", "cy", "cx", "iy", "ix", "member", "step")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec).partitionBy("model", "run", "param", "cy").parquet(root))
+    return _write(out, root, codec, ("iy", "ix", "member", "step"), zones)
 
 
 def field_scan(spark: SparkSession, root: str, run: str | None = None, params: Sequence[str] | None = None,
-               steps: Sequence[int] | None = None, ensemble: bool = False, model: str | None = None) -> DataFrame:
-    """S3: read a run's params (optionally some steps) of one model with the
-    explicit schema (partition inference would turn ``run`` into a number).
-    The model defaults to the deterministic or the ensemble one."""
-    df = spark.read.schema(STORED_SCHEMA).parquet(root)
-    df = df.where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
-    if run is not None:
-        df = df.where(F.col("run") == run)
-    if params is not None:
-        df = df.where(F.col("param").isin(list(params)))
+               steps: Sequence[int] | None = None, ensemble: bool = False, model: str | None = None,
+               version: int | None = None) -> DataFrame:
+    """S3: read a run's params (optionally some steps) of one model, from the
+    newest snapshot or a given one.
+
+    The snapshot names the folders, so others are not even listed.  A run or a
+    param that is asked for by name and not there is an error.  The schema is
+    explicit (partition inference would turn ``run`` into a number).  The model
+    defaults to the deterministic or the ensemble one.
+    """
+    snap = versions.snapshot(spark, root, version)
+    found = _entries(snap, model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL), run, params)
+    df = _read(spark, root, [e.path for e in found.values()], STORED_SCHEMA)
     if steps is not None:
         df = df.where(F.col("step").isin(list(steps)))
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["step", "iy", "ix", "value"]
     return df.select(*cols)
 
 
-def stored_field(spark: SparkSession, root: str) -> DataFrame:
+def stored_field(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The whole store with its chunk columns (for pruning by cy / cx)."""
-    return spark.read.schema(STORED_SCHEMA).parquet(root)
+    return _read(spark, root, [e.path for e in versions.snapshot(spark, root, version).entries.values()], STORED_SCHEMA)
+
+
+#: Side of the corner that the smoke check looks at.
+CORNER = 10
+
+ZONE_SCHEMA = StructType([
+    StructField("model", StringType()), StructField("run", StringType()), StructField("param", StringType()),
+    StructField("member", IntegerType()), StructField("step", IntegerType()), StructField("cy", IntegerType()),
+    StructField("cx", IntegerType()), StructField("n_rows", LongType()), StructField("n_valid", LongType()),
+    StructField("vmin", FloatType()), StructField("vmax", FloatType()), StructField("n_corner", LongType()),
+])
+
+
+def _zone_rows(rows: DataFrame) -> DataFrame:
+    """Statistics per chunk and step: rows, valid ones, their range, and the valid ones of the grid's corner."""
+    value = F.when(~F.isnan("value"), F.col("value"))
+    corner = (F.col("iy") < CORNER) & (F.col("ix") < CORNER)
+    return rows.groupBy(*KEYS, "member", "step", "cy", "cx").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(value).alias("n_valid"), F.min(value).alias("vmin"), F.max(value).alias("vmax"),
+        F.count(F.when(corner, value)).alias("n_corner"))
+
+
+def zone_scan(spark: SparkSession, root: str, run: str | None = None, params: Sequence[str] | None = None,
+              ensemble: bool = False, model: str | None = None, version: int | None = None) -> DataFrame:
+    """The zone map of what :func:`field_scan` would read (one row per chunk, step and member), without a field row.
+
+    A (model, run, param) that was published without zones is an error.
+    """
+    snap = versions.snapshot(spark, root, version)
+    found = _entries(snap, model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL), run, params)
+    folders = sorted({f"zones/{e.folder.split('/')[1]}" for e in found.values()})
+    bare = [f for f in folders if not versions.exists(spark, f"{root}/{f}")]
+    if bare:
+        raise FileNotFoundError(f"{root}: published without zones: {', '.join(bare)}")
+    if not folders:
+        return spark.createDataFrame([], ZONE_SCHEMA)
+    # a folder may hold keys that a later publication has replaced
+    live = ["\n".join((*k, e.folder.split("/")[1])) for k, e in found.items()]
+    df = spark.read.schema(ZONE_SCHEMA).parquet(*[f"{root}/{f}" for f in folders])
+    home = F.element_at(F.split(F.input_file_name(), "/"), -2)
+    return df.where(F.concat_ws("\n", *KEYS, home).isin(live)).select(*ZONE_SCHEMA.names)
 
 
 def manifest_documents(manifest: DataFrame) -> DataFrame:
@@ -128,21 +221,20 @@ def _series_rows(series: DataFrame, model: str | None) -> DataFrame:
                          _model_col(series, model).alias("model"), "run", "param", F.col("cy").cast("int").alias("cy"))
 
 
-def series_publish(series: DataFrame, root: str, codec: str = "zstd", model: str | None = None) -> None:
-    """Write the series layout (one row per pixel) partitioned by model, run,
+def series_publish(series: DataFrame, root: str, codec: str = "zstd", model: str | None = None) -> versions.Snapshot:
+    """Publish the series layout (one row per pixel) partitioned by model, run,
     param and chunk row ``cy``; files hold whole chunks sorted by (cx, iy, ix).
-    Only the partitions present in ``series`` are replaced."""
-    (_series_rows(series, model).repartition("model", "run", "param", "cy", "cx")
-        .sortWithinPartitions("model", "run", "param", "cy", "cx", "iy", "ix", "member")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec).partitionBy("model", "run", "param", "cy").parquet(root))
+    Each (model, run, param) in ``series`` is replaced as a whole."""
+    return _write(_series_rows(series, model), root, codec, ("iy", "ix", "member"), False)
 
 
-def series_scan(spark: SparkSession, root: str, ensemble: bool = False, model: str | None = None) -> DataFrame:
-    df = spark.read.schema(SERIES_SCHEMA).parquet(root)
-    df = df.where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
+def series_scan(spark: SparkSession, root: str, ensemble: bool = False, model: str | None = None,
+                run: str | None = None, params: Sequence[str] | None = None, version: int | None = None) -> DataFrame:
+    """The stored series of one model; runs and params as in :func:`field_scan`."""
+    snap = versions.snapshot(spark, root, version)
+    found = _entries(snap, model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL), run, params)
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
-    return df.select(*cols)
+    return _read(spark, root, [e.path for e in found.values()], SERIES_SCHEMA).select(*cols)
 
 
 MARKER_SCHEMA = StructType([
@@ -179,70 +271,97 @@ def bucket_count(spark: SparkSession, n_bytes: int = 0) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-int(n_bytes) // BUCKET_BYTES))
 
 
-def _layout(spark: SparkSession, root: str) -> int | None:
-    """The bucket count stored with the table at ``root``; None if there is no table."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_layout")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.schema("buckets int").json(f"{root}/_layout").first()["buckets"]
+def _table(spark: SparkSession, name: str, ddl: str, parts: str | None, by: str, sort: str, buckets: int, location: str) -> None:
+    partitioned = f"PARTITIONED BY ({parts})" if parts else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet OPTIONS (compression 'zstd') {partitioned} "
+              f"CLUSTERED BY ({by}) SORTED BY ({sort}) INTO {buckets} BUCKETS LOCATION '{location}'")
 
 
 def _attach(spark: SparkSession, root: str, table: str, ddl: str, parts: str | None, by: str, sort: str,
-            buckets: int | None) -> int:
-    """Make ``table`` known to this session; returns its bucket count.
+            version: int | None = None) -> DataFrame:
+    """The table of one snapshot, made known to this session as ``<table>_s<version>``.
 
-    The count stored at ``root`` rules; asking for another one is an error,
-    since files of the two layouts must not mix.
+    Its partitions lie where the snapshot says, in the folders of several publications.
     """
-    stored = _layout(spark, root)
+    snap = versions.snapshot(spark, root, version)
+    name = f"{table}_s{snap.version}"
+    if not spark.catalog.tableExists(name):
+        whole = snap.entries.get(())
+        n = snap.meta.get("buckets") or bucket_count(spark)
+        _table(spark, name, ddl, parts, by, sort, n, f"{root}/{whole.path if whole else 'data'}")
+        columns = (parts or "").split(", ")
+        specs = []
+        for key, e in snap.entries.items() if parts else ():
+            for last in e.parts or (None,):
+                values = (*key, last) if last is not None else key
+                spec = ", ".join(f"{c} = '{v}'" for c, v in zip(columns, values))
+                specs.append(f"PARTITION ({spec}) LOCATION '{root}/{e.path}{f'/{columns[-1]}={last}' if last is not None else ''}'")
+        for i in range(0, len(specs), 500):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs[i:i + 500])}")
+    return spark.table(name)
+
+
+def _publish_bucketed(rows: DataFrame, root: str, ddl: str, parts: str | None, by: str, sort: str,
+                      buckets: int | None) -> versions.Snapshot:
+    """Write rows bucketed into a folder of their own, and commit it.
+
+    The bucket count of the store's first publication rules, as files of two
+    layouts must not mix; asking for another one is an error.
+    """
+    spark = rows.sparkSession
+    now = versions.snapshot(spark, root)
+    stored = now.meta.get("buckets")
     if stored is not None and buckets is not None and stored != buckets:
         raise ValueError(f"{root} has {stored} buckets, not {buckets}")
     n = stored or buckets or bucket_count(spark)
-    if stored is None:
-        spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("overwrite").json(f"{root}/_layout")
-    if not spark.catalog.tableExists(table):
-        partitioned = f"PARTITIONED BY ({parts})" if parts else ""
-        spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet OPTIONS (compression 'zstd') {partitioned} "
-                  f"CLUSTERED BY ({by}) SORTED BY ({sort}) INTO {n} BUCKETS LOCATION '{root}'")
-        if parts:
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    return n
-
-
-def _replace(rows: DataFrame, table: str, buckets: int, by: Sequence[str]) -> None:
-    """Replace the partitions present in ``rows`` (all rows of a table without
-    partitions) and nothing else, whatever the session's overwrite mode."""
-    (rows.repartition(buckets, *by).write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True))
+    folder = versions.new_folder(now)
+    name = f"isobar_publication_{folder.rsplit('-', 1)[1]}"
+    _table(spark, name, ddl, parts, by, sort, n, f"{root}/{folder}")
+    try:
+        rows.repartition(n, *by.split(", ")).write.insertInto(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    if parts is None:
+        return versions.commit(spark, root, lambda now, version: versions.Snapshot(
+            version, {(): versions.Entry(folder, version)}, {**now.meta, "buckets": n}))
+    return _commit(spark, root, folder, {"buckets": n}, "cy" if parts.endswith("cy") else None)
+
+
+_FIELD = (_FIELD_DDL, "model, run, param", "iy, ix", "iy, ix, member, step")
+_SERIES = (_SERIES_DDL, "model, run, param, cy", "iy, ix", "iy, ix, member")
+_NATIVE = (_NATIVE_DDL, "model, run, param", "src_id", "src_id")
+_WEIGHTS = (_WEIGHTS_DDL, None, "src_id", "src_id")
+
+
+def field_commit_bucketed(field: DataFrame, root: str, buckets: int | None = None, model: str | None = None) -> versions.Snapshot:
+    """S4, co-located: publish ``field``, replacing each (model, run, param) it
+    holds as a whole, in a store bucketed by pixel (iy, ix) at ``root``."""
+    member = F.col("member") if "member" in field.columns else F.lit(0)
+    out = field.select(member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
+                       F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"),
+                       F.col("value").cast("float").alias("value"), _model_col(field, model).alias("model"),
+                       F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"))
+    return _publish_bucketed(out, root, *_FIELD, buckets)
 
 
 def field_publish_bucketed(field: DataFrame, root: str, table: str, buckets: int | None = None,
                            model: str | None = None) -> DataFrame:
-    """S4, co-located: write (replace) the (model, run, param) partitions of
-    ``field`` in a table bucketed by pixel (iy, ix) at ``root``.
+    """:func:`field_commit_bucketed`, read back at the snapshot it committed.
 
-    Reading it back gives a scan already hash-partitioned by (iy, ix), which
-    satisfies every per-pixel window and every grouping that contains the
-    pixel (W1, W2, J4, D1, A9), so those operators run without a shuffle.
+    The scan is already hash-partitioned by (iy, ix), which satisfies every
+    per-pixel window and every grouping that contains the pixel (W1, W2, J4,
+    D1, A9), so those operators run without a shuffle.
     """
-    spark = field.sparkSession
-    n = _attach(spark, root, table, _FIELD_DDL, "model, run, param", "iy, ix", "iy, ix, member, step", buckets)
-    member = F.col("member") if "member" in field.columns else F.lit(0)
-    out = field.select(member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
-                       F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"),
-                       F.col("value").cast("float").alias("value"), _model_col(field, model).alias("model"),
-                       F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"))
-    _replace(out, table, n, ["iy", "ix"])
-    return bucketed_field(spark, root, table, ensemble="member" in field.columns and model is None, model=model)
+    snap = field_commit_bucketed(field, root, buckets, model)
+    return bucketed_field(field.sparkSession, root, table, "member" in field.columns and model is None, model, snap.version)
 
 
-def bucketed_field(spark: SparkSession, root: str, table: str, buckets: int | None = None,
-                   ensemble: bool = False, model: str | None = None) -> DataFrame:
-    """The bucketed field of one model (attached if this session does not know the table)."""
-    _attach(spark, root, table, _FIELD_DDL, "model, run, param", "iy, ix", "iy, ix, member, step", buckets)
+def bucketed_field(spark: SparkSession, root: str, table: str, ensemble: bool = False, model: str | None = None,
+                   version: int | None = None) -> DataFrame:
+    """The bucketed field of one model, at the newest snapshot or a given one."""
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["step", "iy", "ix", "value"]
-    return (spark.table(table).where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
-            .select(*cols))
+    return (_attach(spark, root, table, *_FIELD, version)
+            .where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL))).select(*cols))
 
 
 def series_publish_bucketed(series: DataFrame, root: str, table: str, buckets: int | None = None,
@@ -250,19 +369,16 @@ def series_publish_bucketed(series: DataFrame, root: str, table: str, buckets: i
     """The series layout partitioned by (model, run, param, cy) - chunk rows
     prune point lookups - and bucketed by pixel (iy, ix) - the seven series of
     a pixel meet without a shuffle (D1 on series)."""
-    spark = series.sparkSession
-    n = _attach(spark, root, table, _SERIES_DDL, "model, run, param, cy", "iy, ix", "iy, ix, member", buckets)
-    _replace(_series_rows(series, model), table, n, ["iy", "ix"])
-    return bucketed_series(spark, root, table, ensemble="member" in series.columns and model is None, model=model)
+    snap = _publish_bucketed(_series_rows(series, model), root, *_SERIES, buckets)
+    return bucketed_series(series.sparkSession, root, table, "member" in series.columns and model is None, model, snap.version)
 
 
-def bucketed_series(spark: SparkSession, root: str, table: str, buckets: int | None = None,
-                    ensemble: bool = False, model: str | None = None) -> DataFrame:
-    """The bucketed series of one model (attached if need be)."""
-    _attach(spark, root, table, _SERIES_DDL, "model, run, param, cy", "iy, ix", "iy, ix, member", buckets)
+def bucketed_series(spark: SparkSession, root: str, table: str, ensemble: bool = False, model: str | None = None,
+                    version: int | None = None) -> DataFrame:
+    """The bucketed series of one model, at the newest snapshot or a given one."""
     cols = ["run", "param"] + (["member"] if ensemble else []) + ["cy", "cx", "iy", "ix", "steps", "vals"]
-    return (spark.table(table).where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL)))
-            .select(*cols))
+    return (_attach(spark, root, table, *_SERIES, version)
+            .where(F.col("model") == (model or (ENSEMBLE_MODEL if ensemble else DETERMINISTIC_MODEL))).select(*cols))
 
 
 def native_publish_bucketed(native: DataFrame, root: str, table: str, buckets: int | None = None,
@@ -270,16 +386,14 @@ def native_publish_bucketed(native: DataFrame, root: str, table: str, buckets: i
     """The native (unstructured) field partitioned by (model, run, param) and
     bucketed by ``src_id``; with weights bucketed the same way (same count),
     the remap join needs no shuffle."""
-    spark = native.sparkSession
-    n = _attach(spark, root, table, _NATIVE_DDL, "model, run, param", "src_id", "src_id", buckets)
     member = F.col("member") if "member" in native.columns else F.lit(0)
     name = model or DETERMINISTIC_MODEL
     out = native.select(member.cast("int").alias("member"), F.col("step").cast("int").alias("step"),
                         F.col("src_id").cast("long").alias("src_id"), F.col("value").cast("double").alias("value"),
                         (_model_col(native, name)).alias("model"),
                         F.col("run").cast("string").alias("run"), F.col("param").cast("string").alias("param"))
-    _replace(out, table, n, ["src_id"])
-    rows = spark.table(table)
+    snap = _publish_bucketed(out, root, *_NATIVE, buckets)
+    rows = _attach(native.sparkSession, root, table, *_NATIVE, snap.version)
     return (rows if "model" in native.columns else rows.where(F.col("model") == name)).select(
         "run", "param", "member", "step", "src_id", "value")
 
@@ -288,9 +402,7 @@ def weights_publish_bucketed(weights: DataFrame, root: str, table: str, buckets:
     """Remap weights with their per-target source count, bucketed by
     ``src_id`` (computed once per grid pair, reused by every remap job)."""
     from ..operators.remap import prepare_weights
-    spark = weights.sparkSession
-    n = _attach(spark, root, table, _WEIGHTS_DDL, None, "src_id", "src_id", buckets)
     w = weights if "n_src" in weights.columns else prepare_weights(weights)
-    _replace(w.select("method", F.col("dst_id").cast("long"), F.col("src_id").cast("long"), F.col("w").cast("double"),
-                      F.col("n_src").cast("long")), table, n, ["src_id"])
-    return spark.table(table)
+    snap = _publish_bucketed(w.select("method", F.col("dst_id").cast("long"), F.col("src_id").cast("long"), F.col("w").cast("double"),
+                                      F.col("n_src").cast("long")), root, *_WEIGHTS, buckets)
+    return _attach(weights.sparkSession, root, table, *_WEIGHTS, snap.version)

@@ -82,7 +82,10 @@ def test_derive_pet_needs_all_inputs(spark, tmp_path):
     store.field_publish(fx.x1_field(spark, SF_SMALL).where("param <> 'ps'"), root)
     with pytest.raises(FileNotFoundError, match="ps"):
         jobs.derive_pet(spark, root, fx.x4_lifecycle_markers(spark, SF_SMALL), run="2026040300")
-    assert store.field_scan(spark, root, params=["pet_pm"]).count() == 0
+    with pytest.raises(FileNotFoundError, match="pet_pm"):
+        store.field_scan(spark, root, params=["pet_pm"])
+    with pytest.raises(FileNotFoundError, match="2026040301"):
+        store.field_scan(spark, root, run="2026040301")
 
 
 def test_ingest_of_an_ensemble_and_of_nothing(spark, tmp_path):
@@ -126,9 +129,9 @@ def test_ingest_into_bucketed_store(spark, tmp_path):
     w = fx.x5_weights(spark, SF_SMALL, "distance").unionByName(fx.x5_weights(spark, SF_SMALL, "conservative"))
     listing = nat.select("run", "param", "step").distinct().withColumn("n_bytes", F.lit(50000).cast("long")) \
         .withColumn("status", F.lit(200))
-    marks = jobs.ingest(nat, w, listing, str(tmp_path / "bk"), table="isobar_test_ingest_b", buckets=4)
+    marks = jobs.ingest(nat, w, listing, str(tmp_path / "bk"), bucketed=True, buckets=4)
     assert marks.count() == listing.select("run", "param").distinct().count()
-    f = store.bucketed_field(spark, str(tmp_path / "bk"), "isobar_test_ingest_b", 4)
+    f = store.bucketed_field(spark, str(tmp_path / "bk"), "isobar_test_ingest_b")
     assert f.count() == jobs.cell_of_dst(remap.remap_apply(nat, w)).count()
 
 
