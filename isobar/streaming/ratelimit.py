@@ -15,7 +15,9 @@ Batch plan (exact, skew-aware):
    max over the - few - buckets of a client names each session.  No step
    orders all requests of a client in one task.
 2. A session with at most ``limit`` requests is entirely allowed (built-ins).
-3. Longer sessions are cut into time blocks, hash-partitioned by (client,
+3. Sessions of up to ``WHOLE`` requests are replayed in one sorted pass,
+   hash-partitioned by (client, session), a batch at a time.
+4. Longer sessions are cut into time blocks, hash-partitioned by (client,
    session, block).  A block's task finds, for every state in which the block
    may be entered, the state behind it (epochs follow from their first
    request alone, so this is one pass of pointer jumps).  These small tables
@@ -73,6 +75,28 @@ def replay(t_us: np.ndarray, count: int, expiry: int, limit: int, expiry_us: int
     return allowed, count, expiry
 
 
+def replay_sessions(t_us: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int, expiry_us: int) -> np.ndarray:
+    """Allowed flags of whole sessions (no pause of ``expiry_us`` inside), all sessions side by side.
+
+    An epoch allows ``limit`` requests from its first one; the next epoch opens
+    at the first request at or after the expiry that its last one set.
+    """
+    # session times one after the other on one axis, too far apart to meet
+    span = t_us[end - 1] - t_us[start] + 2 * expiry_us
+    shift = np.cumsum(span) - span - t_us[start]
+    axis = t_us + np.repeat(shift, end - start)
+    edge = np.zeros(len(t_us) + 1, np.int64)
+    at, stop = start, end
+    while len(at):
+        last = np.minimum(at + limit, stop)
+        np.add.at(edge, at, 1)
+        np.add.at(edge, last, -1)
+        at, stop, last = (x[last < stop] for x in (at, stop, last))
+        at = np.searchsorted(axis, axis[last - 1] + expiry_us)
+        at, stop = at[at < stop], stop[at < stop]
+    return np.cumsum(edge[:-1]) > 0
+
+
 def _times_us(ts: pd.Series) -> np.ndarray:
     return ts.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
@@ -92,6 +116,8 @@ def sessions(log: DataFrame, expiry_us: int) -> DataFrame:
     return x.join(b.select("client", "_b", "_s", "_sn"), ["client", "_b"]).drop("_b", "_t")
 
 
+#: Requests that one task replays of one session; longer sessions are cut into blocks.
+WHOLE = 1_000_000
 #: Width of a block of a long session, in expiries.
 BLOCK_EXPIRIES = 16
 _MIN = np.iinfo(np.int64).min
@@ -159,7 +185,7 @@ def _runs(pdf: pd.DataFrame, keys: list[str]) -> tuple[list[tuple], np.ndarray,
     """(key, first, end) of the runs of equal keys."""
     k = pdf[keys].to_numpy()
     first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)]) if len(k) else np.zeros(0, int)
-    return [tuple(int(x) for x in k[i]) for i in first], first, np.r_[first[1:], len(k)]
+    return list(map(tuple, k[first].tolist())), first, np.r_[first[1:], len(k)]
 
 
 def session_entries(long_rows: DataFrame, limit: int, expiry_us: int, blocks: int) -> DataFrame:
@@ -169,19 +195,20 @@ def session_entries(long_rows: DataFrame, limit: int, expiry_us: int, blocks: in
     def exits(batches):
         key, times = None, []
 
-        def out() -> pd.DataFrame:
+        def out() -> tuple:
             tables = block_exits(np.concatenate(times), key[2] * width, limit, expiry_us)
-            return pd.DataFrame({"client": [key[0]], "_s": [key[1]], "_k": [key[2]], **{c: [tables[c]] for c in _TABLES}})
+            return (*key, *(tables[c] for c in _TABLES))
         for pdf in batches:
-            t = _times_us(pdf["ts"])
+            t, done = _times_us(pdf["ts"]), []
             for k, a, b in zip(*_runs(pdf, _KEYS)):
                 if k != key:
                     if key is not None:
-                        yield out()
+                        done.append(out())
                     key, times = k, []
                 times.append(t[a:b])
+            yield pd.DataFrame(done, columns=[*_KEYS, *_TABLES])
         if key is not None:
-            yield out()
+            yield pd.DataFrame([out()], columns=[*_KEYS, *_TABLES])
 
     def compose(batches):
         session, count, expiry = None, 0, _MIN
@@ -202,31 +229,47 @@ def session_entries(long_rows: DataFrame, limit: int, expiry_us: int, blocks: in
 
 
 def rate_audit(log: DataFrame, limit: int = RATE_LIMIT, expiry_s: float = RATE_WINDOW_S,
-               blocks: int = BLOCK_EXPIRIES) -> DataFrame:
-    """R1 (batch): every request of ``log(client, req_id, ts)`` with ``allowed``."""
+               blocks: int = BLOCK_EXPIRIES, whole: int = WHOLE) -> DataFrame:
+    """R1 (batch): every request of ``log(client, req_id, ts)`` with ``allowed``.
+
+    Both ways to replay a session are exact; ``whole`` only says which one is taken.
+    """
     exp_us = int(round(expiry_s * 1_000_000))
     s = sessions(log.select("client", "req_id", "ts"), exp_us)
-    short = s.where(F.col("_sn") <= limit).select("client", "req_id", "ts", F.lit(True).alias("allowed"))
+    n = F.col("_sn")
+    short = s.where(n <= limit).select("client", "req_id", "ts", F.lit(True).alias("allowed"))
+    middle = s.where((n > limit) & (n <= whole)).select("client", "_s", "req_id", "ts")
     k = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(blocks * exp_us))
-    long_rows = s.where(F.col("_sn") > limit).select("client", "_s", k.cast("long").alias("_k"), "req_id", "ts")
+    long_rows = s.where((n > limit) & (n > whole)).select("client", "_s", k.cast("long").alias("_k"), "req_id", "ts")
     entries = session_entries(long_rows, limit, exp_us, blocks)
 
-    def mark(batches):
-        key, count, expiry = None, 0, _MIN
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            t_us, allowed = _times_us(pdf["ts"]), np.zeros(len(pdf), dtype=bool)
-            for k, a, b in zip(*_runs(pdf, _KEYS)):
-                if k != key:  # a block starts in the state in which it is entered
-                    key, count, expiry = k, int(pdf["count"].iat[a]), int(pdf["expiry"].iat[a])
-                allowed[a:b], count, expiry = replay(t_us[a:b], count, expiry, limit, exp_us)
-            yield pd.DataFrame({"client": pdf["client"].to_numpy(), "req_id": pdf["req_id"].to_numpy(),
-                                "ts": pdf["ts"].to_numpy(), "allowed": allowed})
-
+    def mark(keys: list[str]):
+        def run(batches):
+            key, count, expiry = None, 0, _MIN
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                t_us, allowed = _times_us(pdf["ts"]), np.zeros(len(pdf), dtype=bool)
+                found, first, end = _runs(pdf, keys)
+                if "count" not in pdf and len(first) > 2:  # sessions that begin and end here
+                    a, b = first[1], end[-2]
+                    allowed[a:b] = replay_sessions(t_us[a:b], first[1:-1] - a, end[1:-1] - a, limit, exp_us)
+                    found, first, end = [found[0], found[-1]], first[[0, -1]], end[[0, -1]]
+                for k, a, b in zip(found, first, end):
+                    if k != key:  # a session starts afresh, a block in the state in which it is entered
+                        key, count, expiry = k, 0, _MIN
+                        if "count" in pdf:
+                            count, expiry = int(pdf["count"].iat[a]), int(pdf["expiry"].iat[a])
+                    allowed[a:b], count, expiry = replay(t_us[a:b], count, expiry, limit, exp_us)
+                yield pd.DataFrame({"client": pdf["client"].to_numpy(), "req_id": pdf["req_id"].to_numpy(),
+                                    "ts": pdf["ts"].to_numpy(), "allowed": allowed})
+        return run
+
+    session = _KEYS[:2]
+    replayed = (middle.repartition(*session).sortWithinPartitions(*session, "ts", "req_id").mapInPandas(mark(session), OUT_SCHEMA))
     marked = (long_rows.join(entries, _KEYS).repartition(*_KEYS).sortWithinPartitions(*_KEYS, "ts", "req_id")
-              .select(*_KEYS, "req_id", "ts", "count", "expiry").mapInPandas(mark, OUT_SCHEMA))
-    return short.unionByName(marked)
+              .select(*_KEYS, "req_id", "ts", "count", "expiry").mapInPandas(mark(_KEYS), OUT_SCHEMA))
+    return short.unionByName(replayed).unionByName(marked)
 
 
 STATE_SCHEMA = StructType([

@@ -288,12 +288,26 @@ def test_rate_audit_splits_one_unbroken_session(spark):
         t = 1_700_000_000_000_000 + np.cumsum(gaps)
         pdf = pd.DataFrame({"client": 1, "req_id": np.arange(len(t)), "ts": t.astype("datetime64[us]")})
         log = spark.createDataFrame(pdf, "client long, req_id long, ts timestamp_ntz")
-        got = {x.req_id: x.allowed for x in ratelimit.rate_audit(log, limit, exp, blocks=3).collect()}
         want, _, _ = ratelimit.replay(t, 0, np.iinfo(np.int64).min, limit, exp * 1_000_000)
-        assert [got[i] for i in range(len(t))] == want.tolist()
+        for whole in (100, ratelimit.WHOLE):  # cut into blocks, and replayed as a whole
+            got = {x.req_id: x.allowed for x in ratelimit.rate_audit(log, limit, exp, blocks=3, whole=whole).collect()}
+            assert [got[i] for i in range(len(t))] == want.tolist()
         assert ratelimit.sessions(log, exp * 1_000_000).select("_s").distinct().count() == 1
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_sessions_side_by_side_equal_the_replay(seed):
+    import numpy as np
+    r = np.random.default_rng(seed)
+    exp, limit = 1000, int(r.integers(1, 6))
+    sizes = r.integers(1, 40, 30)
+    t = [int(r.integers(0, 10**12)) + np.cumsum(r.choice([0, 1, 300, 999], n)) for n in sizes]
+    end = np.cumsum(sizes)
+    got = ratelimit.replay_sessions(np.concatenate(t), end - sizes, end, limit, exp)
+    want = [ratelimit.replay(x, 0, np.iinfo(np.int64).min, limit, exp)[0] for x in t]
+    assert got.tolist() == np.concatenate(want).tolist()
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_block_exits_equal_the_replay(seed):
     import numpy as np
