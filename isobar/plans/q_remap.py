@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import remap
+from ..operators import remap, remap_series
 from ..sources import fixtures as fx
 from .catalog import register
 from .sqltext import NAN, d, with_fixtures
@@ -41,6 +41,15 @@ def j1_remap_apply(spark, sf):
     return remap.remap_apply(fx.x5_native(spark, sf), _weights(spark, sf))
 
 
+# The same on step series: a weight meets a source once, whatever its steps.
+@register("J1_remap_series", with_fixtures(["x5", "x5_native"], j1_sql("x5_native") + "\nSELECT * FROM j1"))
+def j1_remap_series(spark, sf):
+    series, axes = remap_series.native_series(fx.x5_native(spark, sf))
+    out = remap_series.remap_series(series, axes, remap_series.weight_blocks(_weights(spark, sf)))
+    e = out.select("run", "param", "member", "dst_id", F.explode(F.arrays_zip("steps", "vals")).alias("e"))
+    return e.select("run", "param", "member", F.col("e.steps").alias("step"), "dst_id", F.col("e.vals").alias("value"))
+
+
 def _hav_sql(lat1, lon1, lat2, lon2) -> str:
     p1, p2 = f"({lat1} * {d(RAD)})", f"({lat2} * {d(RAD)})"
     sdp = f"sin(({p2} - {p1}) / 2)"

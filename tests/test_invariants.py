@@ -513,3 +513,43 @@ def test_remap_on_src_bucketed_tables_joins_without_shuffle(spark, tmp_path):
     got = {(r.run, r.param, r.member, r.step, r.dst_id): r.value for r in rows}
     assert got.keys() == want.keys() and len(rows) == len(want)
     assert all(g == want[k] or (math.isnan(g) and math.isnan(want[k])) for k, g in got.items())
+
+
+def _remap_case(spark, steps, members=2):
+    """Sources and steps missing, NaN values, targets without any source, fields with steps of their own."""
+    import random
+    r = random.Random(4)
+    native = [("2026040300" if m else "2026040306", p, m, s, src, float("nan") if r.random() < 0.1 else round(r.uniform(-5, 5), 2))
+              for p in ("t_2m", "clct") for m in range(members) for s in steps if (p, s) != ("clct", 1)
+              for src in range(60) if r.random() > 0.1]
+    weights = [(m, dst, src, 0.5) for m in ("distance", "conservative") for dst in range(0, 9000, 40)
+               for src in r.sample(range(70), 2)]
+    return (spark.createDataFrame(native, "run string, param string, member int, step int, src_id long, value double"),
+            spark.createDataFrame(weights, "method string, dst_id long, src_id long, w double"))
+
+
+@pytest.mark.parametrize("na", ["propagate", "renormalize"])
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_remap_of_series_equals_remap_of_rows(spark, na, bound):
+    from isobar.operators import remap, remap_series
+    native, weights = _remap_case(spark, range(5))
+    want = {tuple(r)[:5]: r["value"] for r in remap.remap_apply(native, weights, na=na).select(
+        "run", "param", "member", "step", "dst_id", "value").collect()}
+    series, axes = remap_series.native_series(native)
+    out = remap_series.remap_series(series, axes, remap_series.weight_blocks(weights), na=na, max_broadcast=bound)
+    got = {(r["run"], r["param"], r["member"], s, r["dst_id"]): v for r in out.collect() for s, v in zip(r["steps"], r["vals"])}
+    assert got.keys() == want.keys() and len(got) > 0
+    assert all(got[k] == pytest.approx(v, rel=1e-6, abs=1e-6, nan_ok=True) for k, v in want.items())
+
+
+def test_remap_of_series_shuffles_no_more_rows_for_more_steps(spark):
+    from isobar.operators import remap_series
+    rows = []
+    for steps in (range(4), range(40)):
+        native, weights = _remap_case(spark, steps)
+        full = native.groupBy("run", "param", "member", "src_id").count().count()
+        series, axes = remap_series.native_series(native)
+        sent = remap_series.routed(series, axes, remap_series.weight_blocks(weights)).groupBy("kind").count().collect()
+        rows.append({r["kind"]: r["count"] for r in sent} | {2: {r["kind"]: r["count"] for r in sent}[2] / full})
+    assert rows[0][0] == rows[1][0] and rows[0][1] == rows[1][1]
+    assert rows[1][2] == pytest.approx(rows[0][2], rel=0.1)
