@@ -297,7 +297,9 @@ class Manifest:
         """``tampered``: the leaf that a row shows instead of its own (hex text)."""
         leaf = leaf_hash([F.col(c) for c in FIELDS])
         shown = leaf if tampered is None else F.coalesce(tampered, leaf)
-        self.leaves = Tree.of(docs.select(F.col("source").alias("tree"), F.col("doc_id").alias("item"), leaf.alias("leaf"), shown.alias("shown")), "merkle")
+        # written, as the range partitioning reads its input twice
+        rows = written(docs.select(F.col("source").alias("tree"), F.col("doc_id").alias("item"), leaf.alias("leaf"), shown.alias("shown")), "merkle-leaves")
+        self.leaves = Tree.of(rows, "merkle")
         tops = self.leaves.roots().select(F.lit(0).alias("tree"), F.col("tree").alias("item"), F.col("hash").alias("leaf"), F.col("hash").alias("shown"))
         self.sources = Tree.of(tops, "merkle-sources")
 

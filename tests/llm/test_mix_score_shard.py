@@ -88,7 +88,47 @@ def test_shards_have_near_equal_bytes_and_gapless_places(make, words):
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
     assert sharding.shard(make([])).count() == 0
     wide = sharding.shard(docs, shards=7, slots=256, keep=docs.columns)
-    assert set(docs.columns) - {"first"} <= set(wide.columns) and wide.count() == len(rows)
+    out = wide.collect()
+    assert wide.columns[:len(docs.columns)] == docs.columns and len(out) == len(rows)
+    assert {(r["shard"], r["first"], r["slot"]) for r in out} == {("clash", 1, 2)}  # the documents' own
+    assert Counter((r["doc_id"], r["size"], r["_shard"], r["_slot"]) for r in out) == Counter(
+        (r["doc_id"], r["size"], r["shard"], r["slot"]) for r in got)
+
+
+def test_a_third_of_equal_rows_spreads_over_the_shards(make, words):
+    rows = [(i, " ".join(words(3 + i % 50, i))) for i in range(1200)] + [(7, "the same text " * 9)] * 600 + [(8, "x " * 200_000)]
+    for keep in (None, ["text", "doc_id", "lang"]):
+        got = sharding.shard(make(rows).repartition(6), shards=8, slots=512, keep=keep).collect()
+        again = sharding.shard(make(rows).repartition(3), shards=8, slots=512, keep=keep).collect()
+        assert Counter(map(tuple, got)) == Counter(map(tuple, again)) and len(got) == len(rows)
+        load, places = Counter(), {}
+        for r in got:
+            if r["size"] < 100_000:  # one text outweighs a shard
+                load[r["shard"]] += r["size"]
+            else:
+                alone = r["shard"]
+            places.setdefault(r["shard"], []).append(r["slot"])
+        del load[alone]
+        assert max(load.values()) - min(load.values()) <= 0.03 * sum(load.values()) / 7
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_a_stored_map_is_edited_again_and_again(spark, make, words, tmp_path):
+    path = str(tmp_path / "map")
+    docs = [(i, " ".join(words(3 + i % 50, i))) for i in range(900)]
+    put = lambda d, k: {r["doc_id"]: (r["virtual_slot"], r["shard"], r["map_version"]) for r in
+                        sharding.shard(make(d), shards=k, slots=256, map_path=path).collect()}
+    one = put(docs, 6)
+    two = put(docs + [(10_000 + i, "more " * (i % 90)) for i in range(300)], 6)
+    three = put(docs, 7)
+    stored = sharding.load_map(spark, path)
+    assert len(stored.versions) == 4 and {v for *_, v in one.values()} == {2} and {v for *_, v in three.values()} == {4}
+    for a, b, before, after in ((one, two, 1, 2), (two, three, 2, 3)):
+        edited = {s for s in range(256) if stored.versions[before][s] != stored.versions[after][s]}
+        assert edited and len(edited) < 200
+        assert all((a[d][1] != b[d][1]) == (a[d][0] in edited) for d in a.keys() & b.keys())
+    with pytest.raises(ValueError, match="256 slots"):
+        sharding.shard(make(docs), shards=6, slots=128, map_path=path)
 
 
 def test_rebalancing_edits_the_map():
@@ -100,7 +140,7 @@ def test_rebalancing_edits_the_map():
     assert max(sums) - min(sums) <= max(skewed)
     moved = [i for i in range(512) if one.owner[i] != two.owner[i]]
     assert all(sum(x for x, k in zip(skewed, one.owner) if k == one.owner[i]) > sum(skewed) / 8 for i in moved)
-    assert len(two.versions) == 3 and len(two.rows(8)) == 3 * 512
+    assert len(two.versions) == 3 and len(two.rows()) == 3 * 512
     grown = two.rebalance(skewed, 9)
     assert {b for a, b in zip(two.owner, grown.owner) if a != b} >= {8} and max(grown.owner) == 8
 
