@@ -31,4 +31,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import q_derive, q_flows, q_grid, q_quality, q_remap, q_serving, q_lifecycle, q_stores, q_stream  # noqa: F401
+    from . import q_derive, q_flows, q_grid, q_quality, q_remap, q_serving, q_lifecycle, q_stores, q_stream, q_zones  # noqa: F401

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from ..sources import chunks, fixtures as fx, store
+from ..sources import chunk_source, chunks, fixtures as fx, store
 from .catalog import register
 from .q_quality import _a1
 from .sqltext import with_fixtures
@@ -81,15 +81,15 @@ def _all_stores(spark, fields):
     return out
 
 
-# A run is published again with fewer rows, chunk rows and steps, but only
+# A run is published again with fewer rows and steps, but only
 # some params of it: those are replaced as a whole, the others stay.
 @register("S4_republish_smaller", with_fixtures(["x1"], f"""
 a AS (SELECT run, param, CAST(NULL AS INTEGER) AS member, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1
-  WHERE run = {_F1} AND (param NOT IN ('t_2m', 'ps') OR (iy < 60 AND step < 6)) OR run = {_F2})
+  WHERE run = {_F1} AND (param NOT IN ('t_2m', 'ps') OR (iy < 1 AND step < 6)) OR run = {_F2})
 SELECT store, a.* FROM a, (VALUES ('plain'), ('series'), ('bucketed'), ('bucketed_series')) s(store)"""))
 def s4_republish_smaller(spark, sf):
     x1 = fx.x1_field(spark, sf).where(F.col("run").isin("2026040300", "2026040306"))
-    small = x1.where((F.col("run") == "2026040300") & F.col("param").isin("t_2m", "ps") & (F.col("iy") < 60) & (F.col("step") < 6))
+    small = x1.where((F.col("run") == "2026040300") & F.col("param").isin("t_2m", "ps") & (F.col("iy") < 1) & (F.col("step") < 6))
     return _all_stores(spark, [x1, small])
 
 
@@ -150,6 +150,30 @@ def s6_chunk_scan(spark, sf):
     return chunks.chunk_scan(spark, path)
 
 
+@register("S6_chunk_source", _X1N_SQL)
+def s6_chunk_source(spark, sf):
+    """Through the data source."""
+    path = _scratch(spark, "zarr")
+    chunks.chunk_export(fx.x1_field(spark, sf, with_nan=True), path, chunk=(25, 100))
+    return _source(spark, path).select("run", "param", "step", "iy", "ix", "value")
+
+
+def _source(spark, path, **options):
+    chunk_source.register(spark)
+    return spark.read.format(chunk_source.NAME).options(path=chunks.qualified(spark, path), **options).load()
+
+
+@register("S6_chunk_source_box", with_fixtures(["x1n"], """
+SELECT run, param, step, iy, ix, CAST(value AS FLOAT) AS value FROM x1n
+WHERE run = '2026040306' AND param IN ('t_2m', 'ps') AND iy >= 1 AND iy < 15 AND ix <= 5 AND step BETWEEN 1 AND 78"""))
+def s6_chunk_source_box(spark, sf):
+    """Filters on run, param, cells and steps reach the source."""
+    path = _scratch(spark, "zarr")
+    chunks.chunk_export(fx.x1_field(spark, sf, with_nan=True), path, chunk=(1, 3))
+    rows = _source(spark, path).where("run = '2026040306' AND param IN ('t_2m', 'ps') AND iy >= 1 AND iy < 15 AND ix <= 5")
+    return rows.where("step >= 1 AND step <= 78").select("run", "param", "step", "iy", "ix", "value")
+
+
 @register("S6_chunk_scan_small", _X1N_SQL)
 def s6_chunk_scan_small(spark, sf):
     """Chunks of another shape: the reader takes it from the array's metadata."""

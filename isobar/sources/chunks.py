@@ -22,6 +22,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -110,19 +111,18 @@ def _group_files(param: str, steps: np.ndarray, n_members: int | None, chunk, le
     return files
 
 
-def chunk_export(field: DataFrame, path: str, chunk=(grid.CHUNK_LAT, grid.CHUNK_LON), level: int = 5) -> DataFrame:
-    """Write every (run, param) of ``field`` as a chunk store; returns the
-    table of written chunks (also kept as parquet under ``path/_chunks``).
+ROW_KEYS = ["run", "param", "cy", "cx"]
+
+
+def chunk_rows(field: DataFrame, chunk=(grid.CHUNK_LAT, grid.CHUNK_LON)) -> DataFrame:
+    """Field rows in the order in which chunks are written: by chunk, each with
+    its step's index and its place in the chunk.
 
-    The step axis of each (run, param) is computed once.  Field rows carry
-    their step's index only; they are sorted by chunk and streamed into one
-    array at a time, so a task holds one chunk however many members it has.
+    The step axis of each (run, param) is computed once.
     """
-    spark = field.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(field.sparkSession)
     ch_y, ch_x = chunk
-    ens = "member" in field.columns
-    member = F.col("member").cast("int") if ens else F.lit(0)
+    member = F.col("member").cast("int") if "member" in field.columns else F.lit(0)
     # the step axis (and member count) of each (run, param): one small row each
     axis = field.groupBy("run", "param").agg(
         F.sort_array(F.collect_set("step")).alias("steps"), (F.max(member) + 1).alias("n_members")).checkpoint()
@@ -134,58 +134,80 @@ def chunk_export(field: DataFrame, path: str, chunk=(grid.CHUNK_LAT, grid.CHUNK_
                          F.col("value").cast("float").alias("value"))
             .join(bounded_broadcast(index, MAX_AXIS_ROWS, reuse=False), ["run", "param", "step"])
             .select("run", "param", F.floor(F.col("iy") / ch_y).cast("int").alias("cy"),
-                    F.floor(F.col("ix") / ch_x).cast("int").alias("cx"), "n_steps", "n_members", "si", "member",
-                    (F.col("iy") % ch_y).cast("int").alias("y"), (F.col("ix") % ch_x).cast("int").alias("x"), "value"))
-    keys = ["run", "param", "cy", "cx"]
-    root = qualified(spark, path)
+                    F.floor(F.col("ix") / ch_x).cast("int").alias("cx"), "n_steps", "n_members", "si", F.col("step").cast("int").alias("step"),
+                    "member", (F.col("iy") % ch_y).cast("int").alias("y"), (F.col("ix") % ch_x).cast("int").alias("x"), "value"))
+    return rows.repartition(*ROW_KEYS).sortWithinPartitions(*ROW_KEYS)
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, arr, seen = None, None, None
 
-        def flush() -> pa.RecordBatch:
-            run, param, cy, cx = key
-            name = f"0.{cy}.{cx}" if not ens else f"0.0.{cy}.{cx}"
-            data = gzip.compress(arr.tobytes(), compresslevel=level, mtime=0)
-            _put(f"{root}/{run}/{param}/{param}/{name}", data)
-            _put(f"{root}/{run}/{param}/{param}/.present.{name}", gzip.compress(np.packbits(seen).tobytes(), compresslevel=level, mtime=0))
-            return pa.RecordBatch.from_pylist([{"run": run, "param": param, "cy": cy, "cx": cx,
-                                                "file": f"{root}/{run}/{param}/{param}/{name}", "n_bytes": len(data)}],
-                                              schema=pa.schema([("run", pa.string()), ("param", pa.string()), ("cy", pa.int32()),
-                                                                ("cx", pa.int32()), ("file", pa.string()), ("n_bytes", pa.int64())]))
+@dataclass
+class ChunkFiles:
+    """Writes chunk files, one array at a time, and remembers the axes it saw.
+
+    A task holds one chunk, however many members it has.
+    """
+
+    root: str
+    chunk: tuple[int, int]
+    level: int
+    ens: bool
+
+    def __post_init__(self) -> None:
+        self.axes: dict[tuple[str, str], dict] = {}
+
+    def _flush(self, key: tuple, arr: np.ndarray, seen: np.ndarray) -> dict:
+        run, param, cy, cx = key
+        name = f"0.{cy}.{cx}" if not self.ens else f"0.0.{cy}.{cx}"
+        data = gzip.compress(arr.tobytes(), compresslevel=self.level, mtime=0)
+        folder = f"{self.root}/{run}/{param}/{param}"
+        _put(f"{folder}/{name}", data)
+        _put(f"{folder}/.present.{name}", gzip.compress(np.packbits(seen).tobytes(), compresslevel=self.level, mtime=0))
+        return {"run": run, "param": param, "cy": cy, "cx": cx, "file": f"{folder}/{name}", "n_bytes": len(data)}
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        """One row (run, param, cy, cx, file, n_bytes) per written chunk, from the batches of :func:`chunk_rows`."""
+        key, arr, seen = None, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             run, param = (np.asarray(batch.column(k).to_pylist(), dtype=object) for k in ("run", "param"))
-            cy, cx, n, m, si, mb, y, x, v = (batch.column(k).to_numpy(zero_copy_only=False)
-                                             for k in ("cy", "cx", "n_steps", "n_members", "si", "member", "y", "x", "value"))
+            cy, cx, n, m, si, step, mb, y, x, v = (batch.column(k).to_numpy(zero_copy_only=False) for k in
+                                                   ("cy", "cx", "n_steps", "n_members", "si", "step", "member", "y", "x", "value"))
             new = np.r_[True, (run[1:] != run[:-1]) | (param[1:] != param[:-1]) | (cy[1:] != cy[:-1]) | (cx[1:] != cx[:-1])]
             for a, b in zip(np.flatnonzero(new), np.r_[np.flatnonzero(new)[1:], len(run)]):
                 here = (run[a], param[a], int(cy[a]), int(cx[a]))
                 if here != key:
                     if key is not None:
-                        yield flush()
+                        yield self._flush(key, arr, seen)
                     key = here
-                    arr = np.full((int(n[a]), int(m[a]), ch_y, ch_x), np.nan, dtype="<f4")
+                    arr = np.full((int(n[a]), int(m[a]), *self.chunk), np.nan, dtype="<f4")
                     seen = np.zeros(arr.shape, bool)
                 s = slice(a, b)
                 arr[si[s], mb[s], y[s], x[s]] = v[s]
                 seen[si[s], mb[s], y[s], x[s]] = True
+                axis = self.axes.setdefault(here[:2], {"n_steps": int(n[a]), "n_members": int(m[a]), "steps": {}})["steps"]
+                axis.update(zip(si[s].tolist(), step[s].tolist()))
         if key is not None:
-            yield flush()
+            yield self._flush(key, arr, seen)
 
-    def write_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                files = _group_files(r["param"], np.asarray(r["steps"], np.int64), r["n_members"] if ens else None, chunk, level)
-                # the consolidated metadata last: a group with it is complete
-                for name in sorted(files, key=lambda k: k == ".zmetadata"):
-                    _put(f"{root}/{r['run']}/{r['param']}/{name}", files[name])
-            yield pa.RecordBatch.from_arrays([batch.column("run"), batch.column("param")], ["run", "param"])
+    def finish(self, run: str, param: str, steps: list[int], n_members: int) -> None:
+        """The group's metadata and coordinates, the consolidated metadata last: a group with it is complete."""
+        files = _group_files(param, np.asarray(steps, np.int64), n_members if self.ens else None, self.chunk, self.level)
+        for name in sorted(files, key=lambda k: k == ".zmetadata"):
+            _put(f"{self.root}/{run}/{param}/{name}", files[name])
 
-    listing = f"{root}/_chunks/{uuid.uuid4().hex}"
-    (rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(write, CHUNK_SCHEMA).write.mode("overwrite").parquet(listing))
-    axis.mapInArrow(write_group, "run string, param string").write.format("noop").mode("overwrite").save()
-    return spark.read.schema(CHUNK_SCHEMA).parquet(listing)
+
+def chunk_export(field: DataFrame, path: str, chunk=(grid.CHUNK_LAT, grid.CHUNK_LON), level: int = 5) -> DataFrame:
+    """Write every (run, param) of ``field`` as a chunk store, through the
+    data source (:mod:`isobar.sources.chunk_source`); returns the table of
+    written chunks (also kept as parquet under ``path/_chunks``)."""
+    from . import chunk_source
+
+    spark = field.sparkSession
+    chunk_source.register(spark)
+    root, tag = qualified(spark, path), uuid.uuid4().hex
+    (chunk_rows(field, chunk).write.format(chunk_source.NAME).mode("append").option("path", root).option("chunk", f"{chunk[0]},{chunk[1]}")
+     .option("level", level).option("ensemble", str("member" in field.columns)).option("listing", tag).save())
+    return spark.read.schema(CHUNK_SCHEMA).parquet(f"{root}/_chunks/{tag}")
 
 
 def _decompress(data: bytes, compressor: dict | None) -> bytes:
@@ -214,6 +236,40 @@ def _described(group: str, param: str) -> tuple[dict, list[str], np.ndarray]:
     return meta, dims, steps
 
 
+def chunk_cells(meta: dict, dims: list[str], steps: np.ndarray, folder: str, key: str, content: bytes, ensemble: bool,
+                drop_nan: bool = False, wanted: np.ndarray | None = None) -> dict[str, pa.Array]:
+    """member, step, iy, ix and value of the cells that a chunk file holds; ``wanted`` flags the steps to return."""
+    at = [int(k) for k in key.split(meta.get("dimension_separator", "."))]
+    full = np.frombuffer(_decompress(content, meta["compressor"]), meta["dtype"]).reshape(meta["chunks"])
+    bits = _get(f"{folder}/.present.{key}")
+    keep = (np.unpackbits(np.frombuffer(gzip.decompress(bits), np.uint8), count=full.size).astype(bool).reshape(full.shape)
+            if bits is not None else np.ones(full.shape, bool))
+    member_dim = dims.index("realization") if ensemble and "realization" in dims else None
+    for d in range(full.ndim):
+        size = min(meta["chunks"][d], meta["shape"][d] - at[d] * meta["chunks"][d])  # edge chunks are padded
+        if 0 < d < full.ndim - 2 and d != member_dim:
+            size = 1 if at[d] == 0 else 0
+        full, keep = full.take(range(size), d), keep.take(range(size), d)
+    if drop_nan:
+        keep = keep & ~np.isnan(full)
+    if wanted is not None:
+        first = at[0] * meta["chunks"][0]
+        keep = keep & wanted[first:first + full.shape[0]].reshape(-1, *[1] * (full.ndim - 1))
+    where = np.nonzero(keep)
+    index = [w + at[d] * meta["chunks"][d] for d, w in enumerate(where)]
+    member = index[member_dim] if member_dim is not None else np.zeros(len(where[0]))
+    return {"member": pa.array(member, pa.int32()), "step": pa.array(steps[index[0]], pa.int32()), "iy": pa.array(index[-2], pa.int32()),
+            "ix": pa.array(index[-1], pa.int32()), "value": pa.array(full[where].astype(np.float32))}
+
+
+def _batches(fixed: dict, cells: dict[str, pa.Array], names: list[str], rows: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Record batches of ``names``: columns of ``cells``, and single values repeated."""
+    n = len(cells["value"])
+    out = pa.RecordBatch.from_arrays([cells[c] if c in cells else pa.array([fixed[c]] * n) for c in names], names)
+    for a in range(0, n, rows):
+        yield out.slice(a, rows)
+
+
 def chunk_scan(spark: SparkSession, path: str, params: Sequence[str] | None = None, run: str | None = None,
                cy: int | None = None, cx: int | None = None, drop_nan: bool = False,
                ensemble: bool = False) -> DataFrame:
@@ -243,31 +299,8 @@ def chunk_scan(spark: SparkSession, path: str, params: Sequence[str] | None = No
                 group = folder.rsplit("/", 1)[0]
                 if group not in known:
                     known[group] = _described(group, r["param"])
-                meta, dims, steps = known[group]
-                at = [int(k) for k in key.split(meta.get("dimension_separator", "."))]
-                full = np.frombuffer(_decompress(r["content"], meta["compressor"]), meta["dtype"]).reshape(meta["chunks"])
-                bits = _get(f"{folder}/.present.{key}")
-                keep = (np.unpackbits(np.frombuffer(gzip.decompress(bits), np.uint8), count=full.size).astype(bool).reshape(full.shape)
-                        if bits is not None else np.ones(full.shape, bool))
-                member_dim = dims.index("realization") if ensemble and "realization" in dims else None
-                for d in range(full.ndim):
-                    size = min(meta["chunks"][d], meta["shape"][d] - at[d] * meta["chunks"][d])  # edge chunks are padded
-                    if 0 < d < full.ndim - 2 and d != member_dim:
-                        size = 1 if at[d] == 0 else 0
-                    full, keep = full.take(range(size), d), keep.take(range(size), d)
-                if drop_nan:
-                    keep = keep & ~np.isnan(full)
-                where = np.nonzero(keep)
-                index = [w + at[d] * meta["chunks"][d] for d, w in enumerate(where)]
-                n = len(where[0])
-                cols = [pa.array([r["run"]] * n, pa.string()), pa.array([r["param"]] * n, pa.string())]
-                if ensemble:
-                    cols.append(pa.array(index[member_dim] if member_dim is not None else np.zeros(n), pa.int32()))
-                cols += [pa.array(steps[index[0]], pa.int32()), pa.array(index[-2], pa.int32()), pa.array(index[-1], pa.int32()),
-                         pa.array(full[where].astype(np.float32))]
-                out = pa.RecordBatch.from_arrays(cols, names)
-                for a in range(0, n, 1 << 18):
-                    yield out.slice(a, 1 << 18)
+                cells = chunk_cells(*known[group], folder, key, r["content"], ensemble, drop_nan)
+                yield from _batches({"run": r["run"], "param": r["param"]}, cells, names)
 
     names = ["run", "param", *(["member"] if ensemble else []), "step", "iy", "ix", "value"]
     schema = "run string, param string, " + ("member int, " if ensemble else "") + "step int, iy int, ix int, value float"

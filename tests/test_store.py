@@ -115,3 +115,65 @@ def test_ingest_marks_only_what_it_wrote(spark, tmp_path):
                                     "run string, param string, step int, n_bytes long, status int")
     marks = jobs.ingest(native, weights, listing, root)
     assert [(r["run"], r["param"]) for r in marks.collect()] == [("2026040300", "t_2m")]
+
+
+def test_zone_checks_read_no_field_rows(spark, tmp_path):
+    from isobar.operators import quality, zones
+    root = str(tmp_path / "s")
+    x = fx.x1_field(spark, SF_SMALL, with_nan=True)
+    store.field_publish(x, root, zones=True)
+    z = store.zone_scan(spark, root, run="2026040300", params=["t_2m", "ps"])
+    f = store.field_scan(spark, root, run="2026040300", params=["t_2m", "ps"])
+    for name in ("bounds_check", "smoke_sample", "frame_range"):
+        got, want = getattr(zones, name)(z), getattr(quality, name)(f)
+        assert not any("/data/" in p for p in got.inputFiles()) and got.inputFiles()
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.select(*got.columns).collect())))
+    store.field_publish(x.where("param = 'ps'"), root)
+    with pytest.raises(FileNotFoundError, match="without zones"):
+        store.zone_scan(spark, root)
+
+
+def _chunk_reader(root, filters=()):
+    from isobar.sources import chunk_source
+    r = chunk_source.ChunkReader(chunk_source.StructType.fromDDL(chunk_source.ChunkSource({"path": root}).schema()), {"path": root})
+    rest = list(r.pushFilters(list(filters)))
+    return r, rest
+
+
+def test_chunk_source_opens_only_chunks_that_match(spark, tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
+
+    from isobar.sources import chunk_source, chunks
+    root = chunks.qualified(spark, str(tmp_path / "z"))
+    rows = [(r, p, s, iy, ix, float(iy + s)) for r in ("2026040300", "2026040306") for p in ("t_2m", "ps") for s in (0, 3)
+            for iy in range(0, 200, 10) for ix in range(0, 200, 10)]
+    chunks.chunk_export(spark.createDataFrame(rows, "run string, param string, step int, iy int, ix int, value double"), root, chunk=(50, 50))
+    files = lambda *f: sum(len(p.keys) for p in _chunk_reader(root, f)[0].partitions())
+    assert files() == 4 * 16
+    assert files(EqualTo(("run",), "2026040300")) == 2 * 16
+    assert files(In(("param",), ("ps", "x")), GreaterThanOrEqual(("iy",), 100)) == 2 * 8
+    assert files(EqualTo(("cy",), 1), LessThan(("cx",), 2), EqualTo(("param",), "ps"), EqualTo(("run",), "2026040306")) == 2
+    assert files(EqualTo(("step",), 1), GreaterThanOrEqual(("step",), 4)) == 0
+    _, rest = _chunk_reader(root, [EqualTo(("iy",), 3), EqualTo(("run",), "a"), EqualTo(("value",), 1.0)])
+    assert [f.attribute for f in rest] == [("iy",), ("value",)]
+    # a chunk that a query needs not is not opened: it may be unreadable
+    for bad in (tmp_path / "z" / "2026040300" / "ps" / "ps").glob("0.3.*"):
+        bad.write_bytes(b"junk")
+    chunk_source.register(spark)
+    df = spark.read.format(chunk_source.NAME).option("path", root).load()
+    got = df.where("run = '2026040300' AND param = 'ps' AND iy < 150 AND step = 3").collect()
+    assert len(got) == 15 * 20 and {r["step"] for r in got} == {3} and {r["cy"] for r in got} == {0, 1, 2}
+    with pytest.raises(Exception, match="append"):
+        df.write.format(chunk_source.NAME).mode("overwrite").option("path", root).save()
+
+
+def test_chunk_source_takes_the_only_array_of_another_name(spark, tmp_path):
+    from isobar.sources import chunk_source, chunks
+    root = chunks.qualified(spark, str(tmp_path / "z"))
+    one = spark.createDataFrame([("2026040300", "t", s, 1, 2, 5.0 + s) for s in range(3)], "run string, param string, step int, iy int, ix int, value double")
+    chunks.chunk_export(one, root)
+    # the group of param "t" under another param's name
+    (tmp_path / "z" / "2026040300" / "t").rename(tmp_path / "z" / "2026040300" / "renamed")
+    chunk_source.register(spark)
+    got = spark.read.format(chunk_source.NAME).option("path", root).load().collect()
+    assert sorted((r["param"], r["step"], r["value"]) for r in got) == [("renamed", s, 5.0 + s) for s in range(3)]
