@@ -39,6 +39,9 @@ def point_lookup(series: DataFrame, requests: DataFrame, wrap: bool = False,
     ``step_index`` (array position) and ``step`` (forecast hour).  The
     request side is broadcast only when its checked size is small, which
     also enables dynamic pruning of ``cy`` partitions of a stored series.
+    Past that, requests are shuffled to the buckets of a series stored by
+    :func:`isobar.sources.store.series_publish_bucketed`, which stays where it
+    is (with ``cluster_conf``, which allows co-partitioning on the cell alone).
     Requests without a well-formed run, or whose cell holds no series, give no
     rows here; the flow (``jobs.answer_points``) resolves the former first and
     answers the latter with an error.

@@ -177,3 +177,24 @@ def test_chunk_source_takes_the_only_array_of_another_name(spark, tmp_path):
     chunk_source.register(spark)
     got = spark.read.format(chunk_source.NAME).option("path", root).load().collect()
     assert sorted((r["param"], r["step"], r["value"]) for r in got) == [("renamed", s, 5.0 + s) for s in range(3)]
+
+
+def test_lookup_past_the_broadcast_bound_does_not_shuffle_the_series(spark, tmp_path):
+    """Requests too many to broadcast go to the buckets of the stored series."""
+    from isobar.operators import serving
+    series = serving.series_pack(fx.x1_field(spark, SF_SMALL))
+    requests = fx.x3b_requests(spark, SF_SMALL)
+    stored = store.series_publish_bucketed(series, str(tmp_path / "b"), "isobar_test_lookup", 8)
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    held = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        out = serving.point_lookup(stored, requests, max_broadcast=0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(repr, map(tuple, out.collect())))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert got == sorted(map(repr, map(tuple, serving.point_lookup(series, requests).collect()))) and got
