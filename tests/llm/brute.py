@@ -131,3 +131,31 @@ def targets(sizes, weights=(5, 2, 1), cap=3):
             left -= out[s]
         free -= over
     return out
+
+
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def notices(text, templates, agreement=0.75):
+    """(labels, score): every place with a template's key phrase, aligned in full."""
+    w, labels, score = ALNUM.findall(lower(text)), set(), 0.0
+    for label, notice, phrase in templates:
+        t, k = ALNUM.findall(lower(notice)), ALNUM.findall(lower(phrase))
+        a = next(i for i in range(len(t)) if t[i:i + len(k)] == k)
+        slack, end = max(2, len(t) // 3), a + len(k)
+        for p in (p for p in range(len(w)) if w[p:p + len(k)] == k):
+            n = (common(t[:a], w[max(0, p - a - slack):p]) + len(k)
+                 + common(t[end:], w[p + len(k):p - a + len(t) + slack]))
+            if n >= agreement * len(t):
+                labels.add(label)
+                score = max(score, n / len(t))
+            score = max(score, len(k) / len(t))
+    return labels, score

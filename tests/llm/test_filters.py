@@ -113,6 +113,61 @@ def test_every_licence_of_a_long_text_is_found(make, words):
         assert {"mit", label} <= got[1 + i][0] and got[1 + i][1] == 1.0
 
 
+def _edited(text, r, n):
+    """n words of the text dropped, replaced or followed by further ones, at random."""
+    w = text.split()
+    for _ in range(n):
+        i = r.randrange(len(w))
+        w[i:i + 1] = [[], ["other"], [w[i], "and", "more"], [w[i], w[i]]][r.randrange(4)]
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_edited_licences_equal_full_alignment(make, words, seed):
+    """Inserted, dropped and changed words; several edited copies in one text; words of templates in between."""
+    r = random.Random(seed)
+    plain = words(300, seed)
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(r.randrange(1, 4)):
+            parts += r.choices(plain, k=r.randrange(6)) + [_edited(r.choice(licenses.TEMPLATES)[1], r, r.randrange(9))]
+        rows.append((i, " ".join(parts)))
+    rows += [(900, None), (901, ""), (902, " ".join(plain) * 200 + _edited(licenses.TEMPLATES[0][1], r, 2)), (None, rows[0][1]), (0, rows[0][1])]
+    docs = make(rows, {"labels": F.lit(1), "score": F.lit("x"), "n_words": F.lit(2)})
+    got = sorted(((r["doc_id"], r["labels"], round(r["score"], 9)) for r in licenses.scan(docs).collect()), key=str)
+    want = []
+    for doc, text in rows:
+        labels, score = brute.notices(text, licenses.TEMPLATES)
+        base = set(filter(None, brute.licences(text)[-1].split(",")))
+        want.append((doc, ",".join(sorted(labels | base)), round(1.0 if base else score, 9)))
+    assert got == sorted(want, key=str)
+
+
+def test_an_inserted_clause_loses_no_licence(make):
+    rows = [(1, "Permission is hereby granted, free of charge, and without royalty, to any person obtaining a copy of this software "
+                "and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+            (2, "Redistribution and use in source and binary forms, in any medium, with or without modification, are permitted "
+                "provided that the following conditions are met"),
+            (3, "Redistribution and use in source and binary forms is discussed here at length by people without any wish to permit it")]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(make(rows)).collect()}
+    assert got[1] == ("mit", 1.0) and got[2] == ("bsd", 1.0) and got[3][0] == "" and 0 < got[3][1] < licenses.AGREEMENT
+
+
+def test_templates_as_a_table(spark, make, monkeypatch):
+    table = spark.createDataFrame([("own", "This Text May Be Used By Anyone", "may be used"), ("own", "This Text May Be Used By Anyone", "may be used")],
+                                  "label string, text string, phrase string")
+    rows = [(1, "this text may be used, today, by anyone"), (2, "Released under the MIT License"), (3, "it may be used")]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(make(rows), table).collect()}
+    assert got == {1: "own", 2: "mit", 3: ""}
+    for bad in ([(None, "a b", "a")], [("x", "a b", "c")], [("x", None, None)]):
+        with pytest.raises(ValueError):
+            licenses.scan(make(rows), spark.createDataFrame(bad, "label string, text string, phrase string"))
+    monkeypatch.setattr(licenses, "TEMPLATE_BYTES", 10)
+    with pytest.raises(ValueError, match="bytes"):
+        licenses.scan(make(rows), table)
+
+
 STATS = [(1, "a b c d e f g h a b c d e f g h"), (2, "same\n\nsame \nsame\n \n same\nsame"), (3, None), (4, ""), (5, "# é*é $<>|&% x"),
          (6, "x " * 40), (7, "a b c d e f g h x a b c d e f g h y b c d e f g h x"), (8, "\n"), (9, "é é é \x0b\x0c z")]
 
