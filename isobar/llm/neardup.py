@@ -5,7 +5,8 @@ form one class, and one set stands for it.  Classes are dealt down random
 trees: a node chooses one or two coordinates of the minwise signature (1 / J of
 them on average, J the similarity sought), and for each a class goes to the
 child of its value there.  Similar sets keep meeting: each level a pair of
-similarity J shares one child on average.  Spark deals the classes down until a
+similarity J shares one child on average, and below the first level a little
+more than one, so that deep trees lose hardly more pairs than shallow ones.  Spark deals the classes down until a
 node fits a task, which branches on; nodes of a few classes are compared
 exhaustively, and a node whose classes are all tied together is done.
 Independent trees repeat this until pairs that miss each other in all of them
@@ -36,13 +37,17 @@ from isobar.llm.words import SPACED, Hasher, Piece, mix, pieces
 
 SHINGLE, PERCENT = 5, 80
 #: Independent trees; levels dealt out by Spark, and the levels a task adds below them.
-TREES, LEVELS, DEPTH = 16, 8, 24
+TREES, LEVELS, DEPTH = 16, 8, 12
+#: Children that a pair at the threshold shares on average, at each level but the first.
+GROWTH = 1.1
 #: Classes in a node that one task takes, and in a node that is compared exhaustively.
 NODE, LEAF = 8192, 64
 #: Signature coordinates; deviations below the threshold that a sketch may show.
 COORDINATES, DEVIATIONS = 96, 6.0
 #: Pivot sweeps times set elements that one task may do for a family (about a nanosecond each).
 FAMILY_WORK = 2e10
+#: Set elements that one task may hold for a family (8 bytes each, and a few copies).
+FAMILY_ELEMENTS = 1 << 24
 PIVOTS = 8
 #: Counters of the elements of the families too large for one task, from which their rarest are told.
 COUNTERS = 1 << 18
@@ -96,9 +101,14 @@ def _signed(k: int):
     return run
 
 
+def second_choice(percent: int, growth: float = GROWTH) -> float:
+    """How often a node chooses two coordinates."""
+    return min(1.0, max(0.0, growth * 100 / percent - 1))
+
+
 def _children(percent: int, trees: int | None) -> Callable:
     """Rows (node, cid, mins) to rows (node, cid) one level down; ``trees`` starts them at the roots."""
-    second = U64(int((100 / percent - 1) * (1 << 32)))  # how often a node chooses two coordinates
+    second = U64(int(second_choice(percent, GROWTH if trees is None else 1.0) * (1 << 32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +163,7 @@ def node_groups(size: np.ndarray, sketch: np.ndarray, percent: int, floor: float
     it is small or deep, compares every member with those not tied to it yet.
     """
     groups = Groups(len(size))
-    second = int((100 / percent - 1) * (1 << 32))
+    second = int(second_choice(percent) * (1 << 32))
     todo = [(np.arange(len(size)), seed & 0xFFFFFFFFFFFFFFFF, 0)]
     while todo:
         at, node, depth = todo.pop()
@@ -320,7 +330,8 @@ def _nodes(classes: DataFrame, percent: int, trees: int, levels: int, leaf: int)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
-                    levels: int = LEVELS, node: int = NODE, leaf: int = LEAF, family_work: float = FAMILY_WORK) -> DataFrame:
+                    levels: int = LEVELS, node: int = NODE, leaf: int = LEAF, family_work: float = FAMILY_WORK,
+                    family_elements: int = FAMILY_ELEMENTS) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id, group_id and kept of every row.
 
     Two documents are linked if 100 * shared shingles >= percent * all shingles.
@@ -333,10 +344,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     Pairs at the threshold are found by each tree with a chance of about 0.87
     where one level separates strangers, so 16 trees lose fewer than 1 in 1e12.
-    Deeper nodes lose more, counted over Spark's levels and the task's: with
-    percent 85 the chance is 0.47 at 8 levels, 0.24 at 24 and 0.19 at 32 (LEVELS
-    + DEPTH), and 16 trees lose 4 in 100,000, 1.4 % and 3.5 %; with percent 80
-    2 in 10,000, 3.1 % and 6.7 %.  That is for pairs that no other link or
+    Deeper nodes lose more, counted over Spark's levels and the task's: at
+    percent 85 the chance is 0.57 at 8 levels and 0.47 at 20 (LEVELS + DEPTH),
+    so 16 trees lose 1 and 37 in a million; at percent 80 it is 0.51 and 0.42,
+    and 16 trees lose 10 and 180 in a million.  Nodes still mixed at the last level
+    are compared exhaustively.  That is for pairs that no other link or
     pivot connects.  Within a family no link at all
     is lost, whatever its size.
     """
@@ -360,18 +372,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     # exact links inside families
     sized = family.join(classes.select("cid", "n_shingles"), F.col("node") == F.col("cid"))
-    work = written(sized.groupBy("root").agg((F.count("*") * F.sum("n_shingles")).cast("double").alias("work")), "family-work")
+    work = written(sized.groupBy("root").agg((F.count("*") * F.sum("n_shingles")).cast("double").alias("work"), F.sum("n_shingles").alias("elements")), "family-work")
+    fit = (F.col("work") <= family_work) & (F.col("elements") <= family_elements)
     wanted = written(family.join(classes.select("cid", "doc_id", "row_key"), F.col("node") == F.col("cid"))
                      .select("doc_id", "row_key", "cid"), "family-rows")
     texts = join_rows(slim, wanted, "inner", F.lit(40))
     sets = written(arrow_map(texts.select("cid", "text"), _sets(shingle), "cid long, set binary"), "family-sets")
-    fits = family.join(work.where(F.col("work") <= family_work), "root").select(F.col("node").alias("cid"), F.col("root").alias("family"))
+    fits = family.join(work.where(fit), "root").select(F.col("node").alias("cid"), F.col("root").alias("family"))
     links = _exact(fits, sets, percent)
-    too_large = work.where(F.col("work") > family_work)
+    too_large = work.where(~fit)
     if too_large.isEmpty():
         root = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     else:  # their links come from several tasks and have yet to be joined
-        root = components(links.unionByName(_exact_by_prefix(family, too_large, sets, percent, node, family_work)))
+        root = components(links.unionByName(_exact_by_prefix(family, too_large, sets, percent, node, family_work, family_elements)))
     root = written(root, "class-roots")
     ids = classes.select("cid", "f1", "f2", "first").join(root, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid"))
     grouped = ids.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -452,13 +465,15 @@ def _prefixes(percent: int, counts) -> Callable:
     return run
 
 
-def _blocks(n: str, size: str, block: int, family_work: float):
+def _blocks(n: str, size: str, block: int, family_work: float, family_elements: float):
     """Blocks for ``n`` classes of ``size`` elements in all, so that each fits a task."""
     by_work = F.ceil(F.sqrt(F.col(n).cast("double") * F.col(size) / family_work))
-    return F.least(F.col(n), F.greatest(F.ceil(F.col(n) / block), by_work)).cast("int")
+    by_size = F.ceil(F.col(size) / family_elements)
+    return F.least(F.col(n), F.greatest(F.ceil(F.col(n) / block), by_work, by_size)).cast("int")
 
 
-def _exact_by_prefix(family: DataFrame, work: DataFrame, sets: DataFrame, percent: int, block: int, family_work: float) -> DataFrame:
+def _exact_by_prefix(family: DataFrame, work: DataFrame, sets: DataFrame, percent: int, block: int, family_work: float,
+                     family_elements: int) -> DataFrame:
     """All links of the families too large for one task, up to links that others imply.
 
     A first pass deals each family into blocks that share its pivots (those of
@@ -472,7 +487,7 @@ def _exact_by_prefix(family: DataFrame, work: DataFrame, sets: DataFrame, percen
     rows = mine.select("cid", "root", (F.length("set") / 8).cast("long").alias("size"))
     pivots = written(rows.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("size"), *[
         F.min_by("cid", F.xxhash64(F.lit(i), F.col("cid"))).alias(f"p{i}") for i in range(PIVOTS)])
-        .withColumn("blocks", _blocks("n", "size", block, family_work)), "large-pivots")
+        .withColumn("blocks", _blocks("n", "size", block, family_work, family_elements)), "large-pivots")
     dealt = rows.select("cid", "root").join(pivots.select("root", "blocks"), "root").select(
         "cid", F.xxhash64("root", F.pmod(F.xxhash64("cid", "root"), F.col("blocks")).cast("int")).alias("family"))
     tie = pivots.select("root", "blocks", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("cid")).select(
@@ -498,10 +513,10 @@ def _exact_by_prefix(family: DataFrame, work: DataFrame, sets: DataFrame, percen
               .agg(F.min_by(F.struct("element", "size", "n_main", "main"), "element").alias("r"))
               .select("r.element", "n", "r.size", "r.n_main", F.col("r.main.known").alias("main"), F.col("r.main.size").alias("size_main")))
     groups = (groups.withColumn("n_rest", F.col("n") - F.col("n_main")).withColumn("size_rest", F.col("size") - F.col("size_main"))
-              .withColumn("whole", _blocks("n", "size", block, family_work) == 1))
-    half, quarter = max(block // 2, 1), family_work / 4  # two blocks meet in a task
-    groups = written(groups.withColumn("b_main", _blocks("n_main", "size_main", half, quarter))
-                     .withColumn("b_rest", _blocks("n_rest", "size_rest", half, quarter))
+              .withColumn("whole", _blocks("n", "size", block, family_work, family_elements) == 1))
+    half, quarter, elements = max(block // 2, 1), family_work / 4, family_elements / 2  # two blocks meet in a task
+    groups = written(groups.withColumn("b_main", _blocks("n_main", "size_main", half, quarter, elements))
+                     .withColumn("b_rest", _blocks("n_rest", "size_rest", half, quarter, elements))
                      .select("element", "main", "whole", "b_main", "b_rest"), "prefix-groups")
     live = written(held.select("element", "cid", "known").join(groups, "element"), "prefix-rows")
     small = live.where("whole").select("cid", "known", F.xxhash64("element").alias("family"))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,7 +44,26 @@ def test_near_duplicates_equal_all_pairs(make, near_rows, k, percent, more):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
-@pytest.mark.parametrize("more", [{"family_work": 1.0}, {"family_work": 1e5}, {"family_work": 1e5, "levels": 1, "trees": 2}])
+@pytest.mark.parametrize("percent", [80, 85])
+def test_deep_nodes_keep_pairs_at_the_threshold(percent):
+    """Pairs at the threshold among strangers that share half of all coordinates, so that nodes split slowly."""
+    r = np.random.default_rng(percent)
+    n, width = 1500, neardup.COORDINATES
+    common = r.integers(0, 256, width)
+    one = np.where(r.random((n, width)) < 0.5 ** 0.5, common, r.integers(0, 256, (n, width)))
+    two = np.where(r.random((n, width)) < percent / 100, one, r.integers(0, 256, (n, width)))
+    sketch, size = np.concatenate([one, two]).astype(np.uint8), np.full(2 * n, 100)
+    at = percent / 100 - 2 * np.sqrt(percent * (100 - percent) / 1e4 / width)
+    close = (sketch[:n] == sketch[n:]).mean(axis=1) >= max(at, 0.74)
+    trees = []
+    for seed in range(neardup.TREES):
+        root = neardup.node_groups(size, sketch, percent, 0.74, 1000 + seed, 2)
+        trees.append((root[:n] == root[n:])[close])
+    assert close.sum() > 1000 and np.mean(trees) > 0.4
+    assert np.any(trees, axis=0).all()
+
+
+@pytest.mark.parametrize("more", [{"family_elements": 300}, {"family_work": 1.0}, {"family_work": 1e5}, {"family_work": 1e5, "levels": 1, "trees": 2}])
 def test_large_families_lose_no_link(make, words, more):
     """Forty groups of near copies that share three quarters of their words; no node and no family fits a task."""
     rows, r = [], random.Random(7)
