@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.common import arrow_map, fresh, join_rows, row_key, written
@@ -27,8 +27,8 @@ from isobar.llm.words import ALNUM, Hasher, find, pieces
 WINDOW = 10
 #: Item words per automaton, about 0.5 KB each.
 BLOCK_WORDS = 200_000
-#: Share of a document's words up to which hits of items shorter than a window are no reason to drop it.
-SHORT_SHARE = 0.5
+#: Share of a document's words up to which hits are no reason to drop it as a whole.
+MAX_SHARE = 0.5
 SEED = 41
 
 SPANS = "array<struct<start:int,end:int>>"
@@ -150,6 +150,16 @@ def merged(spans: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
+def _united(spans: Column) -> Column:
+    """The spans sorted, with those that touch or overlap made one."""
+    def add(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when((F.size(done) > 0) & (s["start"] <= last["end"]),
+                      F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(s)))
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), add)
+
+
 def _scan(auto):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: Automaton = auto.value
@@ -210,9 +220,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
              .agg(F.flatten(F.collect_list("spans")).alias("spans"),
                   F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")))
     # at most one short list per block and document
-    join_spans = F.udf(lambda s: merged([(x["start"], x["end"]) for x in s]), SPANS)
-    every = every.select(F.col("doc_id").alias("d"), F.col("row_key").alias("k"),
-                         join_spans("spans").alias("spans"), "items")
+    every = every.select(F.col("doc_id").alias("d"), F.col("row_key").alias("k"), "spans", "items").withColumn(
+        "spans", _united(F.col("spans")))
     base = results[0].select("doc_id", "row_key", "n_words")
     return (base.join(every, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_key") == F.col("k")), "left")
             .select("doc_id", "row_key", "n_words",
@@ -237,7 +246,7 @@ def by_length(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
 
 
 def contaminated(docs: DataFrame, found: DataFrame, short: DataFrame | None = None,
-                 max_share: float = SHORT_SHARE) -> tuple[DataFrame, DataFrame]:
+                 max_share: float = MAX_SHARE) -> tuple[DataFrame, DataFrame]:
     """(rows of docs without any match, the matching rows' doc_id and row_key).
 
     ``short`` has the matches of items that are shorter than a window: they
@@ -251,20 +260,60 @@ def contaminated(docs: DataFrame, found: DataFrame, short: DataFrame | None = No
     return join_rows(docs, bad, "left_anti"), bad
 
 
+def _cuts(found: DataFrame, max_span: int, max_share: float, short: DataFrame | None = None) -> DataFrame:
+    """Of each row with hits: doc_id, row_key, the spans to cut and whether it leaves altogether."""
+    def hits(m: DataFrame, spans) -> DataFrame:
+        n_hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+        return m.where(F.size("spans") > 0).select("doc_id", "row_key", spans.alias("spans"), (n_hit > max_share * F.col("n_words")).alias("leaves"))
+    every = hits(found, F.filter("spans", lambda s: s["end"] - s["start"] > max_span))
+    if short is not None:
+        every = every.unionByName(hits(short, F.array().cast(SPANS)).where("leaves"))
+    # repeated rows have equal spans; those of short items are empty
+    return every.groupBy("doc_id", "row_key").agg(F.flatten(F.collect_set("spans")).alias("spans"), F.max("leaves").alias("leaves"))
+
+
 def remove_spans(docs: DataFrame, found: DataFrame, max_span: int = 0, max_share: float = 1.0) -> DataFrame:
     """docs without the matched spans of more than ``max_span`` words.
 
     Documents of whose words more than ``max_share`` are hit leave altogether.
     Columns stay; n_chars, if there, follows the text.
     """
-    spans_in, drop_in = fresh(docs, "spans"), fresh(docs, "leaves")
-    n_hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
-    cut = found.where(F.size("spans") > 0).select(
-        "doc_id", "row_key", F.filter("spans", lambda s: s["end"] - s["start"] > max_span).alias(spans_in),
-        (n_hit > max_share * F.col("n_words")).alias(drop_in)).dropDuplicates(["doc_id", "row_key"])
-    cut = written(cut, "decontam-cuts")
-    joined = (join_rows(docs, cut, "left", F.size(spans_in) * 8 + 32)
-              .where(~F.coalesce(drop_in, F.lit(False))).drop(drop_in))
+    cut = written(_cuts(found, max_span, max_share), "decontam-cuts")
+    stay = join_rows(docs, cut.where("leaves").select("doc_id", "row_key"), "left_anti")
+    return _excised(stay, cut, "left")
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span: int = 0,
+            max_share: float = MAX_SHARE) -> DataFrame:
+    """docs with the benchmark's passages cut out of their texts.
+
+    Spans covered by windows of items go if they have more than ``max_span``
+    words; documents of whose words more than ``max_share`` are covered leave
+    as a whole.  Items shorter than a window are common phrases too often to
+    be cut: they count by coverage alone.  Cutting may bring words together
+    that make a window anew: such documents, looked through once more, leave
+    as well.
+
+    Columns stay, whatever their names; n_chars, if there, follows the text.
+    Null and empty texts stay, as does everything without items.  Repeated
+    rows fare alike.  Texts of any length are streamed whole.
+    """
+    full, short = by_length(benchmark, window)
+    found = matches(docs, full, window)
+    some = None if short.isEmpty() else matches(docs, short, window)
+    cut = written(_cuts(found, max_span, max_share, some), "decontam-cuts")
+    rest = join_rows(docs, cut.select("doc_id", "row_key"), "left_anti")
+    edited = written(_excised(docs, cut.where(~F.col("leaves")), "inner"), "decontam-edited")
+    again = _cuts(matches(edited, full, window), max_span, max_share, None if some is None else matches(edited, short, window))
+    again = written(again.where(F.col("leaves") | (F.size("spans") > 0)).select("doc_id", "row_key"), "decontam-again")
+    return rest.unionByName(join_rows(edited, again, "left_anti"))
+
+
+def _excised(docs: DataFrame, cut: DataFrame, how: str) -> DataFrame:
+    """docs joined (left or inner) with the written ``cut``, without its spans."""
+    spans_in = fresh(docs, "spans")
+    cut = cut.select("doc_id", "row_key", F.col("spans").alias(spans_in))
+    joined = join_rows(docs, cut, how, F.size(spans_in) * 8 + 32)
 
     def excise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -54,6 +54,16 @@ def decontaminated(text, items, window=10):
     return len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)
 
 
+def hit_words(text, items, window=10):
+    w, hit = ALNUM.findall(lower(text)), set()
+    for _, item in items:
+        v = ALNUM.findall(lower(item))
+        k = min(window, len(v))
+        windows = {tuple(v[i:i + k]) for i in range(len(v) - k + 1)} if k else set()
+        hit.update(p for i in range(len(w) - k + 1) if tuple(w[i:i + k]) in windows for p in range(i, i + k))
+    return hit
+
+
 def line_dedup(rows, min_length=40, min_docs=5):
     """rows: (doc_id, text), ids not null."""
     holders = {}

@@ -56,7 +56,42 @@ def test_short_items_need_coverage_in_the_pipeline(spark, tmp_path, make, words)
     rows = [(1, "so it is of course a clean text of many other words"), (2, "so, OF course so"), (3, "x " + item + " so"),
             (4, " ".join(words(10, 999))), (5, None), (6, ""), (7, "of course it is"), (8, " ".join(item.split()[:10]) + " y" * 300), (None, "so so")]
     left = corpus_pipeline.decontaminate(spark, make(rows), str(tmp_path)).collect()
-    assert {r["doc_id"] for r in left} == {1, 4, 5, 6, 7} - ({4} if words(10, 999) == item.split()[:10] else set())
+    assert {r["doc_id"]: r["text"] for r in left}[8].split() == ["y"] * 300
+    assert {r["doc_id"] for r in left} == {1, 4, 5, 6, 7, 8} - ({4} if words(10, 999) == item.split()[:10] else set())
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_cleaned_equals_cutting_words(spark, make, words, monkeypatch, limit):
+    """Passages go, the rest of a text stays byte by byte; seams that make a window anew are caught; joins by shuffle too."""
+    from isobar.llm import common
+
+    if limit is not None:
+        monkeypatch.setattr(common.bounded, "__defaults__", (limit,))
+    one, two = words(40, 1), words(25, 8)
+    bench = [(1, " ".join(one)), (2, " ".join(two)), (3, "of course"), (4, None), (5, "")]
+    plain = words(120, 77)
+    rows = [(1, "Intro, " + " ".join(plain) + "\n" + " ".join(one[3:20]).upper() + ". The END"), (2, " ".join(one)), (3, " ".join(plain)),
+            (4, " ".join(plain[:50] + one[:6] + two[:12] + one[6:14] + plain[50:])), (5, None), (6, ""), (7, "of course"), (8, "it is of course so"),
+            (9, " ".join(plain + two[:11] + plain + two[5:] + plain)), (1, "Intro, " + " ".join(plain) + "\n" + " ".join(one[3:20]).upper() + ". The END"),
+            (None, " ".join(plain * 900 + one)), (10, " ".join(one[:9] + plain + one[9:18]))]
+    docs = make(rows, {"spans": F.lit(1), "leaves": F.lit("x"), "n_words": F.lit(2), "items": F.lit(3)})
+    out = decontam.cleaned(docs, spark.createDataFrame(bench, "item_id long, text string"))
+    assert out.columns == docs.columns
+    full = [b for b in bench if len((b[1] or "").split()) >= 10]
+    want = []
+    for doc, text in rows:
+        w = (text or "").split()
+        hit = brute.hit_words(text, full)
+        if hit and 2 * len(hit) > len(w) or doc == 7:
+            continue
+        left = [x for i, x in enumerate(w) if i not in hit]
+        if not brute.hit_words(" ".join(left), full):
+            want.append((doc, " ".join(left) if text is not None else None))
+    got = [(r["doc_id"], " ".join(r["text"].replace("\n. ", "\n").split()) if r["text"] is not None else None) for r in out.collect()]
+    assert sorted(got, key=str) == sorted(((d, t if t is None else t) for d, t in want), key=str)
+    assert {d for d, _ in got} == {None, 1, 3, 5, 6, 8, 9, 10}
+    nothing = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.cleaned(docs, nothing).count() == len(rows) and decontam.cleaned(make([]), nothing).count() == 0
 
 
 def test_decontamination_of_nothing(spark, make, items, leak_rows):
