@@ -23,13 +23,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go, as a whole.
+    """Passages of benchmark items go, and documents that consist of them for more than a half.
 
-    Items shorter than a window count past a share of the document's words.
+    Items shorter than a window count by that share alone.
     """
-    full, short = decontam.by_length(table(spark, sf_dir, "benchmark"))
-    some = None if short.isEmpty() else decontam.matches(docs, short)
-    return decontam.contaminated(docs, decontam.matches(docs, full), some)[0]
+    return decontam.cleaned(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
