@@ -1,11 +1,15 @@
 """Hidden Markov model over symbol sequences, in numpy: Baum-Welch sums and the scaled forward recursion.
 
 Sequences of a batch advance together, one step at a time, longest first, so a
-step is a few array operations over all sequences that are that long.
+step is a few array operations over all sequences that are that long.  A long
+text advances in pieces side by side: each piece is first summed up as a K x K
+matrix, the matrices are multiplied along the text, and so every piece knows
+the states' chances at both of its ends.  Nothing is lost at a cut.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,22 +68,91 @@ def log10_likelihood(m: Model, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(m: Model, sequences: list[np.ndarray], opening: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch sums (starts, moves, emits) over the sequences.
+@dataclass
+class Parts:
+    """Sequences, and the states' chances at their ends."""
 
-    ``opening`` marks the sequences that begin a text; the others continue one
-    and start from the states' long-run shares.
-    """
+    sequences: list[np.ndarray]
+    prior: np.ndarray     # (n, K), chances before the first symbol is seen
+    before: np.ndarray    # (n, K), chances at the token before, all 0 where a text opens
+    leave: np.ndarray     # (n, K), backward vectors at the last token, scaled as chances x leave = 1
+
+    @classmethod
+    def whole(cls, m: Model, sequences: list[np.ndarray]) -> Parts:
+        shape = (len(sequences), len(m.start))
+        return cls(sequences, np.broadcast_to(m.start, shape), np.zeros(shape), np.ones(shape))
+
+    def part(self, a: int, b: int) -> Parts:
+        return Parts(self.sequences[a:b], self.prior[a:b], self.before[a:b], self.leave[a:b])
+
+    @classmethod
+    def together(cls, parts: list[Parts]) -> Parts:
+        return cls([s for p in parts for s in p.sequences], np.vstack([p.prior for p in parts]),
+                   np.vstack([p.before for p in parts]), np.vstack([p.leave for p in parts]))
+
+
+def transfers(m: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(n, K, K) matrices from the chances before a sequence to those at its end, and the log10 of their scales."""
     k = len(m.start)
     symbols, first, order = by_step(sequences)
+    q, log = np.tile(np.eye(k), (len(sequences), 1, 1)), np.zeros(len(sequences))
+    for t in range(len(first) - 1):
+        a, b = first[t], first[t + 1]
+        now = q[:b - a]
+        if t:
+            now = (now.reshape(-1, k) @ m.move).reshape(-1, k, k)
+        now = now * m.emit[symbols[a:b]][:, None, :]
+        if t % 8 == 7 or t == len(first) - 2 or b - a > first[t + 2] - b:  # at times, and where a sequence ends
+            scale = now.sum(axis=(1, 2))
+            now /= scale[:, None, None]
+            log[:b - a] += np.log10(scale)
+        q[:b - a] = now
+    out, out_log = np.empty_like(q), np.empty_like(log)
+    out[order], out_log[order] = q, log
+    return out, out_log
+
+
+def cut_up(m: Model, texts: list[np.ndarray], cut: int, group: int) -> Iterator[tuple[Parts, float]]:
+    """Each text as pieces of ``cut`` tokens with exact ends, and its log10 probability.
+
+    ``group`` pieces of all texts are summed up at a time, so memory beyond the
+    texts' own is K x K numbers a piece.
+    """
+    cuts = [[s[a:a + cut] for a in range(0, len(s), cut)] for s in texts]
+    flat = [c for s in cuts for c in s]
+    found = [transfers(m, flat[a:a + group]) for a in range(0, len(flat), group)]
+    every, logs = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    k, at = len(m.start), 0
+    for pieces in cuts:
+        n = len(pieces)
+        q, total = every[at:at + n], float(logs[at:at + n].sum())
+        at += n
+        prior, last, leave = np.empty((n, k)), np.empty((n, k)), np.ones((n, k))
+        chance = m.start
+        for i in range(n):
+            prior[i] = chance
+            ahead = chance @ q[i]
+            total += float(np.log10(ahead.sum()))
+            last[i] = ahead / ahead.sum()
+            chance = last[i] @ m.move
+        for i in range(n - 1, 0, -1):
+            back = m.move @ (q[i] @ leave[i])
+            leave[i - 1] = back / (last[i - 1] @ back)
+        yield Parts(pieces, prior, np.vstack([np.zeros((1, k)), last[:-1]]), leave), total
+
+
+def expected_counts(m: Model, parts: Parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch sums (starts, moves, emits) over the sequences, the moves into them included."""
+    k = len(m.start)
+    symbols, first, order = by_step(parts.sequences)
     steps = len(first) - 1
     moves, emits = np.zeros((k, k)), np.zeros((len(m.emit), k))
     if not steps:
         return np.zeros(k), moves, emits
-    share = np.linalg.matrix_power(m.move, 64)[0]
-    opening = opening[order]
+    before, leave = parts.before[order], parts.leave[order]
+    opening = ~before.any(axis=1)
     ahead, scale = np.empty((len(symbols), k)), np.empty(len(symbols))
-    state = np.where(opening[:, None], m.start, share)
+    state = parts.prior[order]
     for t in range(steps):
         a, b = first[t], first[t + 1]
         state = (state if t == 0 else state[:b - a] @ m.move) * m.emit[symbols[a:b]]
@@ -93,21 +166,23 @@ def expected_counts(m: Model, sequences: list[np.ndarray], opening: np.ndarray)
             c, d = first[t + 1], first[t + 2]
             later = m.emit[symbols[c:d]] * back / scale[c:d, None]
             moves += ahead_t(ahead, a, d - c).T @ later
-            grown = np.ones((b - a, k))
+            grown = leave[:b - a].copy()
             grown[:d - c] = later @ m.move.T
             back = grown
         else:
-            back = np.ones((b - a, k))
+            back = leave[:b - a]
         # ``ahead`` becomes the state probabilities once step t's sums are done
         if t + 1 < steps:
             c, d = first[t + 1], first[t + 2]
             ahead[c:d] *= kept
         kept = back
-    ahead[:first[1]] *= kept
+    n = int(first[1])
+    moves += before.T @ (m.emit[symbols[:n]] * kept / scale[:n, None])
+    ahead[:n] *= kept
     moves *= m.move
     for j in range(k):
         emits[:, j] = np.bincount(symbols, weights=ahead[:, j], minlength=len(m.emit))
-    return ahead[:first[1]][opening].sum(axis=0), moves, emits
+    return ahead[:n][opening].sum(axis=0), moves, emits
 
 
 def ahead_t(ahead: np.ndarray, a: int, n: int) -> np.ndarray:

@@ -29,8 +29,8 @@ from isobar.llm.words import LOWER, SPACED, Hasher, Piece, find, mix, pieces
 #: Words with a symbol of their own; hash classes per kind of word (64 kinds).
 FREQUENT, HASHES = 32_768, 32
 STATES, ITERATIONS = 8, 6
-#: Training cuts texts into sequences of so many tokens; scoring never cuts.
-SEQUENCE = 512
+#: Texts of more than LONG tokens advance in pieces of SEQUENCE tokens, whose ends are found exactly (plan only).
+LONG, SEQUENCE = 1024, 512
 STAY, SPREAD, PRIOR, SEED = 0.95, 1.0, 200.0, 606
 GROUP_TOKENS = 1 << 19
 U64 = np.uint64
@@ -117,21 +117,35 @@ def _class_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(N_CLASSES)), pa.array(total), pa.array(distinct)], ["cls", "total", "distinct"])
 
 
-def vocabulary(counts: DataFrame, n_train: int, frequent: int = FREQUENT) -> tuple[Vocabulary, int]:
-    """The vocabulary and the least count of a frequent word."""
+def frequent_words(counts: DataFrame, frequent: int = FREQUENT) -> Column:
+    """Condition for the ``frequent`` most frequent words; of the words that tie for
+    the last places those with the smallest hashes, by 4,096ths of all hashes."""
     least, room = 1 << 62, frequent
-    for r in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(frequent).collect():
+    for r in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(frequent + 1).collect():
+        if r["n"] > room:
+            tied = F.pmod(F.xxhash64("word"), F.lit(4096))
+            upto = 0
+            for t in counts.where(F.col("c") == r["c"]).groupBy(tied.alias("t")).agg(F.count("*").alias("n")).orderBy("t").collect():
+                room -= t["n"]
+                if room < 0:
+                    break
+                upto = t["t"] + 1
+            return (F.col("c") >= least) | ((F.col("c") == r["c"]) & (tied < upto))
         room -= r["n"]
-        if room < 0:
-            break
         least = r["c"]
-    rows = counts.where(F.col("c") >= least).collect()  # at most ``frequent`` rows
+    return F.col("c") >= least
+
+
+def vocabulary(counts: DataFrame, n_train: int, frequent: int = FREQUENT) -> tuple[Vocabulary, Column]:
+    """The vocabulary, and the condition for a frequent word."""
+    own = frequent_words(counts, frequent)
+    rows = counts.where(own).collect()  # at most ``frequent`` rows
     rows = sorted((r["word"], r["c"]) for r in rows)
-    sums = (arrow_map(counts.where(F.col("c") < least), _class_sums, "cls long, total double, distinct double")
+    sums = (arrow_map(counts.where(~own), _class_sums, "cls long, total double, distinct double")
             .groupBy("cls").agg(F.sum("total").alias("t"), F.sum("distinct").alias("d")).toPandas())  # a row per class
     total, distinct = np.zeros(N_CLASSES), np.zeros(N_CLASSES)
     total[sums["cls"]], distinct[sums["cls"]] = sums["t"], sums["d"]
-    return Vocabulary([w for w, _ in rows], [c for _, c in rows], total, distinct, n_train), least
+    return Vocabulary([w for w, _ in rows], [c for _, c in rows], total, distinct, n_train), own
 
 
 def _encode(shared):
@@ -163,20 +177,40 @@ def _encode(shared):
     return run
 
 
-def _sequences(batch: pa.RecordBatch, end: int, cut: int | None) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Groups of symbol sequences, each text ending in the end symbol; (sequences, does it open a text)."""
-    group, opening, held = [], [], 0
-    for code in batch.column("codes").to_pylist():
-        s = np.append(np.frombuffer(code, np.uint16).astype(np.int64), end)
-        for at in range(0, len(s), cut or len(s)):
-            group.append(s[at:at + cut] if cut else s)
-            opening.append(at == 0)
-            held += len(group[-1])
-        if cut and held >= GROUP_TOKENS:
-            yield group, np.array(opening)
-            group, opening, held = [], [], 0
-    if group:
-        yield group, np.array(opening)
+def _texts(batch: pa.RecordBatch, end: int) -> Iterator[np.ndarray]:
+    """The symbols of each text, the end symbol last."""
+    for code in batch.column("codes"):
+        yield np.append(np.frombuffer(code.as_py(), np.uint16).astype(np.int64), end)
+
+
+def _parts(m: hmm.Model, batch: pa.RecordBatch, end: int) -> Iterator[hmm.Parts]:
+    """The texts' sequences in groups of about GROUP_TOKENS tokens."""
+    short, held = [], 0
+    step = GROUP_TOKENS // SEQUENCE
+    waiting, n_waiting = [], 0  # pieces of long texts
+    for s in _texts(batch, end):
+        if len(s) <= LONG:
+            short.append(s)
+            held += len(s)
+            if held >= GROUP_TOKENS:
+                yield hmm.Parts.whole(m, short)
+                short, held = [], 0
+            continue
+        waiting.append(s)
+        n_waiting += len(s)
+        if n_waiting >= GROUP_TOKENS:
+            yield from _long(m, waiting, step)
+            waiting, n_waiting = [], 0
+    if waiting:
+        yield from _long(m, waiting, step)
+    if short:
+        yield hmm.Parts.whole(m, short)
+
+
+def _long(m: hmm.Model, texts: list[np.ndarray], step: int) -> Iterator[hmm.Parts]:
+    both = hmm.Parts.together([p for p, _ in hmm.cut_up(m, texts, SEQUENCE, step)])
+    for a in range(0, len(both.sequences), step):
+        yield both.part(a, a + step)
 
 
 def _expect(shared, end: int):
@@ -185,8 +219,8 @@ def _expect(shared, end: int):
         k = len(m.start)
         starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((len(m.emit), k))
         for batch in batches:
-            for group, opening in _sequences(batch, end, SEQUENCE):
-                s, a, e = hmm.expected_counts(m, group, opening)
+            for group in _parts(m, batch, end):
+                s, a, e = hmm.expected_counts(m, group)
                 starts += s
                 moves += a
                 emits += e
@@ -220,9 +254,26 @@ def _score(shared, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: hmm.Model = shared.value
         for batch in batches:
-            out = [hmm.log10_likelihood(m, group) for group, _ in _sequences(batch, end, None)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))],
-                                             [*batch.schema.names, "log_symbols"])
+            out = np.zeros(batch.num_rows)
+            groups: dict[bool, list] = {True: [], False: []}  # long texts and others, (row, symbols)
+            held = {True: 0, False: 0}
+
+            def settle(far: bool) -> None:
+                rows, texts = [i for i, _ in groups[far]], [s for _, s in groups[far]]
+                out[rows] = ([x for _, x in hmm.cut_up(m, texts, SEQUENCE, GROUP_TOKENS // SEQUENCE)] if far
+                             else hmm.log10_likelihood(m, texts))
+                groups[far], held[far] = [], 0
+
+            for i, s in enumerate(_texts(batch, end)):
+                far = len(s) > LONG
+                groups[far].append((i, s))
+                held[far] += len(s)
+                if held[far] >= GROUP_TOKENS:
+                    settle(far)
+            for far in (True, False):
+                if groups[far]:
+                    settle(far)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "log_symbols"])
     return run
 
 
@@ -232,14 +283,15 @@ def score(docs: DataFrame, states: int = STATES, iterations: int = ITERATIONS, f
     Null and empty texts have one token, the end.  Rows are scored one by one,
     so repeated ids and rows do no harm; a null id is not held out.  Without
     training rows every count is 0 and the model is the unseeded start.  An
-    empty table gives an empty result.
+    empty table gives an empty result.  Texts of any length are trained on and
+    scored whole; a long one is held by its task at eight bytes a token.
     """
     docs = docs.select("doc_id", "text")
     counts = word_counts(docs)
     n_train = docs.where(~held_out(F.col("doc_id"))).count()
     sums = counts.agg(F.sum("c"), F.count("*")).first()
     n, distinct = (sums[0] or 0) + n_train, sums[1] + (n_train > 0)
-    v, least = vocabulary(counts, n_train, frequent)
+    v, own = vocabulary(counts, n_train, frequent)
     sc = docs.sparkSession.sparkContext
     coded = written(arrow_map(
         docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"),
@@ -247,7 +299,7 @@ def score(docs: DataFrame, states: int = STATES, iterations: int = ITERATIONS, f
         "rid long, doc_id long, held_out boolean, n_words long, n_rare long, log_hot double, class_log double, codes binary, rare array<string>"), "coded")
 
     # the other words meet their counts
-    met = (coded.select("rid", F.explode("rare").alias("word")).join(counts.where(F.col("c") < least), "word", "left")
+    met = (coded.select("rid", F.explode("rare").alias("word")).join(counts.where(~own), "word", "left")
            .groupBy(F.col("rid").alias("r")).agg(F.count("c").alias("known_rare"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("log_rare")))
     model = train(coded, v, states, iterations)
     slim = coded.select("rid", "doc_id", "held_out", "n_words", "n_rare", "log_hot", "class_log", "codes")

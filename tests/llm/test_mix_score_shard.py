@@ -176,11 +176,42 @@ def test_baum_welch_counts_equal_path_sums():
                 emits[s[i], k] += p / total
                 if i:
                     moves[path[i - 1], k] += p / total
-    got = hmm.expected_counts(m, seqs, np.ones(4, bool))
+    got = hmm.expected_counts(m, hmm.Parts.whole(m, seqs))
     for a, b in zip(got, (starts, moves, emits)):
         assert np.allclose(a, b)
 
 
+def test_pieces_of_long_texts_lose_nothing():
+    r = np.random.default_rng(3)
+    m = hmm.Model.seeded(r.dirichlet(np.ones(9)), 4, 0.9, 2.0, 3)
+    texts = [r.integers(0, 9, n) for n in (1, 7, 300, 50, 51, 1000)]
+    want = hmm.expected_counts(m, hmm.Parts.whole(m, texts))
+    likely = hmm.log10_likelihood(m, texts)
+    for cut in (1, 7, 50):
+        found = list(hmm.cut_up(m, texts, cut, 5))
+        assert np.allclose([x for _, x in found], likely)
+        both = hmm.Parts.together([p for p, _ in found])
+        got = [hmm.expected_counts(m, both.part(a, a + 11)) for a in range(0, len(both.sequences), 11)]
+        for j, w in enumerate(want):
+            assert np.allclose(sum(g[j] for g in got), w)
+
+
+def test_very_long_text_is_scored_whole(make, words):
+    rows = [(i, " ".join(words(20, i, 50))) for i in range(40)] + [(99, " ".join(words(5000, 99, 50)))]
+    got = {r["doc_id"]: r for r in lm.score(make(rows), states=1, iterations=1, frequent=60).collect()}
+    assert got[99]["n_tokens"] == 5001  # one state: the score is a sum over tokens, whatever the pieces
+    assert abs(got[99]["score"] - got[99]["base_score"]) < 0.02 * abs(got[99]["base_score"])
+
+
+def test_words_tied_for_the_last_symbols(spark):
+    rows = [(f"top{i}", 9) for i in range(3)] + [(f"t{i}", 5) for i in range(3000)] + [("last", 1)]
+    counts = spark.createDataFrame(rows, "word string, c long")
+    got = {r["word"] for r in counts.where(lm.frequent_words(counts, 500)).collect()}
+    assert {"top0", "top1", "top2"} < got and "last" not in got and 480 < len(got) <= 500
+    assert counts.where(lm.frequent_words(counts, 10_000)).count() == len(rows)
+    assert counts.where(lm.frequent_words(counts, 2)).count() <= 2
+
+
 def test_scores(spark, make, words):
     rows = [(i, " ".join((x if i % 2 else x.upper() + "é") for x in words(10 + i % 90, i, 60 if i % 2 else 90))) for i in range(300)]
     rows += [(400, None), (401, ""), (402, "never seen words"), (None, "w1x w2x"), (3, rows[3][1])]
