@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import remap, remap_series
+from ..operators import knn_tree, remap, remap_series
 from ..sources import fixtures as fx
 from .catalog import register
 from .sqltext import NAN, d, with_fixtures
@@ -70,6 +70,28 @@ def j2_idw_weights(spark, sf):
     return remap.idw_weights(fx.x6_sources(spark, sf), fx.x6_targets(spark, sf), k=4)
 
 
+# Sources crowded at the pole and the date line (many at one place) beside the even ones.
+@register("J2_idw_weights_tree", with_fixtures(["x6_src", "x3b"], f"""
+s AS (SELECT src_id, lat, lon FROM x6_src UNION ALL SELECT -req_id, lat, lon FROM x3b),
+t AS (SELECT c_custkey AS dst_id, CAST((c_custkey*37)%1801-900 AS DOUBLE)/{d(10)} AS lat,
+  CAST((c_custkey*101)%3600-1800 AS DOUBLE)/{d(10)} AS lon FROM customer),
+c AS (SELECT t.dst_id, s.src_id,
+  floor({_hav_sql('t.lat', 't.lon', 's.lat', 's.lon')} * {d(1e6)} + {d(0.5)}) / {d(1e6)} AS dist FROM t CROSS JOIN s),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY dst_id ORDER BY dist, src_id) AS INTEGER) AS rank FROM c),
+n AS (SELECT *, min(dist) OVER (PARTITION BY dst_id) AS least FROM r WHERE rank <= 4),
+h AS (SELECT *, CASE WHEN least > 0 THEN {d(1)} / dist WHEN dist = 0 THEN {d(1)} ELSE {d(0)} END AS share FROM n)
+SELECT 'distance' AS method, dst_id, src_id, dist, rank,
+  floor(share / sum(share) OVER (PARTITION BY dst_id) * {d(1e9)} + {d(0.5)}) / {d(1e9)} AS w FROM h"""))
+def j2_idw_weights_tree(spark, sf):
+    crowd = fx.x3b_requests(spark, sf).select((-F.col("req_id")).alias("src_id"), "lat", "lon")
+    k = F.col("c_custkey")
+    targets = fx.read_table(spark, sf, "customer").select(
+        k.alias("dst_id"), (((k * 37) % 1801 - 900).cast("double") / F.lit(10.0)).alias("lat"),
+        (((k * 101) % 3600 - 1800).cast("double") / F.lit(10.0)).alias("lon"))
+    w = knn_tree.idw_weights_tree(fx.x6_sources(spark, sf).unionByName(crowd), targets, k=4)
+    return w.withColumn("w", F.floor(F.col("w") * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9))
+
+
 def _src_boxes(spark, sf):
     return fx.x6_sources(spark, sf).select(
         "src_id", (F.col("lat") - 5.0).alias("south"), (F.col("lat") + 5.0).alias("north"),
