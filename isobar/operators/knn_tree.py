@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from ..functions.stats import round_half_up
 from ..session import ensure_checkpoint_dir
-from .joins import SMALL_SIDE_ROWS, bounded_broadcast
+from .joins import bounded_broadcast
 from .remap import _SLACK_KM, EARTH_RADIUS_KM, RAD, _box_bounds_km, haversine_km
 
 #: A cell of level L spans 180 / 2^L degrees.  The tree starts with the 128
@@ -23,6 +23,8 @@ from .remap import _SLACK_KM, EARTH_RADIUS_KM, RAD, _box_bounds_km, haversine_km
 #: the last level are 38 m high and are leaves whatever they hold.
 FIRST_LEVEL, LAST_LEVEL, STEP = 3, 19, 2
 LEAF = 32
+#: Targets that one task takes down the tree, and rows of a side table that the driver may broadcast.
+TARGETS_PER_TASK, BROADCAST_ROWS = 4_000, 400_000
 
 
 def _side(level: int) -> float:
@@ -65,7 +67,7 @@ def source_tree(src: DataFrame, leaf: int = LEAF, keep: int | None = None) -> tu
               .select(F.lit(level).alias("level"), "i", "j", "cnt", is_leaf.alias("is_leaf"))).checkpoint()
         # few cells at the upper levels, where many counts share one: broadcast there;
         # further down a cell has few counts
-        small = bounded_broadcast(at.select("level", "i", "j", "is_leaf"), SMALL_SIDE_ROWS, reuse=False)
+        small = bounded_broadcast(at.select("level", "i", "j", "is_leaf"), BROADCAST_ROWS, reuse=False)
         told = rest.withColumn("i", i).withColumn("j", j).join(small, ["i", "j"]).checkpoint()
         nodes.append(at)
         homes.append(told.where("is_leaf").select("ci", "cj", "level", "i", "j"))
@@ -102,17 +104,27 @@ def _prune(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def nearest_leaves(nodes: DataFrame, last: int, dst: DataFrame, k: int) -> DataFrame:
-    """(dst_id, t_lat, t_lon, level, i, j): the leaves that can hold one of a target's k nearest."""
+    """(dst_id, t_lat, t_lon, level, i, j): the leaves that can hold one of a target's k nearest.
+
+    A target's cells stay together through all levels, and each level reads the
+    one above once: cells that were split meet their children, leaves meet none
+    and stay, so the plan grows by one join a level.
+    """
     # the first level has at most 128 cells: a bounded list per target, no join
     top = nodes.where(F.col("level") == FIRST_LEVEL)
     first = top.select(F.sort_array(F.collect_list(F.struct("level", "i", "j", "cnt", "is_leaf")))).scalar()
-    pairs = _prune(dst.select("dst_id", F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), F.explode(first).alias("n"))
+    targets = dst.select("dst_id", F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"))
+    tasks = max(1, -(-targets.count() // TARGETS_PER_TASK))
+    pairs = _prune(targets.repartition(tasks, "dst_id").select("dst_id", "t_lat", "t_lon", F.explode(first).alias("n"))
                    .select("dst_id", "t_lat", "t_lon", "n.*"), k)
     for level in range(FIRST_LEVEL + STEP, last + 1, STEP):
         kids = nodes.where(F.col("level") == level).select(
-            F.shiftright("i", STEP).alias("_i"), F.shiftright("j", STEP).alias("_j"), "level", "i", "j", "cnt", "is_leaf")
-        inner = pairs.where(~F.col("is_leaf")).select("dst_id", "t_lat", "t_lon", F.col("i").alias("_i"), F.col("j").alias("_j"))
-        pairs = _prune(pairs.where("is_leaf").unionByName(inner.join(kids, ["_i", "_j"]).drop("_i", "_j")), k)
+            (F.col("level") - STEP).alias("_level"), F.shiftright("i", STEP).alias("_i"), F.shiftright("j", STEP).alias("_j"),
+            F.struct("level", "i", "j", "cnt", "is_leaf").alias("_kid"))
+        kids = bounded_broadcast(kids, BROADCAST_ROWS, reuse=False)
+        met = pairs.join(kids, (F.col("level") == F.col("_level")) & (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")), "left")
+        cell = F.coalesce("_kid", F.struct("level", "i", "j", "cnt", "is_leaf"))
+        pairs = _prune(met.select("dst_id", "t_lat", "t_lon", cell.alias("n")).select("dst_id", "t_lat", "t_lon", "n.*"), k)
     return pairs.drop("cnt", "is_leaf")
 
 
@@ -129,7 +141,7 @@ def idw_weights_tree(src: DataFrame, dst: DataFrame, k: int = 4, leaf: int = LEA
     here = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     nodes, points, last = source_tree(src.where(here), leaf, keep=k)
     leaves = nearest_leaves(nodes, last, dst.where(here), k)
-    near = leaves.join(points, ["level", "i", "j"]).select("dst_id", "src_id", round_half_up(
+    near = leaves.join(bounded_broadcast(points, BROADCAST_ROWS), ["level", "i", "j"]).select("dst_id", "src_id", round_half_up(
         haversine_km(F.col("t_lat"), F.col("t_lon"), F.col("s_lat"), F.col("s_lon")), 6).alias("dist"))
     rank = F.row_number().over(Window.partitionBy("dst_id").orderBy("dist", "src_id"))
     near = near.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -70,3 +70,10 @@ def test_tree_of_few_or_no_sources(spark):
     assert knn_tree.idw_weights_tree(spark.createDataFrame([], SRC), dst).count() == 0
     two = knn_tree.idw_weights_tree(spark.createDataFrame([(5, 10.0, 21.0), (6, 10.0, 23.0), (7, None, None)], SRC), dst).collect()
     assert [(r.dst_id, r.src_id, r["rank"], round(r.w, 2)) for r in sorted(two, key=lambda r: r["rank"])] == [(1, 5, 1, 0.75), (1, 6, 2, 0.25)]
+
+
+def test_descent_reads_the_targets_once_however_deep(spark, uneven):
+    src, dst = uneven
+    nodes, _, last = knn_tree.source_tree(spark.createDataFrame(src, SRC), leaf=16, keep=4)
+    plan = knn_tree.nearest_leaves(nodes, last, spark.createDataFrame(dst, DST), 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert last >= 9 and plan.count("Generate explode") == 1
