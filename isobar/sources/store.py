@@ -318,7 +318,10 @@ def _publish_bucketed(rows: DataFrame, root: str, ddl: str, parts: str | None, b
     name = f"isobar_publication_{folder.rsplit('-', 1)[1]}"
     _table(spark, name, ddl, parts, by, sort, n, f"{root}/{folder}")
     try:
-        rows.repartition(n, *by.split(", ")).write.insertInto(name)
+        # a file per partition and bucket, written by as many tasks as these allow, not by one a bucket
+        bucket = F.pmod(F.hash(*by.split(", ")), F.lit(n))
+        dealt = rows.repartition(*parts.split(", "), bucket) if parts else rows.repartition(n, *by.split(", "))
+        dealt.write.insertInto(name)
     finally:
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
     if parts is None:
