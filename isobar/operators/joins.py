@@ -47,3 +47,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = SMALL_SIDE_
         df = df.checkpoint()
     size = side_size(df).first()
     return F.broadcast(df) if size["n"] <= max_rows and size["bytes"] <= max_bytes else df
+
+
+#: Rows that one task groups: its groups' memory stays bounded however large the input is.
+GROUPED_ROWS = 1_000_000
+
+
+def dealt(df: DataFrame, n_rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` for a grouping by them, ``GROUPED_ROWS`` rows a task.
+
+    Up to that many rows per core ``df`` is left to the grouping's own shuffle.
+    """
+    tasks = -(-n_rows // GROUPED_ROWS)
+    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df

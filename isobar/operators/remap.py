@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions.stats import round_half_up
 from ..session import ensure_checkpoint_dir
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, dealt
 
 EARTH_RADIUS_KM = 6371.0
 RAD = math.pi / 180.0
@@ -69,8 +69,8 @@ def remap_apply(native: DataFrame, weights: DataFrame, methods: Mapping[str, str
     (:func:`isobar.sources.store.native_publish_bucketed`,
     :func:`isobar.sources.store.weights_publish_bucketed`) join without any
     shuffle; otherwise both sides are shuffled by source.  The products are
-    summed per target and step (one shuffle by target, with map-side partial
-    sums).  Weights carrying ``n_src`` (:func:`prepare_weights`) skip the
+    summed per target and step (one shuffle by target: with map-side partial
+    sums, or for many rows dealt out so that a task's sums stay few).  Weights carrying ``n_src`` (:func:`prepare_weights`) skip the
     per-target window.
     """
     w = weights if "n_src" in weights.columns else prepare_weights(weights)
@@ -83,11 +83,14 @@ def remap_apply(native: DataFrame, weights: DataFrame, methods: Mapping[str, str
     keys = lead + ["step", "dst_id"]
     j = j.select(*keys, "w", "value", "n_src", F.lit(1).alias("_here"))
     if complete:
-        frames = bounded_broadcast(nat.select(*lead, "step", "method").distinct(), max_broadcast)
+        ensure_checkpoint_dir(nat.sparkSession)
+        counted = nat.groupBy(*lead, "step", "method").agg(F.count(F.lit(1)).alias("_rows")).checkpoint()
+        frames = bounded_broadcast(counted.drop("_rows"), max_broadcast, reuse=False)
+        n_rows = counted.agg(F.sum("_rows")).first()[0] or 0
         grid_rows = targets.join(frames, F.col("_wm") == F.col("method")).select(
             *keys, F.lit(None).cast("double").alias("w"), F.lit(None).cast("double").alias("value"), "n_src",
             F.lit(0).alias("_here"))
-        j = j.unionByName(grid_rows)
+        j = dealt(j.unionByName(grid_rows), 2 * n_rows, *keys)
     ok = ~F.isnan("value")
     if na == "propagate":
         agg = j.groupBy(*keys).agg(F.sum(F.col("w") * F.col("value")).alias("_s"),

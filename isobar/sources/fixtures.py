@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.grid import run_init_time
+from ..operators.joins import dealt
 from .tables import read_table
 
 # Fixed values of fixture X1: line number -> PET input parameter and value range.
@@ -52,10 +53,12 @@ def x1_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     # seven fixed rows: broadcasting them is bounded by construction
     j = li.join(F.broadcast(_ranges(spark)), F.col("l_linenumber") == F.col("n"))
-    return (j.groupBy(_run_of_flag(F.col("l_returnflag")).alias("run"), F.col("param"),
-                      _step_of_month(F.month("l_shipdate")).alias("step"),
-                      F.floor(F.col("l_partkey") / 10).cast("int").alias("cell"))
-            .agg(F.max(_value_rule(F.col("lo"), F.col("hi"), F.col("l_extendedprice"))).alias("value")))
+    keys = ["run", "param", "step", "cell"]
+    rows = j.select(_run_of_flag(F.col("l_returnflag")).alias("run"), F.col("param"),
+                    _step_of_month(F.month("l_shipdate")).alias("step"),
+                    F.floor(F.col("l_partkey") / 10).cast("int").alias("cell"),
+                    _value_rule(F.col("lo"), F.col("hi"), F.col("l_extendedprice")).alias("value"))
+    return dealt(rows, li.count(), *keys).groupBy(*keys).agg(F.max("value").alias("value"))
 
 
 def x1_field(spark: SparkSession, sf_dir: str, with_nan: bool = False) -> DataFrame:

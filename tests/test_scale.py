@@ -11,6 +11,19 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_remap_deals_out_its_sums(spark, monkeypatch):
+    monkeypatch.setattr(joins, "GROUPED_ROWS", 5)
+    native = spark.range(300).select(F.lit("2026040300").alias("run"), F.lit("t_2m").alias("param"), F.lit(0).alias("member"),
+                                     (F.col("id") % 3).cast("int").alias("step"), F.floor(F.col("id") / 3).alias("src_id"),
+                                     F.col("id").cast("double").alias("value"))
+    weights = spark.range(100).select(F.lit("distance").alias("method"), F.floor(F.col("id") / 2).alias("dst_id"),
+                                      F.col("id").alias("src_id"), F.lit(0.5).alias("w"))
+    out = remap.remap_apply(native, weights)
+    assert "RepartitionByExpression" in _plan(out)
+    got = {(r.step, r.dst_id): r.value for r in out.collect()}
+    assert got == {(s, d): 0.5 * (6 * d + s) + 0.5 * (6 * d + 3 + s) for s in range(3) for d in range(50)}
+
+
 def test_bucketed_publication_uses_more_tasks_than_buckets(spark, tmp_path):
     field = spark.range(400).select(F.lit("2026040300").alias("run"), F.concat(F.lit("p"), F.col("id") % 8).alias("param"),
                                     F.lit(0).alias("step"), F.floor(F.col("id") / 8).cast("int").alias("iy"), F.lit(1).alias("ix"),
