@@ -14,6 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
+#: Steps between two scalings: chances of this many symbols in a row stay far from underflow.
+RESCALE = 8
+
 
 @dataclass
 class Model:
@@ -54,15 +57,18 @@ def by_step(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
 def log10_likelihood(m: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Exact log10 probability of each sequence by the scaled forward recursion."""
     symbols, first, order = by_step(sequences)
-    total = np.zeros(len(sequences))
+    total, one, at = np.zeros(len(sequences)), np.ones(len(m.start)), first.tolist()
     state = np.tile(m.start, (len(sequences), 1))
-    for t in range(len(first) - 1):
-        n = int(first[t + 1] - first[t])
+    for t in range(len(at) - 1):
+        n = at[t + 1] - at[t]
         state = state[:n] if t == 0 else state[:n] @ m.move
-        state = state * m.emit[symbols[first[t]:first[t + 1]]]
-        scale = state.sum(axis=1)
-        state /= scale[:, None]
-        total[:n] += np.log10(scale)
+        state *= m.emit.take(symbols[at[t]:at[t + 1]], axis=0)
+        on = at[t + 2] - at[t + 1] if t + 2 < len(at) else 0  # sequences that go on
+        ends = 0 if t % RESCALE == RESCALE - 1 else on
+        if ends < n:
+            scale = state[ends:] @ one
+            state[ends:] /= scale[:, None]
+            total[ends:n] += np.log10(scale)
     out = np.empty(len(sequences))
     out[order] = total
     return out
@@ -142,7 +148,12 @@ def cut_up(m: Model, texts: list[np.ndarray], cut: int, group: int) -> Iterator[
 
 
 def expected_counts(m: Model, parts: Parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch sums (starts, moves, emits) over the sequences, the moves into them included."""
+    """Baum-Welch sums (starts, moves, emits) over the sequences, the moves into them included.
+
+    Chances are scaled to sum to 1 every RESCALE steps and where a sequence
+    ends; the emissions of these steps take the scale, so the backward pass
+    meets the same one.
+    """
     k = len(m.start)
     symbols, first, order = by_step(parts.sequences)
     steps = len(first) - 1
@@ -151,39 +162,37 @@ def expected_counts(m: Model, parts: Parts) -> tuple[np.ndarray, np.ndarray, np.
         return np.zeros(k), moves, emits
     before, leave = parts.before[order], parts.leave[order]
     opening = ~before.any(axis=1)
-    ahead, scale = np.empty((len(symbols), k)), np.empty(len(symbols))
-    state = parts.prior[order]
+    one, back_moves, at = np.ones(k), np.ascontiguousarray(m.move.T), first.tolist()
+    seen = m.emit.take(symbols, axis=0)
+    ahead, back = np.empty_like(seen), np.empty_like(seen)
     for t in range(steps):
-        a, b = first[t], first[t + 1]
-        state = (state if t == 0 else state[:b - a] @ m.move) * m.emit[symbols[a:b]]
-        scale[a:b] = state.sum(axis=1)
-        state = state / scale[a:b, None]
-        ahead[a:b] = state
-    back = np.ones((0, k))
-    for t in range(steps - 1, -1, -1):
-        a, b = first[t], first[t + 1]
-        if t < steps - 1:
-            c, d = first[t + 1], first[t + 2]
-            later = m.emit[symbols[c:d]] * back / scale[c:d, None]
-            moves += ahead_t(ahead, a, d - c).T @ later
-            grown = leave[:b - a].copy()
-            grown[:d - c] = later @ m.move.T
-            back = grown
+        a, b = at[t], at[t + 1]
+        now = ahead[a:b]
+        if t:
+            np.matmul(ahead[at[t - 1]:at[t - 1] + b - a], m.move, out=now)
         else:
-            back = leave[:b - a]
-        # ``ahead`` becomes the state probabilities once step t's sums are done
-        if t + 1 < steps:
-            c, d = first[t + 1], first[t + 2]
-            ahead[c:d] *= kept
-        kept = back
-    n = int(first[1])
-    moves += before.T @ (m.emit[symbols[:n]] * kept / scale[:n, None])
-    ahead[:n] *= kept
+            now[:] = parts.prior[order][:b]
+        now *= seen[a:b]
+        on = at[t + 2] - b if t + 1 < steps else 0  # sequences that go on
+        ends = 0 if t % RESCALE == RESCALE - 1 else on
+        if ends < b - a:
+            share = (1 / (now[ends:] @ one))[:, None]
+            now[ends:] *= share
+            seen[a + ends:b] *= share
+    for t in range(steps - 1, -1, -1):
+        a, b = at[t], at[t + 1]
+        on = at[t + 2] - b if t + 1 < steps else 0
+        here = back[a:b]
+        here[on:] = leave[on:b - a]
+        if on:
+            later = seen[b:b + on]  # seen has become emission x backward there
+            moves += ahead[a:a + on].T @ later
+            np.matmul(later, back_moves, out=here[:on])
+        seen[a:b] *= here
+    n = at[1]
+    moves += before.T @ seen[:n]
     moves *= m.move
+    ahead *= back  # the state probabilities
     for j in range(k):
         emits[:, j] = np.bincount(symbols, weights=ahead[:, j], minlength=len(m.emit))
     return ahead[:n][opening].sum(axis=0), moves, emits
-
-
-def ahead_t(ahead: np.ndarray, a: int, n: int) -> np.ndarray:
-    return ahead[a:a + n]
