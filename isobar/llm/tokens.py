@@ -29,10 +29,13 @@ from isobar.llm.common import arrow_map
 TOKENIZER = "word_bpe_49k.json"
 #: Id that ends every document.
 END = 1
-#: Words that a worker remembers.
-KNOWN = 1 << 20
-#: Bytes of text taken at a time (one text at least).
-PIECE = 8 << 20
+#: Words, and pieces of words, that a worker remembers, and the words' bytes.
+KNOWN, HELD = 1 << 20, 16 << 20
+#: New words encoded in one go.
+LEARN = 1 << 16
+#: Bytes of text taken at a time (one word at least).
+PIECE = 4 << 20
+_SPACE = re.compile(rb"[\t-\r ]").search
 #: Characters on whose classes all pattern engines agree.
 _LATIN = re.compile("[!-~¡-ɏ]+").fullmatch
 
@@ -48,7 +51,7 @@ class Words:
         if not os.path.exists(name):
             import public_tokenizers
             name = public_tokenizers.path(name)
-        self.whole, self.known, self.parts = Tokenizer.from_file(name), {}, {}
+        self.whole, self.known, self.parts, self.held = Tokenizer.from_file(name), {}, {}, 0
         form = json.loads(self.whole.to_str())
         steps = (form.get("pre_tokenizer") or {}).get("pretokenizers", [])
         split = steps[0] if [s["type"] for s in steps] == ["Split", "ByteLevel"] else {}
@@ -69,7 +72,8 @@ class Words:
         if self.pattern is None:
             fast, slow = [], range(len(text))
         elif _LATIN(joined := "".join(text)) and not any(s in joined.lower() for s in self.special):
-            fast, slow = range(len(text)), []
+            # the normalizer makes one blank of two: an empty word between others would vanish and shift all behind it
+            fast, slow = [i for i, w in enumerate(text) if w], [i for i, w in enumerate(text) if not w]
         else:
             fast = [i for i, w in enumerate(text) if _LATIN(w) and not any(s in w.lower() for s in self.special)]
             slow = sorted(set(range(len(text))) - set(fast))
@@ -81,15 +85,17 @@ class Words:
             self._pieces(new)
         for i, x in zip(fast, cut):
             self.known[words[i]] = parts[x[0]] if len(x) == 1 else b"".join([parts[p] for p in x])
-        for i, e in zip(slow, self.whole.encode_batch([text[i] for i in slow], add_special_tokens=False)):
-            self.known[words[i]] = array("I", e.ids).tobytes()
+        for i in slow:
+            self.known[words[i]] = array("I", self.whole.encode(text[i], add_special_tokens=False).ids).tobytes()
 
     def ids(self, words: list[bytes]) -> list[bytes]:
-        if len(self.known) > KNOWN:
-            self.known, self.parts = {}, {}
+        if max(len(self.known), len(self.parts)) > KNOWN or self.held > HELD:
+            self.known, self.parts, self.held = {}, {}, 0
         found = list(map(self.known.get, words))
         if new := [w for w, x in zip(words, found) if x is None]:
-            self._learn(new)
+            for k in range(0, len(new), LEARN):
+                self._learn(new[k:k + LEARN])
+            self.held += sum(map(len, new))
             found = [self.known[w] if x is None else x for w, x in zip(words, found)]
         return found
 
@@ -104,9 +110,27 @@ def worker_words(name: str) -> Words:
     return _WORDS[name]
 
 
+def _runs(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The texts, those over ``PIECE`` bytes cut at white space, and whether a text ends there."""
+    if not len(texts):
+        return texts, np.ones(0, bool)
+    _, offsets, data = texts.buffers()
+    offsets, of, cuts = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1], [], []
+    for i in np.flatnonzero(np.diff(offsets) > PIECE).tolist():
+        at, end = offsets[i:i + 2].tolist()
+        while end - at > PIECE and (space := _SPACE(data, at + PIECE, end)):
+            at = space.start()
+            of.append(i)
+            cuts.append(at)
+    last = np.insert(np.ones(len(texts), bool), of, False)
+    offsets = np.insert(offsets, [i + 1 for i in of], cuts)
+    return pa.LargeStringArray.from_buffers(len(last), pa.py_buffer(offsets), data), last
+
+
 def encoded(words: Words, texts: pa.Array) -> Iterator[np.ndarray]:
     """The ids of every text (null: empty), with END behind them."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts, last = _runs(pc.fill_null(texts.cast(pa.large_string()), ""))
+    part: list[np.ndarray] = []  # of a text that goes on
     size = np.r_[0, np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))]
     a = 0
     while a < len(texts):
@@ -122,7 +146,10 @@ def encoded(words: Words, texts: pa.Array) -> Iterator[np.ndarray]:
             ids = np.frombuffer(data, "<u4", count=int(end[-1])) if data is not None else ids
         at = end[np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]]
         for i in range(b - a):
-            yield np.append(ids[at[i]:at[i + 1]], np.uint32(END))
+            part.append(ids[at[i]:at[i + 1]])
+            if last[a + i]:
+                yield np.concatenate([*part, np.array([END], "<u4")])
+                part = []
         a = b
 
 

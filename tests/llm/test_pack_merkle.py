@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from isobar.llm import merkle, packing, tokens
@@ -56,6 +57,31 @@ def test_packing_whole_texts(make, words, whole):
     assert packing.pack(make([])).count() == 0
 
 
+def test_packing_latin_texts_with_odd_white_space(make, whole):
+    """Empty words (white space at the ends or doubled) among Latin words only."""
+    docs = [(1, "ends in a line\n"), (2, " starts  doubled"), (3, "tab\t\tand\r\n\r\nlines \n"), (4, "  "), (5, "last naïve words")]
+    check_packed(packing.pack(make(docs).coalesce(1)).collect(), docs, whole, 4096)
+
+
+def test_ids_of_any_texts_in_small_pieces(whole, monkeypatch):
+    """Long texts cut at white space, few words remembered: the ids are those of whole texts."""
+    for name, value in (("PIECE", 40), ("LEARN", 3), ("KNOWN", 9), ("HELD", 90)):
+        monkeypatch.setattr(tokens, name, value)
+    texts = [*ODD, " x" * 50 + "\n\n", "y" * 90 + " z" * 3 + "日本語" * 40, "\n" * 100, "it's a-b_c 12 " * 20, "end"]
+    for some in (texts, [None, None], [""], [], texts[::-1]):
+        column = pa.array(["cut off", *some], pa.string()).slice(1)
+        got = [x.tolist() for x in tokens.encoded(tokens.Words(tokens.TOKENIZER), column)]
+        assert got == [ids_of(whole, t) for t in some]
+
+
+def test_remembered_words_are_bounded_by_bytes(whole):
+    words = tokens.Words(tokens.TOKENIZER)
+    texts = [f"{i:05d}" + "語" * 40_000 for i in range(200)]  # 24 MB of words without white space
+    got = [len(x) for x in tokens.encoded(words, pa.array(texts))]
+    assert got[-1] == len(ids_of(whole, texts[-1])) and len(set(got)) == 1
+    assert sum(map(len, words.known)) <= tokens.HELD + tokens.PIECE
+
+
 def test_local_search_only_improves():
     r = np.random.default_rng(5)
     for x in (r.integers(1, 4096, 600), r.integers(1200, 2000, 600), np.full(300, 1366), np.where(r.random(600) < 0.4, 1366, r.integers(1, 3000, 600))):
